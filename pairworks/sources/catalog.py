@@ -143,13 +143,19 @@ def table_objects(catalog: Catalog) -> DataFrame:
                 F.coalesce("foreign_keys", none).alias("foreign_keys")).alias("info")))
 
 
+def table_json(catalog: Catalog) -> DataFrame:
+    """``ordinal, table, json``: each table as a quoted name and its object, nulls kept."""
+    name = F.replace(F.replace("table", F.lit("\\"), F.lit("\\\\")), F.lit('"'), F.lit('\\"'))
+    body = F.to_json("info", {"ignoreNullFields": "false"})
+    return table_objects(catalog).select("ordinal", "table", F.concat(F.lit('"'), name, F.lit('":'), body).alias("json"))
+
+
 def schema_json(catalog: Catalog, names: list[str] | None = None) -> DataFrame:
-    """One row, ``schema_json``: the whole schema as JSON, nulls kept, tables in catalog order."""
-    objects = table_objects(catalog if names is None else catalog.subset(names))
-    return (objects.agg(F.array_sort(F.collect_list(F.struct("ordinal", "table", "info"))).alias("ts"))
-            .select(F.to_json(F.struct(F.map_from_entries(F.transform("ts", lambda t: F.struct(
-                t["table"].alias("key"), t["info"].alias("value")))).alias("tables")),
-                {"ignoreNullFields": "false"}).alias("schema_json")))
+    """One row, ``schema_json``: the whole schema as JSON, tables in catalog order."""
+    texts = table_json(catalog if names is None else catalog.subset(names))
+    ordered = F.array_sort(F.collect_list(F.struct("ordinal", "json")))
+    return texts.agg(F.concat(F.lit('{"tables":{'), F.array_join(F.transform(ordered, lambda t: t["json"]), ","), F.lit("}}"))
+                     .alias("schema_json"))
 
 
 def schema_markdown(catalog: Catalog) -> DataFrame:

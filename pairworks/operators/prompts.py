@@ -5,12 +5,13 @@ from __future__ import annotations
 import re
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..functions.hashing import digest, draw
+from .pairs import first_of_each
 
 # Fixed value: the mark that opens a message in a template.
 ROLE_MARK = "### role:"
@@ -54,23 +55,20 @@ def fewshot(questions: DataFrame, examples: DataFrame, k: int = 2, buckets: int
     """Adds ``examples``: up to ``k`` example pairs as ``Q:``/``A:`` blocks.
 
     Examples fall into buckets by hash and each bucket keeps its first ``k``; a question takes those of the
-    bucket it draws, topped up from the overall first ``k``.  At most ``buckets * k`` examples ever leave
-    their task, and questions are never joined to all examples.
+    bucket it draws, topped up from the overall first ``k``.  At most ``buckets * k`` examples reach the
+    driver, from where they go into the plan as a literal; the questions are neither joined nor shuffled.
     """
     h = digest(seed, F.col("question"), F.col("sql"))
     block = F.concat(F.lit("Q: "), "question", F.lit("\nA: ```SQL\n"), "sql", F.lit("\n```"))
     drawn = examples.select("question", "sql").distinct().select(h.alias("h"), draw(h, buckets).alias("bucket"), block.alias("block"))
-    w = Window.partitionBy("bucket").orderBy("h")
-    kept = (drawn.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= k)
-            .groupBy("bucket").agg(F.array_sort(F.collect_list(F.struct("h", "block"))).alias("bs")))
-    first = kept.agg(F.slice(F.array_sort(F.flatten(F.collect_list("bs"))), 1, k).alias("top"))
-    per_bucket = kept.select("bucket", "bs").unionByName(
-        questions.sparkSession.range(buckets).select(F.col("id").alias("bucket"), F.array().cast(kept.schema["bs"].dataType).alias("bs")))
-    lists = per_bucket.groupBy("bucket").agg(F.flatten(F.collect_list("bs")).alias("bs")).join(F.broadcast(first))
-    chosen = F.slice(F.concat("bs", F.array_except("top", "bs")), 1, k)
-    lists = lists.select("bucket", F.array_join(F.transform(chosen, lambda e: e["block"]), "\n\n").alias("examples"))
-    asked = questions.withColumn("bucket", draw(digest(seed, "question", F.col("question")), buckets))
-    return asked.join(F.broadcast(lists), "bucket").drop("bucket")
+    kept = first_of_each(drawn, ["bucket"], ("h",), k).orderBy("h").collect()
+    top = [r.block for r in kept[:k]]
+    lists = []
+    for b in range(buckets):
+        own = [r.block for r in kept if r.bucket == b]
+        lists.append("\n\n".join((own + [t for t in top if t not in own])[:k]))
+    asked = draw(digest(seed, "question", F.col("question")), buckets)
+    return questions.withColumn("examples", F.element_at(F.array(*[F.lit(t) for t in lists]), (asked + 1).cast("int")))
 
 
 def task_message(tasks: DataFrame, markdown: str, budget_left: float) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import digest, draw
+from ..functions.hashing import digest, draw, pick
 
 PHASES = ("phase_id long, name string, question string, questions array<string>, count int, n_rows int, "
           "min_joins int, parallelism int, prompt_template string, fns array<string>, fn_counts map<string,int>, "
@@ -56,8 +56,9 @@ def _first_n(n) -> Column:
 
 
 def expand_tasks(phases: DataFrame, tables: list[str], defaults: dict[str, str] | None = None,
-                 phase: str | None = None, seed: int = 0) -> DataFrame:
+                 phase: str | None = None, seed: int = 0, default_fns: list[str] | None = None) -> DataFrame:
     """All tasks of the phases in one narrow pass; random tables are drawn by hash of the seed."""
+    defaults, default_fns = defaults or {}, default_fns or ["COUNT"]
     if phase is not None:
         phases = phases.where(F.col("name") == phase)
     known = F.array(*[F.lit(t) for t in tables]) if tables else F.array(F.lit("table_1"))
@@ -73,7 +74,7 @@ def expand_tasks(phases: DataFrame, tables: list[str], defaults: dict[str, str]
     docs = F.array(_task(counted("Generate ", " unique question-answer pairs about the schema."), count=count))
     relations = F.array(_task(text(F.lit("Generate relationship pairs between tables using sample rows.")),
                               n_rows=F.coalesce("n_rows", F.lit(RELATION_ROWS))))
-    workers = F.least(F.size(known), F.coalesce("parallelism", F.size(known)))
+    workers = F.least(F.size(known), F.coalesce("parallelism", F.lit(defaults.get("parallelism")).cast("int"), F.size(known)))
     single = F.transform(known, lambda t: _task(table_question(t, count), table=t, count=count, parallelism=workers))
     joins = F.array(_task(counted("Generate ", " question/SQL pairs requiring joins."), count=count,
                           min_joins=F.coalesce("min_joins", F.lit(JOIN_TABLES))))
@@ -94,7 +95,9 @@ def expand_tasks(phases: DataFrame, tables: list[str], defaults: dict[str, str]
     some = lambda n: F.coalesce(F.nullif(n, F.lit(0)), F.lit(PER_FUNCTION))
     by_map = F.flatten(F.transform(F.map_entries("fn_counts"), lambda e: per_function(e["key"], some(e["value"]))))
     by_list = F.flatten(F.transform("fns", lambda f: per_function(f, some(given))))
-    fallback = per_function(F.lit("COUNT"), F.coalesce(given, F.lit(0)))
+    default_fn = lambda i: pick(default_fns, digest(seed, F.col("phase_id"), F.lit("fn"), i))
+    fallback = F.flatten(F.transform(_first_n(F.coalesce(given, F.lit(0))), lambda i: F.array(_task(
+        function_question(default_fn(i), table_for(default_fn(i), i)), table=table_for(default_fn(i), i), fn=default_fn(i)))))
     named = (F.size(F.coalesce("fns", F.array().cast("array<string>"))) > 0) | (
         F.size(F.map_keys(F.coalesce("fn_counts", F.create_map().cast("map<string,int>")))) > 0)
 
@@ -106,8 +109,11 @@ def expand_tasks(phases: DataFrame, tables: list[str], defaults: dict[str, str]
              .when(F.col("fn_counts").isNotNull(), by_map).when(F.col("fns").isNotNull(), by_list)
              .otherwise(fallback))
 
-    base = F.create_map(*[F.lit(x) for kv in (defaults or {}).items() for x in kv]).cast("map<string,string>")
-    settings = F.coalesce("settings", F.create_map().cast("map<string,string>"))
+    given_map = lambda names: F.map_from_entries(F.filter(F.array(*[
+        F.struct(F.lit(n).alias("key"), F.col(n).cast("string").alias("value")) for n in names]), lambda e: e["value"].isNotNull()))
+    base = F.create_map(*[F.lit(x) for kv in defaults.items() for x in kv]).cast("map<string,string>")
+    settings = overlay(F.coalesce("settings", F.create_map().cast("map<string,string>")),
+                       given_map(["question", "n_rows", "min_joins", "parallelism", "prompt_template"]))
     out = phases.select("phase_id", F.col("name").alias("phase"), overlay(base, settings).alias("base"),
                         F.posexplode(forms).alias("pos", "t"))
     typed = ["table", "fn", "count", "n_rows", "min_joins", "parallelism"]

@@ -1,4 +1,4 @@
 """Registered queries over the driver tables."""
 
-from . import pairsets, relations  # noqa: F401
+from . import pairsets, relations, showcase, taskset  # noqa: F401
 from .tables import ORACLES, QUERIES  # noqa: F401

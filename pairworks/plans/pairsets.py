@@ -289,9 +289,9 @@ b AS (SELECT task_id, i, {ck.bare('line')} AS line FROM l),
 j AS (SELECT task_id, i, CASE WHEN json_type(line, '$.tables') = 'ARRAY' THEN json_extract_string(line, '$.tables[*]') WHEN json_type(line) = 'ARRAY' THEN json_extract_string(line, '$[*]') END AS ts
 FROM b WHERE json_valid(line)),
 f AS (SELECT task_id, i, list_filter(ts, lambda t: list_contains({KNOWN}, t)) AS ts FROM j WHERE ts IS NOT NULL),
-s AS (SELECT task_id, row_number() OVER (PARTITION BY task_id ORDER BY i) - 1 AS pos, ts FROM f WHERE len(ts) >= 2),
-q AS (SELECT * FROM s WHERE pos < 3)
-SELECT task_id, pos::BIGINT AS pos, array_to_string(ts, ',') AS tables FROM q
+s AS (SELECT task_id, row_number() OVER (PARTITION BY task_id ORDER BY i) AS rn, ts FROM f WHERE len(ts) >= 2),
+q AS (SELECT * FROM s WHERE rn <= 3)
+SELECT task_id, (rn - 1)::BIGINT AS pos, array_to_string(ts, ',') AS tables FROM q
 UNION ALL SELECT o_orderkey, 0, array_to_string({KNOWN}, ',') FROM orders WHERE o_orderkey NOT IN (SELECT task_id FROM q)""")
 def sets_query(spark, sf_dir):
     sets = table_sets.parse_table_sets(feed(spark, sf_dir, SETS), NAMES, 2, 3)

@@ -45,7 +45,7 @@ def clean_sql(col, preserve_literals: bool = False) -> Column:
                                               .otherwise(outside(p))), ""))
     else:
         flat = collapse_blanks(F.replace(col, F.lit("\\"), F.lit("")))
-    return F.coalesce(F.when(flat.endswith(";"), F.rtrim(F.left(flat, F.length(flat) - 1))).otherwise(flat), F.lit(""))
+    return F.coalesce(F.regexp_replace(flat, " ?;$", ""), F.lit(""))
 
 
 def strip_fence(col) -> Column:
@@ -59,8 +59,21 @@ def one_json_value(col) -> Column:
     The parser stops after the first value, so the text is wrapped in a list and
     must come back as a list of one.
     """
-    wrapped = F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), col, F.lit("]"))), "$", "array<variant>")
-    return F.when(F.size(wrapped) == 1, F.get(wrapped, F.lit(0)))
+    return only_member(as_list(col))
+
+
+def as_list(col) -> Column:
+    """The values of a text that holds comma-separated JSON values, else null."""
+    return F.try_variant_get(F.try_parse_json(F.concat(F.lit("["), col, F.lit("]"))), "$", "array<variant>")
+
+
+def only_member(values) -> Column:
+    return F.when(F.size(values) == 1, F.get(values, F.lit(0)))
+
+
+def json_values(texts) -> Column:
+    """The texts of an array that are one JSON value each; every text is parsed once."""
+    return F.filter(F.transform(F.transform(texts, as_list), only_member), lambda v: v.isNotNull())
 
 
 def is_object(variant) -> Column:

@@ -42,8 +42,9 @@ def parse_pairs(replies: DataFrame, text: str = "text", keep: tuple = ("task_id"
     """
     keep = list(keep)
     lined = replies.select(*keep, json_lines(F.col(text)).alias("ls"))
-    whole = lined.select(*keep, "ls", tx.one_json_value(F.array_join("ls", "\n")).alias("whole"))
-    per_line = F.filter(F.transform("ls", tx.one_json_value), lambda v: v.isNotNull())
+    listed = lined.select(*keep, "ls", tx.as_list(F.array_join("ls", "\n")).alias("values"))
+    whole = listed.select(*keep, "ls", tx.only_member(F.col("values")).alias("whole"))
+    per_line = tx.json_values(F.col("ls"))
     items = whole.select(*keep, F.posexplode(
         F.when(F.col("whole").isNotNull(), tx.as_items(F.col("whole"))).otherwise(per_line)).alias("pos", "item"))
     item = F.col("item")
@@ -59,7 +60,7 @@ def parse_answer(replies: DataFrame, text: str = "text", question: str = "questi
     A reply that is no JSON object is taken as SQL.
     """
     body = F.coalesce(F.nullif(F.col(text), F.lit("")), F.lit("{}"))
-    read = replies.withColumn("v", tx.one_json_value(body))
+    read = replies.withColumn("v", tx.as_list(body)).withColumn("v", tx.only_member(F.col("v")))
     read = read.withColumn("v", F.when(tx.is_object(F.col("v")), F.col("v")))
     v, plain = F.col("v"), F.col("v").isNull()
     rows = F.try_variant_get(v, "$.rows", "array<variant>")
@@ -144,7 +145,8 @@ def apply_reviews(pairs: DataFrame, reviews: DataFrame) -> DataFrame:
     no JSON object scores 0.0 and keeps the candidate; a pair without review has no score.
     """
     last = reviews.groupBy("question", "sql").agg(F.max_by("response", "seq").alias("response"))
-    read = pairs.join(last, ["question", "sql"], "left").withColumn("v", tx.one_json_value(F.col("response")))
+    read = pairs.join(last, ["question", "sql"], "left").withColumn("v", tx.as_list(F.col("response")))
+    read = read.withColumn("v", tx.only_member(F.col("v")))
     v = F.col("v")
     ok = v.isNotNull() & tx.is_object(v)
     fixed = tx.clean_sql(F.coalesce(tx.field(v, "fixed_sql"), F.col("sql")))

@@ -239,7 +239,7 @@ def _match_pass(catalog: Catalog, pairs: list[tuple]) -> DataFrame:
         else:
             value = [F.col("v").alias("s")]
             rows = rows.where(F.col("v").isNotNull())
-        flags = [F.when(F.floor(F.col("id") / WORD) == i, _bit(F.col("id")))
+        flags = [F.when(F.call_function("div", F.col("id"), F.lit(WORD)) == i, _bit(F.col("id")))
                  .otherwise(F.lit(0).cast("long")).alias(w) for i, w in enumerate(words)]
         keyed = rows.select(F.get(fam_of_bit, F.col("id")).alias("fam"), *value, *flags)
         names = [c for c in keyed.columns if c not in words]
@@ -247,7 +247,7 @@ def _match_pass(catalog: Catalog, pairs: list[tuple]) -> DataFrame:
                         .groupBy(*words).agg(F.count(F.lit(1)).alias("n")))
 
     held = F.array(*words)
-    has = lambda b: F.get(held, F.floor(b / WORD).cast("int")).bitwiseAND(_bit(b)) != 0
+    has = lambda b: F.get(held, F.call_function("div", b, F.lit(WORD)).cast("int")).bitwiseAND(_bit(b)) != 0
     ends = local_frame(catalog.spark, [(*p, bit[p[:2]], bit[p[2:]]) for p in pairs],
                        ", ".join(f"{c} string" for c in ENDS) + ", cbit int, pbit int")
     hits = (union_all(patterns)

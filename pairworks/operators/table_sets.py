@@ -17,7 +17,7 @@ def parse_table_sets(replies: DataFrame, names: list[str], min_joins: int = 2, n
     count, and a reply without any gives one set of all tables.
     """
     known = F.array(*[F.lit(t) for t in names])
-    values = F.transform(tx.lines(F.col(text)), lambda l: tx.one_json_value(F.nullif(tx.strip_bullet(l), F.lit(""))))
+    values = tx.json_values(F.transform(tx.lines(F.col(text)), tx.strip_bullet))
     lists = F.transform(values, lambda v: F.coalesce(F.try_variant_get(v, "$.tables", "array<variant>"),
                                                      F.try_variant_get(v, "$", "array<variant>")))
     tables = F.transform(F.filter(lists, lambda l: l.isNotNull()),

@@ -120,5 +120,5 @@ def expand_tasks(phases: DataFrame, tables: list[str], defaults: dict[str, str]
     own = F.map_from_entries(F.filter(F.array(*[
         F.struct(F.lit("builtins" if c == "fn" else c).alias("key"), F.col(f"t.{c}").cast("string").alias("value"))
         for c in typed]), lambda e: e["value"].isNotNull()))
-    return out.select("phase_id", "pos", "phase", "t.question", *[F.col(f"t.{c}").alias(c) for c in typed],
+    return out.select("phase_id", F.col("pos").cast("long").alias("pos"), "phase", "t.question", *[F.col(f"t.{c}").alias(c) for c in typed],
                       overlay(F.col("base"), own).alias("metadata"))

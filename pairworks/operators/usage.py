@@ -44,7 +44,7 @@ def running_sum(df: DataFrame, key: str, order: str, value: str, out: str, span:
     The order column is cut into spans: sums of spans give each span's start, then every span is summed
     alone, so a key that holds most rows is spread over many tasks.
     """
-    cut = df.withColumn("span", F.floor(F.col(order) / span))
+    cut = df.withColumn("span", F.call_function("div", F.col(order), F.lit(span)))
     totals = cut.groupBy(key, "span").agg(F.sum(value).alias("part"))
     before = Window.partitionBy(key).orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
     starts = totals.select(key, "span", F.coalesce(F.sum("part").over(before), F.lit(0)).alias("start"))
@@ -67,7 +67,7 @@ def _first_event(rows: DataFrame, span: int) -> DataFrame:
     more than half is left; the event is the small one that ends this, or the first larger one that fits.
     """
     small = F.when(F.col("micros") * 2 <= F.col("left"), F.col("micros")).otherwise(0)
-    cut = rows.withColumn("span", F.floor(F.col("seq") / span)).withColumn("small", small)
+    cut = rows.withColumn("span", F.call_function("div", F.col("seq"), F.lit(span))).withColumn("small", small)
     before = Window.partitionBy("run_id", "span").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
     local = cut.withColumn("prior", F.coalesce(F.sum("small").over(before), F.lit(0)))
     # what must have been spent at most before the span for a large request in it to fit

@@ -101,7 +101,7 @@ def _windowed(name, make, sql):
     def run(spark, sf_dir):
         orders = table(spark, sf_dir, "orders").withColumn("p", F.nullif("o_orderpriority", F.lit("1-URGENT")))
         w = pg.ordered(["o_custkey"], "p") if name == "rank" else pg.ordered(["o_custkey"], "p", "o_orderkey")
-        return orders.select("o_orderkey", make().over(w).alias("v"))
+        return orders.select("o_orderkey", make().over(w).cast("long").alias("v"))
 
 
 _windowed("row_number", F.row_number, "row_number()")

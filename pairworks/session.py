@@ -55,8 +55,10 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder; survives the loss of executors."""
-    spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    """Write the rows to the shared folder and read them back.
+
+    They are computed exactly once, which matters where that costs money, and survive the loss of executors.
+    """
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -15,10 +15,17 @@ log = logging.getLogger(__name__)
 
 
 def sample_rows(df: DataFrame, n: int = 5, order_by=None) -> DataFrame:
-    """``n`` rows in a fixed order: the given columns, else a hash of the row."""
-    order = [order_by] if isinstance(order_by, str) else list(order_by or [])
-    keys = order or [F.xxhash64(*df.columns)]
-    return df.orderBy(*keys).limit(n)
+    """``n`` rows: any when no order is given, which stops reading early; else the first by that order.
+
+    For a single key column the ``n`` smallest keys are found first, from that column alone, and then
+    looked up, so the other columns are read only where the keys are.
+    """
+    if order_by is None:
+        return df.limit(n)
+    if not isinstance(order_by, str):
+        return df.orderBy(*order_by).limit(n)
+    least = [r[0] for r in df.select(order_by).where(F.col(order_by).isNotNull()).orderBy(order_by).limit(n).collect()]
+    return df.where(F.col(order_by).isin(least)).orderBy(order_by).limit(n)
 
 
 def sample_all(catalog: Catalog, n: int = 2) -> DataFrame:

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 
 def digest(*parts) -> Column:
-    """md5 of the parts joined by ``|``."""
-    cols = [p if isinstance(p, Column) else F.lit(str(p)) for p in parts]
-    return F.md5(F.concat_ws("|", *[c.cast("string") for c in cols]))
+    """md5 of the parts joined by ``|``; null if a part is."""
+    cols = [p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts]
+    return F.md5(F.concat(*[x for c in cols for x in (F.lit("|"), c)][1:]))
 
 
 def draw(md5_hex: Column, n, slot: int = 0) -> Column:
@@ -19,4 +19,5 @@ def draw(md5_hex: Column, n, slot: int = 0) -> Column:
 
 
 def pick(values: list[str], md5_hex: Column, slot: int = 0) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (draw(md5_hex, len(values), slot) + 1).cast("int"))
+    # element_at would give the last member for a null index
+    return F.get(F.array(*[F.lit(v) for v in values]), draw(md5_hex, len(values), slot).cast("int"))

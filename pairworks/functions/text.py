@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 BLANK_CODES = (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
                0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 BLANKS = "".join(map(chr, BLANK_CODES))
-BLANK_RUN = "[" + "".join(f"\\x{{{c:x}}}" for c in BLANK_CODES) + "]+"
+BLANK = r"\x{9}-\x{d}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+BLANK_RUN = f"[ {BLANK}]+"
+# a run that is not a single plain blank; single ones need no change and are the most common by far
+RAGGED_RUN = f" [ {BLANK}]+|[{BLANK}][ {BLANK}]*"
 LINE_END = "\r\n|[\n\x0b\f\r\x1c-\x1e\x85\u2028\u2029]"
 
 # Fixed value: characters that may lead a list item in model output.
@@ -30,7 +33,7 @@ def strip_bullet(col) -> Column:
 
 
 def collapse_blanks(col) -> Column:
-    return strip(F.regexp_replace(col, BLANK_RUN, " "))
+    return F.trim(F.regexp_replace(col, RAGGED_RUN, " "))
 
 
 def clean_sql(col, preserve_literals: bool = False) -> Column:
@@ -40,7 +43,7 @@ def clean_sql(col, preserve_literals: bool = False) -> Column:
     """
     if preserve_literals:
         parts = F.regexp_extract_all(col, F.lit("'(?:[^']|'')*'|[^']+|'"), F.lit(0))
-        outside = lambda p: F.regexp_replace(F.replace(p, F.lit("\\"), F.lit("")), BLANK_RUN, " ")
+        outside = lambda p: F.regexp_replace(F.replace(p, F.lit("\\"), F.lit("")), RAGGED_RUN, " ")
         flat = strip(F.array_join(F.transform(parts, lambda p: F.when(F.length(p).__gt__(1) & p.startswith("'"), p)
                                               .otherwise(outside(p))), ""))
     else:
@@ -50,7 +53,7 @@ def clean_sql(col, preserve_literals: bool = False) -> Column:
 
 def strip_fence(col) -> Column:
     """Drop surrounding ticks and a leading ``sql`` word."""
-    return F.regexp_replace(strip(strip(col), "`"), r"(?i)^sql[" + "".join(f"\\x{{{c:x}}}" for c in BLANK_CODES) + "]*", "")
+    return F.regexp_replace(strip(strip(col), "`"), f"(?i)^sql[ {BLANK}]*", "")
 
 
 def one_json_value(col) -> Column:

@@ -43,7 +43,8 @@ def column_kind(field: T.StructField) -> str:
 
 
 def _clock(h: Column) -> Column:
-    return F.format_string("%02d:%02d:%02d", draw(h, 24, 1), draw(h, 60, 2), draw(h, 60, 3))
+    two = lambda n, slot: F.lpad(draw(h, n, slot).cast("string"), 2, "0")
+    return F.concat(two(24, 1), F.lit(":"), two(60, 2), F.lit(":"), two(60, 3))
 
 
 def _day(h: Column, decade_start: str, as_of) -> Column:
@@ -54,23 +55,23 @@ def _day(h: Column, decade_start: str, as_of) -> Column:
 
 
 def mask_value(col: Column, kind: str, salt: str, decade_start: str, as_of: Column) -> Column:
-    h = digest(salt, F.lit(kind), col)
-    word = pick(WORDS, h)
+    """A fake made of one digest per value, which is null for null and so makes the fake null."""
+    h = digest(salt, kind, col)
     fake = {
         "keep": lambda: col,
         "text": lambda: col.cast("string"),
-        "datetime": lambda: F.concat_ws(" ", _day(h, decade_start, as_of), _clock(h)),
+        "datetime": lambda: F.concat(_day(h, decade_start, as_of), F.lit(" "), _clock(h)),
         "date": lambda: _day(h, decade_start, as_of),
         "date_text": lambda: _day(h, decade_start, as_of),
         "time": lambda: _clock(h),
         "time_text": lambda: _clock(h),
         "email": lambda: F.concat(F.lower(pick(FIRST, h)), F.lit("."), F.lower(pick(LAST, h, 1)),
                                   draw(h, 10000, 2).cast("string"), F.lit("@example.org")),
-        "name": lambda: F.concat_ws(" ", pick(FIRST, h), pick(LAST, h, 1)),
-        "word": lambda: word,
-        "key": lambda: F.md5(F.concat_ws("|", F.lit(salt), F.lit("key"), col.cast("string"))),
-    }[kind]()
-    return fake if kind in ("keep", "text") else F.when(col.isNotNull(), fake)
+        "name": lambda: F.concat(pick(FIRST, h), F.lit(" "), pick(LAST, h, 1)),
+        "word": lambda: pick(WORDS, h),
+        "key": lambda: h,
+    }
+    return fake[kind]()
 
 
 def mask(df: DataFrame, salt: str = "", rules: dict[str, str] | None = None, strict: bool = False,

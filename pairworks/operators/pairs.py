@@ -122,10 +122,12 @@ def batch_size(goal: int, workers: int) -> int:
 def extract_tables(sql, names: list[str], word_boundary: bool = False) -> Column:
     """Names from the catalog that occur in the text, in catalog order."""
     lower = F.lower(F.coalesce(sql, F.lit("")))
-    known = F.array(*[F.lit(n) for n in names])
-    if word_boundary:
-        return F.filter(known, lambda t: F.regexp_like(lower, F.concat(F.lit(r"\b\Q"), F.lower(t), F.lit(r"\E\b"))))
-    return F.filter(known, lambda t: F.contains(lower, F.lower(t)))
+    def found(name):
+        if word_boundary:
+            return F.regexp_like(lower, F.lit(rf"\b\Q{name.lower()}\E\b"))
+        return F.contains(lower, F.lit(name.lower()))
+
+    return F.array_compact(F.array(*[F.when(found(n), F.lit(n)) for n in names]))
 
 
 def tag_schema(pairs: DataFrame, catalog: Catalog, word_boundary: bool = False) -> DataFrame:

@@ -68,7 +68,7 @@ def fewshot(questions: DataFrame, examples: DataFrame, k: int = 2, buckets: int
         own = [r.block for r in kept if r.bucket == b]
         lists.append("\n\n".join((own + [t for t in top if t not in own])[:k]))
     asked = draw(digest(seed, "question", F.col("question")), buckets)
-    return questions.withColumn("examples", F.element_at(F.array(*[F.lit(t) for t in lists]), (asked + 1).cast("int")))
+    return questions.withColumn("examples", F.get(F.array(*[F.lit(t) for t in lists]), asked.cast("int")))
 
 
 def task_message(tasks: DataFrame, markdown: str, budget_left: float) -> DataFrame:

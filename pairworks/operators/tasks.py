@@ -86,8 +86,7 @@ def expand_tasks(phases: DataFrame, tables: list[str], defaults: dict[str, str]
     def table_for(fn, i):
         if not tables:
             return F.concat(F.lit("table_"), i.cast("string"))
-        chosen = draw(digest(seed, F.col("phase_id"), fn, i), len(tables))
-        return F.element_at(known, (chosen + 1).cast("int"))
+        return F.get(known, draw(digest(seed, F.col("phase_id"), fn, i), len(tables)).cast("int"))
 
     def per_function(fn, n):
         return F.transform(_first_n(n), lambda i: _task(function_question(fn, table_for(fn, i)), table=table_for(fn, i), fn=fn))

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import lint, pairs, probe, table_sets, usage
-from ..session import scratch_path
+from ..session import scratch_path, spread
 from ..sources import jsonl
 from ..streaming import ingest
 from . import checks as ck
-from .tables import NAMES, catalog, check_sql, feed, query, table
+from .tables import COLUMNS, FOREIGN_KEYS, NAMES, catalog, check_sql, feed, query, table
 
 # ---------------------------------------------------------------- feeds derived from the tables
 
@@ -67,13 +69,13 @@ def firsts(source, key, order="task_id, pos", n=1):
 
 @query("clean_sql", f"""SELECT doc_id, md5({ck.clean("text || ' ;;'")}) AS digest FROM documents""")
 def clean_sql(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", F.md5(tx.clean_sql(F.concat("text", F.lit(" ;;")))).alias("digest"))
 
 
 @query("strip_fence", """SELECT doc_id, md5(regexp_replace(trim(trim('```sql' || chr(10) || text || ' ```', chr(10) || ' '), '`'), '(?i)^sql\\s*', '')) AS digest FROM documents""")
 def strip_fence(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     return docs.select("doc_id", F.md5(tx.strip_fence(F.concat(F.lit("```sql\n"), "text", F.lit(" ```")))).alias("digest"))
 
 
@@ -143,12 +145,22 @@ def extract_tables(spark, sf_dir):
     return pages.select("page_id", F.array_join(pairs.extract_tables(F.col("html"), NAMES), ",").alias("tables"))
 
 
-@query("tag_schema", f"""WITH {P}, {GOOD}, t AS (SELECT task_id, pos, array_to_string(list_filter({KNOWN}, lambda t: contains(lower(sql), t)), ',') AS tables FROM g)
-SELECT task_id, pos, tables, tables AS tagged FROM t""")
+def _table_json(name):
+    info = {"columns": {c: {"type": ty, "comment": None} for c, ty in COLUMNS[name]}, "primary_key": None, "comment": None,
+            "foreign_keys": [{"referred_table": p, "constrained_columns": c, "referred_columns": k} for t, c, p, k in FOREIGN_KEYS if t == name]}
+    return json.dumps({name: info}, separators=(",", ":"))[1:-1]
+
+
+TEXTS = f"MAP {{{', '.join(repr(n) + ': ' + repr(_table_json(n)) for n in NAMES)}}}"
+
+
+@query("tag_schema", f"""WITH {P}, {GOOD}, t AS (SELECT task_id, pos, list_filter({KNOWN}, lambda t: contains(lower(sql), t)) AS ts FROM g),
+s AS (SELECT DISTINCT ts FROM t), m AS (SELECT {TEXTS} AS texts),
+j AS (SELECT ts, md5('{{"tables":{{' || array_to_string(list_transform(ts, lambda t: texts[t]), ',') || '}}}}') AS tagged FROM s, m)
+SELECT task_id, pos, array_to_string(t.ts, ',') AS tables, tagged FROM t JOIN j ON j.ts = t.ts""")
 def tag_schema(spark, sf_dir):
     tagged = pairs.tag_schema(pairs.drop_failures(feed(spark, sf_dir, PAIRS)), catalog(spark, sf_dir, fks=True))
-    keys = F.json_object_keys(F.get_json_object("schema", "$.tables"))
-    return tagged.select("task_id", "pos", F.array_join("tables", ",").alias("tables"), F.array_join(keys, ",").alias("tagged"))
+    return tagged.select("task_id", "pos", F.array_join("tables", ",").alias("tables"), F.md5("schema").alias("tagged"))
 
 
 @query("join_table_count", f"WITH {P} SELECT task_id, pos, len({TABLES_OF.format(x='sql')})::BIGINT AS n FROM c")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.similarity import cosine
 from ..operators import generate, profile, relate, table_sets
 from ..operators.mask import FIRST, LAST, WORDS, mask
-from ..session import scratch_path
+from ..session import scratch_path, spread
 from ..sources import catalog as cat
 from ..sources import jsonl, samples
 from . import checks as ck
@@ -119,7 +119,7 @@ o_orderkey % 2 = 0 AS flag
 FROM orders JOIN customer ON o_custkey = c_custkey""")
 def mask_rules(spark, sf_dir):
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    rows = orders.join(customer.select("c_custkey", "c_name"), orders.o_custkey == customer.c_custkey).select(
+    rows = spread(orders).join(customer.select("c_custkey", "c_name"), orders.o_custkey == customer.c_custkey).select(
         F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount"), F.col("o_orderdate").alias("at"),
         F.col("o_orderdate").cast("date").alias("day"), F.col("c_name").alias("user_email"), F.col("c_name").alias("username"),
         F.col("o_orderstatus").alias("datetime_txt"), F.col("o_orderstatus").alias("time_txt"),

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import configure
+from ..session import configure, spread
 from ..sources.catalog import Catalog, load_catalog
 
 # Columns of the driver tables with the types a catalog prints for them.
@@ -72,7 +72,7 @@ def query(name: str, oracle: str | None = None):
 
 def feed(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """Run feed SQL, which names tables in braces, over the driver tables."""
-    used = {n: table(spark, sf_dir, n) for n in NAMES if "{" + n + "}" in sql}
+    used = {n: spread(table(spark, sf_dir, n)) for n in NAMES if "{" + n + "}" in sql}
     return spark.sql(sql, **used)
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -19,6 +21,12 @@ LINE_END = "\r\n|[\n\x0b\f\r\x1c-\x1e\x85\u2028\u2029]"
 BULLETS = "-*0123456789. "
 
 
+def say(template: str, **cols) -> Column:
+    """The template with each ``{name}`` replaced by a column; null if one of them is."""
+    parts = re.split(r"\{(\w+)\}", template)
+    return F.concat(*[cols[p].cast("string") if i % 2 else F.lit(p) for i, p in enumerate(parts) if p])
+
+
 def strip(col, chars: str = BLANKS) -> Column:
     return F.btrim(col, F.lit(chars))
 

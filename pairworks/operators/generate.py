@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import say
 from ..sources.catalog import Catalog, local_frame, union_all
 
-# Templates by column family; {t} table, {c} column, {n} a count from the profile.
+# Templates by column family; {t} table, {c} column.
 ONE_COLUMN = [
     ("COUNT", "any", "How many {t} rows have a {c}?", "SELECT COUNT({c}) FROM {t}"),
     ("COUNT", "any", "How many different {c} values does {t} hold?", "SELECT COUNT(DISTINCT {c}) FROM {t}"),
@@ -23,8 +24,21 @@ ONE_COLUMN = [
     ("DATE_TRUNC", "time", "How many {t} rows are there per month of {c}?",
      "SELECT DATE_TRUNC('month', {c}), COUNT(*) FROM {t} GROUP BY 1"),
 ]
-FEW_VALUES = ("GROUP", "any", "How many {t} rows are there for each {c}?", "SELECT {c}, COUNT(*) FROM {t} GROUP BY {c}")
+FEW_VALUES = ("How many {t} rows are there for each {c}?", "SELECT {c}, COUNT(*) FROM {t} GROUP BY {c}")
 GROUP_LIMIT = 50
+# Over one relationship t.c -> p.k, and over two in a row t.c -> p.k and p.d -> q.l.
+JOIN = ("How many {t} rows belong to each {p}?",
+        "SELECT b.{k}, COUNT(*) FROM {t} a JOIN {p} b ON a.{c} = b.{k} GROUP BY b.{k}")
+CHAIN = ("How many {t} rows belong to each {q} by way of {p}?",
+         "SELECT c.{l}, COUNT(*) FROM {t} a JOIN {p} b ON a.{c} = b.{k} JOIN {q} c ON b.{d} = c.{l} GROUP BY c.{l}")
+# Questions and answers about the schema.
+DOCS = {
+    "size": ("How many columns does {t} have?", "{t} has {n} columns."),
+    "key": ("What is the primary key of {t}?", "The primary key of {t} is {k}."),
+    "type": ("What is the type of {t}.{c}?", "{t}.{c} has type {ty}."),
+    "filled": ("Is {t}.{c} always filled?", "Yes, every row of {t} has a {c}."),
+    "refers": ("What does {t}.{c} refer to?", "{t}.{c} refers to {p}.{k}."),
+}
 
 # Type families by printed type.
 FAMILIES = {"BIGINT": "number", "INTEGER": "number", "SMALLINT": "number", "NUMERIC": "number", "REAL": "number",
@@ -32,71 +46,60 @@ FAMILIES = {"BIGINT": "number", "INTEGER": "number", "SMALLINT": "number", "NUME
 
 
 def _fill(template, **cols):
+    """As ``say`` for a template that is itself a column."""
     out = template
     for key, value in cols.items():
         out = F.replace(out, F.lit("{" + key + "}"), value)
     return out
 
 
+def _pair(kind: str, templates: tuple[str, str], **cols) -> list:
+    question, sql = templates
+    return [F.lit(kind).alias("kind"), cols["t"].alias("table"), say(question, **cols).alias("question"), say(sql, **cols).alias("sql")]
+
+
 def template_pairs(catalog: Catalog, profile: DataFrame, rels: DataFrame | None = None) -> DataFrame:
     """``kind, table, question, sql`` from column profiles and relationships.
 
     Columns are joined to templates on their type family; a column with few values also gets a grouping
-    query, and a relationship a query over its two tables.  Columns without values get none.
+    query, a relationship a query over its two tables, and two in a row one over three.  Columns
+    without values get none.
     """
     spark = catalog.spark
     family = F.create_map(*[F.lit(x) for kv in FAMILIES.items() for x in kv])
     cols = (catalog.columns_df.select("table", F.col("name").alias("column"),
                                       F.element_at(family, F.substring_index("type", "(", 1)).alias("family"))
             .join(profile, ["table", "column"]).where("n_nonnull > 0 AND family IS NOT NULL"))
+    t, c = F.col("table"), F.col("column")
+    templates = local_frame(spark, ONE_COLUMN, "fn string, fam string, q string, s string")
     either = cols.select("*", F.explode(F.array(F.lit("any"), F.col("family"))).alias("fam"))
-    templates = local_frame(spark, [(i, *t) for i, t in enumerate(ONE_COLUMN)],
-                            "tid int, fn string, fam string, q string, s string")
-    made = (either.join(F.broadcast(templates), "fam")
-            .select(F.lit("column").alias("kind"), "table", _fill(F.col("q"), t=F.col("table"), c=F.col("column")).alias("question"),
-                    _fill(F.col("s"), t=F.col("table"), c=F.col("column")).alias("sql")))
-    _, _, q, s = FEW_VALUES
-    groups = (cols.where((F.col("n_distinct") <= GROUP_LIMIT) & (F.col("n_distinct") < F.col("n_rows")))
-              .select(F.lit("group").alias("kind"), "table", _fill(F.lit(q), t=F.col("table"), c=F.col("column")).alias("question"),
-                      _fill(F.lit(s), t=F.col("table"), c=F.col("column")).alias("sql")))
-    parts = [made, groups]
+    parts = [either.join(templates, "fam").select(F.lit("column").alias("kind"), "table", _fill(F.col("q"), t=t, c=c).alias("question"),
+                                                  _fill(F.col("s"), t=t, c=c).alias("sql")),
+             cols.where((F.col("n_distinct") <= GROUP_LIMIT) & (F.col("n_distinct") < F.col("n_rows"))).select(*_pair("group", FEW_VALUES, t=t, c=c))]
     if rels is not None:
-        parts.append(rels.select(
-            F.lit("join").alias("kind"), F.col("child_table").alias("table"),
-            F.concat(F.lit("How many "), "child_table", F.lit(" rows belong to each "), "parent_table", F.lit("?")).alias("question"),
-            F.concat(F.lit("SELECT b."), "parent_col", F.lit(", COUNT(*) FROM "), "child_table", F.lit(" a JOIN "), "parent_table",
-                     F.lit(" b ON a."), "child_col", F.lit(" = b."), "parent_col", F.lit(" GROUP BY b."), "parent_col").alias("sql")))
-        a = rels.select(*[F.col(c).alias(f"x_{c}") for c in ("child_table", "child_col", "parent_table", "parent_col")])
-        b = rels.select(*[F.col(c).alias(f"y_{c}") for c in ("child_table", "child_col", "parent_table", "parent_col")])
-        chain = a.join(b, (F.col("x_parent_table") == F.col("y_child_table")) & (F.col("x_child_table") != F.col("y_parent_table")))
-        parts.append(chain.select(
-            F.lit("chain").alias("kind"), F.col("x_child_table").alias("table"),
-            F.concat(F.lit("How many "), "x_child_table", F.lit(" rows belong to each "), "y_parent_table", F.lit(" by way of "),
-                     "x_parent_table", F.lit("?")).alias("question"),
-            F.concat(F.lit("SELECT c."), "y_parent_col", F.lit(", COUNT(*) FROM "), "x_child_table", F.lit(" a JOIN "), "x_parent_table",
-                     F.lit(" b ON a."), "x_child_col", F.lit(" = b."), "x_parent_col", F.lit(" JOIN "), "y_parent_table",
-                     F.lit(" c ON b."), "y_child_col", F.lit(" = c."), "y_parent_col", F.lit(" GROUP BY c."), "y_parent_col").alias("sql")))
+        one = rels.select(F.col("child_table").alias("t"), F.col("child_col").alias("c"), F.col("parent_table").alias("p"), F.col("parent_col").alias("k"))
+        two = rels.select(F.col("child_table").alias("p"), F.col("child_col").alias("d"), F.col("parent_table").alias("q"), F.col("parent_col").alias("l"))
+        name = lambda names: {n: F.col(n) for n in names}
+        parts.append(one.select(*_pair("join", JOIN, **name("tcpk"))))
+        parts.append(one.join(two, "p").where("t <> q").select(*_pair("chain", CHAIN, **name("tcpkdql"))))
     return union_all(parts)
 
 
 def schema_doc_pairs(catalog: Catalog, profile: DataFrame) -> DataFrame:
     """Factual question/answer pairs about tables, columns, keys and declared foreign keys."""
-    sizes = profile.groupBy("table").agg(F.max("n_rows").alias("n_rows"), F.count(F.lit(1)).alias("n_cols"))
+    def pairs(df, name, **cols):
+        question, answer = DOCS[name]
+        return df.select("table", say(question, **cols).alias("question"), say(answer, **cols).alias("answer"))
+
+    t, c = F.col("table"), F.col("name")
+    sizes = profile.groupBy("table").agg(F.count(F.lit(1)).alias("n_cols"))
     tables = sizes.join(catalog.tables_df.select("table", "primary_key"), "table")
-    t, text = F.col("table"), lambda *p: F.concat(*[x if not isinstance(x, str) else F.lit(x) for x in p])
-    how_many = tables.select("table", text("How many columns does ", t, " have?").alias("question"),
-                             text(t, " has ", F.col("n_cols").cast("string"), " columns.").alias("answer"))
-    keys = tables.where(F.col("primary_key").isNotNull()).select(
-        "table", text("What is the primary key of ", t, "?").alias("question"),
-        text("The primary key of ", t, " is ", F.col("primary_key"), ".").alias("answer"))
     cols = catalog.columns_df.join(profile.select("table", F.col("column").alias("name"), "n_nonnull", "n_rows"), ["table", "name"])
-    types = cols.select("table", text("What is the type of ", t, ".", F.col("name"), "?").alias("question"),
-                        text(t, ".", F.col("name"), " has type ", F.col("type"), ".").alias("answer"))
-    filled = cols.where("n_rows > 0 AND n_nonnull = n_rows").select(
-        "table", text("Is ", t, ".", F.col("name"), " always filled?").alias("question"),
-        text("Yes, every row of ", t, " has a ", F.col("name"), ".").alias("answer"))
-    refs = catalog.fks_df.select(
-        "table", F.explode(F.arrays_zip("constrained", "referred")).alias("p"), "referred_table").select(
-        "table", text("What does ", t, ".", F.col("p.constrained"), " refer to?").alias("question"),
-        text(t, ".", F.col("p.constrained"), " refers to ", F.col("referred_table"), ".", F.col("p.referred"), ".").alias("answer"))
-    return union_all([how_many, keys, types, filled, refs])
+    refs = catalog.fks_df.select("table", F.explode(F.arrays_zip("constrained", "referred")).alias("e"), "referred_table")
+    return union_all([
+        pairs(tables, "size", t=t, n=F.col("n_cols")),
+        pairs(tables.where(F.col("primary_key").isNotNull()), "key", t=t, k=F.col("primary_key")),
+        pairs(cols, "type", t=t, c=c, ty=F.col("type")),
+        pairs(cols.where("n_rows > 0 AND n_nonnull = n_rows"), "filled", t=t, c=c),
+        pairs(refs, "refers", t=t, c=F.col("e.constrained"), p=F.col("referred_table"), k=F.col("e.referred")),
+    ])

@@ -13,8 +13,23 @@ from ..functions import text as tx
 from ..functions.hashing import digest, draw
 from .pairs import first_of_each
 
-# Fixed value: the mark that opens a message in a template.
+# The mark that opens a message in a template, and the wording of untemplated prompts.
 ROLE_MARK = "### role:"
+DEFAULT_PROMPT = """You are a PostgreSQL expert. Given the database schema and a question,
+output **only** the SQL query (no explanation) using valid PostgreSQL syntax.
+{clause}
+
+Schema:
+{schema}
+
+{examples}Question: {question}
+SQL:"""
+FUNCTION_CLAUSE = "Ensure the SQL **includes** the function `{fn}`."
+EXAMPLE = "Q: {question}\nA: ```SQL\n{sql}\n```"
+AGENT = "You are a data-engineer agent. Here is the schema:\n"
+ASK_FUNCTION = (" Return a JSON object with 'question' and 'sql'. Come up with a question that demonstrates the given builtin function"
+                " and use the tools to generate the SQL.")
+ASK_SQL = " Return a JSON object with only a 'sql' field containing the valid query."
 
 
 def fill(template: str | Column, values: dict[str, Column]) -> Column:
@@ -43,12 +58,9 @@ def render_prompts(tasks: DataFrame, template: str | Column, values: dict[str, C
 def default_prompt(question, markdown, fn=None, examples=None) -> Column:
     """Prompt text where no template is set, with optional required function and example block."""
     none = F.lit("")
-    clause = none if fn is None else F.coalesce(F.concat(F.lit("Ensure the SQL **includes** the function `"), fn, F.lit("`.")), none)
+    clause = none if fn is None else F.coalesce(tx.say(FUNCTION_CLAUSE, fn=fn), none)
     block = none if examples is None else F.coalesce(F.concat(F.nullif(examples, none), F.lit("\n\n")), none)
-    return F.concat(
-        F.lit("You are a PostgreSQL expert. Given the database schema and a question,\n"
-              "output **only** the SQL query (no explanation) using valid PostgreSQL syntax.\n"),
-        clause, F.lit("\n\nSchema:\n"), markdown, F.lit("\n\n"), block, F.lit("Question: "), question, F.lit("\nSQL:"))
+    return tx.say(DEFAULT_PROMPT, clause=clause, schema=markdown, examples=block, question=question)
 
 
 def fewshot(questions: DataFrame, examples: DataFrame, k: int = 2, buckets: int = 64, seed: int = 0) -> DataFrame:
@@ -59,7 +71,7 @@ def fewshot(questions: DataFrame, examples: DataFrame, k: int = 2, buckets: int
     driver, from where they go into the plan as a literal; the questions are neither joined nor shuffled.
     """
     h = digest(seed, F.col("question"), F.col("sql"))
-    block = F.concat(F.lit("Q: "), "question", F.lit("\nA: ```SQL\n"), "sql", F.lit("\n```"))
+    block = tx.say(EXAMPLE, question=F.col("question"), sql=F.col("sql"))
     drawn = examples.select("question", "sql").distinct().select(h.alias("h"), draw(h, buckets).alias("bucket"), block.alias("block"))
     kept = first_of_each(drawn, ["bucket"], ("h",), k).orderBy("h").collect()
     top = [r.block for r in kept[:k]]
@@ -73,10 +85,8 @@ def fewshot(questions: DataFrame, examples: DataFrame, k: int = 2, buckets: int
 
 def task_message(tasks: DataFrame, markdown: str, budget_left: float) -> DataFrame:
     """Adds ``messages``: the system text with the schema, and the task with its metadata as JSON."""
-    ask = (F.when(F.col("phase") == "builtins", " Return a JSON object with 'question' and 'sql'. Come up with a question that "
-                  "demonstrates the given builtin function and use the tools to generate the SQL.")
-           .otherwise(" Return a JSON object with only a 'sql' field containing the valid query."))
-    system = F.concat(F.lit("You are a data-engineer agent. Here is the schema:\n" + markdown), ask)
+    ask = F.when(F.col("phase") == "builtins", ASK_FUNCTION).otherwise(ASK_SQL)
+    system = F.concat(F.lit(AGENT + markdown), ask)
     user = F.to_json(F.map_concat(
         F.create_map(F.lit("phase"), "phase", F.lit("question"), "question"),
         F.map_filter("metadata", lambda k, _: ~k.isin("phase", "question", "budget_left")),

@@ -7,16 +7,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.similarity import name_similarity
-from ..functions.text import lines, strip, strip_bullet
+from ..functions.text import lines, say, strip, strip_bullet
 from ..sources.catalog import Catalog, local_frame, row_counts, union_all
 from .profile import INTEGRAL, long_form, profile_columns, short_text
 
-# Acceptance score, containment share, similarity and distinct-ratio limits, suggestion confidence.
+# Acceptance score, containment share, similarity and distinct-ratio limits, suggestion confidence,
+# wording of a relationship and the form of a suggested probe.
 ACCEPT_SCORE = 4
 CONTAINED = 0.95
 SIMILAR = 0.8
 REPEATED = 0.8
 SUGGESTED = 0.5
+QUESTION, ANSWER = "How is {a} related to {b}?", "{a} -> {b}"
+SUGGESTION = r"(?i)SELECT\s+1\s+FROM\s+(\w+)\s+a\s+JOIN\s+(\w+)\s+b\s+ON\s+a\.(\w+)\s*=\s*b\.(\w+)"
 
 ENDS = ["child_table", "child_col", "parent_table", "parent_col"]
 WORD = 62          # columns per bit word
@@ -69,8 +72,7 @@ def _sentences(df: DataFrame) -> DataFrame:
     """Question and answer text for the four ends."""
     a = F.concat_ws(".", "child_table", "child_col")
     b = F.concat_ws(".", "parent_table", "parent_col")
-    return (df.withColumn("question", F.concat(F.lit("How is "), a, F.lit(" related to "), b, F.lit("?")))
-            .withColumn("answer", F.concat(a, F.lit(" -> "), b)))
+    return df.withColumn("question", say(QUESTION, a=a, b=b)).withColumn("answer", say(ANSWER, a=a, b=b))
 
 
 def both_ways(rels: DataFrame) -> DataFrame:
@@ -343,9 +345,6 @@ def apply_verdicts(cands: DataFrame, verdicts: DataFrame, on: list[str], keep: b
     return judged if keep else judged.where("verdict = 'yes'").drop("verdict")
 
 
-SUGGESTION = r"(?i)SELECT\s+1\s+FROM\s+(\w+)\s+a\s+JOIN\s+(\w+)\s+b\s+ON\s+a\.(\w+)\s*=\s*b\.(\w+)"
-
-
 def parse_suggested(replies: DataFrame, text: str = "text", catalog: Catalog | None = None) -> DataFrame:
     """Relationships proposed as probe queries, one per line, in both directions at confidence 0.5.
 

@@ -11,14 +11,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import digest, draw, pick
+from ..functions.text import say
 
 PHASES = ("phase_id long, name string, question string, questions array<string>, count int, n_rows int, "
           "min_joins int, parallelism int, prompt_template string, fns array<string>, fn_counts map<string,int>, "
           "settings map<string,string>")
 
-# Wording of the task questions and the defaults of the phases.
-ONE_PAIR = " Then provide the SQL query answering it as JSON with keys 'question' and 'sql'."
-MANY_PAIRS = " Provide the SQL answering each question. Return one JSON object per line with keys 'question' and 'sql'."
+# Wording of the task questions, and the defaults of the phases.
+FUNCTION_QUESTION = ("Create a natural language question about the {table} table that uses the {fn} function."
+                     " Then provide the SQL query answering it as JSON with keys 'question' and 'sql'.")
+TABLE_QUESTION = ("Create a natural language question about the {table} table."
+                  " Then provide the SQL query answering it as JSON with keys 'question' and 'sql'.")
+TABLE_QUESTIONS = ("Create {count} unique natural language questions about the {table} table."
+                   " Provide the SQL answering each question. Return one JSON object per line with keys 'question' and 'sql'.")
+SAMPLE_QUESTION = "Show me {n_rows} sample rows from the {table} table."
+DOCS_QUESTION = "Generate {count} unique question-answer pairs about the schema."
+RELATION_QUESTION = "Generate relationship pairs between tables using sample rows."
+JOIN_QUESTION = "Generate {count} question/SQL pairs requiring joins."
+COMPLEX_QUESTION = "Generate {count} complex question/SQL pairs requiring joins."
 SAMPLE_ROWS, RELATION_ROWS, JOIN_TABLES, COMPLEX_TABLES, PER_FUNCTION = 2, 5, 2, 3, 5
 
 
@@ -27,15 +37,12 @@ def spaced(table) -> Column:
 
 
 def function_question(fn, table) -> Column:
-    return F.concat(F.lit("Create a natural language question about the "), spaced(table),
-                    F.lit(" table that uses the "), F.upper(fn), F.lit(" function."), F.lit(ONE_PAIR))
+    return say(FUNCTION_QUESTION, table=spaced(table), fn=F.upper(fn))
 
 
 def table_question(table, count) -> Column:
-    one = F.concat(F.lit("Create a natural language question about the "), spaced(table), F.lit(" table."), F.lit(ONE_PAIR))
-    many = F.concat(F.lit("Create "), count.cast("string"), F.lit(" unique natural language questions about the "),
-                    spaced(table), F.lit(" table."), F.lit(MANY_PAIRS))
-    return F.when(count <= 1, one).otherwise(many)
+    many = say(TABLE_QUESTIONS, table=spaced(table), count=count)
+    return F.when(count <= 1, say(TABLE_QUESTION, table=spaced(table))).otherwise(many)
 
 
 def overlay(base, over) -> Column:
@@ -64,21 +71,19 @@ def expand_tasks(phases: DataFrame, tables: list[str], defaults: dict[str, str]
     known = F.array(*[F.lit(t) for t in tables]) if tables else F.array(F.lit("table_1"))
     name, given = F.lower(F.col("name")), F.col("count")
     count = F.coalesce(given, F.lit(1))
-    text = lambda default: F.coalesce(F.col("question"), default)
-    counted = lambda before, after: text(F.concat(F.lit(before), count.cast("string"), F.lit(after)))
+    asked = lambda template: F.coalesce(F.col("question"), say(template, count=count))
 
     n_rows = F.coalesce("n_rows", F.lit(SAMPLE_ROWS))
     samples = F.transform(known if tables else F.array().cast("array<string>"), lambda t: _task(
-        F.concat(F.lit("Show me "), n_rows.cast("string"), F.lit(" sample rows from the "), t, F.lit(" table.")),
-        table=t, n_rows=n_rows))
-    docs = F.array(_task(counted("Generate ", " unique question-answer pairs about the schema."), count=count))
-    relations = F.array(_task(text(F.lit("Generate relationship pairs between tables using sample rows.")),
+        say(SAMPLE_QUESTION, n_rows=n_rows, table=t), table=t, n_rows=n_rows))
+    docs = F.array(_task(asked(DOCS_QUESTION), count=count))
+    relations = F.array(_task(asked(RELATION_QUESTION),
                               n_rows=F.coalesce("n_rows", F.lit(RELATION_ROWS))))
     workers = F.least(F.size(known), F.coalesce("parallelism", F.lit(defaults.get("parallelism")).cast("int"), F.size(known)))
     single = F.transform(known, lambda t: _task(table_question(t, count), table=t, count=count, parallelism=workers))
-    joins = F.array(_task(counted("Generate ", " question/SQL pairs requiring joins."), count=count,
+    joins = F.array(_task(asked(JOIN_QUESTION), count=count,
                           min_joins=F.coalesce("min_joins", F.lit(JOIN_TABLES))))
-    complex_ = F.array(_task(counted("Generate ", " complex question/SQL pairs requiring joins."), count=count,
+    complex_ = F.array(_task(asked(COMPLEX_QUESTION), count=count,
                              min_joins=F.coalesce("min_joins", F.lit(COMPLEX_TABLES))))
     listed = F.transform("questions", lambda q: _task(q))
     copies = F.transform(_first_n(count), lambda _: _task(F.coalesce("question", F.lit(""))))

@@ -332,7 +332,7 @@ tpl(fam, q, s) AS ({ck.values([(f, q, s) for _, f, q, s in ONE])}),
 typed AS (SELECT cols.t, cols.c, fam.fam, n_distinct, n_rows FROM cols JOIN fam ON fam.ty = cols.ty JOIN prof ON prof.t = cols.t AND prof.c = cols.c WHERE n_nonnull > 0)
 SELECT 'column' AS kind, t AS "table", replace(replace(q, '{{t}}', t), '{{c}}', c) AS question, replace(replace(s, '{{t}}', t), '{{c}}', c) AS sql
 FROM typed JOIN tpl ON tpl.fam = typed.fam OR tpl.fam = 'any'
-UNION ALL SELECT 'group', t, {_fill_sql(generate.FEW_VALUES[2])}, {_fill_sql(generate.FEW_VALUES[3])} FROM typed WHERE n_distinct <= {GROUP} AND n_distinct < n_rows
+UNION ALL SELECT 'group', t, {_fill_sql(generate.FEW_VALUES[0])}, {_fill_sql(generate.FEW_VALUES[1])} FROM typed WHERE n_distinct <= {GROUP} AND n_distinct < n_rows
 UNION ALL SELECT 'join', t, 'How many ' || t || ' rows belong to each ' || p || '?',
 'SELECT b.' || k || ', COUNT(*) FROM ' || t || ' a JOIN ' || p || ' b ON a.' || c || ' = b.' || k || ' GROUP BY b.' || k FROM nm
 UNION ALL SELECT 'chain', x.t, 'How many ' || x.t || ' rows belong to each ' || y.p || ' by way of ' || x.p || '?',

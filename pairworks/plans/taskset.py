@@ -38,8 +38,8 @@ def phases(spark, sf_dir):
         F.create_map(F.lit("dataset_output_file_dir"), F.concat(F.lit("out/"), "p_brand")).alias("settings"))
 
 
-ONE = tasks.ONE_PAIR.replace("'", "''")
-MANY = tasks.MANY_PAIRS.replace("'", "''")
+ONE = " Then provide the SQL query answering it as JSON with keys ''question'' and ''sql''."
+MANY = " Provide the SQL answering each question. Return one JSON object per line with keys ''question'' and ''sql''."
 FN_QUESTION = f"'Create a natural language question about the ' || replace({{t}}, '_', ' ') || ' table that uses the ' || upper({{f}}) || ' function.{ONE}'"
 TABLE_QUESTION = (f"CASE WHEN {{n}} <= 1 THEN 'Create a natural language question about the ' || replace({{t}}, '_', ' ') || ' table.{ONE}' "
                   f"ELSE 'Create ' || {{n}} || ' unique natural language questions about the ' || replace({{t}}, '_', ' ') || ' table.{MANY}' END")

@@ -38,20 +38,18 @@ def parse_pairs(replies: DataFrame, text: str = "text", keep: tuple = ("task_id"
     """Pairs found in replies: ``keep, pos, question, sql, answer``.
 
     A reply that is one JSON value gives its objects, those of its ``pairs`` list, or itself; any other
-    reply gives the objects found line by line.  Objects without a question are dropped.
+    reply gives the objects found line by line.  Objects without a question are dropped; ``pos`` counts the rest.
     """
     keep = list(keep)
     lined = replies.select(*keep, json_lines(F.col(text)).alias("ls"))
     listed = lined.select(*keep, "ls", tx.as_list(F.array_join("ls", "\n")).alias("values"))
     whole = listed.select(*keep, "ls", tx.only_member(F.col("values")).alias("whole"))
-    per_line = tx.json_values(F.col("ls"))
-    items = whole.select(*keep, F.posexplode(
-        F.when(F.col("whole").isNotNull(), tx.as_items(F.col("whole"))).otherwise(per_line)).alias("pos", "item"))
+    found = F.when(F.col("whole").isNotNull(), tx.as_items(F.col("whole"))).otherwise(tx.json_values(F.col("ls")))
+    asked = F.filter(found, lambda x: tx.field(x, "question").isNotNull())
     item = F.col("item")
-    return (items.where(tx.is_object(item))
+    return (whole.select(*keep, F.posexplode(asked).alias("pos", "item"))
             .select(*keep, "pos", tx.field(item, "question").alias("question"),
-                    text_field(item, "sql").alias("sql"), tx.field(item, "answer").alias("answer"))
-            .where(F.col("question").isNotNull()))
+                    text_field(item, "sql").alias("sql"), tx.field(item, "answer").alias("answer")))
 
 
 def parse_answer(replies: DataFrame, text: str = "text", question: str = "question") -> DataFrame:
@@ -102,8 +100,8 @@ def dedup_pair(pairs: DataFrame) -> DataFrame:
     return first_of_each(pairs, ["question", "sql"])
 
 
-def quota(pairs: DataFrame, k: int, count_failures: bool = True) -> DataFrame:
-    """At most ``k`` pairs per task, in order; optionally failed pairs do not use up the quota."""
+def quota(pairs: DataFrame, k: int, count_failures: bool = False) -> DataFrame:
+    """At most ``k`` pairs per task, in order; failed pairs are dropped first unless they are to count."""
     return first_of_each(pairs if count_failures else drop_failures(pairs), ["task_id"], ("pos",), k)
 
 

@@ -84,11 +84,14 @@ def fewshot(questions: DataFrame, examples: DataFrame, k: int = 2, buckets: int
 
 
 def task_message(tasks: DataFrame, markdown: str, budget_left: float) -> DataFrame:
-    """Adds ``messages``: the system text with the schema, and the task with its metadata as JSON."""
+    """Adds ``messages``: the system text with the schema, and the task with its metadata as JSON.
+
+    A question in the metadata, which is the phase's own, goes before the task's.
+    """
     ask = F.when(F.col("phase") == "builtins", ASK_FUNCTION).otherwise(ASK_SQL)
     system = F.concat(F.lit(AGENT + markdown), ask)
     user = F.to_json(F.map_concat(
-        F.create_map(F.lit("phase"), "phase", F.lit("question"), "question"),
+        F.create_map(F.lit("phase"), F.col("phase"), F.lit("question"), F.coalesce(F.col("metadata")["question"], "question")),
         F.map_filter("metadata", lambda k, _: ~k.isin("phase", "question", "budget_left")),
         F.create_map(F.lit("budget_left"), F.lit(str(budget_left)))), {"ignoreNullFields": "false"})
     return tasks.withColumn("messages", F.array(F.struct(F.lit("system").alias("role"), system.alias("content")),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import json
+
 from ..functions.similarity import ratio
 from ..functions.text import BLANK_RUN, BULLETS
 from ..operators.relate import ACCEPT_SCORE, CONTAINED, REPEATED, SIMILAR
-from .tables import COLUMNS, NAMES
+from .tables import COLUMNS, FOREIGN_KEYS, NAMES
 
 INTEGERS = ("BIGINT", "INTEGER")
 NUMBERS = (*INTEGERS, "DOUBLE PRECISION")
@@ -34,6 +36,14 @@ def values(rows: list[tuple]) -> str:
     return "VALUES " + ", ".join("(" + ", ".join(quote(v) for v in r) + ")" for r in rows)
 
 
+def table_json(name: str, key: str = "null") -> str:
+    """A table in the schema JSON, with the given text as its key."""
+    columns = json.dumps({c: {"type": ty, "comment": None} for c, ty in COLUMNS[name]}, separators=(",", ":"))
+    fks = json.dumps([{"referred_table": p, "constrained_columns": c, "referred_columns": k} for t, c, p, k in FOREIGN_KEYS if t == name],
+                     separators=(",", ":"))
+    return f'"{name}":{{"columns":{columns},"primary_key":{key},"comment":null,"foreign_keys":{fks}}}'
+
+
 def _union(parts: list[str]) -> str:
     return " UNION ALL ".join(parts)
 

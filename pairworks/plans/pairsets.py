@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import json
-
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
@@ -12,7 +10,7 @@ from ..session import scratch_path, spread
 from ..sources import jsonl
 from ..streaming import ingest
 from . import checks as ck
-from .tables import COLUMNS, FOREIGN_KEYS, NAMES, catalog, check_sql, feed, query, table
+from .tables import NAMES, catalog, check_sql, feed, query, table
 
 # ---------------------------------------------------------------- feeds derived from the tables
 
@@ -54,7 +52,7 @@ whole AS (SELECT task_id, ls, CASE WHEN json_valid(array_to_string(ls, chr(10)))
 items AS (SELECT task_id, CASE WHEN j IS NULL THEN list_transform(list_filter(ls, lambda l: json_valid(l)), lambda l: l::JSON)
 WHEN json_type(j, '$.pairs') = 'ARRAY' THEN json_extract(j, '$.pairs[*]') WHEN json_type(j) = 'ARRAY' THEN json_extract(j, '$[*]') ELSE [j] END AS xs FROM whole),
 flat AS (SELECT task_id, unnest(xs) AS x, generate_subscripts(xs, 1) - 1 AS pos FROM items),
-parsed AS (SELECT task_id, pos, x->>'$.question' AS question, x->>'$.sql' AS sql, x->>'$.answer' AS answer FROM flat
+parsed AS (SELECT task_id, row_number() OVER (PARTITION BY task_id ORDER BY pos) - 1 AS pos, x->>'$.question' AS question, x->>'$.sql' AS sql, x->>'$.answer' AS answer FROM flat
 WHERE json_type(x) = 'OBJECT' AND x->>'$.question' IS NOT NULL)"""
 
 P = f"p AS ({check_sql(PAIRS)}), c AS (SELECT task_id, pos, question, answer, {ck.clean('sql')} AS sql FROM p)"
@@ -116,7 +114,7 @@ def dedup_pair(spark, sf_dir):
 
 @query("quota", f"WITH {P}, {GOOD} SELECT task_id, pos, sql FROM ({firsts('g', 'task_id', 'pos', 20)})")
 def quota(spark, sf_dir):
-    return pairs.quota(feed(spark, sf_dir, PAIRS), 20, count_failures=False).select("task_id", "pos", "sql")
+    return pairs.quota(feed(spark, sf_dir, PAIRS), 20).select("task_id", "pos", "sql")
 
 
 @query("run_quota", f"WITH {P} SELECT task_id, pos, question FROM p ORDER BY task_id, pos LIMIT 200")
@@ -145,13 +143,7 @@ def extract_tables(spark, sf_dir):
     return pages.select("page_id", F.array_join(pairs.extract_tables(F.col("html"), NAMES), ",").alias("tables"))
 
 
-def _table_json(name):
-    info = {"columns": {c: {"type": ty, "comment": None} for c, ty in COLUMNS[name]}, "primary_key": None, "comment": None,
-            "foreign_keys": [{"referred_table": p, "constrained_columns": c, "referred_columns": k} for t, c, p, k in FOREIGN_KEYS if t == name]}
-    return json.dumps({name: info}, separators=(",", ":"))[1:-1]
-
-
-TEXTS = f"MAP {{{', '.join(repr(n) + ': ' + repr(_table_json(n)) for n in NAMES)}}}"
+TEXTS = f"MAP {{{', '.join(repr(n) + ': ' + repr(ck.table_json(n)) for n in NAMES)}}}"
 
 
 @query("tag_schema", f"""WITH {P}, {GOOD}, t AS (SELECT task_id, pos, list_filter({KNOWN}, lambda t: contains(lower(sql), t)) AS ts FROM g),

@@ -30,7 +30,9 @@ def catalog_columns(spark, sf_dir):
     return cat.describe(keyed(spark, sf_dir))
 
 
-@query("schema_json")
+@query("schema_json", f"""WITH {ck.KEYS}, o(i, t, body) AS ({ck.values([(i, t, ck.table_json(t, '<key>')) for i, t in enumerate(NAMES)])})
+SELECT '{{"tables":{{' || string_agg(replace(body, '<key>', coalesce('"' || keys.k || '"', 'null')), ',' ORDER BY i) || '}}}}' AS schema_json
+FROM o LEFT JOIN keys ON keys.t = o.t""")
 def schema_json(spark, sf_dir):
     return cat.schema_json(keyed(spark, sf_dir, fks=True))
 
@@ -43,7 +45,7 @@ def schema_markdown(spark, sf_dir):
     return cat.schema_markdown(c).join(cat.row_counts(c), "table")
 
 
-@query("schema_sample")
+@query("schema_sample", f"""WITH {ck.ROWS} SELECT t AS "table", n AS n_rows FROM n ORDER BY md5('1|' || t) LIMIT 8""")
 def schema_sample(spark, sf_dir):
     c = catalog(spark, sf_dir)
     return cat.sample_tables(c, 8, seed=1).join(cat.row_counts(c), "table")

@@ -9,7 +9,7 @@ from ..operators import batch, prompts, tasks
 from ..sources import catalog as cat
 from . import checks as ck
 from .pairsets import P, PAIRS
-from .tables import NAMES, catalog, check_sql, feed, query, table
+from .tables import COLUMNS, NAMES, catalog, check_sql, feed, query, table
 
 KNOWN = "[" + ", ".join(f"'{n}'" for n in NAMES) + "]"
 DEFAULTS = {"parallelism": "10", "tag_schema_json": "true"}
@@ -151,13 +151,20 @@ def fewshot(spark, sf_dir):
     return prompts.fewshot(questions, feed(spark, sf_dir, PAIRS)).select("conv_id", "turn", F.md5("examples").alias("examples"))
 
 
-@query("task_message")
+LISTING = chr(10).join(sorted(f"- **{t}**: " + ", ".join(f'"{c}"' for c, _ in COLUMNS[t]) for t in NAMES))
+
+
+@query("task_message", f"""WITH {EXPANDED} SELECT phase_id, pos, md5('{prompts.AGENT}{LISTING}' || CASE phase WHEN 'builtins' THEN '{prompts.ASK_FUNCTION.replace("'", "''")}'
+ELSE '{prompts.ASK_SQL.replace("'", "''")}' END) AS system, phase, question, '49.5' AS budget_left, 'out/' || p_brand AS dir, "table", "count"::VARCHAR AS "count",
+fn AS builtins, n_rows::VARCHAR AS n_rows FROM tasks JOIN part ON p_partkey = phase_id""")
 def task_message(spark, sf_dir):
     found = tasks.expand_tasks(phases(spark, sf_dir), NAMES, DEFAULTS)
     listing = "\n".join(r.line for r in cat.schema_markdown(catalog(spark, sf_dir)).orderBy("table").collect())
     made = prompts.task_message(found, listing, 49.5)
     at = lambda i: F.element_at("messages", i)["content"]
-    return made.select("phase_id", "pos", F.length(at(1)).alias("system_chars"), at(2).alias("user"))
+    said = lambda k, name=None: F.get_json_object(at(2), f"$.{k}").alias(name or k)
+    return made.select("phase_id", "pos", F.md5(at(1)).alias("system"), said("phase"), said("question"), said("budget_left"),
+                       said("dataset_output_file_dir", "dir"), said("table"), said("count"), said("builtins"), said("n_rows"))
 
 
 LOGS = """SELECT doc_id, 'Prompt' || chr(10) || 'SCHEMA_JSON:' || chr(10) || '{{"tables": {{"t' || CAST(doc_id AS STRING) || '": {{"columns": {{}}}}, "b": {{}}}}}}' || chr(10) || chr(10)

@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.hashing import digest
+
 ARROW = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(),
          "string": pa.string(), "array<string>": pa.list_(pa.string())}
 
@@ -92,20 +94,44 @@ def load_catalog(spark: SparkSession, sources, keys=None, fks=None, comments=Non
     """
     comments = dict(comments or {})
     if isinstance(sources, str):
-        names = [t.name for t in spark.catalog.listTables(sources)]
-        frames = {n: spark.table(f"{sources}.{n}") for n in names}
-        for t in spark.catalog.listTables(sources):
-            comments.setdefault(t.name, t.description)
+        found = [t for t in spark.catalog.listTables(sources) if not t.isTemporary]
+        frames = {t.name: spark.table(f"`{sources}`.`{t.name}`") for t in found}
+        comments = {t.name: t.description for t in found} | comments
     else:
         frames = {n: s if isinstance(s, DataFrame) else spark.read.parquet(s) for n, s in sources.items()}
     first = {t: (k if isinstance(k, str) else k[0]) for t, k in (keys or {}).items() if k}
     return Catalog(spark, frames, first, list(fks or []), comments, dict(types or {}))
 
 
-def load_jdbc_catalog(spark: SparkSession, url: str, names: list[str], properties=None, **meta) -> Catalog:
-    """The same over JDBC tables; filters and column choices reach the database."""
-    frames = {n: spark.read.jdbc(url, n, properties=properties or {}) for n in names}
-    return load_catalog(spark, frames, **meta)
+def declared_keys(constraints: DataFrame, usage: DataFrame, references: DataFrame) -> tuple[dict, list]:
+    """Keys and foreign keys from the views of an information schema, for ``load_catalog``.
+
+    Only metadata comes to the driver: one row per constraint.
+    """
+    kind = constraints.select("constraint_name", "constraint_type")
+    cols = usage.join(kind, "constraint_name")
+    keys = cols.where("constraint_type = 'PRIMARY KEY' AND ordinal_position = 1").select("table_name", "column_name").collect()
+    target = usage.select(F.col("constraint_name").alias("unique_constraint_name"), F.col("table_name").alias("referred_table"),
+                          F.col("column_name").alias("referred"), F.col("ordinal_position").alias("position_in_unique_constraint"))
+    fks = (cols.where("constraint_type = 'FOREIGN KEY'").join(references.select("constraint_name", "unique_constraint_name"), "constraint_name")
+           .join(target, ["unique_constraint_name", "position_in_unique_constraint"])
+           .groupBy("table_name", "constraint_name", "referred_table")
+           .agg(F.array_sort(F.collect_list(F.struct("ordinal_position", "column_name", "referred"))).alias("cols"))
+           .orderBy("table_name", "constraint_name").collect())
+    return ({r.table_name: r.column_name for r in keys},
+            [(r.table_name, [c.column_name for c in r.cols], r.referred_table, [c.referred for c in r.cols]) for r in fks])
+
+
+def load_jdbc_catalog(spark: SparkSession, url: str, schema: str = "public", properties=None, **meta) -> Catalog:
+    """The catalog of a database's tables with its declared keys; filters and column choices reach the database."""
+    props = properties or {}
+    view = lambda name: spark.read.jdbc(url, f"information_schema.{name}", properties=props)
+    tables = view("tables").where((F.col("table_schema") == schema) & (F.col("table_type") == "BASE TABLE"))
+    names = [r.table_name for r in tables.select("table_name").orderBy("table_name").collect()]
+    here = lambda name: view(name).where(F.col("constraint_schema") == schema)
+    keys, fks = declared_keys(here("table_constraints"), here("key_column_usage"), here("referential_constraints"))
+    frames = {n: spark.read.jdbc(url, f'"{schema}"."{n}"', properties=props) for n in names}
+    return load_catalog(spark, frames, **({"keys": keys, "fks": fks} | meta))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
@@ -168,4 +194,4 @@ def schema_markdown(catalog: Catalog) -> DataFrame:
 
 def sample_tables(catalog: Catalog, m: int, seed: int = 0) -> DataFrame:
     """Up to ``m`` tables in hash order of the seed: repeatable, unlike a random choice."""
-    return (catalog.tables_df.orderBy(F.xxhash64(F.lit(seed), "table"), "table").limit(m).select("table"))
+    return (catalog.tables_df.orderBy(digest(seed, F.col("table")), "table").limit(m).select("table"))

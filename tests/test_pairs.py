@@ -106,8 +106,8 @@ def test_hot_key_limits_before_the_shuffle(spark):
 
 def test_quota_and_run_quota(spark):
     df = frame(spark, [(1, 0, "a", "FAIL"), (1, 1, "b", "s1"), (1, 2, "c", "s2"), (2, 0, "d", "s3")])
-    assert {r.question for r in pairs.quota(df, 1).collect()} == {"a", "d"}
-    assert {r.question for r in pairs.quota(df, 1, count_failures=False).collect()} == {"b", "d"}
+    assert {r.question for r in pairs.quota(df, 1, count_failures=True).collect()} == {"a", "d"}
+    assert {r.question for r in pairs.quota(df, 1).collect()} == {"b", "d"}
     assert [r.question for r in pairs.run_quota(df, 2).collect()] == ["a", "b"]
     assert pairs.batch_size(800, 16) == 50 and pairs.batch_size(5, 2) == 3 and pairs.batch_size(5, 0) == 5
 

@@ -187,13 +187,27 @@ def test_catalog_texts(spark):
     assert cat.sample_tables(c, 1).count() == 1
 
 
-def test_catalog_of_a_database(spark):
+def test_catalog_of_a_database(spark, tmp_path):
     spark.sql("CREATE OR REPLACE TEMP VIEW unrelated AS SELECT 1")
+    spark.sql(f"CREATE TABLE stored (x INT COMMENT 'a number') USING parquet LOCATION '{tmp_path}/stored' COMMENT 'a table'")
+    c = cat.load_catalog(spark, "default")
+    assert c.names == ["stored"] and c.tables_df.first().comment == "a table" and c.columns_df.first().comment == "a number"
+    spark.sql("DROP TABLE stored")
     c = cat.load_catalog(spark, {"t": spark.createDataFrame([(1,)], "x int").withMetadata("x", {"comment": "from metadata"})})
     assert c.columns_df.first().comment == "from metadata"
     assert cat.type_name("decimal(10,2)") == "NUMERIC(10,2)" and cat.type_name("array<float>") == "REAL[]"
 
 
+def test_keys_from_an_information_schema(spark):
+    constraints = spark.createDataFrame([("pk_p", "PRIMARY KEY"), ("pk_c", "PRIMARY KEY"), ("fk", "FOREIGN KEY"), ("u", "UNIQUE")], "constraint_name string, constraint_type string")
+    usage = spark.createDataFrame([("pk_p", "parent", "a", 1, None), ("pk_p", "parent", "b", 2, None), ("pk_c", "child", "id", 1, None),
+                                   ("fk", "child", "y", 2, 1), ("fk", "child", "x", 1, 2), ("u", "child", "z", 1, None)],
+                                  "constraint_name string, table_name string, column_name string, ordinal_position int, position_in_unique_constraint int")
+    references = spark.createDataFrame([("fk", "pk_p")], "constraint_name string, unique_constraint_name string")
+    keys, fks = cat.declared_keys(constraints, usage, references)
+    assert keys == {"parent": "a", "child": "id"} and fks == [("child", ["x", "y"], "parent", ["b", "a"])]
+
+
 def test_samples(spark):
     df = spark.createDataFrame([(3, "c"), (1, "a"), (2, None)], "id int, v string")
     assert [r.id for r in samples.sample_rows(df, 2, "id").collect()] == [1, 2]

@@ -17,6 +17,7 @@ from ..sources.catalog import Catalog, table_json
 
 FAIL = "FAIL"
 ORDER = ("task_id", "pos")
+EARLY_LIMIT, PARTS = 1000, 64
 
 
 # ---------------------------------------------------------------- reading model replies
@@ -83,6 +84,11 @@ def mark_failures(pairs: DataFrame, ok: str = "ok") -> DataFrame:
 def first_of_each(pairs: DataFrame, key: list[str], order: tuple = ORDER, n: int = 1) -> DataFrame:
     """The first ``n`` rows per key.  The limit also applies before the shuffle, so a key that holds
     most rows sends at most ``n`` per task."""
+    if n > EARLY_LIMIT:
+        # Spark limits groups before the shuffle only up to this size; beyond it, parts of each group go first
+        part = Window.partitionBy(*key, "part").orderBy(*order)
+        split = pairs.withColumn("part", F.pmod(F.xxhash64(*order), F.lit(PARTS)))
+        pairs = split.withColumn("rn", F.row_number().over(part)).where(F.col("rn") <= n).drop("rn", "part")
     w = Window.partitionBy(*key).orderBy(*order)
     return pairs.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n).drop("rn")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.similarity import cosine
-from ..operators import generate, profile, relate, table_sets
+from ..operators import generate, pairs, profile, relate, table_sets
 from ..operators.mask import FIRST, LAST, WORDS, mask
 from ..session import scratch_path, spread
 from ..sources import catalog as cat
@@ -255,6 +255,22 @@ def relationships(spark, sf_dir):
     return relate.discover_relationships(keyed(spark, sf_dir)).select("question", "answer", SIX("confidence"))
 
 
+@query("dataset_relationships", f"WITH {ck.SCORED}, {ck.BOTH_WAYS.format(src='accepted')} SELECT question, answer FROM ({FOUND})")
+def dataset_relationships(spark, sf_dir):
+    """Written without the confidence, and read back."""
+    found = relate.discover_relationships(keyed(spark, sf_dir)).withColumns({"task_id": F.lit(0), "pos": F.lit(0)})
+    root = scratch_path(spark, "dataset")
+    jsonl.write_version(pairs.dataset_rows(found, "schema_relationship"), root, "schema_relationship", "v1")
+    return jsonl.read_version(spark, root, "schema_relationship", "v1", "question string, answer string")
+
+
+@query("export_samples", SAMPLED)
+def export_samples(spark, sf_dir):
+    c, root = keyed(spark, sf_dir), scratch_path(spark, "dataset")
+    samples.export_samples(c, root, "v1", 3, salt="s", as_of="2029-12-31", decade_start="2020-01-01")
+    return _sample_ids(jsonl.read_version(spark, root, "sample_data", "v1", "table string, row string"), c.keys)
+
+
 NAMED_ONLY = f"{ck.SCORED}, nm AS (SELECT * FROM accepted WHERE s1)"
 
 

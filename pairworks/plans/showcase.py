@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import pg
+from ..operators import windows
 from .tables import query, table
 
 FLAGS = ["l_returnflag", "l_linestatus"]
@@ -94,17 +95,17 @@ _past("current_date", lambda: F.current_date().cast("timestamp"), "current_date"
 
 
 def _windowed(name, make, sql):
-    """A ranking function per customer; ascending order puts nulls last."""
+    """A ranking function per customer; ascending order puts nulls last, and a customer may own most orders."""
     spec = ("OVER (PARTITION BY o_custkey ORDER BY nullif(o_orderpriority, '1-URGENT') ASC NULLS LAST"
             + ("" if name == "rank" else ", o_orderkey") + ")")
     @query(f"fn_{name}", f"SELECT o_orderkey, {sql} {spec} AS v FROM orders")
     def run(spark, sf_dir):
-        orders = table(spark, sf_dir, "orders").withColumn("p", F.nullif("o_orderpriority", F.lit("1-URGENT")))
-        w = pg.ordered(["o_custkey"], "p") if name == "rank" else pg.ordered(["o_custkey"], "p", "o_orderkey")
-        return orders.select("o_orderkey", make().over(w).cast("long").alias("v"))
+        orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", F.nullif("o_orderpriority", F.lit("1-URGENT")).alias("p"))
+        return make(orders).select("o_orderkey", "v")
 
 
-_windowed("row_number", F.row_number, "row_number()")
-_windowed("rank", F.rank, "rank()")
-_windowed("lag", lambda: F.lag("o_orderkey"), "lag(o_orderkey)")
-_windowed("lead", lambda: F.lead("o_orderkey", 2), "lead(o_orderkey, 2)")
+CUSTOMER = (["o_custkey"], ["p"])
+_windowed("row_number", lambda df: windows.row_number(df, *CUSTOMER, "o_orderkey", "v"), "row_number()")
+_windowed("rank", lambda df: windows.rank(df, *CUSTOMER, "v"), "rank()")
+_windowed("lag", lambda df: windows.shift(df, *CUSTOMER, "o_orderkey", "o_orderkey", 1, "v"), "lag(o_orderkey)")
+_windowed("lead", lambda df: windows.shift(df, *CUSTOMER, "o_orderkey", "o_orderkey", -2, "v"), "lead(o_orderkey, 2)")

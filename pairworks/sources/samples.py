@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .catalog import Catalog, union_all
+from .jsonl import write_version
 from ..operators.mask import mask
 
 log = logging.getLogger(__name__)
@@ -50,6 +51,11 @@ def masked_samples(catalog: Catalog, n: int = 2, **rules) -> DataFrame:
                       for t, df in masked.items()])
 
 
+def export_samples(catalog: Catalog, root: str, run_version: str, n: int = 2, **rules) -> str:
+    """Write the masked samples of every table as one dataset version; returns its path."""
+    return write_version(masked_samples(catalog, n, **rules), root, "sample_data", run_version)
+
+
 def fetch(spark: SparkSession, sql: str, n: int = 5, **rules) -> DataFrame:
     """At most ``n`` masked rows of a query; of columns with one name the last is kept."""
     df = spark.sql(sql).limit(n)

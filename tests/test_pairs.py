@@ -104,6 +104,13 @@ def test_hot_key_limits_before_the_shuffle(spark):
     assert {r.task_id: r["count"] for r in pairs.quota(df, 25).groupBy("task_id").count().collect()} == {0: 25, 1: 25, 2: 25}
 
 
+def test_large_quota_splits_groups(spark):
+    df = spark.range(30000).select(F.lit(1).alias("task_id"), F.col("id").alias("pos"), F.col("id").alias("question"), F.col("id").cast("string").alias("sql"))
+    got = pairs.quota(df, 2000)
+    assert got.count() == 2000 and got.agg(F.max("pos")).first()[0] == 1999
+    assert got.columns == df.columns
+
+
 def test_quota_and_run_quota(spark):
     df = frame(spark, [(1, 0, "a", "FAIL"), (1, 1, "b", "s1"), (1, 2, "c", "s2"), (2, 0, "d", "s3")])
     assert {r.question for r in pairs.quota(df, 1, count_failures=True).collect()} == {"a", "d"}

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from pairworks.operators import batch, generate, probe, profile, prompts, tasks
+from pairworks.operators import batch, generate, probe, profile, prompts, run, tasks
 from pairworks.sources import catalog as cat
 
 
@@ -154,6 +154,32 @@ def test_each_prompt_is_sent_once(spark, tmp_path):
     assert sorted(open(seen).read().split(), key=int) == [str(i) for i in range(20)]
 
 
+def test_a_phase_from_tasks_to_dataset(spark, tmp_path):
+    frames = {"orders": spark.sql("SELECT id, 'Ann' AS name FROM range(5)"), "items": spark.range(3)}
+    for t, df in frames.items():
+        df.createOrReplaceTempView(t)
+    c = cat.load_catalog(spark, frames, keys={"orders": "id"})
+    seen = str(tmp_path / "prompts")
+
+    def model(messages):
+        with open(seen, "a") as fh:
+            fh.write(json.dumps(messages) + "\n")
+        table, count = messages[0]["content"].split()
+        n = ["SELECT COUNT(*) FROM %s;" % table, "SELECT nothing FROM %s" % table, "SELECT MAX(id) FROM %s" % table][:int(count)]
+        return "\n".join(json.dumps({"question": "q " + s, "sql": s}) for s in n)
+
+    todo = tasks.expand_tasks(phases(spark, {"name": "single_table", "count": 3}, {"name": "joins"}), list(frames))
+    template = "### role: system\n{{table}} {{count}}\n### role: user\n{{schema_json}} {{sample_rows}} {{nl_question}}"
+    path = run.run_phase(todo, c, template, model, f"{tmp_path}/out", "single_table", "v1", k=3, batch=3, n_rows=1, probe=True, tag=True)
+    rows = spark.read.json(path).collect()
+    assert {r.sql for r in rows} == {"SELECT COUNT(*) FROM orders", "SELECT MAX(id) FROM orders", "SELECT COUNT(*) FROM items", "SELECT MAX(id) FROM items"}
+    assert all(list(json.loads(r.schema)["tables"]) == [r.sql.split()[-1]] for r in rows)
+    prompts_sent = [json.loads(l) for l in open(seen)]
+    assert len(prompts_sent) == 2 and not any("Ann" in m[1]["content"] for m in prompts_sent)
+    mine = next(m[1]["content"] for m in prompts_sent if m[0]["content"].startswith("orders"))
+    assert '"tables":{"orders"' in mine and "items" not in mine and '{"orders":[{"id":0' in mine and "Create 3 unique" in mine
+
+
 def test_probe(spark):
     spark.createDataFrame([(1, "x"), (2, "y")], "id int, v string").createOrReplaceTempView("probe_t")
     good = ["SELECT * FROM probe_t;", "WITH a AS (SELECT 1 AS x) SELECT * FROM a ORDER BY x", "SELECT id, id FROM probe_t", "SELECT * FROM probe_t WHERE id > 9"]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..session import cut_lineage
-from ..sources.catalog import Catalog, table_json
+from ..sources.catalog import Catalog, schema_subset
 
 FAIL = "FAIL"
 ORDER = ("task_id", "pos")
@@ -136,10 +136,8 @@ def extract_tables(sql, names: list[str], word_boundary: bool = False) -> Column
 
 def tag_schema(pairs: DataFrame, catalog: Catalog, word_boundary: bool = False) -> DataFrame:
     """Adds ``tables`` and ``schema``, the JSON of the tables the SQL mentions."""
-    known = F.create_map(*[F.lit(x) for r in table_json(catalog).collect() for x in (r.table, r.json)])
     tagged = pairs.withColumn("tables", extract_tables(F.col("sql"), catalog.names, word_boundary))
-    body = F.array_join(F.transform("tables", lambda t: F.element_at(known, t)), ",")
-    return tagged.withColumn("schema", F.concat(F.lit('{"tables":{'), body, F.lit("}}")))
+    return tagged.withColumn("schema", schema_subset(catalog, F.col("tables")))
 
 
 # ---------------------------------------------------------------- reviews

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.catalog import Catalog, schema_json, table_json
+from ..sources.catalog import Catalog, members, schema_subset
 from ..sources.jsonl import write_version
 from ..sources.samples import masked_samples
 from .batch import MAX_ROUNDS, run_rounds
@@ -19,25 +19,24 @@ from .prompts import render_prompts
 def table_prompts(catalog: Catalog, template: str, n_rows: int = 0, **mask_rules) -> Callable[[DataFrame], DataFrame]:
     """A prompt function for ``run_rounds``: the template with each task's schema, question and sample rows.
 
-    A task with a table sees that table only, others the whole schema.  ``{{count}}`` is the number of
-    pairs asked for now.  Schema and samples enter the plan as literals: one entry per table of the catalog.
+    A task sees the tables of its ``tables`` list if it has one, else its ``table``, else the whole schema.
+    ``{{count}}`` is the number of pairs asked for now.
     """
-    whole = schema_json(catalog).first()[0]
-    one = {r.table: '{"tables":{' + r.json + "}}" for r in table_json(catalog).collect()}
     rows: dict[str, list[str]] = {}
     if n_rows:
         for r in masked_samples(catalog, n_rows, **mask_rules).collect():
             rows.setdefault(r.table, []).append(r.row)
-    per_table = {t: f'{{"{t}":[{",".join(found)}]}}' for t, found in rows.items()}
-    everything = "{" + ",".join(text[1:-1] for text in per_table.values()) + "}"
-    lookup = lambda texts: F.create_map(*[F.lit(x) for kv in (texts or {"": ""}).items() for x in kv])
+    samples = {t: f'"{t}":[{",".join(found)}]' for t, found in rows.items()}
 
     def prompt(tasks: DataFrame) -> DataFrame:
+        own = F.when(F.col("table").isNotNull(), F.array("table"))
+        if "tables" in tasks.columns:
+            own = F.coalesce("tables", own)
+        names = F.coalesce(own, F.array(*[F.lit(t) for t in catalog.names]))
         return render_prompts(tasks, template, {
-            "schema_json": F.coalesce(lookup(one)[F.col("table")], F.lit(whole)),
-            "nl_question": F.col("question"),
+            "schema_json": schema_subset(catalog, names), "nl_question": F.col("question"),
             "builtin": F.col("fn"), "table": F.col("table"),
-            "sample_rows": F.coalesce(lookup(per_table)[F.col("table")], F.lit(everything)),
+            "sample_rows": F.concat(F.lit("{"), members(samples, names), F.lit("}")),
             "count": F.col("asked").cast("string"), "min_joins": F.col("min_joins").cast("string")})
 
     return prompt
@@ -48,7 +47,7 @@ def run_phase(tasks: DataFrame, catalog: Catalog, template: str, completer: Call
               check: Callable[[DataFrame], DataFrame] | None = None, rounds: int = MAX_ROUNDS) -> str:
     """Ask for ``k`` pairs per task, refine them and replace one version of the phase's dataset; returns its path.
 
-    ``tasks`` come from ``expand_tasks``.  ``probe`` runs each distinct SQL over tables registered under their
+    ``tasks`` come from ``expand_tasks``; a ``tables`` column, as from table sets, narrows their schema.  ``probe`` runs each distinct SQL over tables registered under their
     names; ``check`` keeps acceptable pairs within each round.
     """
     numbered = tasks.where(F.col("phase") == phase).withColumn("task_id", F.concat_ws("-", "phase_id", "pos")).drop("pos", "metadata")

@@ -6,7 +6,7 @@ from dataclasses import dataclass, field
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import digest
@@ -184,6 +184,21 @@ def schema_json(catalog: Catalog, names: list[str] | None = None) -> DataFrame:
                      .alias("schema_json"))
 
 
+def members(texts: dict[str, str], names) -> Column:
+    """The JSON members of the named tables, joined; tables without an entry are left out."""
+    known = F.create_map(*[F.lit(x) for kv in (texts or {"": ""}).items() for x in kv])
+    return F.array_join(F.transform(names, lambda t: known[t]), ",")
+
+
+def schema_subset(catalog: Catalog, names) -> Column:
+    """Schema JSON of the tables in an array column, in its order; unknown names are ignored.
+
+    The texts of all tables enter the plan as a literal: one entry per table of the catalog.
+    """
+    texts = {r.table: r.json for r in table_json(catalog).collect()}
+    return F.concat(F.lit('{"tables":{'), members(texts, names), F.lit("}}"))
+
+
 def schema_markdown(catalog: Catalog) -> DataFrame:
     """One row per table: ``table, line`` with line ``- **t**: "c1", "c2"``."""
     return (catalog.columns_df.groupBy("table")

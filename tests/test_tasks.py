@@ -180,6 +180,16 @@ def test_a_phase_from_tasks_to_dataset(spark, tmp_path):
     assert '"tables":{"orders"' in mine and "items" not in mine and '{"orders":[{"id":0' in mine and "Create 3 unique" in mine
 
 
+def test_prompts_for_table_sets(spark):
+    c = cat.load_catalog(spark, {t: spark.range(1) for t in ("a", "b", "c")})
+    df = tasks.expand_tasks(phases(spark, {"name": "joins"}), c.names).withColumn("asked", F.lit(2))
+    ask = run.table_prompts(c, "### role: user\n{{schema_json}} {{count}} {{min_joins}}")
+    text = lambda d: ask(d).first().messages[0].content
+    assert [t in text(df) for t in ('"a"', '"b"', '"c"')] == [True] * 3 and text(df).endswith(" 2 2")
+    narrow = text(df.withColumn("tables", F.array(F.lit("c"), F.lit("zz"), F.lit("a"))))
+    assert list(json.loads(narrow.rsplit(" ", 2)[0])["tables"]) == ["c", "a"]
+
+
 def test_probe(spark):
     spark.createDataFrame([(1, "x"), (2, "y")], "id int, v string").createOrReplaceTempView("probe_t")
     good = ["SELECT * FROM probe_t;", "WITH a AS (SELECT 1 AS x) SELECT * FROM a ORDER BY x", "SELECT id, id FROM probe_t", "SELECT * FROM probe_t WHERE id > 9"]

@@ -87,32 +87,34 @@ def key_columns(catalog: Catalog) -> dict[str, list[str]]:
             for t, df in catalog.frames.items()}
 
 
-def _not_excluded(catalog: Catalog, columns: dict[str, list[str]]) -> dict[str, list[str]]:
-    """Columns one cheap pass cannot rule out.
+def _first_pass(catalog: Catalog) -> tuple[dict[str, list[str]], dict[str, int]]:
+    """Columns one cheap pass cannot rule out as keys, and the row counts.
 
     A column with a null is no key; neither is an integer column whose range is narrower than its
-    row count, for some value must then repeat.  The result holds at most one row per table.
+    row count, for some value must then repeat.  The result holds one row per table.
     """
     parts = []
-    for t, cols in columns.items():
-        df = catalog.frames[t]
+    for t, cols in key_columns(catalog).items():
+        df, n = catalog.frames[t], F.count(F.lit(1))
         checks = []
         for c in cols:
-            full = F.count(F.col(f"`{c}`")) == F.count(F.lit(1))
+            full = F.count(F.col(f"`{c}`")) == n
             if isinstance(df.schema[c].dataType, INTEGRAL):
-                wide = (F.max(f"`{c}`").cast("decimal(20,0)") - F.min(f"`{c}`").cast("decimal(20,0)") + 1
-                        >= F.count(F.lit(1)))
-                full = full & wide
+                full = full & (F.max(f"`{c}`").cast("decimal(20,0)") - F.min(f"`{c}`").cast("decimal(20,0)") + 1 >= n)
             checks.append(F.when(full, F.lit(c)))
-        if checks:
-            parts.append(df.agg(F.array_compact(F.array(*checks)).alias("cols")).select(F.lit(t).alias("table"), "cols"))
-    return {r.table: r.cols for r in union_all(parts).collect()} if parts else {}
+        left = F.array_compact(F.array(*checks)) if checks else F.array().cast("array<string>")
+        parts.append(df.agg(left.alias("cols"), n.alias("n")).select(F.lit(t).alias("table"), "cols", "n"))
+    found = union_all(parts).collect()
+    return {r.table: r.cols for r in found}, {r.table: r.n for r in found}
 
 
 def infer_primary_key(catalog: Catalog) -> DataFrame:
     """``table, primary_key``: the first unique, non-null integer or UUID column; tables without one are left out."""
+    return _unique_columns(catalog, _first_pass(catalog)[0])
+
+
+def _unique_columns(catalog: Catalog, left: dict[str, list[str]]) -> DataFrame:
     spark = catalog.spark
-    left = _not_excluded(catalog, key_columns(catalog))
     ids, numbers, texts = [], [], []
     for t in catalog.frames:
         df, nums, strs = catalog.frames[t], {}, {}
@@ -137,6 +139,9 @@ def infer_primary_key(catalog: Catalog) -> DataFrame:
 def with_inferred_keys(catalog: Catalog) -> Catalog:
     """The catalog with a key for every table that has one; declared keys win.  At most one row per table is fetched."""
     missing = catalog.subset([t for t in catalog.frames if t not in catalog.keys])
-    found = {r.table: r.primary_key for r in infer_primary_key(missing).collect()} if missing.frames else {}
+    if not missing.frames:
+        return catalog
+    left, sizes = _first_pass(missing)
+    found = {r.table: r.primary_key for r in _unique_columns(missing, left).collect()}
     return catalog.with_keys({t: catalog.keys.get(t) or found.get(t) for t in catalog.frames
-                              if catalog.keys.get(t) or found.get(t)})
+                              if catalog.keys.get(t) or found.get(t)}, sizes)

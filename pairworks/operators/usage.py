@@ -77,8 +77,8 @@ def _first_event(rows: DataFrame, span: int) -> DataFrame:
     spans = spans.withColumn("start", F.coalesce(F.sum("part").over(earlier), F.lit(0)))
     hit = ((F.col("start") + F.col("part")) * 2 >= F.col("left")) | (F.col("start") + F.col("need") <= F.col("left"))
     first = spans.where(hit).groupBy("run_id").agg(F.min_by(F.struct("span", "start"), "span").alias("s"))
-    inside = (local.join(first.select("run_id", F.col("s.span").alias("span"), F.col("s.start").alias("start")), ["run_id", "span"])
-              .withColumn("prior", F.col("prior") + F.col("start"))
+    hits = cut.join(first.select("run_id", F.col("s.span").alias("span"), F.col("s.start").alias("start")), ["run_id", "span"])
+    inside = (hits.withColumn("prior", F.col("start") + F.coalesce(F.sum("small").over(before), F.lit(0)))
               .withColumn("spent", F.col("prior") + F.col("micros")))
     event = F.when(F.col("small") > 0, F.col("spent") * 2 >= F.col("left")).otherwise(F.col("spent") <= F.col("left"))
     return inside.where(event).groupBy("run_id").agg(F.min(F.struct("seq", "spent")).alias("e")).select("run_id", "e.seq", "e.spent")
@@ -87,14 +87,21 @@ def _first_event(rows: DataFrame, span: int) -> DataFrame:
 def apply_budget(usage: DataFrame, budget: float, span: int = 1_000_000) -> DataFrame:
     """Adds ``accepted``: each request in turn passes if it still fits; one that does not costs nothing.
 
-    This is not a prefix of the run: a cheaper request may pass after a refused one.  Every round finds,
-    for all runs at once, the request at which what is left at least halves, so the number of rounds is
-    at most the logarithm of budget over cheapest request, and no run is ever gathered in one task.
+    This is not a prefix of the run: a cheaper request may pass after a refused one.  A running sum finds
+    the first refusal of every run; from there on each round finds, for all runs at once, the request at
+    which what is left at least halves.  So the number of rounds is at most the logarithm of the dearest
+    over the cheapest request, each over fewer rows, and no run is ever gathered in one task.
     """
     total = round(budget * MICROS)
     priced = usage.withColumn("micros", cost_micros(F.col("in_tok"), F.col("out_tok")))
-    open_ = (priced.where((F.col("micros") > 0) & (F.col("micros") <= total))
-             .select("run_id", "seq", "micros", F.lit(total).cast("long").alias("left")))
+    fits = priced.where((F.col("micros") > 0) & (F.col("micros") <= total)).select("run_id", "seq", "micros")
+    summed = running_sum(fits, "run_id", "seq", "micros", "spent", span)
+    over = F.col("spent") > total
+    stops = cut_lineage(summed.groupBy("run_id").agg(
+        F.min(F.when(over, F.col("seq"))).alias("stop"),
+        F.lit(total) - F.coalesce(F.max(F.when(~over, F.col("spent"))), F.lit(0))).toDF("run_id", "stop", "left"))
+    open_ = cut_lineage(fits.join(stops, "run_id").where((F.col("seq") > F.col("stop")) & (F.col("micros") <= F.col("left")))
+                        .select("run_id", "seq", "micros", "left"))
     events = None
     while True:
         found = cut_lineage(_first_event(open_, span))
@@ -105,17 +112,18 @@ def apply_budget(usage: DataFrame, budget: float, span: int = 1_000_000) -> Data
         open_ = cut_lineage(open_.join(marks, "run_id").where(F.col("seq") > F.col("at"))
                             .withColumn("left", F.col("left") - F.col("spent")).where(F.col("micros") <= F.col("left"))
                             .select("run_id", "seq", "micros", "left"))
-    if events is None:
-        small = (F.col("micros") * 2 <= total)
-        return priced.withColumn("accepted", (F.col("micros") == 0) | small).drop("micros")
-    # the events of a run cut it into stretches, each with what was left at its start
-    by_run = events.groupBy("run_id").agg(F.array_sort(F.collect_list(F.struct("seq", "spent"))).alias("es"))
+    # the events of a run cut what follows its first refusal into stretches, each with what was left at its start
+    found = (stops.select("run_id").limit(0).selectExpr("run_id", "0L AS seq", "0L AS spent") if events is None else events)
+    by_run = found.groupBy("run_id").agg(F.array_sort(F.collect_list(F.struct("seq", "spent"))).alias("es"))
+    judged = priced.join(stops.join(by_run, "run_id", "left"), "run_id", "left")
     before = F.filter("es", lambda e: e["seq"] < F.col("seq"))
-    left = F.lit(total) - F.aggregate(before, F.lit(0).cast("long"), lambda acc, e: acc + e["spent"])
-    is_event = F.exists("es", lambda e: e["seq"] == F.col("seq"))
-    judged = priced.join(by_run, "run_id", "left").withColumn("es", F.coalesce("es", F.array().cast("array<struct<seq:bigint,spent:bigint>>")))
-    return (judged.withColumn("accepted", (F.col("micros") == 0) | is_event | (F.col("micros") * 2 <= left))
-            .drop("micros", "es"))
+    left = F.col("left") - F.coalesce(F.aggregate(before, F.lit(0).cast("long"), lambda acc, e: acc + e["spent"]), F.lit(0))
+    is_event = F.coalesce(F.exists("es", lambda e: e["seq"] == F.col("seq")), F.lit(False))
+    late = is_event | (F.col("micros") * 2 <= left)
+    early = F.col("stop").isNull() | (F.col("seq") < F.col("stop"))
+    accepted = (F.when(F.col("micros") == 0, True).when(F.col("micros") > total, False).when(early, True)
+                .when(F.col("seq") == F.col("stop"), False).otherwise(late))
+    return judged.withColumn("accepted", accepted).drop("micros", "es", "stop", "left")
 
 
 def progress(pairs: DataFrame) -> DataFrame:

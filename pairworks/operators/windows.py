@@ -7,7 +7,7 @@ is ever ordered across a whole group.  Order is that of PostgreSQL, nulls last.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 SPAN = 1_000_000

@@ -197,11 +197,12 @@ def lint_unknown_table(spark, sf_dir):
 
 # ---------------------------------------------------------------- reviews and probes
 
-# Reviews: two per pair of some users, the later one counts; some are no JSON.
-REVIEWS = f"""SELECT DISTINCT question, sql, seq, CASE WHEN seq = 1 THEN '{{{{"score": 0.1}}}}'
-WHEN length(question) % 3 = 0 THEN '{{{{"score": 0.75, "reason": "ok", "fixed_sql": "SELECT COUNT(*) FROM events WHERE event_id = ' || CAST(length(sql) AS STRING) || ';"}}}}'
-WHEN length(question) % 3 = 1 THEN 'looks fine' ELSE '{{{{"fixed_sql": "SELECT 1"}}}}' END AS response
-FROM ({PAIRS}) AS p CROSS JOIN (SELECT 1 AS seq UNION ALL SELECT 2 AS seq) AS s WHERE task_id % 3 <> 0"""
+# Reviews: two per pair, the later one counts; some are no JSON, and signups have none.
+REVIEWED = f"(SELECT DISTINCT question, sql FROM ({PAIRS}) AS a WHERE question NOT LIKE '%signup%') AS p"
+REVIEWS = f"""SELECT question, sql, 1 AS seq, '{{{{"score": 0.1}}}}' AS response FROM {REVIEWED}
+UNION ALL SELECT question, sql, 2 AS seq, CASE length(question) % 3
+WHEN 0 THEN '{{{{"score": 0.75, "reason": "ok", "fixed_sql": "SELECT COUNT(*) FROM events WHERE event_id = ' || CAST(length(sql) AS STRING) || ';"}}}}'
+WHEN 1 THEN 'looks fine' ELSE '{{{{"fixed_sql": "SELECT 1"}}}}' END AS response FROM {REVIEWED}"""
 
 
 @query("apply_reviews", f"""WITH {P}, r AS ({check_sql(REVIEWS)}), l AS (SELECT question, sql, arg_max(response, seq) AS response FROM r GROUP BY 1, 2),

@@ -9,7 +9,7 @@ from ..operators import batch, prompts, tasks
 from ..sources import catalog as cat
 from . import checks as ck
 from .pairsets import P, PAIRS
-from .tables import COLUMNS, NAMES, catalog, check_sql, feed, query, table
+from .tables import COLUMNS, NAMES, catalog, feed, query, table
 
 KNOWN = "[" + ", ".join(f"'{n}'" for n in NAMES) + "]"
 DEFAULTS = {"parallelism": "10", "tag_schema_json": "true"}

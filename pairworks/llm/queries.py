@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import decontaminate
+from . import decontaminate, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -51,3 +51,8 @@ it AS (SELECT doc_id, count(*) AS n, string_agg(s, ',' ORDER BY s) AS l
 SELECT doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(it.n, 0) AS n_items,
   sha256(coalesce(it.l, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AND 20 * coalesce(hit.n, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)"""
+
+
+@query
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.report(table(spark, sf_dir, "documents"))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import decontaminate, suffixes
+from . import decontaminate, partenum, suffixes
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -56,3 +56,8 @@ FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN it USING (doc_id)"""
 @query
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return partenum.report(table(spark, sf_dir, "documents"))

@@ -10,6 +10,8 @@ suffixes that start a long enough run of such words are sorted and the others ar
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -108,7 +110,7 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts - (ends - counts), counts)
 
 
-def search(tests: Tests, words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def search(tests: Tests | SimpleNamespace, words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Build the shard's suffix array and look all test windows up: occurrences as (word position, window number)."""
     none = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
     if not len(words) or not len(tests.lengths):
@@ -136,7 +138,7 @@ def search(tests: Tests, words: np.ndarray, bounds: np.ndarray) -> tuple[np.ndar
     return at[ranges(lo, counts)], np.repeat(np.arange(len(counts)), counts)
 
 
-def merged(tests: Tests, doc_words: int, at: np.ndarray, which: np.ndarray, earlier: dict | None) -> dict:
+def merged(tests: Tests | SimpleNamespace, doc_words: int, at: np.ndarray, which: np.ndarray, earlier: dict | None) -> dict:
     """One document's spans, items and longest matches, with those that earlier blocks found."""
     hit = np.zeros(doc_words + 1, dtype=np.int64)
     np.add.at(hit, at, 1)
@@ -180,7 +182,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", into
     out = docs
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
-        sent = spark.sparkContext.broadcast(Tests([tuple(r) for r in part.collect()], window))
+        sent = spark.sparkContext.broadcast(vars(Tests([tuple(r) for r in part.collect()], window)))
         out = out.mapInArrow(_matcher(sent, text, into, b > 0), schema)
     return out
 
@@ -192,7 +194,7 @@ def _matcher(sent, text: str, into: str, again: bool):
                                                       ("words", pa.int64())])))])
 
     def run(batches):
-        tests, words = sent.value, Words(SEPARATORS)
+        tests, words = SimpleNamespace(**sent.value), Words(SEPARATORS)
         for batch in batches:
             for shard in slices(batch, text):
                 found, bounds = words.of(texts_of(shard, text))

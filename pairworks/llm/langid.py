@@ -120,10 +120,10 @@ def identify(docs: DataFrame, model: Model, text: str = "text", into: str = "lan
     first language in alphabetical order.  All columns and rows stay; if `into` is taken, underscores are added to it.
     """
     into = free_name(docs, into)
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(vars(model))
 
     def run(batches):
-        is_letter, m = letters(), sent.value
+        is_letter, m = letters(), Model(**sent.value)
         kind = pa.struct([("lang", pa.string()), ("score", pa.float64())])
         for batch in batches:
             for part in slices(batch, text, 2 << 20):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import decontaminate, langid, packing, partenum, suffixes
+from . import decontaminate, langid, packing, partenum, suffixes, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -78,3 +78,40 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.report(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op3_warc"] = """
+WITH p AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+t AS (SELECT d, max(page_id) AS top FROM p WHERE n >= 1000 GROUP BY d)
+SELECT page_id, cast(n AS BIGINT) AS payload_bytes, p.d AS payload_digest,
+  CASE WHEN top <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN top <> page_id THEN top END AS refers_to
+FROM p LEFT JOIN t ON p.d = t.d AND p.n >= 1000"""
+
+# The rules of the URL query, in the order given.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+@query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.report(table(spark, sf_dir, "pages"), rules)
+
+
+ORACLES["op8_url_filter"] = f"""
+WITH u AS (
+  SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages),
+h AS (
+  SELECT page_id, translate(regexp_extract(coalesce(rest, ''), '^[^/?#]*'), '{UPPER}', '{LOWER}') AS host,
+    regexp_extract(substr(coalesce(rest, ''), length(regexp_extract(coalesce(rest, ''), '^[^/?#]*')) + 1), '^[^?#]*') AS path FROM u),
+r(host, path, verdict) AS (VALUES {", ".join(map(str, URL_RULES))}),
+b AS (
+  SELECT page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(verdict, length(r.host || r.path)) AS verdict
+  FROM h JOIN r ON (h.host = r.host OR ends_with(h.host, '.' || r.host)) AND starts_with(h.path, r.path) GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM h LEFT JOIN b USING (page_id)"""

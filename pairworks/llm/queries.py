@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import decontaminate, langid, packing, partenum, suffixes, urls, warc
+from . import decontaminate, langid, packing, partenum, pii, rules, sharding, suffixes, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -100,8 +100,8 @@ URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.
 
 @query
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
-    return urls.report(table(spark, sf_dir, "pages"), rules)
+    given = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    return urls.report(table(spark, sf_dir, "pages"), given)
 
 
 ORACLES["op8_url_filter"] = f"""
@@ -115,3 +115,18 @@ b AS (
   SELECT page_id, arg_max(r.host || r.path, length(r.host || r.path)) AS rule, arg_max(verdict, length(r.host || r.path)) AS verdict
   FROM h JOIN r ON (h.host = r.host OR ends_with(h.host, '.' || r.host)) AND starts_with(h.path, r.path) GROUP BY page_id)
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM h LEFT JOIN b USING (page_id)"""
+
+
+@query
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.report(table(spark, sf_dir, "documents"))

@@ -1,10 +1,13 @@
 """Set similarity join on word shingles by PartEnum signatures.
 
-Sets of about the same size (a band) that are similar enough differ in at most `k` elements.  The domain of shingles is split
-into more than `k` parts by a hash, so some part holds the same elements of both: a set's signatures are the fingerprints of
-its elements in each part (subsets of one part; larger subsets of finer parts would give more signatures for each set).
-`SPARE` parts more than `k + 1` make that many more parts agree, so the fingerprint of an empty part is only sent by the few
-sets with more empty parts than that.  Sets near the upper end of a band also sign in the next one.  No link is lost.
+Sets of about the same size (a band) that are similar enough differ in at most `k` elements.  A hash splits the domain of
+shingles into more than `k / 2` parts, so in some part both sets differ by one element at most, and each part into PIECES
+pieces, so all of these but one hold the same elements of both: a set's signatures are the fingerprints of its elements in
+each part less one piece.  A subset without elements, or with only some that very many texts have, would be the signature of
+far too many sets, so it is not sent; that both sets hold the same there is known from either one.  For this there are some
+spare parts (as many as are to be expected with one, and four deviations more); sets with more such parts than spare
+ones sign again by another hash, and those that have them every time send those too.  Sets near the upper end of a band also sign in the
+next one.  No link is lost.
 
 Sets that share signatures, directly or in a chain, form a family.  Families are verified exactly: equal sets once, the rest
 by products of 0/1 matrices, a family larger than a block as pairs of blocks in separate tasks.  Tasks hand on a spanning
@@ -23,8 +26,9 @@ from .components import connected
 
 SEPARATORS = b" \t\n\v\f\r"
 SIZE, PERCENT = 4, 85
-SPARE = 2
+LEAST_SPARED, PIECES, TRIES = 8, 3, 3
 BLOCK_SETS, BLOCK_BYTES = 1000, 24 << 20
+FILTER_BITS, RUN_BYTES, MOST_COMMON = 1 << 23, 3 << 20, 1 << 18
 SIGNED = "bucket int, names binary, docs binary, copies binary"
 MEMBER = "family bigint, doc_id bigint, n bigint, digest binary, elements binary"
 
@@ -33,14 +37,29 @@ def bands(longest: int) -> np.ndarray:
     """Lower ends of the size bands, with two ends past `longest`."""
     ends = [1, 2]
     while ends[-2] <= longest:
-        ends.append(max(ends[-1] + 1, ends[-1] * 3 // 2))
+        ends.append(max(ends[-1] + 1, ends[-1] * 4 // 3))
     return np.array(ends, dtype=np.int64)
 
 
-def parts(upper: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Parts of the domain for sets of at most `upper` elements: two that link differ in at most 2 upper (100 - p) / (100 + p)."""
+def bands_from(band: np.ndarray) -> np.ndarray:
+    """The end of each band: the lower end of the next."""
+    ends = bands(1)
+    while len(ends) <= band.max(initial=0) + 1:
+        ends = bands(2 * int(ends[-1]))
+    return ends[band + 1]
+
+
+def parts(upper: np.ndarray, percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For sets of at most `upper` elements: parts of the domain, how many of these are spare, and whether links are equality.
+
+    Two sets that link differ in at most k = 2 upper (100 - percent) / (100 + percent) elements.
+    """
     k = 2 * upper * (100 - percent) // (100 + percent)
-    return np.where(k == 0, 1, k + 1 + SPARE)
+    # the smallest set that signs in the band has so many elements in a part less one piece, on average, if one in seven is common
+    held = 6 / 7 * 3 * (PIECES - 1) / PIECES * percent * (100 + percent) / (400 * (100 - percent))
+    likely = PIECES * np.exp(-held) * (k // 2 + 1)
+    spare = np.where(k >= LEAST_SPARED, np.ceil(likely + 4 * np.sqrt(likely)), 0).astype(np.int64)
+    return k // 2 + 1 + spare, spare, k == 0
 
 
 def shingles(words: np.ndarray, size: int = SIZE) -> np.ndarray:
@@ -58,40 +77,83 @@ def sets_of(texts: list[bytes], words: Words, size: int) -> list[np.ndarray]:
     return [shingles(found[a:z], size) for a, z in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
-def signatures(sets: list[np.ndarray], percent: int = PERCENT) -> tuple[np.ndarray, np.ndarray]:
-    """Signatures of non-empty sets and the position of the set each belongs to."""
+def signatures(sets: list[np.ndarray], percent: int = PERCENT, common: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of non-empty sets and the position of the set each belongs to; `common` elements (sorted) alone make none."""
     sizes = np.array([len(s) for s in sets], dtype=np.int64)
     ends = bands(int(sizes.max(initial=1)))
     home = np.searchsorted(ends, sizes, side="right") - 1
     up = np.flatnonzero(100 * sizes >= percent * ends[home + 1])
     which = np.concatenate([np.arange(len(sets)), up])
     band = np.concatenate([home, home[up] + 1])
-    slots = parts(ends[band + 1] - 1, percent)
-    first = np.cumsum(slots) - slots
-    elements = np.concatenate([np.zeros(0, dtype=np.uint64), *(sets[w] for w in which)])
-    of = np.repeat(np.arange(len(which)), sizes[which])
-    spread = mixed(elements + band[of].astype(np.uint64))
-    slot = first[of] + (((spread >> np.uint64(32)) * slots[of].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
-    total = int(slots.sum())
+    found, owners = [], []
+    for attempt in range(TRIES):
+        names, owner, weak = signed_once([sets[w] for w in which], band, attempt, attempt == TRIES - 1, percent, common)
+        found.append(names)
+        owners.append(which[owner])
+        which, band = which[weak], band[weak]
+        if not len(which):
+            break
+    return np.concatenate(found), np.concatenate(owners)
+
+
+def signed_once(sets: list[np.ndarray], band: np.ndarray, attempt: int, last: bool, percent: int, common: np.ndarray | None):
+    """Signatures by one hash of the domain: names, the set of each, and the sets with more empty subsets than spare parts."""
+    sizes = np.array([len(s) for s in sets], dtype=np.int64)
+    count, spare, equal = parts(bands_from(band) - 1, percent)
+    first = np.cumsum(count) - count
+    elements = np.concatenate([np.zeros(0, dtype=np.uint64), *sets])
+    rare = np.ones(len(elements))
+    if common is not None and len(common):
+        rare = (common[np.minimum(np.searchsorted(common, elements), len(common) - 1)] != elements).astype(np.float64)
+    of = np.repeat(np.arange(len(sets)), sizes)
+    tag = band.astype(np.uint64) * np.uint64(TRIES) + np.uint64(attempt)
+    spread = mixed(elements + tag[of])
+    piece = PIECES * first[of] + (((spread >> np.uint64(32)) * (PIECES * count[of]).astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
+    total = int(count.sum())
     value = mixed(spread)
-    low = np.bincount(slot, weights=(value & np.uint64(0xFFFFFFFF)).astype(np.float64), minlength=total).astype(np.uint64)
-    high = np.bincount(slot, weights=(value >> np.uint64(32)).astype(np.float64), minlength=total).astype(np.uint64)
-    count = np.bincount(slot, minlength=total)
-    owner = np.repeat(np.arange(len(which)), slots)
-    empty = count == 0
-    many = np.bincount(owner, weights=empty, minlength=len(which)) > SPARE
+    sums = [np.bincount(piece, weights=w, minlength=PIECES * total).astype(np.uint64).reshape(-1, PIECES) for w in (
+        (value & np.uint64(0xFFFFFFFF)).astype(np.float64), (value >> np.uint64(32)).astype(np.float64), rare)]
+    # what a part holds without each of its pieces, or all of it where only equal sets link
+    low, high, held = (np.where(np.repeat(equal, count)[:, None], x.sum(axis=1, keepdims=True), x.sum(axis=1, keepdims=True) - x) for x in sums)
+    owner = np.repeat(np.arange(len(sets)), count)
+    # without elements, or with common ones only
+    empty = held == 0
+    weak = np.bincount(owner, weights=empty.any(axis=1), minlength=len(sets)) > spare
     part = (np.arange(total) - first[owner]).astype(np.uint64)
-    names = joined([low, high, part, band[owner].astype(np.uint64)])
-    sent = ~empty | many[owner]
-    return names[sent], which[owner[sent]]
+    place = np.repeat(np.arange(PIECES, dtype=np.uint64)[None, :], total, axis=0)
+    names = joined([low.ravel(), high.ravel(), (part[:, None] * np.uint64(PIECES) + place).ravel(), np.repeat(tag[owner], PIECES)])
+    sent = ((~empty | (weak[owner][:, None] & last)) & ((place == 0) | ~equal[owner][:, None])).ravel()
+    return names[sent], np.repeat(owner, PIECES)[sent], np.flatnonzero(weak)
+
+
+def common_shingles(docs: DataFrame, size: int, most: int = MOST_COMMON) -> np.ndarray:
+    """Shingles that several of a sample of the documents have, at most `most` of them, sorted.
 
+    Which they are decides how many signatures are shared by chance, never which links are found.  The sample is every 64th
+    document by hash, and about 16,384 in smaller tables.
+    """
+    rate = min(1.0, max(1 / 64, 16_384 / max(docs.count(), 1)))
 
-def signed(docs: DataFrame, buckets: int, size: int, percent: int) -> DataFrame:
     def run(batches):
         words = Words(SEPARATORS)
+        for batch in batches:
+            for part in slices(batch, "text", RUN_BYTES):
+                sets = sets_of(texts_of(part), words, size)
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, dtype=np.uint64), *sets]).view(np.int64))], names=["s"])
+
+    taken = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(rate * (1 << 20))).select("text")
+    found = taken.mapInArrow(run, "s bigint").groupBy("s").agg(F.count("*").alias("c")).where("c > 2").orderBy(F.desc("c"), "s").limit(most)
+    return np.sort(np.array([r.s for r in found.collect()], dtype=np.int64).view(np.uint64))
+
+
+def signed(docs: DataFrame, buckets: int, size: int, percent: int, common: np.ndarray) -> DataFrame:
+    sent = docs.sparkSession.sparkContext.broadcast(common)
+
+    def run(batches):
+        words, common = Words(SEPARATORS), sent.value
         starts = np.array([-(-b * (1 << 64) // buckets) for b in range(buckets)], dtype=np.uint64)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", RUN_BYTES):
                 ids = np.array(part.column("doc_id").to_pylist(), dtype=np.int64)
                 seen, kept, sets, copies = {}, [], [], []
                 for k, s in enumerate(sets_of(texts_of(part), words, size)):
@@ -105,7 +167,7 @@ def signed(docs: DataFrame, buckets: int, size: int, percent: int) -> DataFrame:
                             copies += [ids[k], ids[first]]
                 if not kept:
                     continue
-                names, which = signatures(sets, percent)
+                names, which = signatures(sets, percent, common)
                 order = np.argsort(names)
                 names, owners = names[order], ids[kept][which[order]]
                 edges = np.append(np.searchsorted(names, starts), len(names))
@@ -118,17 +180,31 @@ def signed(docs: DataFrame, buckets: int, size: int, percent: int) -> DataFrame:
 
 
 def sharing(table: pa.Table) -> pa.Table:
-    """Links from each document to the smallest one with the same signature, in one bucket."""
+    """Links that connect the documents of a bucket which share signatures: from each to the smallest one it is connected with."""
     names = np.frombuffer(b"".join(table.column("names").to_pylist()), dtype=np.uint64)
     docs = np.frombuffer(b"".join(table.column("docs").to_pylist()), dtype=np.int64)
-    order = np.lexsort((docs, names))
-    names, docs = names[order], docs[order]
-    new = np.ones(len(names), dtype=bool)
-    new[1:] = names[1:] != names[:-1]
-    least = docs[np.flatnonzero(new)][np.cumsum(new) - 1]
     copies = np.frombuffer(b"".join(table.column("copies").to_pylist()), dtype=np.int64).reshape(-1, 2).T
-    pairs = np.unique(np.concatenate([np.stack([docs, least])[:, docs != least], copies], axis=1), axis=1)
-    return pa.table([pa.array(pairs[0]), pa.array(pairs[1])], names=["a", "b"])
+    order = np.argsort(names, kind="stable")
+    names, docs = names[order], docs[order]
+    same = np.append(names[1:] == names[:-1], False)
+    # a link between neighbours joins all documents of a signature
+    ends = np.concatenate([np.stack([docs[:-1][same[:-1]], docs[1:][same[:-1]]]), copies], axis=1)
+    nodes, places = np.unique(ends, return_inverse=True)
+    a, b = places.reshape(2, -1)
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[a], label[b])
+        lower = label.copy()
+        # a node's label and that of its label's node both fall to the least seen
+        for end in (a, b):
+            np.minimum.at(lower, end, least)
+            np.minimum.at(lower, label[end], least)
+        lower = lower[lower]
+        if (lower == label).all():
+            break
+        label = lower
+    moved = label != np.arange(len(nodes))
+    return pa.table([pa.array(nodes[moved]), pa.array(nodes[label[moved]])], names=["a", "b"])
 
 
 def forest(linked: np.ndarray) -> list[tuple[int, int]]:
@@ -188,19 +264,32 @@ def verify(percent: int):
     return run
 
 
+def likely(docs: DataFrame, families: DataFrame) -> DataFrame:
+    """The rows whose id may be in a family, by a bitmap of FILTER_BITS bits, so that few other texts are shuffled to the join.
+
+    The bitmap is a table of 4 KB rows with that many bits in all, whatever the input.
+    """
+    spot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
+    bits = families.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
+    at = docs.withColumn("bucket", F.bitmap_bucket_number(spot)).join(F.broadcast(bits), "bucket")
+    bit = F.bitmap_bit_position(spot)
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return at.where(F.getbit(byte, (bit % 8).cast("int")) == 1).drop("bucket", "bits")
+
+
 def members(docs: DataFrame, families: DataFrame, size: int) -> DataFrame:
     """The shingle sets of the documents that are in a family."""
     def run(batches):
         words = Words(SEPARATORS)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", RUN_BYTES):
                 sets = sets_of(texts_of(part), words, size)
                 blobs = [s.tobytes() for s in sets]
                 digest = pa.array([int(mixed(s + np.uint64(len(s))).sum()).to_bytes(8, "little") + int(joined([s, s >> np.uint64(7)]).sum()).to_bytes(8, "little")
                                    if len(s) else b"" for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("family"), part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), digest,
                                                   pa.array(blobs, pa.binary())], names=["family", "doc_id", "n", "digest", "elements"])
-    return docs.join(families, "doc_id").select("family", "doc_id", "text").mapInArrow(run, MEMBER).where("n > 0")
+    return likely(docs, families).join(families, "doc_id").select("family", "doc_id", "text").mapInArrow(run, MEMBER).where("n > 0")
 
 
 def find_links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -213,8 +302,9 @@ def find_links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
     spark = docs.sparkSession
     docs = own(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).where("doc_id is not null")
     volume = docs.agg(F.sum(F.octet_length(text_or_empty(F.col("text"))))).first()[0] or 0
-    buckets = 2 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), volume >> 25, 1)
-    shares = signed(docs, buckets, size, percent).groupBy("bucket").applyInArrow(sharing, "a bigint, b bigint")
+    # some millions of signatures to a bucket: a document sends at most a link for each bucket
+    buckets = max(24, volume >> 24)
+    shares = signed(docs, buckets, size, percent, common_shingles(docs, size)).groupBy("bucket").applyInArrow(sharing, "a bigint, b bigint")
     families = cut(connected(shares).select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "families")
     sets = cut(members(docs, families, size), "sets", "snappy")
     # equal sets once: the others link to the smallest document that has the set
@@ -255,3 +345,17 @@ def report(docs: DataFrame) -> DataFrame:
     found = groups(docs).withColumnRenamed("component_id", "c")
     return count_shingles(docs, SIZE).join(found, "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("c", "doc_id").alias("component_id"))
+
+
+def representatives(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
+    """The rows of documents in no group and of the smallest id of each group, same columns; of rows with one id, one.
+
+    Rows with a null doc_id stay.
+    """
+    gone = groups(docs, size, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("gone"))
+    kept = docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+    again = cut(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again")), "again")
+    if again.isEmpty():
+        return kept
+    same = F.col("doc_id") == F.col("again")
+    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id"]))

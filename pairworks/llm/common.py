@@ -33,6 +33,15 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def settled(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """`df` with further columns, each computed once for a row however it is used.
+
+    Spark may put a column's expression in the place of its name, also within a lambda that runs for each element, or in a
+    filter.  It does not look through a generator, here one that makes a row of a row.
+    """
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(n) for n, c in columns.items())))))
+
+
 def own(df: DataFrame, *names: str) -> DataFrame:
     """Only the columns an operator reads, so that others cannot clash with those it makes."""
     return df.select(*(df[n] for n in names))

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, free_name, text_or_empty
+from .common import cut, free_name, settled, text_or_empty
 
 # The kinds in their order.  The patterns find what the plain ones would; they start at the previous match or at
 # the beginning of a run and give nothing back, so that long runs cost one walk and no stack.
@@ -48,8 +48,8 @@ def with_matches(df: DataFrame, text: Column, patterns: dict[str, tuple[str, str
     total = lambda values, a, z: F.aggregate(F.sequence(a, z), F.lit(0).cast("long"), lambda sum_, j: sum_ + F.get(values, j))
     made: dict[str, list[str]] = {k: [step(k, x) for x in ("found", "gaps", "sizes", "blocks")] for k in patterns}
     col = {k: [F.col(f"`{x}`") for x in v] for k, v in made.items()}
-    out = df.withColumns({made[k][0]: F.when(text.rlike(hint), F.regexp_extract_all(text, F.lit(p), F.lit(0))) for k, (p, hint) in patterns.items()})
-    out = out.withColumns({made[k][1]: F.when(F.size(col[k][0]) > 0, F.split(text, p, -1)) for k, (p, _) in patterns.items()})
+    out = settled(df, {made[k][0]: F.when(text.rlike(hint), F.regexp_extract_all(text, F.lit(p), F.lit(0))) for k, (p, hint) in patterns.items()})
+    out = settled(out, {made[k][1]: F.when(F.size(col[k][0]) > 0, F.split(text, p, -1)) for k, (p, _) in patterns.items()})
 
     def sizes_of(found, gaps):
         return F.transform(found, lambda m, i: (F.length(m) + F.length(F.get(gaps, i))).cast("long"))
@@ -58,8 +58,8 @@ def with_matches(df: DataFrame, text: Column, patterns: dict[str, tuple[str, str
         return F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / BLOCK).cast("int")),
                            lambda b: total(sizes, b * BLOCK, F.least(b * BLOCK + BLOCK, F.size(sizes)) - 1))
 
-    out = out.withColumns({made[k][2]: F.when(F.size(col[k][0]) > 0, sizes_of(*col[k][:2])) for k in patterns})
-    out = out.withColumns({made[k][3]: F.when(F.size(col[k][0]) > 0, blocks_of(col[k][2])) for k in patterns})
+    out = settled(out, {made[k][2]: F.when(F.size(col[k][0]) > 0, sizes_of(*col[k][:2])) for k in patterns})
+    out = settled(out, {made[k][3]: F.when(F.size(col[k][0]) > 0, blocks_of(col[k][2])) for k in patterns})
 
     def run(kind):
         found, gaps, sizes, blocks = col[kind]
@@ -70,7 +70,7 @@ def with_matches(df: DataFrame, text: Column, patterns: dict[str, tuple[str, str
             return F.struct(end.alias("end"), m.alias("body"), F.right(F.get(gaps, i), F.lit(40)).alias("before"))
         return F.coalesce(F.when(F.size(found) > 0, F.transform(F.transform(found, place), lambda r: F.struct(
             (r.end - F.length(r.body)).alias("start"), r.end.alias("end"), r.body.alias("body"), r.before.alias("before")))), F.array().cast(NO_RUNS))
-    out = out.withColumns({names[k]: run(k) for k in patterns})
+    out = settled(out, {names[k]: run(k) for k in patterns})
     return out.drop(*(x for v in made.values() for x in v))
 
 
@@ -109,18 +109,18 @@ def with_spans(docs: DataFrame, text: Column, base: str, tokens: str) -> DataFra
     """
     names = {k: free_name(docs, f"{base}_{k}") for k in [*KINDS[:4], "token"]}
     raw, t = free_name(docs, f"{base}_text"), F.col(f"`{free_name(docs, f'{base}_text')}`")
-    out = with_matches(docs.withColumn(raw, text_or_empty(text)), t, {**{k: (PATTERNS[k], HINTS[k]) for k in KINDS[:4]}, "token": (TOKEN, "[0-9]")}, names)
+    out = with_matches(settled(docs, {raw: text_or_empty(text)}), t, {**{k: (PATTERNS[k], HINTS[k]) for k in KINDS[:4]}, "token": (TOKEN, "[0-9]")}, names)
 
     def kept(rank, kind):
         return F.transform(F.filter(F.col(f"`{names[kind]}`"), lambda m: valid(kind, m.body)),
                            lambda m: F.struct(m.start.alias("start"), F.lit(rank).alias("rank"), m.end.alias("end")))
 
-    out = out.withColumn(base, F.sort_array(F.concat(*(kept(r, k) for r, k in enumerate(KINDS[:4])))))
+    out = settled(out, {base: F.sort_array(F.concat(*(kept(r, k) for r, k in enumerate(KINDS[:4]))))})
     inner = F.transform(F.col(f"`{names['token']}`"), lambda m: F.struct(m.start.alias("start"), F.regexp_replace(m.body, r"[^A-Za-z0-9]++$", "").alias("body"), m.before.alias("before")))
     body = F.transform(inner, lambda m: F.struct((m.start + F.length(m.body)).alias("end"), F.regexp_replace(m.body, r"^[^A-Za-z0-9]++", "").alias("body"), m.before.alias("before")))
     placed = F.transform(body, lambda m: F.struct((m.end - F.length(m.body)).alias("start"), m.end.alias("end"), m.body.alias("body"), m.before.alias("before")))
     touches = lambda m: F.exists(F.col(f"`{base}`"), lambda b: (b.start < m.end) & (m.start < b.end))
-    out = out.withColumn(tokens, F.filter(placed, lambda m: m.body.rlike("[A-Za-z]") & m.body.rlike("[0-9]") & ~touches(m)))
+    out = settled(out, {tokens: F.filter(placed, lambda m: m.body.rlike("[A-Za-z]") & m.body.rlike("[0-9]") & ~touches(m))})
     return out.drop(raw, *names.values())
 
 
@@ -247,7 +247,7 @@ def find(docs: DataFrame, model: Model, text: str = "text", into: str = "persona
     out = with_spans(docs, docs[text], base, tokens)
     added = F.transform(F.filter(F.col(f"`{tokens}`"), model.personal),
                         lambda m: F.struct(m.start.alias("start"), F.lit(KINDS.index("secret")).alias("rank"), m.end.alias("end")))
-    return out.withColumn(into, F.struct(F.col(f"`{base}`").alias("base"), F.sort_array(F.concat(F.col(f"`{base}`"), added)).alias("spans"))).drop(base, tokens)
+    return settled(out, {into: F.struct(F.col(f"`{base}`").alias("base"), F.sort_array(F.concat(F.col(f"`{base}`"), added)).alias("spans"))}).drop(base, tokens)
 
 
 def listed(spans: Column) -> Column:
@@ -271,7 +271,7 @@ def redact(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         F.concat(F.slice(a, F.lit(1), F.size(a) - 1), F.array(F.struct(last(a).start.alias("start"), last(a).rank.alias("rank"), F.greatest(last(a).end, s.end).alias("end")))))
         .otherwise(F.concat(a, F.array(F.struct(s.start.alias("start"), s.rank.alias("rank"), s.end.alias("end"))))))
     joined = free_name(out, f"{into}_joined")
-    out = out.withColumn(joined, apart)
+    out = settled(out, {joined: apart})
     s = F.col(f"`{joined}`")
     kinds = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
     end_before = lambda i: F.when(i == 0, F.lit(0).cast("long")).otherwise(F.get(s, i - 1).end)

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, free_name, text_or_empty
+from .common import free_name, settled, text_or_empty
 
 # What separates words, and the symbols that are counted.
 BLANKS, SYMBOLS = " \t\n\x0b\x0c\r", "#*$%&|<>"
@@ -40,25 +40,22 @@ def with_counts(docs: DataFrame, text: str = "text", into: str = "counts") -> Da
 
     A null text is empty and counts 0 throughout.  Windows of three words are compared by a 64-bit hash of the words.
     """
-    # steps are columns of their own: Spark computes them once, where nested expressions would be repeated in each use
     into, n = free_name(docs, into), {k: free_name(docs, f"{into}_{k}") for k in ("text", "words", "windows", "lines", "ranked", "places", "counts")}
     t, w, g, lines, r, p, c = (F.col(f"`{x}`") for x in n.values())
-    out = docs.withColumn(n["text"], text_or_empty(docs[text]))
-    out = out.withColumn(n["words"], word_list(t))
-    out = out.withColumns({
-        n["windows"]: F.transform(F.slice(w, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2))),
-        n["lines"]: F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")})
+    out = settled(docs, {n["text"]: text_or_empty(docs[text])})
+    out = settled(out, {n["words"]: word_list(t), n["lines"]: F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "")})
+    out = settled(out, {n["windows"]: F.transform(F.slice(w, F.lit(1), F.greatest(F.size(w) - 2, F.lit(0))), lambda x, i: F.xxhash64(x, F.get(w, i + 1), F.get(w, i + 2)))})
     # only texts that repeat a window at all sort theirs
-    out = out.withColumn(n["ranked"], F.when(F.size(F.array_distinct(g)) < F.size(g), F.sort_array(F.transform(g, lambda x, i: F.struct(x.alias("x"), i.alias("i"))))))
-    out = out.withColumn(n["places"], F.sort_array(F.transform(
-        F.filter(r, lambda e, j: (e.x == F.get(r, j - 1).x) | (e.x == F.get(r, j + 1).x)), lambda e: e.i)))
+    out = settled(out, {n["ranked"]: F.when(F.size(F.array_distinct(g)) < F.size(g), F.sort_array(F.transform(g, lambda x, i: F.struct(x.alias("x"), i.alias("i")))))})
+    out = settled(out, {n["places"]: F.sort_array(F.transform(
+        F.filter(r, lambda e, j: (e.x == F.get(r, j - 1).x) | (e.x == F.get(r, j + 1).x)), lambda e: e.i))})
     covered = F.aggregate(
         F.transform(p, lambda x, j: F.when(j == 0, F.lit(3)).otherwise(F.least(F.lit(3), x - F.get(p, j - 1)))), F.lit(0), lambda a, x: a + x)
-    out = out.withColumn(n["counts"], F.struct(
+    out = settled(out, {n["counts"]: F.struct(
         F.size(w).cast("long").alias("n_words"), F.length(F.translate(t, BLANKS, "")).cast("long").alias("word_chars"),
         removed(t, SYMBOLS).cast("long").alias("n_symbols"), (F.size(lines) - F.size(F.array_distinct(lines))).cast("long").alias("n_dup_lines"),
         F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words"), F.size(lines).alias("n_lines"), F.size(F.array_distinct(w)).alias("n_distinct"),
-        removed(t, CAPITALS).alias("n_capitals"), removed(t, "!?.,;:").alias("n_marks")))
+        removed(t, CAPITALS).alias("n_capitals"), removed(t, "!?.,;:").alias("n_marks"))})
     per = lambda a, b: F.when(c[b] > 0, c[a] / c[b]).otherwise(F.lit(0.0)).cast("double")
     return out.withColumn(into, F.struct(
         *(c[x].alias(x) for x in COUNTS), per("word_chars", "n_words").alias("mean_word"), per("n_symbols", "word_chars").alias("symbols"),
@@ -161,10 +158,9 @@ def learn(docs: DataFrame, labels: DataFrame, most_rows: int = MOST_ROWS) -> lis
     picked = given.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
     # at most `most_rows` rows of two small columns
     rows = with_counts(docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")) \
-        .select("doc_id", "bad", base_failed(F.col("counts")).alias("failed"), (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3)) == 0).alias("prunes"),
+        .where(~base_failed(F.col("counts"))).select("doc_id", "bad", (F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(3)) == 0).alias("prunes"),
                 *(F.col(f"counts.{f}").alias(f) for f in FEATURES)).dropDuplicates(["doc_id"])
-    # the few rows are filtered here: Spark would push the condition down into every step of the counts
-    return cover(sorted((r.asDict() for r in rows.collect() if not r.failed), key=lambda r: r["doc_id"]))
+    return cover(sorted((r.asDict() for r in rows.collect()), key=lambda r: r["doc_id"]))
 
 
 def verdict(rules: list[list[Condition]], c: Column) -> Column:
@@ -191,9 +187,9 @@ def judge(docs: DataFrame, rules: list[list[Condition]], text: str = "text", int
 
 
 def good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are kept, same columns; judged documents are written first, as filters repeat the counts."""
+    """The documents that are kept, same columns."""
     name = free_name(docs, "quality_check")
-    return cut(judge(docs, learn(docs, labels), into=name), "judged").where(F.col(name)["kept"]).select(*(F.col(f"`{c}`") for c in docs.columns))
+    return judge(docs, learn(docs, labels), into=name).where(F.col(name)["kept"]).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def report(docs: DataFrame, labels: DataFrame) -> DataFrame:

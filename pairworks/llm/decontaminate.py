@@ -74,7 +74,7 @@ def keys(ids: np.ndarray, at: np.ndarray, window: int, lengths, beyond: int) ->
             word = np.where(j < lengths, ids[at + j], np.uint64(beyond)) if j < window else np.zeros(len(at), dtype=np.uint64)
             column = (column << np.uint64(BITS)) | word
         columns.append(column)
-    return np.array(columns, dtype=np.uint64).reshape(-1, len(at))
+    return np.array(columns, dtype=np.uint64).reshape(len(columns), len(at))
 
 
 def padding(lengths: np.ndarray, window: int) -> np.ndarray:
@@ -85,7 +85,7 @@ def padding(lengths: np.ndarray, window: int) -> np.ndarray:
         for j in range(c, c + PACK):
             column = (column << np.uint64(BITS)) | np.where(j < lengths, np.uint64(0), most)
         columns.append(column)
-    return np.array(columns, dtype=np.uint64).reshape(-1, len(lengths))
+    return np.array(columns, dtype=np.uint64).reshape(len(columns), len(lengths))
 
 
 def bound(table: np.ndarray, wanted: np.ndarray, after: bool) -> np.ndarray:

@@ -87,22 +87,24 @@ def gain(p0: int, n0: int, p1: int, n1: int) -> float:
 
 
 def thresholds(rows: list[dict], feature: str) -> list[float]:
-    """Middles between distinct values at quantiles."""
-    values = sorted(r[feature] for r in rows)
-    picks = sorted({values[len(values) * k // THRESHOLDS] for k in range(1, THRESHOLDS)} | {values[0], values[-1]})
+    """Middles between distinct values at quantiles of all rows and of the bad ones."""
+    picks = set()
+    for values in (sorted(r[feature] for r in rows), sorted(r[feature] for r in rows if r["bad"])):
+        picks |= {values[len(values) * k // THRESHOLDS] for k in range(THRESHOLDS)} | {values[-1]}
+    picks = sorted(picks)
     return [(a + b) / 2 for a, b in zip(picks, picks[1:])]
 
 
 def grow(rows: list[dict]) -> list[Condition]:
     rule: list[Condition] = []
-    while len(rule) < MOST_CONDITIONS and any(not r["bad"] for r in rows):
+    while len(rule) < MOST_CONDITIONS and len({r["bad"] for r in rows}) == 2:
         positives = sum(r["bad"] for r in rows)
         best, most = None, 1e-9
         for feature in FEATURES:
             # rows in order of the feature give all counts below a threshold in one walk
             ordered = sorted(rows, key=lambda r: r[feature])
             k = low = 0
-            for value in thresholds([r for r in rows if r["bad"]], feature):
+            for value in thresholds(rows, feature):
                 while k < len(ordered) and ordered[k][feature] <= value:
                     low += ordered[k]["bad"]
                     k += 1

@@ -21,7 +21,8 @@ from pairworks.session import build_session  # noqa: E402
 
 HEADLINE = ["relationships", "relationships_named", "infer_pk", "profile", "value_overlap", "parse_pairs", "clean_sql",
             "dedup_sql", "tag_schema", "dataset_joins", "mask_rules", "usage_totals", "budget_prefix", "tasks_all",
-            "render_prompts", "fn_sum", "fn_row_number"]
+            "render_prompts", "fn_sum", "fn_row_number", "budget_accept", "run_rounds", "fix_rounds", "probe", "stream_ingest",
+            "compact_log", "template_pairs", "fn_lag"]
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 

@@ -9,22 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
-# The thirty function names a generation run covers.
-FUNCTIONS = [
-    "COUNT", "SUM", "AVG", "MIN", "MAX", "COALESCE", "NULLIF", "CONCAT", "LENGTH", "SUBSTRING",
-    "LOWER", "UPPER", "TRIM", "REPLACE", "EXTRACT", "DATE_TRUNC", "NOW", "CURRENT_DATE",
-    "CURRENT_TIMESTAMP", "AGE", "TO_CHAR", "ROUND", "CEIL", "FLOOR", "MOD", "ABS",
-    "ROW_NUMBER", "RANK", "LAG", "LEAD",
-]
-
-# PostgreSQL date patterns and their Spark letters, longest first.
-DATE_PATTERNS = [
-    ("YYYY", "yyyy"), ("YY", "yy"), ("Month", "MMMM"), ("Mon", "MMM"), ("MM", "MM"), ("DDD", "DDD"),
-    ("DD", "dd"), ("Day", "EEEE"), ("Dy", "E"), ("HH24", "HH"), ("HH12", "hh"), ("HH", "hh"),
-    ("MI", "mm"), ("SS", "ss"), ("MS", "SSS"), ("US", "SSSSSS"), ("AM", "a"), ("PM", "a"), ("Q", "Q"),
-]
-
-
 def concat(*cols) -> Column:
     """CONCAT skips nulls."""
     return F.concat_ws("", *[c.cast("string") for c in cols])
@@ -46,49 +30,96 @@ def trim(text) -> Column:
 
 
 def extract(part: str, ts) -> Column:
-    part = part.lower()
-    if part == "epoch":
-        return F.unix_micros(ts.cast("timestamp")) / F.lit(1e6)
-    if part == "dow":
-        return F.dayofweek(ts) - 1
-    if part == "isodow":
-        return F.weekday(ts) + 1
-    return F.extract(F.lit(part), ts)
+    part, year, second = part.lower(), F.year(ts), F.extract(F.lit("second"), ts)
+    own = {
+        "epoch": lambda: F.unix_micros(ts.cast("timestamp")) / F.lit(1e6),
+        "dow": lambda: F.dayofweek(ts) - 1,
+        "isodow": lambda: F.weekday(ts) + 1,
+        "isoyear": lambda: F.extract(F.lit("yearofweek"), ts),
+        "decade": lambda: F.floor(year / 10).cast("int"),
+        "century": lambda: F.ceil(year / 100).cast("int"),
+        "millennium": lambda: F.ceil(year / 1000).cast("int"),
+        "milliseconds": lambda: (second * 1000).cast("double"),
+        "microseconds": lambda: (second * 1_000_000).cast("long"),
+    }
+    return own[part]() if part in own else F.extract(F.lit(part), ts)
+
+
+def round_double(x) -> Column:
+    """ROUND of a double goes to the even neighbour of a half; ROUND of a numeric, as Spark's, away from zero."""
+    return F.rint(x)
+
+
+DAY_MICROS = 86_400_000_000
 
 
 def age(later, earlier) -> Column:
-    """AGE as whole months and remaining days: ``struct<months,days>``.
+    """AGE as whole months, remaining days and the rest: ``struct<months,days,micros>``.
 
     A borrowed month has the length of the earlier date's month; negative ages mirror positive ones.
     """
+    later, earlier = later.cast("timestamp"), earlier.cast("timestamp")
     swap = later < earlier
     hi, lo = F.when(swap, earlier).otherwise(later), F.when(swap, later).otherwise(earlier)
-    months = (F.year(hi) - F.year(lo)) * 12 + F.month(hi) - F.month(lo)
-    days = F.dayofmonth(hi) - F.dayofmonth(lo)
-    borrow = days < 0
-    months = F.when(borrow, months - 1).otherwise(months)
-    days = F.when(borrow, days + F.dayofmonth(F.last_day(lo))).otherwise(days)
+    clock = lambda ts: F.unix_micros(ts) - F.unix_micros(F.date_trunc("day", ts))
+    micros = clock(hi) - clock(lo)
+    days = F.dayofmonth(hi) - F.dayofmonth(lo) - F.when(micros < 0, 1).otherwise(0)
+    months = (F.year(hi) - F.year(lo)) * 12 + F.month(hi) - F.month(lo) - F.when(days < 0, 1).otherwise(0)
+    days = F.when(days < 0, days + F.dayofmonth(F.last_day(lo))).otherwise(days)
     sign = F.when(swap, F.lit(-1)).otherwise(F.lit(1))
-    return F.struct((months * sign).alias("months"), (days * sign).alias("days"))
+    return F.struct((months * sign).alias("months"), (days * sign).alias("days"), (F.pmod(micros, F.lit(DAY_MICROS)) * sign).alias("micros"))
 
 
-def spark_date_pattern(pattern: str) -> str:
-    out, i = [], 0
-    while i < len(pattern):
-        for pg, spark in DATE_PATTERNS:
-            if pattern.startswith(pg, i):
-                out.append(spark)
-                i += len(pg)
-                break
-        else:
-            out.append("'" + pattern[i] + "'" if pattern[i].isalpha() else pattern[i])
-            i += 1
-    return "".join(out)
+def _fields(ts) -> dict:
+    """PostgreSQL's date and time fields: a number with its width, or a name by its Spark letters with the width it is padded to."""
+    year, hour = F.year(ts), F.hour(ts)
+    micros = F.pmod(F.unix_micros(ts.cast("timestamp")), F.lit(1_000_000))
+    return {
+        "YYYY": (year, 4), "YYY": (year % 1000, 3), "YY": (year % 100, 2), "Y": (year % 10, 1), "IYYY": (F.extract(F.lit("yearofweek"), ts), 4),
+        "CC": (F.ceil(year / 100), 2), "Q": (F.quarter(ts), 1), "MM": (F.month(ts), 2), "MONTH": ("MMMM", 9), "MON": ("MMM", 3),
+        "IW": (F.weekofyear(ts), 2), "WW": (F.floor((F.dayofyear(ts) - 1) / 7) + 1, 2), "W": (F.floor((F.dayofmonth(ts) - 1) / 7) + 1, 1),
+        "DDD": (F.dayofyear(ts), 3), "DD": (F.dayofmonth(ts), 2), "DAY": ("EEEE", 9), "DY": ("E", 3), "D": (F.dayofweek(ts), 1), "ID": (F.weekday(ts) + 1, 1),
+        "HH24": (hour, 2), "HH12": (F.pmod(hour - 1, F.lit(12)) + 1, 2), "HH": (F.pmod(hour - 1, F.lit(12)) + 1, 2), "MI": (F.minute(ts), 2),
+        "SSSSS": (hour * 3600 + F.minute(ts) * 60 + F.second(ts), 5), "SS": (F.second(ts), 2), "MS": (F.floor(micros / 1000), 3), "US": (micros, 6),
+        "AM": ("a", 2), "PM": ("a", 2)}
 
 
 def to_char(ts, pattern: str) -> Column:
-    """TO_CHAR of a date or timestamp with a PostgreSQL pattern."""
-    return F.date_format(ts, spark_date_pattern(pattern))
+    """TO_CHAR of a date or timestamp with a PostgreSQL pattern.
+
+    Fields are found in either case; names take the case of the field, blank-padded unless FM stands before it; quoted text and
+    marks stay.  Other letters, and with them the patterns of numbers, raise ValueError.
+    """
+    fields, out, i = _fields(ts), [], 0
+    longest_first = sorted(fields, key=len, reverse=True)
+    while i < len(pattern):
+        if pattern[i] == '"':
+            end = pattern.find('"', i + 1)
+            if end < 0:
+                raise ValueError(f"no closing quote in {pattern!r}")
+            out.append(F.lit(pattern[i + 1:end]))
+            i = end + 1
+            continue
+        bare = pattern[i:i + 2].upper() == "FM"
+        at = i + 2 if bare else i
+        name = next((f for f in longest_first if pattern[at:at + len(f)].upper() == f), None)
+        if name is None:
+            if bare or pattern[i].isalnum():
+                raise ValueError(f"no such field in {pattern!r}: {pattern[i:]!r}")
+            out.append(F.lit(pattern[i]))
+            i += 1
+            continue
+        value, width = fields[name]
+        written = pattern[at:at + len(name)]
+        if isinstance(value, str):
+            text = F.date_format(ts, value)
+            text = F.upper(text) if written.isupper() else F.lower(text) if written.islower() else text
+            out.append(text if bare else F.rpad(text, width, " "))
+        else:
+            text = value.cast("string")
+            out.append(text if bare else F.when(F.length(text) < width, F.lpad(text, width, "0")).otherwise(text))
+        i = at + len(name)
+    return F.concat(*out) if out else F.when(ts.isNotNull(), "")
 
 
 def integer_divide(a, b) -> Column:

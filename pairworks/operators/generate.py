@@ -25,7 +25,6 @@ ONE_COLUMN = [
      "SELECT DATE_TRUNC('month', {c}), COUNT(*) FROM {t} GROUP BY 1"),
 ]
 FEW_VALUES = ("How many {t} rows are there for each {c}?", "SELECT {c}, COUNT(*) FROM {t} GROUP BY {c}")
-GROUP_LIMIT = 50
 # Over one relationship t.c -> p.k, and over two in a row t.c -> p.k and p.d -> q.l.
 JOIN = ("How many {t} rows belong to each {p}?",
         "SELECT b.{k}, COUNT(*) FROM {t} a JOIN {p} b ON a.{c} = b.{k} GROUP BY b.{k}")
@@ -58,11 +57,11 @@ def _pair(kind: str, templates: tuple[str, str], **cols) -> list:
     return [F.lit(kind).alias("kind"), cols["t"].alias("table"), say(question, **cols).alias("question"), say(sql, **cols).alias("sql")]
 
 
-def template_pairs(catalog: Catalog, profile: DataFrame, rels: DataFrame | None = None) -> DataFrame:
+def template_pairs(catalog: Catalog, profile: DataFrame, rels: DataFrame | None = None, group_limit: int | None = None) -> DataFrame:
     """``kind, table, question, sql`` from column profiles and relationships.
 
-    Columns are joined to templates on their type family; a column with few values also gets a grouping
-    query, a relationship a query over its two tables, and two in a row one over three.  Columns
+    Columns are joined to templates on their type family; a column with repeated values also gets a grouping
+    query (with ``group_limit``, only one of at most so many values), a relationship a query over its two tables, and two in a row one over three.  Columns
     without values get none.
     """
     spark = catalog.spark
@@ -75,7 +74,7 @@ def template_pairs(catalog: Catalog, profile: DataFrame, rels: DataFrame | None
     either = cols.select("*", F.explode(F.array(F.lit("any"), F.col("family"))).alias("fam"))
     parts = [either.join(templates, "fam").select(F.lit("column").alias("kind"), "table", _fill(F.col("q"), t=t, c=c).alias("question"),
                                                   _fill(F.col("s"), t=t, c=c).alias("sql")),
-             cols.where((F.col("n_distinct") <= GROUP_LIMIT) & (F.col("n_distinct") < F.col("n_rows"))).select(*_pair("group", FEW_VALUES, t=t, c=c))]
+             cols.where((F.lit(True) if group_limit is None else F.col("n_distinct") <= group_limit) & (F.col("n_distinct") < F.col("n_rows"))).select(*_pair("group", FEW_VALUES, t=t, c=c))]
     if rels is not None:
         one = rels.select(F.col("child_table").alias("t"), F.col("child_col").alias("c"), F.col("parent_table").alias("p"), F.col("parent_col").alias("k"))
         two = rels.select(F.col("child_table").alias("p"), F.col("child_col").alias("d"), F.col("parent_table").alias("q"), F.col("parent_col").alias("l"))

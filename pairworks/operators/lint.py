@@ -58,6 +58,23 @@ def uses_function(sql, fn) -> Column:
     return F.regexp_like(sql, F.concat(F.lit(r"(?i)\b"), fn if isinstance(fn, Column) else F.lit(fn), F.lit(r"\b")))
 
 
+# FROM that is no clause: after DISTINCT, and between the arguments of some functions
+NO_CLAUSE = [(r"(?i)\bDISTINCT\s+FROM\b", "DISTINCT"),
+             (r"(?i)\b((?:EXTRACT|TRIM|SUBSTRING|OVERLAY)\s*\((?:[^()]|\([^()]*\))*?)\bFROM\b", "$1,")]
+QUOTED = r"'(?:[^']|'')*'"
+NAMED_QUERY = r'(?iU)(?:\bWITH\s+(?:RECURSIVE\s+)?|,\s*)"?([\w]+)"?\s*(?:\([^()]*\)\s*)?AS\s*(?:(?:NOT\s+)?MATERIALIZED\s*)?\('
+
+
+def query_tables(sql) -> Column:
+    """Lower-cased tables that the SQL reads: names after FROM and JOIN, but for those of its own WITH queries."""
+    plain = F.regexp_replace(sql, QUOTED, "''")
+    for pattern, instead in NO_CLAUSE:
+        plain = F.regexp_replace(plain, pattern, instead)
+    own = F.when(F.regexp_like(plain, F.lit(r"(?i)\bWITH\b")), F.regexp_extract_all(plain, F.lit(NAMED_QUERY), F.lit(1))).otherwise(F.array().cast("array<string>"))
+    names = join_tables(F.translate(plain, '"`', ''))
+    return F.array_except(F.transform(names, F.lower), F.transform(own, F.lower))
+
+
 def unknown_tables(sql, names: list[str]) -> Column:
-    """Lower-cased tables of the SQL that the catalog lacks."""
-    return F.array_except(F.transform(join_tables(sql), F.lower), F.array(*[F.lit(n.lower()) for n in names]))
+    """Tables of the SQL that the catalog lacks."""
+    return F.array_except(query_tables(sql), F.array(*[F.lit(n.lower()) for n in names]))

@@ -14,10 +14,11 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..session import cut_lineage
 from ..sources.catalog import Catalog, schema_subset
+from .windows import row_number
 
 FAIL = "FAIL"
 ORDER = ("task_id", "pos")
-EARLY_LIMIT, PARTS = 1000, 64
+EARLY_LIMIT = 1000
 
 
 # ---------------------------------------------------------------- reading model replies
@@ -85,10 +86,8 @@ def first_of_each(pairs: DataFrame, key: list[str], order: tuple = ORDER, n: int
     """The first ``n`` rows per key.  The limit also applies before the shuffle, so a key that holds
     most rows sends at most ``n`` per task."""
     if n > EARLY_LIMIT:
-        # Spark limits groups before the shuffle only up to this size; beyond it, parts of each group go first
-        part = Window.partitionBy(*key, "part").orderBy(*order)
-        split = pairs.withColumn("part", F.pmod(F.xxhash64(*order), F.lit(PARTS)))
-        pairs = split.withColumn("rn", F.row_number().over(part)).where(F.col("rn") <= n).drop("rn", "part")
+        # Spark limits groups before the shuffle only up to this size; beyond it groups are numbered range by range
+        return row_number(pairs, key, list(order[:-1]), order[-1], "rn").where(F.col("rn") <= n).drop("rn")
     w = Window.partitionBy(*key).orderBy(*order)
     return pairs.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= n).drop("rn")
 
@@ -189,6 +188,11 @@ PHASE_KEYS = {
 }
 
 
+# the tables of a schema tag, in their order
+SCHEMA_TAG = ("struct<tables:map<string,struct<columns:map<string,struct<type:string,comment:string>>,primary_key:string,comment:string,"
+              "foreign_keys:array<struct<referred_table:string,constrained_columns:array<string>,referred_columns:array<string>>>>>>")
+
+
 def dataset_rows(pairs: DataFrame, phase: str, catalog: Catalog | None = None) -> DataFrame:
     """The rows of a phase's dataset; with a catalog, tagged with the schema of the tables mentioned."""
     key = PHASE_KEYS.get(phase, ["question", "sql"])
@@ -197,4 +201,5 @@ def dataset_rows(pairs: DataFrame, phase: str, catalog: Catalog | None = None) -
     kept = first_of_each(drop_failures(pairs), key)
     if catalog is None:
         return kept.select("question", "sql")
-    return tag_schema(kept, catalog).select("question", "sql", "schema")
+    # an object in the written line, not its text
+    return tag_schema(kept, catalog).select("question", "sql", F.from_json("schema", SCHEMA_TAG).alias("schema"))

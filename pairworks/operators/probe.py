@@ -26,7 +26,7 @@ def probe_one(spark: SparkSession, sql: str, n: int = 5) -> tuple[str, bool, str
         spark.sql(f"SELECT * FROM ({sql}) AS _q LIMIT {int(n)}").collect()
         return sql, True, None
     except Exception as err:  # any failure marks the pair
-        return sql, False, str(err).split("\n", 1)[0][:300]
+        return sql, False, str(err)
 
 
 def probe_queries(spark: SparkSession, pairs: DataFrame, n: int = 5, threads: int = 8, batch: int = 1000,

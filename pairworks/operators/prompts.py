@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import text as tx
 from ..functions.hashing import digest, draw
-from .pairs import first_of_each
+from ..session import cut_lineage
+from .windows import row_number
 
 # The mark that opens a message in a template, and the wording of untemplated prompts.
 ROLE_MARK = "### role:"
@@ -63,24 +62,27 @@ def default_prompt(question, markdown, fn=None, examples=None) -> Column:
     return tx.say(DEFAULT_PROMPT, clause=clause, schema=markdown, examples=block, question=question)
 
 
-def fewshot(questions: DataFrame, examples: DataFrame, k: int = 2, buckets: int = 64, seed: int = 0) -> DataFrame:
+def fewshot(questions: DataFrame, examples: DataFrame, k: int = 2, seed: int = 0) -> DataFrame:
     """Adds ``examples``: up to ``k`` example pairs as ``Q:``/``A:`` blocks.
 
-    Examples fall into buckets by hash and each bucket keeps its first ``k``; a question takes those of the
-    bucket it draws, topped up from the overall first ``k``.  At most ``buckets * k`` examples reach the
-    driver, from where they go into the plan as a literal; the questions are neither joined nor shuffled.
+    The distinct examples are numbered in the order of their hash; a question draws a number and takes the ``k`` examples from
+    there on, the first following the last, so every example can be drawn.  Without examples the text is empty; a question
+    that is null draws none and gets null.
     """
     h = digest(seed, F.col("question"), F.col("sql"))
     block = tx.say(EXAMPLE, question=F.col("question"), sql=F.col("sql"))
-    drawn = examples.select("question", "sql").distinct().select(h.alias("h"), draw(h, buckets).alias("bucket"), block.alias("block"))
-    kept = first_of_each(drawn, ["bucket"], ("h",), k).orderBy("h").collect()
-    top = [r.block for r in kept[:k]]
-    lists = []
-    for b in range(buckets):
-        own = [r.block for r in kept if r.bucket == b]
-        lists.append("\n\n".join((own + [t for t in top if t not in own])[:k]))
-    asked = draw(digest(seed, "question", F.col("question")), buckets)
-    return questions.withColumn("examples", F.get(F.array(*[F.lit(t) for t in lists]), asked.cast("int")))
+    hashed = examples.select("question", "sql").distinct().select(h.alias("h"), block.alias("block")).where("h IS NOT NULL")
+    numbered = cut_lineage(row_number(hashed, [], [], "h", "number"))
+    n = numbered.count()
+    if not n:
+        return questions.withColumn("examples", F.when(F.col("question").isNotNull(), ""))
+    # an example is the first of the list of its own number, the second of the number before, and so on
+    places = F.transform(F.sequence(F.lit(0), F.lit(min(k, n) - 1)), lambda j: F.struct(j.alias("j"), F.pmod(F.col("number") - 1 - j, F.lit(n)).alias("drawn")))
+    listed = numbered.select("block", F.explode(places).alias("p")).groupBy(F.col("p.drawn").alias("_drawn")).agg(
+        F.array_sort(F.collect_list(F.struct("p.j", "block"))).alias("bs"))
+    lists = listed.select("_drawn", F.array_join(F.transform("bs", lambda b: b["block"]), "\n\n").alias("examples"))
+    asked = questions.withColumn("_drawn", draw(digest(seed, "question", F.col("question")), n))
+    return asked.join(lists, "_drawn", "left").drop("_drawn")
 
 
 def task_message(tasks: DataFrame, markdown: str, budget_left: float) -> DataFrame:
@@ -98,18 +100,16 @@ def task_message(tasks: DataFrame, markdown: str, budget_left: float) -> DataFra
                                                 F.struct(F.lit("user").alias("role"), user.alias("content"))))
 
 
-_LISTING = re.compile(r"^[^\S\n]*schema:[^\n]*(?:\n(?:-[^\n]*|[^\S\n]*(?=\n|\Z)))*", re.I | re.M)
-_ITEM = re.compile(r"^(-[^:\n]*):[^\n]*", re.M)
-_LINES = re.compile(tx.LINE_END)
+# a schema line without what trails it; the items of a listing, each from the line before on, cut at their first colon
+LISTING_HEAD = r"(?imU)^([^\S\n]*schema:[^\n]*?)[^\S\n]++$"
+LISTING_ITEM = (r"(?imU)((?:^[^\S\n]*schema:[^\n]*|\G(?!\A))(?:\n(?:-[^:\n]*(?=\n|\z)|[^\S\n]*(?=\n|\z)))*+"
+                r"\n-[^:\n]*):[^\n]*")
 
 
-@F.pandas_udf(T.StringType())
-def _short_listings(texts: pd.Series) -> pd.Series:
+def short_listings(text) -> Column:
     """Cut the items of every ``schema:`` listing at their first colon."""
-    def cut(m):
-        head, sep, rest = m.group(0).partition("\n")
-        return head.rstrip() + sep + _ITEM.sub(r"\1", rest)
-    return texts.map(lambda t: _LISTING.sub(cut, _LINES.sub("\n", t).removesuffix("\n")))
+    flat = F.regexp_replace(F.regexp_replace(text, tx.LINE_END, "\n"), r"\n\z", "")
+    return F.regexp_replace(F.regexp_replace(flat, LISTING_HEAD, "$1"), LISTING_ITEM, "$1")
 
 
 def compact_log(text) -> Column:
@@ -129,4 +129,4 @@ def compact_log(text) -> Column:
     short = F.when(tx.is_object(value), listed).otherwise(F.lit("{}"))
     whole = F.concat(before, F.lit("SCHEMA_JSON:\n"), short, F.when(tail != "", F.concat(F.lit("\n\n"), tail)).otherwise(""))
     text = F.when(F.contains(F.lower(text), F.lit("schema_json:")), whole).otherwise(text)
-    return F.when(F.contains(F.lower(text), F.lit("schema:")), _short_listings(text)).otherwise(text)
+    return F.when(F.contains(F.lower(text), F.lit("schema:")), short_listings(text)).otherwise(text)

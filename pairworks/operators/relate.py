@@ -172,14 +172,23 @@ def family(catalog: Catalog, table: str, column: str) -> str | None:
 
 
 def value_form(catalog: Catalog, table: str, column: str) -> Column:
-    """Comparable form of a column: text, or ``struct<l,d>`` with whole numbers as long and others as double."""
+    """Comparable form of a column: text, or ``struct<l,d,x>`` with whole numbers as long, others as double, and as text what
+    neither holds exactly: wider whole numbers, and decimals that no double equals."""
     kind, col = catalog.frames[table].schema[column].dataType, F.col(f"`{column}`")
-    exact = lambda e: F.struct(e.cast("long").alias("l"), F.lit(None).cast("double").alias("d"))
+    exact = lambda e: F.struct(e.cast("long").alias("l"), F.lit(None).cast("double").alias("d"), F.lit(None).cast("string").alias("x"))
+    wide = lambda: col.try_cast("decimal(38,0)").cast("string")
     if isinstance(kind, INTEGRAL):
         return exact(col)
-    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
-        whole = (col == F.floor(col)) & (F.abs(col) < F.lit(9.0e18))
-        return F.struct(F.when(whole, col.try_cast("long")).alias("l"), F.when(~whole, col.cast("double")).alias("d"))
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        small = F.abs(col) < F.lit(9.0e18)
+        whole = (col == F.floor(col)) & small
+        large = ~small & (F.abs(col) < F.lit(1.0e38))
+        return F.struct(F.when(whole, col.try_cast("long")).alias("l"), F.when(~whole & ~large, col.cast("double")).alias("d"), F.when(large, wide()).alias("x"))
+    if isinstance(kind, T.DecimalType):
+        whole, small = col == F.floor(col), F.abs(col) < F.lit(9 * 10**18).cast("decimal(38,0)")
+        same = col.cast("double").try_cast(kind) == col
+        return F.struct(F.when(whole & small, col.try_cast("long")).alias("l"), F.when(~whole & same, col.cast("double")).alias("d"),
+                        F.when(whole & ~small, wide()).when(~whole & ~F.coalesce(same, F.lit(False)), F.regexp_replace(col.cast("string"), "0+$", "")).alias("x"))
     if isinstance(kind, T.BooleanType):
         return exact(col.cast("int"))
     if isinstance(kind, T.DateType):
@@ -236,8 +245,8 @@ def _match_pass(catalog: Catalog, pairs: list[tuple]) -> DataFrame:
             continue
         rows = union_all(frames)
         if kind == "number":
-            value = [F.col("v.l").alias("l"), F.col("v.d").alias("d")]
-            rows = rows.where(F.col("v.l").isNotNull() | F.col("v.d").isNotNull())
+            value = [F.col(f"v.{k}").alias(k) for k in "ldx"]
+            rows = rows.where(F.col("v.l").isNotNull() | F.col("v.d").isNotNull() | F.col("v.x").isNotNull())
         else:
             value = [F.col("v").alias("s")]
             rows = rows.where(F.col("v").isNotNull())
@@ -348,7 +357,7 @@ def apply_verdicts(cands: DataFrame, verdicts: DataFrame, on: list[str], keep: b
 def parse_suggested(replies: DataFrame, text: str = "text", catalog: Catalog | None = None) -> DataFrame:
     """Relationships proposed as probe queries, one per line, in both directions at confidence 0.5.
 
-    With a catalog, proposals whose tables or columns do not exist are dropped.
+    With a catalog, names take its spelling, and proposals whose tables or columns do not exist are dropped.
     """
     line = F.rtrim(strip_bullet(F.col("line")))
     sql = strip(F.rtrim(line, F.lit(";")))
@@ -359,8 +368,9 @@ def parse_suggested(replies: DataFrame, text: str = "text", catalog: Catalog | N
                         part(4).alias("parent_col")).distinct()
     if catalog is not None:
         for side in ("child", "parent"):
-            known = catalog.columns_df.select(F.col("table").alias(f"{side}_table"), F.col("name").alias(f"{side}_col"))
-            rels = rels.join(known, [f"{side}_table", f"{side}_col"], "left_semi")
+            known = catalog.columns_df.select(F.col("table").alias("t"), F.col("name").alias("c"))
+            same = (F.lower(f"{side}_table") == F.lower("t")) & (F.lower(f"{side}_col") == F.lower("c"))
+            rels = rels.join(known, same).withColumns({f"{side}_table": F.col("t"), f"{side}_col": F.col("c")}).drop("t", "c").distinct()
     return both_ways(rels.select(*ENDS, F.lit(SUGGESTED).alias("confidence"), F.lit(2).alias("source")))
 
 

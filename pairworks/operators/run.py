@@ -52,7 +52,7 @@ def run_phase(tasks: DataFrame, catalog: Catalog, template: str, completer: Call
     """
     numbered = tasks.where(F.col("phase") == phase).withColumn("task_id", F.concat_ws("-", "phase_id", "pos")).drop("pos", "metadata")
     found = run_rounds(numbered, table_prompts(catalog, template, n_rows), completer, k, batch, check or (lambda p: p), rounds)
-    pairs = found.withColumn("pos", F.col("round") * F.lit(1_000_000) + F.col("pos"))
+    pairs = found.withColumn("pos", F.struct("round", "pos"))
     if probe:
         pairs = mark_failures(probe_queries(catalog.spark, drop_failures(pairs)))
     answers = "answer" in PHASE_KEYS.get(phase, [])

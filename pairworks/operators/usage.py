@@ -9,11 +9,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
+from .windows import SPAN, running_sum, starts
 
 # Price in USD per 1,000 tokens in and out.
 IN_PRICE, OUT_PRICE = 0.005, 0.015
 
 MICROS = 1_000_000
+LAST = (1 << 63) - 1
 
 
 def cost(in_tok, out_tok) -> Column:
@@ -38,92 +40,78 @@ def remaining_budget(usage: DataFrame, budget: float) -> DataFrame:
     return totals.withColumn("budget_left", F.round(F.lit(budget) - F.col("cost_usd"), 6))
 
 
-def running_sum(df: DataFrame, key: str, order: str, value: str, out: str, span: int) -> DataFrame:
-    """Running sum of ``value`` per key in ``order``.
-
-    The order column is cut into spans: sums of spans give each span's start, then every span is summed
-    alone, so a key that holds most rows is spread over many tasks.
-    """
-    cut = df.withColumn("span", F.call_function("div", F.col(order), F.lit(span)))
-    totals = cut.groupBy(key, "span").agg(F.sum(value).alias("part"))
-    before = Window.partitionBy(key).orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
-    starts = totals.select(key, "span", F.coalesce(F.sum("part").over(before), F.lit(0)).alias("start"))
-    inside = Window.partitionBy(key, "span").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    return (cut.join(starts, [key, "span"])
-            .withColumn(out, F.col("start") + F.sum(value).over(inside)).drop("span", "start"))
-
-
-def stop_at_budget(usage: DataFrame, budget: float, span: int = 1_000_000) -> DataFrame:
+def stop_at_budget(usage: DataFrame, budget: float, span: int = SPAN) -> DataFrame:
     """Adds ``accepted``: the requests before the first that would exceed the budget."""
     priced = usage.withColumn("micros", cost_micros(F.col("in_tok"), F.col("out_tok")))
-    run = running_sum(priced, "run_id", "seq", "micros", "spent", span)
-    return run.withColumn("accepted", F.col("spent") <= round(budget * MICROS)).drop("micros", "spent")
+    run = running_sum(priced, ["run_id"], ["seq"], "micros", "spent", span)
+    return run.withColumn("accepted", F.col("spent") <= round(budget * MICROS)).drop("micros", "spent", "_key", "_part")
 
 
-def _first_event(rows: DataFrame, span: int) -> DataFrame:
-    """Per run, the first request that halves what is left: ``run_id, seq, spent``.
+def _first_event(rows: DataFrame) -> DataFrame:
+    """Per run, the first request that halves what is left: ``_key, at, spent``.
 
     ``rows`` are undecided and affordable.  Small requests, up to half of ``left``, are accepted as long as
     more than half is left; the event is the small one that ends this, or the first larger one that fits.
     """
     small = F.when(F.col("micros") * 2 <= F.col("left"), F.col("micros")).otherwise(0)
-    cut = rows.withColumn("span", F.call_function("div", F.col("seq"), F.lit(span))).withColumn("small", small)
-    before = Window.partitionBy("run_id", "span").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    cut = rows.withColumn("small", small)
+    before = Window.partitionBy("_key", "_part").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
     local = cut.withColumn("prior", F.coalesce(F.sum("small").over(before), F.lit(0)))
-    # what must have been spent at most before the span for a large request in it to fit
+    # what must have been spent at most before the range for a large request in it to fit
     need = F.when(F.col("small") == 0, F.col("micros") + F.col("prior"))
-    spans = local.groupBy("run_id", "span").agg(F.first("left").alias("left"), F.sum("small").alias("part"), F.min(need).alias("need"))
-    earlier = Window.partitionBy("run_id").orderBy("span").rowsBetween(Window.unboundedPreceding, -1)
-    spans = spans.withColumn("start", F.coalesce(F.sum("part").over(earlier), F.lit(0)))
+    parts = local.groupBy("_key", "_part").agg(F.first("left").alias("left"), F.sum("small").alias("part"), F.min(need).alias("need"))
+    parts = parts.join(starts(parts, "part", "start"), ["_key", "_part"])
     hit = ((F.col("start") + F.col("part")) * 2 >= F.col("left")) | (F.col("start") + F.col("need") <= F.col("left"))
-    first = spans.where(hit).groupBy("run_id").agg(F.min_by(F.struct("span", "start"), "span").alias("s"))
-    hits = cut.join(first.select("run_id", F.col("s.span").alias("span"), F.col("s.start").alias("start")), ["run_id", "span"])
+    first = parts.where(hit).groupBy("_key").agg(F.min_by(F.struct("_part", "start"), "_part").alias("s"))
+    hits = cut.join(first.select("_key", F.col("s._part").alias("_part"), F.col("s.start").alias("start")), ["_key", "_part"])
     inside = (hits.withColumn("prior", F.col("start") + F.coalesce(F.sum("small").over(before), F.lit(0)))
               .withColumn("spent", F.col("prior") + F.col("micros")))
     event = F.when(F.col("small") > 0, F.col("spent") * 2 >= F.col("left")).otherwise(F.col("spent") <= F.col("left"))
-    return inside.where(event).groupBy("run_id").agg(F.min(F.struct("seq", "spent")).alias("e")).select("run_id", "e.seq", "e.spent")
+    return inside.where(event).groupBy("_key").agg(F.min(F.struct("at", "spent")).alias("e")).select("_key", "e.at", "e.spent")
 
 
-def apply_budget(usage: DataFrame, budget: float, span: int = 1_000_000) -> DataFrame:
+def apply_budget(usage: DataFrame, budget: float, span: int = SPAN) -> DataFrame:
     """Adds ``accepted``: each request in turn passes if it still fits; one that does not costs nothing.
 
     This is not a prefix of the run: a cheaper request may pass after a refused one.  A running sum finds
     the first refusal of every run; from there on each round finds, for all runs at once, the request at
     which what is left at least halves.  So the number of rounds is at most the logarithm of the dearest
-    over the cheapest request, each over fewer rows, and no run is ever gathered in one task.
+    over the cheapest request, each over fewer rows, and no run is ever gathered in one task.  Requests
+    without a run are a run of their own; one without ``seq`` comes last in its run.
     """
     total = round(budget * MICROS)
-    priced = usage.withColumn("micros", cost_micros(F.col("in_tok"), F.col("out_tok")))
-    fits = priced.where((F.col("micros") > 0) & (F.col("micros") <= total)).select("run_id", "seq", "micros")
-    summed = running_sum(fits, "run_id", "seq", "micros", "spent", span)
+    # a run as a value that is never null, and the place in it
+    priced = (usage.withColumn("micros", cost_micros(F.col("in_tok"), F.col("out_tok")))
+              .withColumn("_key", F.struct("run_id")).withColumn("at", F.coalesce(F.col("seq").cast("long"), F.lit(LAST))))
+    fits = priced.where((F.col("micros") > 0) & (F.col("micros") <= total)).select("run_id", "at", "micros")
+    summed = cut_lineage(running_sum(fits, ["run_id"], ["at"], "micros", "spent", span))
     over = F.col("spent") > total
-    stops = cut_lineage(summed.groupBy("run_id").agg(
-        F.min(F.when(over, F.col("seq"))).alias("stop"),
-        F.lit(total) - F.coalesce(F.max(F.when(~over, F.col("spent"))), F.lit(0))).toDF("run_id", "stop", "left"))
-    open_ = cut_lineage(fits.join(stops, "run_id").where((F.col("seq") > F.col("stop")) & (F.col("micros") <= F.col("left")))
-                        .select("run_id", "seq", "micros", "left"))
-    events = None
+    stops = cut_lineage(summed.groupBy("_key").agg(
+        F.min(F.when(over, F.col("at"))).alias("stop"),
+        (F.lit(total) - F.coalesce(F.max(F.when(~over, F.col("spent"))), F.lit(0))).alias("left")))
+    open_ = cut_lineage(summed.join(stops, "_key").where((F.col("at") > F.col("stop")) & (F.col("micros") <= F.col("left")))
+                        .select("_key", "_part", "at", "micros", "left"))
+    events = stops.limit(0).select("_key", F.col("stop").alias("at"), F.col("left").alias("spent"))
     while True:
-        found = cut_lineage(_first_event(open_, span))
+        found = cut_lineage(_first_event(open_))
         if found.isEmpty():
             break
-        events = found if events is None else events.unionByName(found)
-        marks = found.select("run_id", F.col("seq").alias("at"), "spent")
-        open_ = cut_lineage(open_.join(marks, "run_id").where(F.col("seq") > F.col("at"))
+        events = events.unionByName(found)
+        marks = found.select("_key", F.col("at").alias("mark"), "spent")
+        open_ = cut_lineage(open_.join(marks, "_key").where(F.col("at") > F.col("mark"))
                             .withColumn("left", F.col("left") - F.col("spent")).where(F.col("micros") <= F.col("left"))
-                            .select("run_id", "seq", "micros", "left"))
+                            .select("_key", "_part", "at", "micros", "left"))
     # the events of a run cut what follows its first refusal into stretches, each with what was left at its start
-    found = (stops.select("run_id").limit(0).selectExpr("run_id", "0L AS seq", "0L AS spent") if events is None else events)
-    by_run = found.groupBy("run_id").agg(F.array_sort(F.collect_list(F.struct("seq", "spent"))).alias("es"))
-    judged = priced.join(stops.join(by_run, "run_id", "left"), "run_id", "left")
-    before = F.filter("es", lambda e: e["seq"] < F.col("seq"))
+    by_run = events.groupBy("_key").agg(F.array_sort(F.collect_list(F.struct("at", "spent"))).alias("es"))
+    judged = priced.join(stops.join(by_run, "_key", "left"), "_key", "left")
+    before = F.filter("es", lambda e: e["at"] < F.col("at"))
     left = F.col("left") - F.coalesce(F.aggregate(before, F.lit(0).cast("long"), lambda acc, e: acc + e["spent"]), F.lit(0))
-    is_event = F.coalesce(F.exists("es", lambda e: e["seq"] == F.col("seq")), F.lit(False))
+    is_event = F.coalesce(F.exists("es", lambda e: e["at"] == F.col("at")), F.lit(False))
     late = is_event | (F.col("micros") * 2 <= left)
-    early = F.col("stop").isNull() | (F.col("seq") < F.col("stop"))
+    early = F.col("stop").isNull() | (F.col("at") < F.col("stop"))
     accepted = (F.when(F.col("micros") == 0, True).when(F.col("micros") > total, False).when(early, True)
-                .when(F.col("seq") == F.col("stop"), False).otherwise(late))
-    return judged.withColumn("accepted", accepted).drop("micros", "es", "stop", "left")
+                .when(F.col("at") == F.col("stop"), False).otherwise(late))
+    return judged.withColumn("accepted", accepted).drop("micros", "es", "stop", "left", "at", "_key")
 
 
 def progress(pairs: DataFrame) -> DataFrame:

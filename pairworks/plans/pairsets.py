@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import lint, pairs, probe, table_sets, usage
-from ..session import scratch_path, spread
+from ..session import scratch_path
 from ..sources import jsonl
 from ..streaming import ingest
 from . import checks as ck
@@ -67,13 +67,13 @@ def firsts(source, key, order="task_id, pos", n=1):
 
 @query("clean_sql", f"""SELECT doc_id, md5({ck.clean("text || ' ;;'")}) AS digest FROM documents""")
 def clean_sql(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.md5(tx.clean_sql(F.concat("text", F.lit(" ;;")))).alias("digest"))
 
 
 @query("strip_fence", """SELECT doc_id, md5(regexp_replace(trim(trim('```sql' || chr(10) || text || ' ```', chr(10) || ' '), '`'), '(?i)^sql\\s*', '')) AS digest FROM documents""")
 def strip_fence(spark, sf_dir):
-    docs = spread(table(spark, sf_dir, "documents"))
+    docs = table(spark, sf_dir, "documents")
     return docs.select("doc_id", F.md5(tx.strip_fence(F.concat(F.lit("```sql\n"), "text", F.lit(" ```")))).alias("digest"))
 
 
@@ -188,7 +188,7 @@ def lint_required(spark, sf_dir):
 
 
 @query("lint_unknown_table", f"""WITH {P}, u AS (SELECT task_id, pos, list_filter(list_transform({TABLES_OF.format(x='sql')}, lambda t: lower(t)),
-lambda t: NOT list_contains({KNOWN}, t)) AS us FROM c) SELECT task_id, pos, array_to_string(list_sort(us), ',') AS unknown FROM u WHERE len(us) > 0""")
+lambda t: NOT list_contains({KNOWN}, t) AND NOT contains(lower(sql), 'with ' || t || ' as')) AS us FROM c) SELECT task_id, pos, array_to_string(list_sort(us), ',') AS unknown FROM u WHERE len(us) > 0""")
 def lint_unknown_table(spark, sf_dir):
     cleaned = feed(spark, sf_dir, PAIRS).withColumn("sql", tx.clean_sql(F.col("sql")))
     unknown = cleaned.select("task_id", "pos", F.array_sort(lint.unknown_tables(F.col("sql"), NAMES)).alias("u"))

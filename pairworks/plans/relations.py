@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions.similarity import cosine
 from ..operators import generate, pairs, profile, relate, table_sets
 from ..operators.mask import FIRST, LAST, WORDS, mask
-from ..session import scratch_path, spread
+from ..session import scratch_path
 from ..sources import catalog as cat
 from ..sources import jsonl, samples
 from . import checks as ck
@@ -121,7 +121,7 @@ o_orderkey % 2 = 0 AS flag
 FROM orders JOIN customer ON o_custkey = c_custkey""")
 def mask_rules(spark, sf_dir):
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    rows = spread(orders).join(customer.select("c_custkey", "c_name"), orders.o_custkey == customer.c_custkey).select(
+    rows = orders.join(customer.select("c_custkey", "c_name"), orders.o_custkey == customer.c_custkey).select(
         F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount"), F.col("o_orderdate").alias("at"),
         F.col("o_orderdate").cast("date").alias("day"), F.col("c_name").alias("user_email"), F.col("c_name").alias("username"),
         F.col("o_orderstatus").alias("datetime_txt"), F.col("o_orderstatus").alias("time_txt"),
@@ -335,9 +335,20 @@ def embedding_cosine(spark, sf_dir):
     return a.join(b, "vec_id").select("vec_id", F.round(cosine(F.col("embedding"), F.col("other")), 6).alias("similarity"))
 
 
+@query("wide_keys", """SELECT count(DISTINCT o_custkey) AS n_values,
+count(DISTINCT o_custkey) FILTER (o_custkey IN (SELECT c_custkey FROM customer WHERE c_custkey % 2 = 0)) AS n_matched FROM orders""")
+def wide_keys(spark, sf_dir):
+    """Keys too wide for a long or a double to tell apart."""
+    wide = lambda c: (F.col(c).cast("decimal(38,0)") + F.lit(str(10**19)).cast("decimal(38,0)")).cast("decimal(38,0)").alias(c)
+    frames = {"orders": table(spark, sf_dir, "orders").select(wide("o_custkey")),
+              "customer": table(spark, sf_dir, "customer").where("c_custkey % 2 = 0").select(wide("c_custkey"))}
+    c = cat.load_catalog(spark, frames, keys={"customer": "c_custkey"})
+    return relate.match_counts(c, [("orders", "o_custkey", "customer", "c_custkey")]).select("n_values", "n_matched")
+
+
 # ---------------------------------------------------------------- pairs from metadata
 
-ONE, GROUP = generate.ONE_COLUMN, generate.GROUP_LIMIT
+ONE = generate.ONE_COLUMN
 KIND_OF = {ty: generate.FAMILIES.get(ty) for ty in ("BIGINT", "INTEGER", "DOUBLE PRECISION", "TEXT", "TIMESTAMP")}
 
 
@@ -350,7 +361,7 @@ tpl(fam, q, s) AS ({ck.values([(f, q, s) for _, f, q, s in ONE])}),
 typed AS (SELECT cols.t, cols.c, fam.fam, n_distinct, n_rows FROM cols JOIN fam ON fam.ty = cols.ty JOIN prof ON prof.t = cols.t AND prof.c = cols.c WHERE n_nonnull > 0)
 SELECT 'column' AS kind, t AS "table", replace(replace(q, '{{t}}', t), '{{c}}', c) AS question, replace(replace(s, '{{t}}', t), '{{c}}', c) AS sql
 FROM typed JOIN tpl ON tpl.fam = typed.fam OR tpl.fam = 'any'
-UNION ALL SELECT 'group', t, {_fill_sql(generate.FEW_VALUES[0])}, {_fill_sql(generate.FEW_VALUES[1])} FROM typed WHERE n_distinct <= {GROUP} AND n_distinct < n_rows
+UNION ALL SELECT 'group', t, {_fill_sql(generate.FEW_VALUES[0])}, {_fill_sql(generate.FEW_VALUES[1])} FROM typed WHERE n_distinct < n_rows
 UNION ALL SELECT 'join', t, 'How many ' || t || ' rows belong to each ' || p || '?',
 'SELECT b.' || k || ', COUNT(*) FROM ' || t || ' a JOIN ' || p || ' b ON a.' || c || ' = b.' || k || ' GROUP BY b.' || k FROM nm
 UNION ALL SELECT 'chain', x.t, 'How many ' || x.t || ' rows belong to each ' || y.p || ' by way of ' || x.p || '?',

@@ -138,14 +138,9 @@ def default_prompt(spark, sf_dir):
 
 @query("fewshot", f"""WITH {P}, d AS (SELECT DISTINCT question, sql FROM p),
 e AS (SELECT md5('0|' || question || '|' || sql) AS h, 'Q: ' || question || chr(10) || 'A: ```SQL' || chr(10) || sql || chr(10) || '```' AS block FROM d),
-b AS (SELECT *, {ck.hex_draw('h', 64)} AS bucket FROM e),
-r AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY h) AS rn FROM b), kept AS (SELECT * FROM r WHERE rn <= 2),
-top AS (SELECT h, block FROM kept ORDER BY h LIMIT 2),
-filled AS (SELECT g.bucket, x.h, x.block, x.src FROM range(64) g(bucket), LATERAL (SELECT h, block, 0 AS src FROM kept WHERE kept.bucket = g.bucket
-  UNION ALL SELECT h, block, 1 FROM top WHERE h NOT IN (SELECT h FROM kept WHERE kept.bucket = g.bucket)) x),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY bucket ORDER BY src, h) AS rn FROM filled),
-lists AS (SELECT bucket, string_agg(block, chr(10) || chr(10) ORDER BY src, h) AS examples FROM ranked WHERE rn <= 2 GROUP BY bucket)
-SELECT conv_id, turn, md5(examples) AS examples FROM conversations JOIN lists ON lists.bucket = {ck.hex_draw("md5('0|question|' || text)", 64)}""")
+r AS (SELECT block, row_number() OVER (ORDER BY h) - 1 AS i FROM e), n AS (SELECT count(*) AS n FROM r),
+lists AS (SELECT a.i, a.block || chr(10) || chr(10) || b.block AS examples FROM n, r a JOIN r b ON b.i = (a.i + 1) % n.n)
+SELECT conv_id, turn, md5(examples) AS examples FROM n, conversations JOIN lists ON lists.i = {ck.hex_draw("md5('0|question|' || text)", "n.n")}""")
 def fewshot(spark, sf_dir):
     questions = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("question"))
     return prompts.fewshot(questions, feed(spark, sf_dir, PAIRS)).select("conv_id", "turn", F.md5("examples").alias("examples"))

@@ -109,14 +109,16 @@ def load_catalog(spark: SparkSession, sources, keys=None, fks=None, comments=Non
 def declared_keys(constraints: DataFrame, usage: DataFrame, references: DataFrame) -> tuple[dict, list]:
     """Keys and foreign keys from the views of an information schema, for ``load_catalog``.
 
-    Only metadata comes to the driver: one row per constraint.
+    A constraint's name need only be unique within its table, so ``references`` should name the table too; without that,
+    foreign keys of one name in several tables are mixed up.  Only metadata comes to the driver: one row per constraint.
     """
-    kind = constraints.select("constraint_name", "constraint_type")
-    cols = usage.join(kind, "constraint_name")
+    own = [c for c in ("table_name", "constraint_name") if c in constraints.columns]
+    cols = usage.join(constraints.select(*own, "constraint_type").distinct(), own)
+    named = [c for c in ("table_name", "constraint_name") if c in references.columns]
     keys = cols.where("constraint_type = 'PRIMARY KEY' AND ordinal_position = 1").select("table_name", "column_name").collect()
     target = usage.select(F.col("constraint_name").alias("unique_constraint_name"), F.col("table_name").alias("referred_table"),
                           F.col("column_name").alias("referred"), F.col("ordinal_position").alias("position_in_unique_constraint"))
-    fks = (cols.where("constraint_type = 'FOREIGN KEY'").join(references.select("constraint_name", "unique_constraint_name"), "constraint_name")
+    fks = (cols.where("constraint_type = 'FOREIGN KEY'").join(references.select(*named, "unique_constraint_name"), named)
            .join(target, ["unique_constraint_name", "position_in_unique_constraint"])
            .groupBy("table_name", "constraint_name", "referred_table")
            .agg(F.array_sort(F.collect_list(F.struct("ordinal_position", "column_name", "referred"))).alias("cols"))
@@ -125,6 +127,13 @@ def declared_keys(constraints: DataFrame, usage: DataFrame, references: DataFram
             [(r.table_name, [c.column_name for c in r.cols], r.referred_table, [c.referred for c in r.cols]) for r in fks])
 
 
+# which unique constraint each foreign key of a schema refers to, with its table
+REFERENCES = """SELECT t.relname AS table_name, f.conname AS constraint_name, u.conname AS unique_constraint_name
+FROM pg_constraint f JOIN pg_class t ON t.oid = f.conrelid JOIN pg_namespace n ON n.oid = t.relnamespace
+JOIN pg_constraint u ON u.conindid = f.conindid AND u.conrelid = f.confrelid AND u.contype IN ('p', 'u')
+WHERE f.contype = 'f' AND n.nspname = '{schema}'"""
+
+
 def load_jdbc_catalog(spark: SparkSession, url: str, schema: str = "public", properties=None, **meta) -> Catalog:
     """The catalog of a database's tables with its declared keys; filters and column choices reach the database."""
     props = properties or {}
@@ -132,7 +141,8 @@ def load_jdbc_catalog(spark: SparkSession, url: str, schema: str = "public", pro
     tables = view("tables").where((F.col("table_schema") == schema) & (F.col("table_type") == "BASE TABLE"))
     names = [r.table_name for r in tables.select("table_name").orderBy("table_name").collect()]
     here = lambda name: view(name).where(F.col("constraint_schema") == schema)
-    keys, fks = declared_keys(here("table_constraints"), here("key_column_usage"), here("referential_constraints"))
+    references = spark.read.jdbc(url, f"({REFERENCES.format(schema=schema.replace(chr(39), chr(39) * 2))}) AS r", properties=props)
+    keys, fks = declared_keys(here("table_constraints"), here("key_column_usage"), references)
     frames = {n: spark.read.jdbc(url, f'"{schema}"."{n}"', properties=props) for n in names}
     return load_catalog(spark, frames, **({"keys": keys, "fks": fks} | meta))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,10 +22,10 @@ def read_jsonl(spark: SparkSession, path: str, schema) -> DataFrame:
 
 
 def write_version(df: DataFrame, root: str, phase: str, run_version: str) -> str:
-    """Replace one version of a phase's dataset and leave the others alone."""
+    """Replace one version of a phase's dataset, also by no rows, and leave the others alone."""
     path = f"{root.rstrip('/')}/{phase}"
-    (df.withColumn("run_version", F.lit(run_version)).write.mode("overwrite").partitionBy("run_version")
-     .option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", "false").json(path))
+    folder = re.sub(r'[\x00-\x1f"#%\'*/:=?\\{\[\]^\x7f]', lambda m: f"%{ord(m.group()):02X}", run_version)
+    write_jsonl(df, f"{path}/run_version={folder}")
     return path
 
 

@@ -8,7 +8,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .catalog import Catalog, union_all
+from .catalog import Catalog, local_frame
 from .jsonl import write_version
 from ..operators.mask import mask
 
@@ -26,29 +26,32 @@ def sample_rows(df: DataFrame, n: int = 5, order_by=None) -> DataFrame:
     if not isinstance(order_by, str):
         return df.orderBy(*order_by).limit(n)
     least = [r[0] for r in df.select(order_by).where(F.col(order_by).isNotNull()).orderBy(order_by).limit(n).collect()]
-    return df.where(F.col(order_by).isin(least)).orderBy(order_by).limit(n)
+    # rows without a key come last, so they are looked for where the keys are too few
+    wanted = F.col(order_by).isin(least) if len(least) == n else F.col(order_by).isin(least) | F.col(order_by).isNull()
+    return df.where(wanted).orderBy(F.asc_nulls_last(order_by)).limit(n)
 
 
-def sample_all(catalog: Catalog, n: int = 2) -> DataFrame:
-    """``table, pos, row`` (JSON) for the first ``n`` rows of every table; tables that cannot be read are skipped."""
-    parts = []
+def _texts(catalog: Catalog, n: int, change) -> DataFrame:
+    """``table, row`` (JSON) of the first ``n`` rows of each table; the few rows are read now, so that a table that cannot be
+    read is left out and not an error of all."""
+    found = []
     for name, df in catalog.frames.items():
         try:
-            top = sample_rows(df, n, catalog.keys.get(name))
+            top = change(sample_rows(df, n, catalog.keys.get(name)))
+            found += [(name, r.row) for r in top.select(F.to_json(F.struct(*top.columns), {"ignoreNullFields": "false"}).alias("row")).collect()]
         except PySparkException as err:
             log.warning("no sample of %s: %s", name, err)
-            continue
-        parts.append(top.select(F.lit(name).alias("table"),
-                                F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("row")))
-    return union_all(parts)
+    return local_frame(catalog.spark, found, "table string, row string")
+
+
+def sample_all(catalog: Catalog, n: int = 2) -> DataFrame:
+    """``table, row`` (JSON) for the first ``n`` rows of every table; tables that cannot be read are skipped."""
+    return _texts(catalog, n, lambda df: df)
 
 
 def masked_samples(catalog: Catalog, n: int = 2, **rules) -> DataFrame:
     """As ``sample_all`` with every value masked."""
-    masked = {t: mask(sample_rows(df, n, catalog.keys.get(t)), **rules) for t, df in catalog.frames.items()}
-    return union_all([df.select(F.lit(t).alias("table"),
-                                F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("row"))
-                      for t, df in masked.items()])
+    return _texts(catalog, n, lambda df: mask(df, **rules))
 
 
 def export_samples(catalog: Catalog, root: str, run_version: str, n: int = 2, **rules) -> str:

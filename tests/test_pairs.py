@@ -128,6 +128,22 @@ def test_tag_schema(spark):
     assert pairs.tag_schema(frame(spark, [(1, 0, "q", "SELECT l_partkey")]), c, word_boundary=True).first().tables == []
 
 
+def test_written_schema_is_an_object_and_empty_rewrites_clear(spark, tmp_path):
+    c = cat.load_catalog(spark, {"t": spark.range(1)})
+    rows = pairs.dataset_rows(frame(spark, [(1, 0, "q", "SELECT * FROM t")]), "joins", c)
+    path = jsonl.write_version(rows, str(tmp_path), "joins", "v1")
+    assert list(json.loads(spark.read.text(path).first().value)["schema"]["tables"]) == ["t"]
+    jsonl.write_version(rows, str(tmp_path), "joins", "v2")
+    jsonl.write_version(rows.limit(0), str(tmp_path), "joins", "v1")
+    assert [jsonl.read_version(spark, str(tmp_path), "joins", v, "question string").count() for v in ("v1", "v2")] == [0, 1]
+
+
+def test_first_of_each_for_large_n(spark):
+    df = spark.range(6000).select((F.col("id") % 2).alias("task_id"), F.col("id").alias("pos"))
+    got = pairs.first_of_each(df, ["task_id"], ("pos",), 1500)
+    assert got.count() == 3000 and got.agg(F.max("pos")).first()[0] == 2999
+
+
 def test_datasets_and_versions(spark, tmp_path):
     df = frame(spark, [(1, 0, "q", "SELECT * FROM t;"), (1, 1, "q2", "SELECT * FROM t"), (2, 0, "q", "FAIL")])
     rows = pairs.dataset_rows(df, "single_table", cat.load_catalog(spark, {"t": spark.range(1)}))
@@ -182,6 +198,9 @@ def test_lint(spark):
     assert col(spark, list(cases), lint.violations) == list(cases.values())
     assert col(spark, ["SELECT current_date", "SELECT max_x"], lambda c: lint.uses_function(c, "CURRENT_DATE")) == [True, False]
     assert col(spark, ["FROM Orders JOIN zoo"], lambda c: lint.unknown_tables(c, ["orders"])) == [["zoo"]]
+    texts = ["SELECT EXTRACT(YEAR FROM o_orderdate) FROM orders", "WITH x AS (SELECT 1), y(a) AS (SELECT 2 FROM zoo) SELECT * FROM x JOIN y ON x.a IS DISTINCT FROM y.a",
+             'SELECT TRIM(BOTH lower(\'x\') FROM name), SUBSTRING(a FROM 2) FROM s."Part" WHERE t = \'from nowhere\'']
+    assert col(spark, texts, lambda c: lint.unknown_tables(c, ["orders", "part"])) == [[], ["zoo"], []]
 
 
 def test_table_sets(spark):
@@ -213,6 +232,8 @@ def budgeted(spark, runs, budget, fn, span=7):
 def test_budget_example(spark):
     assert budgeted(spark, {1: [6, 5, 3]}, 9, usage.apply_budget) == {1: [True, False, True]}
     assert budgeted(spark, {1: [6, 5, 3]}, 9, usage.stop_at_budget) == {1: [True, False, False]}
+    assert budgeted(spark, {None: [6, 5, 3], 1: [1]}, 9, usage.apply_budget) == {None: [True, False, True], 1: [True]}
+    assert budgeted(spark, {None: [6, 5, 3]}, 9, usage.stop_at_budget) == {None: [True, False, False]}
 
 
 def test_budget_against_brute_force(spark):

@@ -59,6 +59,18 @@ def test_verdicts_and_suggestions(spark):
     assert {r.source for r in relate.discover_relationships(c, None, replies).collect()} == {1}
 
 
+def test_wide_decimals_are_exact(spark):
+    from decimal import Decimal as D
+
+    base = 10**19
+    frames = {"a": spark.createDataFrame([(D(base + 1), D("0.1"), 1e20), (D(base + 2), D("0.12345678901234567891"), 2.5)], "w decimal(38,0), f decimal(30,20), x double"),
+              "b": spark.createDataFrame([(D(base + 3),), (D(base * 10),), (D(base + 2),)], "id decimal(38,0)"),
+              "c": spark.createDataFrame([(0.1,), (0.12345678901234568,)], "id double")}
+    c = cat.load_catalog(spark, frames, keys={"b": "id", "c": "id"})
+    got = [(r.n_values, r.n_matched) for r in relate.match_counts(c, [("a", "w", "b", "id"), ("a", "x", "b", "id"), ("a", "f", "c", "id")]).orderBy("child_col").collect()]
+    assert got == [(2, 1), (2, 1), (2, 1)]
+
+
 def test_number_types_compare_and_text_does_not(spark):
     frames = {"n": spark.createDataFrame([(1.0, "1", 1), (2.0, "2", 2), (2.5, "3", 2)], "d double, t string, i int"),
               "p": spark.createDataFrame([(1,), (2,), (3,)], "id bigint"),
@@ -212,9 +224,28 @@ def test_samples(spark):
     df = spark.createDataFrame([(3, "c"), (1, "a"), (2, None)], "id int, v string")
     assert [r.id for r in samples.sample_rows(df, 2, "id").collect()] == [1, 2]
     assert samples.sample_rows(df, 2).count() == 2
+    unkeyed = spark.createDataFrame([(None, "a"), (None, "b"), (3, "c")], "id int, x string")
+    assert sorted((r.id or 0) for r in samples.sample_rows(unkeyed, 3, "id").collect()) == [0, 0, 3]
     c = cat.load_catalog(spark, {"t": df, "u": df}, keys={"t": "id"})
     rows = samples.sample_all(c, 3).collect()
     assert len(rows) == 6 and '{"id":2,"v":null}' in {r.row for r in rows}
     df.createOrReplaceTempView("sample_view")
     twice = samples.fetch(spark, "SELECT id, v, id + 10 AS id FROM sample_view ORDER BY v NULLS LAST", 1)
     assert sorted(twice.columns) == ["id", "v"] and twice.first().id == 11
+
+
+def test_foreign_keys_of_one_name(spark):
+    constraints = spark.createDataFrame([("a", "a_pkey", "PRIMARY KEY"), ("b", "b_pkey", "PRIMARY KEY"), ("x", "fk", "FOREIGN KEY"), ("y", "fk", "FOREIGN KEY")],
+                                        "table_name string, constraint_name string, constraint_type string")
+    usage = spark.createDataFrame([("a", "a_pkey", "id", 1, None), ("b", "b_pkey", "id", 1, None), ("x", "fk", "a_id", 1, 1), ("y", "fk", "b_id", 1, 1)],
+                                  "table_name string, constraint_name string, column_name string, ordinal_position int, position_in_unique_constraint int")
+    references = spark.createDataFrame([("x", "fk", "a_pkey"), ("y", "fk", "b_pkey")], "table_name string, constraint_name string, unique_constraint_name string")
+    keys, fks = cat.declared_keys(constraints, usage, references)
+    assert keys == {"a": "id", "b": "id"} and fks == [("x", ["a_id"], "a", ["id"]), ("y", ["b_id"], "b", ["id"])]
+
+
+def test_suggestions_take_the_spelling_of_the_catalog(spark):
+    c = cat.load_catalog(spark, {"orders": spark.createDataFrame([(1, 1)], "id int, b_id int"), "b": spark.createDataFrame([(1,)], "id int")})
+    replies = spark.createDataFrame([("SELECT 1 FROM Orders a JOIN B b ON a.B_ID = b.ID LIMIT 1;",)], "text string")
+    assert {(r.child_table, r.child_col, r.parent_table, r.parent_col) for r in relate.parse_suggested(replies, catalog=c).collect()} == {
+        ("orders", "b_id", "b", "id"), ("b", "id", "orders", "b_id")}

@@ -100,6 +100,8 @@ def test_fewshot(spark):
         assert {r.examples.count("Q: ") for r in got.collect()} == {want}
         assert got.count() == 300
     assert len({r.examples for r in got.collect()}) > 20
+    many = prompts.fewshot(spark.range(3000).select(F.col("id").cast("string").alias("question")), examples)
+    assert len({b for r in many.collect() for b in r.examples.split("\n\n")}) > 450
 
 
 def test_task_message(spark):
@@ -173,7 +175,7 @@ def test_a_phase_from_tasks_to_dataset(spark, tmp_path):
     path = run.run_phase(todo, c, template, model, f"{tmp_path}/out", "single_table", "v1", k=3, batch=3, n_rows=1, probe=True, tag=True)
     rows = spark.read.json(path).collect()
     assert {r.sql for r in rows} == {"SELECT COUNT(*) FROM orders", "SELECT MAX(id) FROM orders", "SELECT COUNT(*) FROM items", "SELECT MAX(id) FROM items"}
-    assert all(list(json.loads(r.schema)["tables"]) == [r.sql.split()[-1]] for r in rows)
+    assert all([t for t, info in r.schema.tables.asDict().items() if info] == [r.sql.split()[-1]] for r in rows)
     prompts_sent = [json.loads(l) for l in open(seen)]
     assert len(prompts_sent) == 2 and not any("Ann" in m[1]["content"] for m in prompts_sent)
     mine = next(m[1]["content"] for m in prompts_sent if m[0]["content"].startswith("orders"))
@@ -199,7 +201,8 @@ def test_probe(spark):
     assert [got[i].ok for i in range(len(got))] == [True] * 4 + [False] * 8 + [True]
     assert spark.table("probe_t").count() == 2 and got[4].error and got[11].error == "not run"
     c = cat.load_catalog(spark, {"probe_t": spark.table("probe_t")})
-    assert [r.ok for r in probe.probe_queries(spark, df.where("task_id = 0 OR task_id = 1"), catalog=c).orderBy("task_id").collect()] == [True, False]
+    foreign = spark.createDataFrame([(0, good[0]), (1, good[1]), (2, "SELECT * FROM zoo")], "task_id int, sql string")
+    assert [(r.ok, r.error) for r in probe.probe_queries(spark, foreign, catalog=c).orderBy("task_id").collect()] == [(True, None), (True, None), (False, "not run")]
 
 
 def test_generated_pairs_run(spark):

@@ -60,7 +60,7 @@ def test_age(spark):
     day = lambda: datetime.date(1990, 1, 1) + datetime.timedelta(days=rng.randrange(14000))
     rows = [(day(), day()) for _ in range(1000)]
     got = spark.createDataFrame(rows, "a date, b date").select(pg.age(F.col("a"), F.col("b")).alias("x")).collect()
-    assert [tuple(r.x) for r in got] == [pg_age(a, b) for a, b in rows]
+    assert [tuple(r.x) for r in got] == [(*pg_age(a, b), 0) for a, b in rows]
 
 
 def test_substring_starts_before_the_text(spark):
@@ -75,7 +75,26 @@ def test_extract_to_char_and_others(spark):
     row = df.select(x("dow"), x("isodow"), x("epoch"), x("month"), pg.to_char(F.col("t"), "DD Mon YYYY, HH12:MI:SS AM Q"),
                     pg.concat(F.lit("a"), F.col("n"), F.lit(1)), pg.trim(F.lit(" \tx ")), pg.integer_divide(F.lit(-7), F.lit(2))).first()
     assert list(row) == [0, 7, 1710104709.25, 3, "10 Mar 2024, 09:05:09 PM 1", "a1", "\tx", -3]
-    assert pg.spark_date_pattern("YYYY-MM-DD HH24:MI") == "yyyy-MM-dd HH:mm"
+
+
+def test_to_char_fields(spark):
+    df = spark.sql("SELECT timestamp'2001-03-05 13:04:09.123456' AS t")
+    want = {"YYYY-MM-DD HH24:MI": "2001-03-05 13:04", "yyyy-mm-dd": "2001-03-05", "MONTH|Month|month": "MARCH    |March    |march    ", "FMMonth DD": "March 05",
+            "IW D ID Q CC": "10 2 1 1 21", 'HH12:MI am "on" Dy': "01:04 pm on Mon", "FMHH24 MS US SSSSS": "13 123 123456 47049", "DAY|FMDay": "MONDAY   |Monday"}
+    assert {p: df.select(pg.to_char(F.col("t"), p)).first()[0] for p in want} == want
+    for unknown in ("999.99", "YYYY foo", '"open'):
+        with pytest.raises(ValueError):
+            pg.to_char(F.col("t"), unknown)
+
+
+def test_age_and_extract_with_time_of_day(spark):
+    df = spark.sql("SELECT timestamp'2001-01-02 00:00' AS a, timestamp'2001-01-01 12:00' AS b, timestamp'2005-06-07 08:09:10.5' AS t")
+    ages = df.select(pg.age(F.col("a"), F.col("b")).alias("x"), pg.age(F.col("b"), F.col("a")).alias("y")).first()
+    half = 12 * 3600 * 10**6
+    assert tuple(ages.x) == (0, 0, half) and tuple(ages.y) == (0, 0, -half)
+    parts = ["isoyear", "decade", "century", "millennium", "milliseconds", "microseconds"]
+    assert tuple(df.select(*[pg.extract(p, F.col("t")) for p in parts]).first()) == (2005, 200, 21, 3, 10500.0, 10500000)
+    assert [r[0] for r in spark.createDataFrame([(2.5,), (3.5,)], "x double").select(pg.round_double(F.col("x"))).collect()] == [2.0, 4.0]
 
 
 def test_null_order(spark):

@@ -27,6 +27,17 @@ def test_row_number_and_rank(spark):
     same(windows.rank(df, ["g"], ["p"], "n"), "n", F.rank().over(pg.ordered(["g"], "p")))
 
 
+def test_null_keys_dates_and_one_group(spark):
+    """Rows without a key are a group; a group of all rows stays spread, whatever leads its order."""
+    df = rows(spark).withColumn("g", F.when(F.col("g") > 0, F.col("g"))).withColumn("d", F.date_add(F.lit("2001-01-01").cast("date"), (F.col("s") % 50).cast("int")))
+    same(windows.row_number(df, ["g"], ["d"], "s", "n", 50), "n", F.row_number().over(pg.ordered(["g"], "d", "s")))
+    same(windows.rank(df, ["g"], ["d"], "n", 50), "n", F.rank().over(pg.ordered(["g"], "d")))
+    same(windows.shift(df, ["g"], ["d"], "s", "v", 1, "n", 50), "n", F.lag("v", 1).over(pg.ordered(["g"], "d", "s")))
+    price = df.withColumn("g", F.lit(1)).withColumn("price", F.col("s") * 1.5)
+    parts = [r["count"] for r in windows.ranged(price, ["g"], ["price", "s"], 50).groupBy("_part").count().collect()]
+    assert len(parts) >= 12 and max(parts) <= 150
+
+
 def test_lag_and_lead(spark):
     df = rows(spark)
     for span in (3, 50, 10**6):

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,6 +54,20 @@ def text_or_empty(text: Column) -> Column:
     return F.coalesce(text, F.lit(""))
 
 
+def tidied(run):
+    """A function over batches that gives its memory back when it ends: Python workers are used again by other stages, and what
+    an allocator keeps for later would add up over them."""
+    def wrapped(batches):
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            with contextlib.suppress(OSError, AttributeError):
+                ctypes.CDLL(None).malloc_trim(0)
+    return wrapped
+
+
 def slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The rows of a batch in runs of at most `most` bytes of `column`; one longer row is a run of its own."""
     sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)

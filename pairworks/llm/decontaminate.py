@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, free_name, own, slices, text_or_empty, texts_of
+from .common import Words, free_name, own, slices, text_or_empty, texts_of, tidied
 
 WINDOW = 13
 BLOCK_BYTES = 32 << 20
@@ -183,7 +183,7 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", into
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
         sent = spark.sparkContext.broadcast(vars(Tests([tuple(r) for r in part.collect()], window)))
-        out = out.mapInArrow(_matcher(sent, text, into, b > 0), schema)
+        out = out.mapInArrow(tidied(_matcher(sent, text, into, b > 0)), schema)
     return out
 
 

@@ -15,12 +15,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import free_name, slices
+from .common import free_name, slices, tidied
 
 FEATURES = 1 << 16
 ORDERS = (1, 2, 3)
 MOST_ROWS = 8000
 LETTER_LIMIT = 0x110000
+SLICE = 1 << 19
 UNKNOWN = "und"
 
 
@@ -87,7 +88,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", most_rows: int
     def count(batches):
         is_letter, sums = letters(), {}
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
+            for part in slices(batch, "text", SLICE):
                 names = np.array([order[x] for x in part.column("lang").to_pylist()])
                 grams, owner, _ = features(strings(part, "text"), is_letter)
                 for k in np.unique(names):
@@ -104,7 +105,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", most_rows: int
             yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([v.tobytes()], pa.binary())], names=["k", "counts"])
 
     schema = "k int, counts binary"
-    parts = taken.mapInArrow(count, schema).repartition(len(order), "k").mapInArrow(add, schema)
+    parts = taken.mapInArrow(tidied(count), schema).repartition(len(order), "k").mapInArrow(tidied(add), schema)
     counts = np.zeros((FEATURES, len(order)))
     for row in parts.toLocalIterator():
         counts[:, row.k] += np.frombuffer(row.counts, dtype=np.int64)
@@ -126,7 +127,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", into: str = "lan
         is_letter, m = letters(), Model(**sent.value)
         kind = pa.struct([("lang", pa.string()), ("score", pa.float64())])
         for batch in batches:
-            for part in slices(batch, text, 2 << 20):
+            for part in slices(batch, text, SLICE):
                 grams, owner, number = features(strings(part, text), is_letter)
                 total = np.tile(m.prior, (part.num_rows, 1))
                 for k in range(len(m.languages)):
@@ -140,7 +141,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text", into: str = "lan
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(rows, kind)], names=[*part.schema.names, into])
 
     kind = T.StructType.fromDDL("lang string, score double")
-    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(into, kind)]))
+    return docs.mapInArrow(tidied(run), T.StructType([*docs.schema.fields, T.StructField(into, kind)]))
 
 
 def held_out(doc_id: Column) -> Column:

@@ -21,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, cut, joined, mixed, own, slices, text_or_empty, texts_of
+from .common import Words, cut, joined, mixed, own, slices, text_or_empty, texts_of, tidied
 from .components import connected
 
 SEPARATORS = b" \t\n\v\f\r"
 SIZE, PERCENT = 4, 85
 LEAST_SPARED, PIECES, TRIES = 8, 3, 3
 BLOCK_SETS, BLOCK_BYTES = 1000, 24 << 20
-FILTER_BITS, RUN_BYTES, MOST_COMMON = 1 << 23, 3 << 20, 1 << 18
+FILTER_BITS, RUN_BYTES, MOST_COMMON = 1 << 23, 2 << 20, 1 << 18
 SIGNED = "bucket int, names binary, docs binary, copies binary"
 MEMBER = "family bigint, doc_id bigint, n bigint, digest binary, elements binary"
 
@@ -142,7 +142,7 @@ def common_shingles(docs: DataFrame, size: int, most: int = MOST_COMMON) -> np.n
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, dtype=np.uint64), *sets]).view(np.int64))], names=["s"])
 
     taken = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(rate * (1 << 20))).select("text")
-    found = taken.mapInArrow(run, "s bigint").groupBy("s").agg(F.count("*").alias("c")).where("c > 2").orderBy(F.desc("c"), "s").limit(most)
+    found = taken.mapInArrow(tidied(run), "s bigint").groupBy("s").agg(F.count("*").alias("c")).where("c > 2").orderBy(F.desc("c"), "s").limit(most)
     return np.sort(np.array([r.s for r in found.collect()], dtype=np.int64).view(np.uint64))
 
 
@@ -176,7 +176,7 @@ def signed(docs: DataFrame, buckets: int, size: int, percent: int, common: np.nd
                     rows.append((int(ids[kept[0]]) % buckets, b"", b"", np.array(copies, dtype=np.int64).tobytes()))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)], names=["bucket", "names", "docs", "copies"])
-    return docs.mapInArrow(run, SIGNED)
+    return docs.mapInArrow(tidied(run), SIGNED)
 
 
 def sharing(table: pa.Table) -> pa.Table:
@@ -289,7 +289,7 @@ def members(docs: DataFrame, families: DataFrame, size: int) -> DataFrame:
                                    if len(s) else b"" for s in sets], pa.binary())
                 yield pa.RecordBatch.from_arrays([part.column("family"), part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), digest,
                                                   pa.array(blobs, pa.binary())], names=["family", "doc_id", "n", "digest", "elements"])
-    return likely(docs, families).join(families, "doc_id").select("family", "doc_id", "text").mapInArrow(run, MEMBER).where("n > 0")
+    return likely(docs, families).join(families, "doc_id").select("family", "doc_id", "text").mapInArrow(tidied(run), MEMBER).where("n > 0")
 
 
 def find_links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -303,7 +303,7 @@ def find_links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
     docs = own(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).where("doc_id is not null")
     volume = docs.agg(F.sum(F.octet_length(text_or_empty(F.col("text"))))).first()[0] or 0
     # some millions of signatures to a bucket: a document sends at most a link for each bucket
-    buckets = max(24, volume >> 24)
+    buckets = max(24, volume * (100 - percent) // (15 << 24))
     shares = signed(docs, buckets, size, percent, common_shingles(docs, size)).groupBy("bucket").applyInArrow(sharing, "a bigint, b bigint")
     families = cut(connected(shares).select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "families")
     sets = cut(members(docs, families, size), "sets", "snappy")
@@ -331,7 +331,7 @@ def count_shingles(docs: DataFrame, size: int) -> DataFrame:
             for part in slices(batch, "text"):
                 n = pa.array([len(s) for s in sets_of(texts_of(part), words, size)], pa.int64())
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), n], names=["doc_id", "n_shingles"])
-    return own(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(run, "doc_id bigint, n_shingles bigint")
+    return own(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(tidied(run), "doc_id bigint, n_shingles bigint")
 
 
 def groups(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:

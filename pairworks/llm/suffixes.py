@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import cut, own, text_or_empty, texts_of
+from .common import cut, own, text_or_empty, texts_of, tidied
 
 LENGTH = 400
 # A perfect difference set modulo 183; its differences give every other remainder once.
@@ -204,7 +204,7 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), volume >> 25, 1)
     first, second = 2 * width, 2 * width
     path, name = scratch_path(spark, "chunks"), f"chunks_{uuid.uuid4().hex}"
-    packed = own(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(_pack, CHUNKS)
+    packed = own(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(tidied(_pack), CHUNKS)
     stored = min(100_000, max(width, 1))
     packed.write.bucketBy(stored, "chunk").option("path", path).option("compression", "zstd").saveAsTable(name)
     chunks = spark.table(name)
@@ -239,10 +239,10 @@ def find_repeats(docs: DataFrame) -> DataFrame:
             kinds = (pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds, strict=True)], names=["doc_id", "n_bytes", "spans", "kept"])
 
-    answers = repeated(chunks.mapInArrow(sample, SENT))
+    answers = repeated(chunks.mapInArrow(tidied(sample), SENT))
     asked = chunks.join(answers.hint("shuffle_hash"), "chunk", "left")
-    more = repeated(asked.mapInArrow(merge, SENT)).withColumnRenamed("answers", "more")
-    return asked.join(more.hint("shuffle_hash"), "chunk", "left").mapInArrow(finish, RESULT)
+    more = repeated(asked.mapInArrow(tidied(merge), SENT)).withColumnRenamed("answers", "more")
+    return asked.join(more.hint("shuffle_hash"), "chunk", "left").mapInArrow(tidied(finish), RESULT)
 
 
 def report(docs: DataFrame) -> DataFrame:

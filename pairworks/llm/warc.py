@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import cut, own
+from .common import cut, own, tidied
 
 LEAST_REVISIT = 1000
 ROLL_BYTES = 64 << 20
@@ -121,7 +121,7 @@ def write(pages: DataFrame, root: str | None = None, roll_bytes: int = ROLL_BYTE
             ids = np.array([-(1 << 63) if x is None else x for x in batch.column("page_id").to_pylist()], dtype=np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.searchsorted(ends, ids, side="right").astype(np.int32))], names=[*fields, "shard"])
 
-    dealt = marked.mapInArrow(shard, marked.withColumn("shard", F.lit(0)).schema).repartition(shards, "shard") \
+    dealt = marked.mapInArrow(tidied(shard), marked.withColumn("shard", F.lit(0)).schema).repartition(shards, "shard") \
         .sortWithinPartitions("shard", "page_id", "url", "payload_digest")
 
     def archive(batches):
@@ -166,7 +166,7 @@ def write(pages: DataFrame, root: str | None = None, roll_bytes: int = ROLL_BYTE
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done, strict=True), kinds, strict=True)],
                                              names=["shard", "number", "temporary", "name", "records", "bytes", "sha256"])
 
-    written = cut(dealt.mapInArrow(archive, MANIFEST), "manifest")
+    written = cut(dealt.mapInArrow(tidied(archive), MANIFEST), "manifest")
 
     def commit(batches):
         from pyarrow import fs
@@ -178,7 +178,7 @@ def write(pages: DataFrame, root: str | None = None, roll_bytes: int = ROLL_BYTE
                     store.move(temporary, f"{base}/{name}")
             yield batch
 
-    final = cut(written.mapInArrow(commit, MANIFEST), "manifest")
+    final = cut(written.mapInArrow(tidied(commit), MANIFEST), "manifest")
     return final.withColumn("name", F.concat(F.lit(root + "/"), "name")).drop("temporary")
 
 
@@ -229,7 +229,7 @@ def read(manifest: DataFrame) -> DataFrame:
                 if rows:
                     yield table_of(rows)
 
-    return manifest.select("name").repartition("name").mapInArrow(run, RECORD)
+    return manifest.select("name").repartition("name").mapInArrow(tidied(run), RECORD)
 
 
 def table_of(rows: list[tuple]) -> pa.RecordBatch:

@@ -1,8 +1,10 @@
 """The pipeline on a few planted documents, and its stages on the driver's tables."""
 
 import os
+import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 import corpus_pipeline
@@ -36,6 +38,21 @@ def test_planted(spark, tmp_path):
     assert dict(tokens) == {p.doc_id: p.doc_tokens for p in pieces} and sorted(tokens) == [1, 4, 8]
 
 
+def test_sequences_hold_the_tokens(spark, tmp_path):
+    from tokenizers import Tokenizer
+
+    texts = {1: words(1, 1500), 2: words(2, 40) + " 日本", 3: words(3, 300)}
+    rows = [(i, t, "en", f"s{i % 2}", len(t)) for i, t in texts.items()]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(1, words(91, 40))], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    tokenizer, found = Tokenizer.from_file(corpus_pipeline.tokenizer_path()), defaultdict(list)
+    for p in sorted(corpus_pipeline.run(spark, str(tmp_path)).collect(), key=lambda p: p.start):
+        ids = np.frombuffer(p.ids, dtype="<u2" if len(p.ids) == 2 * p.length else "<u4")
+        assert len(ids) == p.length and p.ids_crc32 == zlib.crc32(ids.astype("<u4").tobytes())
+        found[p.doc_id] += ids.tolist()
+    assert found == {i: tokenizer.encode(t, add_special_tokens=False).ids + [0] for i, t in texts.items()}
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tables")
 def test_driver_tables(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")

@@ -77,7 +77,7 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.report(table(spark, sf_dir, "documents"), tokenizer_path())
+    return packing.report(table(spark, sf_dir, "documents"), tokenizer_path(), fold=True)
 
 
 @query

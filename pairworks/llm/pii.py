@@ -1,8 +1,10 @@
 """Personal data: fixed patterns, and spans that weak supervision adds.
 
-Four kinds have a pattern and a check and are always taken.  Other tokens that mix letters and digits are candidates for
-kind `secret`.  Labelers vote on them: patterns of the token, a gazetteer of words in or before it, and the context.
-Expectation-maximisation estimates from the counts of vote patterns how reliable each labeler is and how likely a candidate
+Four kinds have a pattern and a check and are always taken.  Candidates for the others come in families: tokens that mix
+letters and digits, numbers that are long or follow a word for a number of identity, tokens without digits that follow a word
+for a secret (all three kind `secret`), names that a gazetteer or a title begins, and street addresses.  Labelers vote on
+them: patterns of the candidate, gazetteers of words in or before it, and the context.
+For each family expectation-maximisation estimates from the counts of vote patterns how reliable each labeler is and how likely a candidate
 with these votes is personal.  A classifier over the token's shape is then trained on those likelihoods and decides.
 
 Everything that touches texts is a column expression; votes and features reach the driver as counts of their patterns, of
@@ -12,7 +14,7 @@ which there are at most 3 ** labelers and 2 ** features.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -21,7 +23,7 @@ from .common import cut, free_name, settled, text_or_empty
 
 # The kinds in their order.  The patterns find what the plain ones would; they start at the previous match or at
 # the beginning of a run and give nothing back, so that long runs cost one walk and no stack.
-KINDS = ["email", "ip", "card", "phone", "secret"]
+KINDS = ["email", "ip", "card", "phone", "secret", "name", "address"]
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?:\G|(?<![0-9]))[0-9]++(?:\.[0-9]++){3}+",
@@ -33,6 +35,23 @@ HINTS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9](?:[\x20-]?[0-9]){1
 TOKEN = r"(?:\G|(?<![^\x20\x09-\x0D]))(?=[^\x20\x09-\x0D0-9]*+[0-9])[^\x20\x09-\x0D]++"
 SECRET_WORDS = ["password", "passwd", "pwd", "secret", "token", "apikey", "api_key", "credential", "ssn", "iban", "private_key"]
 PLAIN_WORDS = ["version", "license", "licensed", "chapter", "page", "section", "figure", "table", "year", "volume", "edition", "no", "number"]
+ID_WORDS = [*SECRET_WORDS, "social security", "passport", "passcode", "passphrase", "pin", "account", "acct", "routing", "tax id", "licence", "driver'?s license", "medical record"]
+GIVEN = ["James", "John", "Robert", "Michael", "William", "David", "Richard", "Joseph", "Thomas", "Charles", "Daniel", "Matthew", "Peter", "Paul", "Andrew",
+         "Mary", "Patricia", "Jennifer", "Linda", "Elizabeth", "Barbara", "Susan", "Jessica", "Sarah", "Karen", "Anna", "Maria", "Emma", "Laura", "Julia",
+         "Hans", "Klaus", "Stefan", "Jean", "Pierre", "Marie", "Claire", "Carlos", "Jose", "Juan", "Luis", "Carmen", "Sofia", "Mohammed", "Ahmed", "Fatima", "Wei", "Yuki"]
+TITLES = r"(?:Mr|Mrs|Ms|Dr|Prof|Herr|Frau|Monsieur|Madame)\.?"
+STREETS = "(?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Boulevard|Blvd|Square|Court|Way)"
+CAPITAL = r"[A-Z\u00C0-\u00DE][A-Za-z\u00C0-\u024F'-]++"
+# a word for an identity or a secret, what may link it to the value, and the mark or blank between
+LINK = r"(?:\x20(?:number|no|id|code)\b\.?)?+(?:\x20(?:is|was)\b)?+"
+TOLD = r"(?i:(?<![A-Za-z0-9_])(?:" + "|".join(ID_WORDS) + ")" + LINK + r"(?:[\x20\x09]?[:=#][\x20\x09]?|[\x20\x09]))"
+WORD = TOLD + r"++[^\x20\x09-\x0D]++"
+NAME = rf"(?<![A-Za-z0-9_])(?:{TITLES}\x20{CAPITAL}|(?:{'|'.join(GIVEN)})(?:\x20[A-Z]\.)?\x20{CAPITAL})(?:\x20{CAPITAL})?"
+ADDRESS = rf"(?<![A-Za-z0-9_])[0-9]{{1,6}}[A-Za-z]?\x20(?:{CAPITAL}\x20){{1,3}}{STREETS}\b"
+ADDED = {"token": (TOKEN, "[0-9]"), "word": (WORD, r"(?i)(?<![A-Za-z0-9_])(?:" + "|".join(ID_WORDS) + r")[\x20\x09:=#]"),
+         "name": (NAME, NAME), "address": (ADDRESS, rf"[0-9][A-Za-z]?\x20[A-Z\u00C0-\u00DE]")}
+MIXED, NUMBER, PLAIN, PERSON, PLACE = range(5)
+RANKS = [4, 4, 4, 5, 6]
 BLOCK = 64
 
 
@@ -102,25 +121,40 @@ def valid(kind: str, body: Column) -> Column:
 
 
 def with_spans(docs: DataFrame, text: Column, base: str, tokens: str) -> DataFrame:
-    """`docs` with the base spans (start, rank, end), ordered, and the candidates (start, end, body, before).
+    """`docs` with the base spans (start, rank, end), ordered, and the candidates (start, end, body, before, family).
 
-    `rank` is the kind's place in KINDS.  Candidates are tokens with a letter and a digit, without outer marks, that do not
-    touch a base span.
+    `rank` is the kind's place in KINDS.  Candidates are without outer marks and do not touch a base span: tokens with a letter
+    and a digit, numbers of seven digits or more or after one of ID_WORDS, tokens without a digit after one, names, addresses.
     """
-    names = {k: free_name(docs, f"{base}_{k}") for k in [*KINDS[:4], "token"]}
+    names = {k: free_name(docs, f"{base}_{k}") for k in [*KINDS[:4], *ADDED]}
     raw, t = free_name(docs, f"{base}_text"), F.col(f"`{free_name(docs, f'{base}_text')}`")
-    out = with_matches(settled(docs, {raw: text_or_empty(text)}), t, {**{k: (PATTERNS[k], HINTS[k]) for k in KINDS[:4]}, "token": (TOKEN, "[0-9]")}, names)
+    out = with_matches(settled(docs, {raw: text_or_empty(text)}), t, {**{k: (PATTERNS[k], HINTS[k]) for k in KINDS[:4]}, **ADDED}, names)
 
     def kept(rank, kind):
         return F.transform(F.filter(F.col(f"`{names[kind]}`"), lambda m: valid(kind, m.body)),
                            lambda m: F.struct(m.start.alias("start"), F.lit(rank).alias("rank"), m.end.alias("end")))
 
     out = settled(out, {base: F.sort_array(F.concat(*(kept(r, k) for r, k in enumerate(KINDS[:4]))))})
-    inner = F.transform(F.col(f"`{names['token']}`"), lambda m: F.struct(m.start.alias("start"), F.regexp_replace(m.body, r"[^A-Za-z0-9]++$", "").alias("body"), m.before.alias("before")))
-    body = F.transform(inner, lambda m: F.struct((m.start + F.length(m.body)).alias("end"), F.regexp_replace(m.body, r"^[^A-Za-z0-9]++", "").alias("body"), m.before.alias("before")))
-    placed = F.transform(body, lambda m: F.struct((m.end - F.length(m.body)).alias("start"), m.end.alias("end"), m.body.alias("body"), m.before.alias("before")))
+    def told(m):
+        head = F.regexp_extract(m.body, f"^{TOLD}++", 0)
+        return F.struct((m.start + F.length(head)).alias("start"), F.substring(m.body, F.length(head) + 1, F.length(m.body)).alias("body"), head.alias("before"))
+
+    def trimmed(found):
+        inner = F.transform(found, lambda m: F.struct(m.start.alias("start"), F.regexp_replace(m.body, r"[^A-Za-z0-9]++$", "").alias("body"), m.before.alias("before")))
+        body = F.transform(inner, lambda m: F.struct((m.start + F.length(m.body)).alias("end"), F.regexp_replace(m.body, r"^[^A-Za-z0-9]++", "").alias("body"), m.before.alias("before")))
+        return F.transform(body, lambda m: F.struct((m.end - F.length(m.body)).alias("start"), m.end.alias("end"), m.body.alias("body"), m.before.alias("before")))
+
+    def of(found, family):
+        return F.transform(found, lambda m: F.struct(m.start.alias("start"), m.end.alias("end"), m.body.alias("body"), m.before.alias("before"), family(m).alias("family")))
+
     touches = lambda m: F.exists(F.col(f"`{base}`"), lambda b: (b.start < m.end) & (m.start < b.end))
-    out = settled(out, {tokens: F.filter(placed, lambda m: m.body.rlike("[A-Za-z]") & m.body.rlike("[0-9]") & ~touches(m))})
+    col = {k: F.col(f"`{names[k]}`") for k in ADDED}
+    number = lambda m: m.body.rlike("[0-9]") & ((F.length(digits(m.body)) >= 7) | m.before.rlike(TOLD + r"[^A-Za-z0-9]{0,2}$"))
+    tokens_ = F.filter(trimmed(col["token"]), lambda m: m.body.rlike("[0-9]") & (m.body.rlike("[A-Za-z]") | number(m)))
+    words = F.filter(trimmed(F.transform(col["word"], told)), lambda m: m.body.rlike("[A-Za-z]") & ~m.body.rlike("[0-9]"))
+    found = F.concat(of(tokens_, lambda m: F.when(m.body.rlike("[A-Za-z]"), MIXED).otherwise(NUMBER)), of(words, lambda m: F.lit(PLAIN)),
+                     of(col["name"], lambda m: F.lit(PERSON)), of(col["address"], lambda m: F.lit(PLACE)))
+    out = settled(out, {tokens: F.filter(found, lambda m: ~touches(m))})
     return out.drop(raw, *names.values())
 
 
@@ -129,8 +163,31 @@ def words_pattern(words: list[str]) -> str:
 
 
 def votes(m: Column) -> Column:
-    """One letter for each labeler: p for personal, n for not, a for no opinion."""
-    body, before = m.body, m.before
+    """One letter for each of the family's labelers: p for personal, n for not, a for no opinion."""
+    body, before, size = m.body, m.before, F.length(digits(m.body))
+    told, marked = before.rlike(TOLD + r"[^A-Za-z0-9]{0,2}$"), before.rlike(r"(?i)(?:[:=#]|\b(?:is|was|number|no\.?))[^A-Za-z0-9]{0,3}$")
+    number = [
+        # context: a word for an identity before it, with a mark; patterns: social security; few digits; dates, amounts, decimals
+        F.when(told, "p"), F.when(told & marked, "p"), F.when(body.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "p"), F.when(size < 4, "n"),
+        F.when(body.rlike(r"^(?:[0-9]{4}[-/.][0-9]{1,2}[-/.][0-9]{1,2}|[0-9]{1,2}[-/.][0-9]{1,2}[-/.][0-9]{4}|[0-9]{1,3}(?:,[0-9]{3})+(?:\.[0-9]+)?|[0-9]+\.[0-9]+|[0-9]{4}-[0-9]{4})$"), "n"),
+        F.when(before.rlike(words_pattern(PLAIN_WORDS) + r"[\s.,]{1,3}$") & ~told, "n"),
+        F.when(~told & ~body.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), "n")]
+    plain = [
+        # context: a mark, or only a blank, before it; patterns: its length, mixed case or marks; a gazetteer of words that follow in prose
+        F.when(marked, "p"), F.when(~marked, "n"), F.when(~marked & body.rlike("^[a-z]+$"), "n"), F.when(F.length(body) < 5, "n"), F.when(marked & (F.length(body) >= 8), "p"),
+        F.when(body.rlike("[a-z][A-Z]|[^A-Za-z]"), "p"),
+        F.when(body.rlike(r"(?i)^(?:required|invalid|incorrect|wrong|correct|missing|protected|expired|changed|reset|optional|encrypted|unknown|empty|stored|not|the|an?|your|must|should|for|and|or|to|in|of|is|was|number|none|null)$"), "n")]
+    person = [
+        # gazetteers: a title, a given name, words of places and firms; context: words before names; patterns: three words, months
+        F.when(body.rlike(rf"^{TITLES}\x20"), "p"), F.when(body.rlike(rf"(?:^|\x20)(?:{'|'.join(GIVEN)})\x20"), "p"),
+        F.when(before.rlike(r"(?i)(?:name|named|name is|dear|contact|signed|from|by|met|called)[:,]?\x20$"), "p"),
+        F.when(body.rlike(rf"\x20(?:{STREETS}|Inc|Ltd|University|College|Company|Bank|Hospital|Airport|River|Bridge)$"), "n"),
+        F.when(body.rlike(r"\x20(?:January|February|March|April|May|June|July|August|September|October|November|December)$"), "n"),
+        F.when(body.rlike(r"(?:\x20.*){2}"), "p"), F.lit("a")]
+    place = [
+        # patterns: a house number, a long number; context: words before addresses; gazetteers: street words
+        F.when(body.rlike("^[0-9]{1,4}[A-Za-z]?\\x20"), "p"), F.when(body.rlike("^[0-9]{5,}"), "n"), F.when(before.rlike(r"(?i)(?:address|lives?|living|at|home|resid\w+)[:,]?\x20$"), "p"),
+        F.when(body.rlike(rf"\x20{STREETS}$"), "p"), F.when(before.rlike(words_pattern(PLAIN_WORDS) + r"[\s.,]{1,3}$"), "n"), F.lit("a"), F.lit("a")]
     labelers = [
         # patterns: a key with a fixed prefix; a long run of mixed letters and digits; an ordinal, a unit, a version
         F.when(body.rlike(r"(?:AKIA|ASIA|ghp_|xox[bp]-|sk-)[A-Za-z0-9_-]{10,}"), "p"),
@@ -142,7 +199,14 @@ def votes(m: Column) -> Column:
         # context: an assignment with a value of some length; a short token
         F.when(body.rlike(r"[=:][^=:]{8,}$"), "p"),
         F.when(F.length(body) < 8, "n")]
-    return F.concat(*(F.coalesce(x, F.lit("a")) for x in labelers))
+    return by_family(m, [F.concat(*(F.coalesce(x, F.lit("a")) for x in of)) for of in (labelers, number, plain, person, place)])
+
+
+def by_family(m: Column, values: list[Column]) -> Column:
+    out = F.when(m.family == MIXED, values[MIXED])
+    for k, value in enumerate(values[1:], 1):
+        out = out.when(m.family == k, value)
+    return out
 
 
 LABELERS = 7
@@ -150,26 +214,38 @@ SHAPES = 6
 
 
 def shape(m: Column) -> Column:
-    """One bit for each feature of the token's form."""
+    """One bit for each feature of the candidate's form and, except for mixed tokens, of what is before it."""
     body = m.body
     count = lambda p: F.length(body) - F.length(F.regexp_replace(body, p, ""))
     bits = [F.length(body) >= 12, F.length(body) >= 18, count("[0-9]") >= 4, body.rlike("[=:]"),
             body.rlike("[0-9][A-Za-z]+[0-9]"), count("[^A-Za-z0-9=:_]") == 0]
-    return F.concat(*(F.when(b, "1").otherwise("0") for b in bits))
+    told, marked = m.before.rlike(TOLD + r"[^A-Za-z0-9]{0,2}$"), m.before.rlike(r"(?i)(?:[:=#]|\b(?:is|was|number|no\.?))[^A-Za-z0-9]{0,3}$")
+    number = [told, told & marked, body.rlike(r"^[0-9]{3}-[0-9]{2}-[0-9]{4}$"), told & (count("[0-9]") >= 4), told & (count("[0-9]") >= 6), body.rlike("[.,/]")]
+    plain = [marked, marked & (F.length(body) >= 5), F.length(body) >= 8, body.rlike("[a-z][A-Z]|[^A-Za-z]"), marked & (F.length(body) >= 8), ~marked]
+    person = [body.rlike(rf"^{TITLES}\x20"), body.rlike(rf"(?:^|\x20)(?:{'|'.join(GIVEN)})\x20"), m.before.rlike(r"[a-z,:]\x20$"), body.rlike(r"(?:\x20.*){2}"), body.rlike(r"\x20[A-Z][a-z]+$"), body.rlike(rf"\x20(?:{STREETS}|Inc|Ltd|University|College|Company|Bank|Hospital|Airport|River|Bridge)$")]
+    place = [body.rlike("^[0-9]{1,4}[A-Za-z]?\\x20"), body.rlike(rf"\x20{STREETS}$"), m.before.rlike(r"(?i)(?:address|lives?|living|at|home|resid\w+)[:,]?\x20$"), body.rlike(r"(?:\x20.*){3}"), F.lit(False), body.rlike("^[0-9]{5,}")]
+    return by_family(m, [F.concat(*(F.when(b, "1").otherwise("0") for b in of)) for of in (bits, number, plain, person, place)])
 
 
 @dataclass
 class Model:
-    """Weights of the shape bits and, before them, the intercept; `labelers` has what the estimation found of each."""
+    """Weights of the shape bits and, before them, the intercept; `labelers` has what the estimation found of each.
+
+    Both are those of mixed tokens; `others` has the weights of the other families that were seen.
+    """
     weights: list[float]
     labelers: list[dict[str, tuple[float, float]]]
+    others: dict[int, list[float]] = field(default_factory=dict)
 
     def personal(self, m: Column) -> Column:
         s = shape(m)
-        score = F.lit(self.weights[0])
-        for k in range(SHAPES):
-            score = score + F.when(F.substring(s, k + 1, 1) == "1", F.lit(self.weights[k + 1])).otherwise(F.lit(0.0))
-        return score > 0
+        scores = []
+        for weights in (self.weights, *(self.others.get(f, [-1.0] + [0.0] * SHAPES) for f in range(NUMBER, PLACE + 1))):
+            score = F.lit(weights[0])
+            for k in range(SHAPES):
+                score = score + F.when(F.substring(s, k + 1, 1) == "1", F.lit(weights[k + 1])).otherwise(F.lit(0.0))
+            scores.append(score > 0)
+        return by_family(m, scores)
 
 
 def estimate(patterns: dict[str, int], rounds: int = 50) -> tuple[dict[str, float], list[dict[str, tuple[float, float]]]]:
@@ -223,17 +299,24 @@ def train(shapes: dict[str, tuple[float, float]], rounds: int = 3000, rate: floa
 
 def learn(docs: DataFrame, text: str = "text") -> Model:
     """Learn from all candidates of all texts.  Without candidates nothing is called personal."""
-    rows = with_spans(docs.select(docs[text].alias("t")).where(F.col("t").rlike("[0-9]")), F.col("t"), "base", "tokens")
-    found = rows.select(F.explode("tokens").alias("m")).select(votes(F.col("m")).alias("votes"), shape(F.col("m")).alias("shape"))
-    # at most 3 ** LABELERS * 2 ** SHAPES rows, each a count
-    counts = cut(found.groupBy("votes", "shape").agg(F.count("*").alias("c")), "votes")
-    patterns = {r[0]: r[1] for r in counts.groupBy("votes").agg(F.sum("c")).collect()}
-    if not patterns:
-        return Model([-1.0] + [0.0] * SHAPES, [])
-    chance, table = estimate(patterns)
-    likely = F.create_map(*(F.lit(x) for p, c in sorted(chance.items()) for x in (p, float(c))))[F.col("votes")]
-    shapes = {r[0]: (r[1], r[2]) for r in counts.groupBy("shape").agg(F.sum(F.col("c") * likely), F.sum(F.col("c") * (1 - likely))).collect()}
-    return Model(train(shapes), table)
+    rows = with_spans(docs.select(docs[text].alias("t")), F.col("t"), "base", "tokens")
+    found = rows.select(F.explode("tokens").alias("m")).select(F.col("m.family").alias("family"), votes(F.col("m")).alias("votes"), shape(F.col("m")).alias("shape"))
+    # at most 3 ** LABELERS * 2 ** SHAPES rows for each family, each a count
+    counts = cut(found.groupBy("family", "votes", "shape").agg(F.count("*").alias("c")), "votes")
+    patterns: dict[int, dict[str, int]] = {}
+    for r in counts.groupBy("family", "votes").agg(F.sum("c")).collect():
+        patterns.setdefault(r[0], {})[r[1]] = r[2]
+    model = Model([-1.0] + [0.0] * SHAPES, [])
+    for family in sorted(patterns):
+        chance, table = estimate(patterns[family])
+        likely = F.create_map(*(F.lit(x) for p, c in sorted(chance.items()) for x in (p, float(c))))[F.col("votes")]
+        own = counts.where(F.col("family") == family)
+        shapes = {r[0]: (r[1], r[2]) for r in own.groupBy("shape").agg(F.sum(F.col("c") * likely), F.sum(F.col("c") * (1 - likely))).collect()}
+        if family == MIXED:
+            model.weights, model.labelers = train(shapes), table
+        else:
+            model.others[family] = train(shapes)
+    return model
 
 
 def find(docs: DataFrame, model: Model, text: str = "text", into: str = "personal") -> DataFrame:
@@ -246,7 +329,7 @@ def find(docs: DataFrame, model: Model, text: str = "text", into: str = "persona
     base, tokens = free_name(docs, f"{into}_base"), free_name(docs, f"{into}_tokens")
     out = with_spans(docs, docs[text], base, tokens)
     added = F.transform(F.filter(F.col(f"`{tokens}`"), model.personal),
-                        lambda m: F.struct(m.start.alias("start"), F.lit(KINDS.index("secret")).alias("rank"), m.end.alias("end")))
+                        lambda m: F.struct(m.start.alias("start"), F.get(F.array(*map(F.lit, RANKS)), m.family).alias("rank"), m.end.alias("end")))
     return settled(out, {into: F.struct(F.col(f"`{base}`").alias("base"), F.sort_array(F.concat(F.col(f"`{base}`"), added)).alias("spans"))}).drop(base, tokens)
 
 

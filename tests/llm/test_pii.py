@@ -71,3 +71,14 @@ def test_redaction(spark):
     out = pii.redact(spark.createDataFrame(rows, SCHEMA), pii.learn(spark.createDataFrame(secrets(), SCHEMA)))
     assert out.columns == ["doc_id", "text", "personal"]
     assert [r.text for r in out.orderBy("doc_id").collect()] == [None, "", "mail <EMAIL>, not", "<EMAIL><EMAIL>", "x <EMAIL> y", "clean"]
+
+
+def test_other_candidates(spark):
+    texts = {"our SSN 123-45-6789 ok": "123-45-6789", "passport 123456789 ok": "123456789", "account number 12345678 ok": "12345678", "password: correcthorse ok": "correcthorse",
+             "we met Mr. Henry Miller there": "Mr. Henry Miller", "and Mary Jones came": "Mary Jones", "he lives at 12 Oak Street now": "12 Oak Street",
+             "the secret garden": None, "on 2023-01-05 we sold 1,234,567 items": None, "number 1234567 of 9": None, "the password required here": None, "in 1990 there were 20": None}
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(list(texts) * 20)], SCHEMA)
+    found = {}
+    for r in pii.find(docs, pii.learn(docs)).collect():
+        found.setdefault(r.text, set()).add(tuple(r.text[s.start:s.end] for s in r.personal_.spans))
+    assert found == {t: {(x,) if x else ()} for t, x in texts.items()}

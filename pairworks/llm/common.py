@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,19 @@ def cut(df: DataFrame, label: str = "llm", compression: str = "zstd") -> DataFra
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, column: str, buckets: int, label: str) -> DataFrame:
+    """`cut` with the rows dealt to buckets of `column`, so that a later join or group on it moves only the other side.
+
+    Spark keeps buckets only for tables of a catalog; the entry is dropped as soon as the rows can be read, the files stay.
+    """
+    spark, name = df.sparkSession, f"{label}_{uuid.uuid4().hex}"
+    try:
+        (df.write.bucketBy(buckets, column).option("path", scratch_path(spark, label)).option("compression", "zstd").saveAsTable(name))
+        return spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """A column name that `df` does not have yet, compared without case as Spark does."""
     taken = {c.lower() for c in df.columns}
@@ -157,3 +171,55 @@ class Words:
             at = stop
         bounds[:] = first + np.searchsorted(np.concatenate(marks), ends)
         return count
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Numbers as bytes, first all lowest bytes and so on: the high bytes of small numbers become runs that compress away."""
+    return values.view(np.uint8).reshape(len(values), values.itemsize).T.tobytes()
+
+
+def from_planes(data: bytes, kind) -> np.ndarray:
+    kind = np.dtype(kind)
+    n = len(data) // kind.itemsize
+    return np.ascontiguousarray(np.frombuffer(data, dtype=np.uint8).reshape(kind.itemsize, n).T).view(kind).ravel()
+
+
+def gaps(ranked: np.ndarray) -> bytes:
+    """A sorted array of 64-bit numbers as its differences."""
+    return planes(np.diff(ranked, prepend=np.uint64(0)))
+
+
+def from_gaps(data: bytes) -> np.ndarray:
+    return np.cumsum(from_planes(data, np.uint64), dtype=np.uint64)
+
+
+class Tokens:
+    """Where the words of a text lie and a 64-bit fingerprint of each, as `Words` makes them, for one array of bytes at a time.
+
+    `separators` are the bytes no word holds.  Work memory follows SEGMENT and the longest word, not the text.
+    """
+
+    def __init__(self, separators: bytes, lower: bool = False):
+        self.words = Words(separators)
+        self.lower = np.frombuffer(LOWER, dtype=np.uint8) if lower else None
+
+    def of(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First bytes, ends and fingerprints of all words in order."""
+        w, inside = self.words, self.words.inside
+        found, at = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64))], 0
+        while at < len(data):
+            stop = min(at + SEGMENT, len(data))
+            while stop < len(data) and inside[data[stop - 1]] and inside[data[stop]]:
+                more = np.flatnonzero(~inside[data[stop:stop + SEGMENT]])
+                stop = stop + int(more[0]) if len(more) else min(stop + SEGMENT, len(data))
+            part = data[at:stop]
+            edge = np.diff(inside[part].astype(np.int8), prepend=0, append=0)
+            starts, stops = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+            w._grow(len(part) + 1)
+            sums = np.zeros(len(part) + 1, dtype=np.uint64)
+            low = part if self.lower is None else self.lower[part]
+            np.cumsum((low.astype(np.uint64) + np.uint64(1)) * w.powers[:len(part)], out=sums[1:])
+            h = (sums[stops] - sums[starts]) * w.inverses[starts]
+            found.append((starts + at, stops + at, mixed(h + (stops - starts).astype(np.uint64) * M3)))
+            at = stop
+        return tuple(np.concatenate(x) for x in zip(*found, strict=True))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import decontaminate, langid, packing, partenum, pii, rules, sharding, suffixes, urls, warc
+from . import decontaminate, langid, packing, partenum, pii, rules, sharding, suffixes, trees, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -130,3 +130,21 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.report(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trees.report(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_substring_dedup"] = """
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS g
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d WHERE len(w) >= 13)),
+f AS (SELECT g, min(doc_id) AS first FROM g GROUP BY g),
+x AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(i, i + 13)) AS p FROM g JOIN f USING (g) WHERE first < doc_id) GROUP BY doc_id)
+SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, cast(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN x USING (doc_id)"""

@@ -18,15 +18,12 @@ in a bucketed table, so their text is never shuffled.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import scratch_path
-from .common import cut, own, text_or_empty, texts_of, tidied
+from .common import bucketed, cut, own, text_or_empty, texts_of, tidied
 
 LENGTH = 400
 # A perfect difference set modulo 183; its differences give every other remainder once.
@@ -203,11 +200,9 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     volume = docs.agg(F.sum(F.octet_length(text_or_empty(docs["text"])))).first()[0] or 0
     width = max(int(spark.conf.get("spark.sql.shuffle.partitions")), volume >> 25, 1)
     first, second = 2 * width, 2 * width
-    path, name = scratch_path(spark, "chunks"), f"chunks_{uuid.uuid4().hex}"
     packed = own(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).mapInArrow(tidied(_pack), CHUNKS)
     stored = min(100_000, max(width, 1))
-    packed.write.bucketBy(stored, "chunk").option("path", path).option("compression", "zstd").saveAsTable(name)
-    chunks = spark.table(name)
+    chunks = bucketed(packed, "chunk", stored, "chunks")
 
     def sample(batches):
         for row, data, sizes in _rows(batches):

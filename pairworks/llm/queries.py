@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import configure
-from . import decontaminate, langid, packing, partenum, pii, rules, sharding, suffixes, trees, urls, warc
+from . import collocations, decontaminate, langid, packing, partenum, pii, rules, search, sharding, suffixes, trees, urls, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -148,3 +148,55 @@ x AS (SELECT doc_id, list(DISTINCT p) AS gone FROM (SELECT doc_id, unnest(range(
 SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, cast(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
   sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END, ' ')) AS kept_sha256
 FROM d LEFT JOIN x USING (doc_id)"""
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_collocations"] = f"""
+WITH t AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM t),
+n AS (SELECT lang, cast(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, range(1, 5) AS r(k) WHERE len(w) >= k),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS p, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, k, p, f AS a, string_split(p, ' ') AS w FROM f WHERE k > 1),
+s AS (
+  SELECT c.lang, c.p, c.a, x.f AS l, y.f AS r, j, (2000000 * c.a::HUGEINT) // (x.f + y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c) c
+  JOIN f x ON x.lang = c.lang AND x.p = array_to_string(c.w[1:j], ' ')
+  JOIN f y ON y.lang = c.lang AND y.p = array_to_string(c.w[j + 1:c.k], ' ')),
+b AS (SELECT lang, p, a, l, r, score FROM s QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, j) = 1),
+sub AS (
+  SELECT lang, array_to_string(w[i:i + m - 1], ' ') AS p, max(a) AS longer
+  FROM (SELECT lang, w, a, m, unnest(range(1, k - m + 2)) AS i FROM c, range(2, 4) AS q(m) WHERE m < k) GROUP BY ALL),
+o AS (
+  SELECT b.*, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p) AS rank
+  FROM b LEFT JOIN sub USING (lang, p) WHERE longer IS NULL OR 100 * longer::HUGEINT < 80 * a::HUGEINT)
+SELECT lang, rank, p AS phrase, a, l, r, n, cast(score AS BIGINT) AS score FROM o JOIN n USING (lang) WHERE rank <= 2000"""
+
+
+@query
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op13_ranked_search"] = f"""
+WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+  FROM documents),
+s AS (SELECT count(*) FILTER (len(w) > 0) AS n, cast(sum(len(w)) AS BIGINT) AS l FROM d),
+tf AS (SELECT doc_id, t, len, count(*) AS tf FROM (SELECT doc_id, len(w) AS len, unnest(w) AS t FROM d) GROUP BY ALL),
+w AS (SELECT t, cast(floor(1000 * ln((2 * n + 2)::DOUBLE / (2 * df + 1))) AS BIGINT) AS w
+      FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), s),
+q AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t
+  FROM benchmark),
+f AS (
+  SELECT item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len * n) // l)))) AS BIGINT) AS score
+  FROM q JOIN tf USING (t) JOIN w USING (t), s GROUP BY ALL)
+SELECT item_id, cast(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM f WHERE score > 0 QUALIFY rank <= 10"""

@@ -33,7 +33,7 @@ LEAST = 30
 COVERED_PERCENT = 80
 SCALE = 2_000_000
 TOP = 2000
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
 GROUP_BYTES = 32 << 20
 BITMAP_BITS = 24
 UNKNOWN = "und"
@@ -53,7 +53,7 @@ class Pieces:
         self.starts, self.stops, names = Tokens(BLANKS + BREAKS, lower=True).of(data)
         is_break = np.zeros(256, dtype=bool)
         is_break[list(BREAKS)] = True
-        self.piece = np.cumsum(is_break[data], dtype=np.int64)[self.starts]
+        self.piece = np.searchsorted(np.flatnonzero(is_break[data]), self.starts)
         langs = batch.column("lang").to_pylist()
         self.langs = sorted(set(langs))
         number = {x: i for i, x in enumerate(self.langs)}

@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from ..sources.catalog import Catalog, members, schema_subset
 from ..sources.jsonl import write_version
 from ..sources.samples import masked_samples
-from .batch import MAX_ROUNDS, run_rounds
-from .pairs import PHASE_KEYS, dataset_rows, drop_failures, mark_failures
+from .batch import FOLLOW_DOCS, FOLLOW_SQL, MAX_ROUNDS, converse, single_pairs
+from .lint import join_table_count
+from .pairs import PHASE_KEYS, dataset_rows, drop_failures, fix_rounds, mark_failures, parse_pairs
 from .probe import probe_queries
 from .prompts import render_prompts
 
 
 def table_prompts(catalog: Catalog, template: str, n_rows: int = 0, **mask_rules) -> Callable[[DataFrame], DataFrame]:
-    """A prompt function for ``run_rounds``: the template with each task's schema, question and sample rows.
+    """A prompt function for ``converse``: the template with each task's schema, question and sample rows.
 
     A task sees the tables of its ``tables`` list if it has one, else its ``table``, else the whole schema.
     ``{{count}}`` is the number of pairs asked for now.
@@ -42,18 +43,50 @@ def table_prompts(catalog: Catalog, template: str, n_rows: int = 0, **mask_rules
     return prompt
 
 
+# The phases whose replies hold many pairs, those that are checked by running them, and the tables a join needs.
+LISTS = {"schema_docs", "single_table", "joins", "complex_sqls", "schema_relationship"}
+CHECKED = {"joins": 2, "complex_sqls": 3}
+
+
+def valid_joins(tasks: DataFrame, catalog: Catalog, least: int, review: Callable[[DataFrame], DataFrame] | None = None) -> Callable[[DataFrame], DataFrame]:
+    """A check for ``converse``: pairs whose SQL runs, after up to two fixes by ``review``, and names enough tables.
+
+    How many are enough is a task's ``min_joins``, else ``least``.
+    """
+    needs = tasks.select("task_id", F.coalesce("min_joins", F.lit(least)).alias("needs"))
+
+    def runs(pairs: DataFrame) -> DataFrame:
+        return probe_queries(catalog.spark, pairs, catalog=catalog).drop("error")
+
+    def check(pairs: DataFrame) -> DataFrame:
+        good = fix_rounds(drop_failures(pairs), runs, review)
+        return good.join(needs, "task_id").where(join_table_count(F.col("sql")) >= F.col("needs")).select(*pairs.columns)
+
+    return check
+
+
 def run_phase(tasks: DataFrame, catalog: Catalog, template: str, completer: Callable, root: str, phase: str, run_version: str,
-              k: int = 1, batch: int | None = None, n_rows: int = 0, probe: bool = False, tag: bool = False,
-              check: Callable[[DataFrame], DataFrame] | None = None, rounds: int = MAX_ROUNDS) -> str:
-    """Ask for ``k`` pairs per task, refine them and replace one version of the phase's dataset; returns its path.
+              k: int | None = None, batch: int | None = None, n_rows: int = 0, probe: bool | None = None, tag: bool = False,
+              check: Callable[[DataFrame], DataFrame] | None = None, rounds: int = MAX_ROUNDS,
+              review: Callable[[DataFrame], DataFrame] | None = None, **more) -> str:
+    """Ask for the pairs of each task, refine them and replace one version of the phase's dataset; returns its path.
 
-    ``tasks`` come from ``expand_tasks``; a ``tables`` column, as from table sets, narrows their schema.  ``probe`` runs each distinct SQL over tables registered under their
-    names; ``check`` keeps acceptable pairs within each round.
+    ``tasks`` come from ``expand_tasks``; a ``tables`` column, as from table sets, narrows their schema.  A task wants ``k`` pairs,
+    else its ``count``, else one; in phases whose replies are single objects, one.  Joins and complex queries are checked within
+    each round unless ``probe`` is off: SQL that fails is fixed by ``review`` or asked for again, as are pairs with too few tables.
+    In other phases ``probe`` runs the SQL once at the end and drops what fails.  All SQL runs over tables registered under their
+    names.  ``check`` keeps acceptable pairs within each round.  ``more`` goes to ``converse``: budget, reply log, threads.
     """
     numbered = tasks.where(F.col("phase") == phase).withColumn("task_id", F.concat_ws("-", "phase_id", "pos")).drop("pos", "metadata")
-    found = run_rounds(numbered, table_prompts(catalog, template, n_rows), completer, k, batch, check or (lambda p: p), rounds)
-    pairs = found.withColumn("pos", F.struct("round", "pos"))
-    if probe:
+    single = phase not in LISTS
+    wanted = F.lit(k) if k else F.lit(1) if single else F.coalesce(F.col("count"), F.lit(1))
+    if check is None and phase in CHECKED and probe is not False:
+        check = valid_joins(numbered, catalog, CHECKED[phase], review)
+    docs = phase == "schema_docs"
+    found = converse(numbered, table_prompts(catalog, template, n_rows), completer, wanted, batch, check or (lambda p: p), rounds,
+                     follow=FOLLOW_DOCS if docs else FOLLOW_SQL, shortfall=docs, read=single_pairs if single else parse_pairs, **more)
+    pairs = found.pairs.withColumn("pos", F.struct("round", "pos"))
+    if probe and phase not in CHECKED:
         pairs = mark_failures(probe_queries(catalog.spark, drop_failures(pairs)))
     answers = "answer" in PHASE_KEYS.get(phase, [])
     return write_version(dataset_rows(pairs, phase, catalog if tag and not answers else None), root, phase, run_version)

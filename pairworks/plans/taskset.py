@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import BLANKS
-from ..operators import batch, prompts, tasks
+from ..operators import batch, prompts, run, tasks
+from ..session import scratch_path
 from ..sources import catalog as cat
+from ..sources import jsonl
 from . import checks as ck
 from .pairsets import P, PAIRS
 from .tables import COLUMNS, NAMES, catalog, feed, query, table
@@ -187,17 +189,72 @@ def complete_batch(spark, sf_dir):
 
 
 def eager_or_slow(messages):
-    """Even tasks answer in full, odd ones with a single pair per round."""
-    task, asked, turn = map(int, messages[-1]["content"].split("|"))
-    n = asked if task % 2 == 0 else 1
-    return "\n".join(f'{{"question": "q{turn}-{i}", "sql": "SELECT {i}"}}' for i in range(n))
+    """Even tasks answer in full, odd ones with a single pair per round; a conversation that is not whole gets no pair."""
+    task, asked = map(int, messages[0]["content"].split("|"))
+    turn, reply = len(messages) // 2, lambda t, n: "\n".join(f'{{"question": "q{t}-{i}", "sql": "SELECT {i}"}}' for i in range(n))
+    amount = lambda n: n if task % 2 == 0 else 1
+    for t in range(turn):
+        said, follow = messages[2 * t + 1], messages[2 * t + 2]
+        if said != {"role": "assistant", "content": reply(t, amount(asked))} or follow["role"] != "user":
+            return "the history is broken"
+        asked = int(follow["content"].removeprefix("Generate ").split()[0])
+    return reply(turn, amount(asked))
+
+
+def _numbers_prompt(*columns):
+    """A prompt function: the columns' values, parted by bars, as the only message."""
+    return lambda df: df.select("task_id", F.array(F.struct(F.lit("user").alias("role"), F.concat_ws(
+        "|", *[F.col(c).cast("string") for c in columns]).alias("content"))).alias("messages"))
 
 
 @query("run_rounds", """SELECT o_orderkey AS task_id, round, 'q' || round || '-' || i AS question FROM orders,
 (VALUES (0, 0, 0), (0, 0, 1), (0, 1, 0), (1, 0, 0), (1, 1, 0), (1, 2, 0)) v(odd, round, i) WHERE o_orderkey % 2 = odd""")
 def run_rounds(spark, sf_dir):
-    """Three pairs per order, at most two per reply."""
+    """Three pairs per order, at most two per reply; each round sends what was said before."""
     open_ = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("task_id"))
-    ask = lambda df: df.select("task_id", F.array(F.struct(F.lit("user").alias("role"), F.concat_ws(
-        "|", *[F.col(c).cast("string") for c in ("task_id", "asked", "turn")]).alias("content"))).alias("messages"))
-    return batch.run_rounds(open_, ask, eager_or_slow, 3, batch=2).select("task_id", "round", "question")
+    return batch.run_rounds(open_, _numbers_prompt("task_id", "asked"), eager_or_slow, 3, batch=2).select("task_id", "round", "question")
+
+
+RUN_BUDGET = 1.0
+
+
+def counted(messages):
+    """A pair with the tokens it took: fewer than were reckoned with."""
+    key = int(messages[0]["content"].split("|")[0]) - 100_000_000
+    return '{"question": "q", "sql": "S"}', 2, 10 * (key % 7)
+
+
+@query("run_budget", f"""WITH o AS (SELECT o_orderkey AS task_id, row_number() OVER (ORDER BY o_orderkey) AS i,
+2 * 5 + 10 * (o_orderkey % 7) * 15 AS cost FROM orders),
+r0 AS (SELECT *, {round(RUN_BUDGET * 1e6)} // (3 * 5 + 100 * 15) AS n FROM o),
+l AS (SELECT {round(RUN_BUDGET * 1e6)} - sum(cost) AS l FROM r0 WHERE i <= n),
+r1 AS (SELECT r0.*, l // (3 * 5 + 100 * 15) AS m FROM r0, l)
+SELECT task_id, CASE WHEN i <= n THEN 0 ELSE 1 END AS turn, 2::BIGINT AS in_tok, 10 * (task_id % 7) AS out_tok FROM r1 WHERE i <= n + m""")
+def run_budget(spark, sf_dir):
+    """One pair per order until the money is gone: what the first round left of its estimates pays for the second, of two."""
+    open_ = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("task_id"), (F.col("o_orderkey") + 100_000_000).alias("number"))
+    run = batch.converse(open_, _numbers_prompt("number", "asked"), counted, 1, rounds=2, budget=RUN_BUDGET)
+    return run.usage.select("task_id", "turn", "in_tok", "out_tok")
+
+
+def one_answer(messages):
+    """One JSON object, or plain SQL for every third customer; every seventh fails."""
+    fn, name, question = messages[1]["content"].split("|")
+    key = int(question.split()[-1])
+    sql = f"SELECT {fn}(*) FROM {name} WHERE o_custkey = {key};"
+    if key % 7 == 0:
+        return '{"question": "none", "sql": "FAIL"}'
+    return sql if key % 3 == 0 else f'{{"question": "Orders of {key}?", "sql": "{sql}", "rows": []}}'
+
+
+@query("run_phase_builtins", """SELECT CASE WHEN c_custkey % 3 = 0 THEN 'How many orders has ' || c_custkey ELSE 'Orders of ' || c_custkey || '?' END AS question,
+'SELECT COUNT(*) FROM orders WHERE o_custkey = ' || c_custkey AS sql FROM customer WHERE c_custkey % 7 <> 0""")
+def run_phase_builtins(spark, sf_dir):
+    """A phase whose replies are single objects, from tasks to the written dataset."""
+    asked = table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("phase_id"), F.lit(0).alias("pos"), F.lit("builtins").alias("phase"), F.concat_ws(" ", F.lit("How many orders has"), F.col("c_custkey").cast("string")).alias("question"),
+        F.lit("orders").alias("table"), F.lit("COUNT").alias("fn"), F.lit(None).cast("int").alias("count"), F.lit(None).cast("int").alias("min_joins"), F.lit(None).cast("string").alias("metadata"))
+    template = "### role: system\nAnswer with one object.\n### role: user\n{{builtin}}|{{table}}|{{nl_question}}"
+    root = scratch_path(spark, "phase")
+    run.run_phase(asked, catalog(spark, sf_dir), template, one_answer, root, "builtins", "v1")
+    return jsonl.read_version(spark, root, "builtins", "v1", "question string, sql string")

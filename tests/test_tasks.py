@@ -125,17 +125,23 @@ def test_retry():
         batch.with_retry(lambda: 1 / 0, 2, 0.0)()
 
 
-def test_rounds_stop_when_done_or_used_up(spark):
-    ask = lambda df: df.select("task_id", F.array(F.struct(F.lit("user").alias("role"), F.concat_ws(
-        " ", "task_id", F.col("asked").cast("string"), F.col("turn").cast("string")).alias("content"))).alias("messages"))
+def ask_for(*columns):
+    """A prompt function: the columns' values as the only message."""
+    return lambda df: df.select("task_id", F.array(F.struct(F.lit("user").alias("role"), F.concat_ws(
+        " ", *[F.col(c).cast("string") for c in columns]).alias("content"))).alias("messages"))
+
 
+def test_rounds_stop_when_done_or_used_up(spark):
     def model(messages):
-        task, asked, turn = map(int, messages[0]["content"].split())
+        task, asked = map(int, messages[0]["content"].split())
+        turn = sum(m["role"] == "assistant" for m in messages)
+        if turn:
+            asked = int(messages[-1]["content"].split()[1])
         n = {0: asked + 4, 1: 1, 2: 0}[task]
         return "\n".join('{"question": "t%d r%d n%d", "sql": "S"}' % (task, turn, i) for i in range(n))
 
     df = spark.createDataFrame([(0,), (1,), (2,)], "task_id int")
-    got = batch.run_rounds(df, ask, model, 4, batch=3, rounds=3).collect()
+    got = batch.run_rounds(df, ask_for("task_id", "asked"), model, 4, batch=3, rounds=3).collect()
     by_task = {t: sorted(r.question for r in got if r.task_id == t) for t in range(3)}
     # more pairs than asked for count up to what is missing
     assert len(by_task[0]) == 4 and {r.round for r in got if r.task_id == 0} == {0}
@@ -221,3 +227,111 @@ def test_generated_pairs_run(spark):
     assert [r.sql for r in checked.where("NOT ok").collect()] == []
     docs = generate.schema_doc_pairs(c, profile.profile_columns(c))
     assert "The primary key of orders is id." in {r.answer for r in docs.collect()}
+
+
+def test_conversations_grow_by_reply_and_remainder(spark, tmp_path):
+    """What is sent, in tables: the remainder is what is missing; for documents what the last reply lacked."""
+    sent = str(tmp_path / "sent")
+
+    def model(messages):
+        with open(sent, "a") as fh:
+            fh.write(json.dumps(messages) + "\n")
+        turn = len(messages) // 2
+        return "\n".join('{"question": "r%d n%d", "answer": "A"}' % (turn, i) for i in range([1, 3, 3, 3][turn]))
+
+    def contents(**settings):
+        open(sent, "w").close()
+        rounds = batch.converse(spark.range(1).withColumnRenamed("id", "task_id"), ask_for("asked"), model, 6, batch=3, follow="{n} more", **settings)
+        assert rounds.unfinished.isEmpty() and rounds.pairs.count() == 6
+        return [[(m["role"], m["content"]) for m in json.loads(line)] for line in open(sent)]
+
+    plain = contents()
+    assert [c[-1][1] for c in plain] == ["3", "3 more", "2 more"]
+    assert plain[2] == [*plain[1], ("assistant", "\n".join('{"question": "r1 n%d", "answer": "A"}' % i for i in range(3))), ("user", "2 more")]
+    assert [c[-1][1] for c in contents(shortfall=True)] == ["3", "2 more", "2 more"]
+
+
+def test_pairs_wanted_by_task(spark):
+    df = spark.createDataFrame([(1, 2), (2, None), (3, 0), (4, 3)], "task_id int, count int")
+    model = lambda m: "\n".join(['{"question": "q%d", "sql": "S"}' % i for i in range(5)])
+    got = batch.run_rounds(df, ask_for("asked"), model, F.coalesce("count", F.lit(1))).groupBy("task_id").count().collect()
+    assert {tuple(r) for r in got} == {(1, 2), (2, 1), (4, 3)}
+
+
+def test_a_run_stops_at_its_budget(spark):
+    """Against a plain loop: admission by estimates in order, settled by what the calls cost, until nothing fits."""
+    cost = lambda t: (3 * t % 50, 7 * t % 90)
+    model = lambda m: ('{"question": "q", "sql": "S"}', *cost(int(m[0]["content"])))
+    rows = [(i,) for i in range(1, 121)]
+    left, open_, plain = 70_000, [r[0] for r in rows], []
+    for turn in range(4):
+        room, sent = left, []
+        for t in open_:
+            room -= -(-len(str(t)) // 4) * 5 + 100 * 15
+            if room < 0:
+                break
+            sent.append(t)
+        left -= sum(5 * cost(t)[0] + 15 * cost(t)[1] for t in sent)
+        plain += [(t, turn) for t in sent]
+        open_ = open_[len(sent):]
+        if left <= 0:
+            break
+    run = batch.converse(spark.createDataFrame(rows, "task_id int"), ask_for("task_id"), model, 1, rounds=4, budget=0.07, span=25)
+    assert sorted((r.task_id, r.turn) for r in run.usage.collect()) == plain
+    assert sorted(r.task_id for r in run.unfinished.collect()) == open_ and open_
+    assert sum(5 * r.in_tok + 15 * r.out_tok for r in run.usage.collect()) <= 70_000
+
+
+def test_a_task_that_fails_midway_sends_nothing_twice(spark, tmp_path):
+    calls, broken = str(tmp_path / "calls"), str(tmp_path / "broken")
+    open(broken, "w").close()
+
+    def model(messages):
+        import os
+        text = messages[0]["content"]
+        if text == "13" and os.path.exists(broken):
+            raise OSError("gone")
+        with open(calls, "a") as fh:
+            fh.write(text + "\n")
+        return "reply " + text
+
+    asked = ask_for("task_id")(spark.range(40).coalesce(2).withColumnRenamed("id", "task_id"))
+    go = lambda **more: batch.complete_batch(asked, model, attempts=1, log=f"{tmp_path}/log", threads=3, **more)
+    with pytest.raises(Exception, match="gone"):
+        go().collect()
+    first = open(calls).read().split()
+    assert 0 < len(first) < 40
+    lenient = {r.task_id: (r.text, r.error) for r in go(strict=False).collect()}
+    assert lenient[13] == (None, "OSError: gone") and lenient[7] == ("reply 7", None) and len(lenient) == 40
+    (tmp_path / "broken").unlink()
+    assert {r.task_id: r.text for r in go().collect()} == {i: f"reply {i}" for i in range(40)}
+    assert {r.text for r in go().collect()} == {f"reply {i}" for i in range(40)}
+    assert sorted(open(calls).read().split(), key=int) == [str(i) for i in range(40)]
+
+
+def test_single_objects_and_plain_sql(spark):
+    rows = [(1, '{"question": "a", "sql": "SELECT 1;"}', "own"), (2, "SELECT 2", "own"), (3, '{"sql": ""}', "own"), (4, None, "own")]
+    got = batch.single_pairs(spark.createDataFrame(rows, "task_id int, text string, question string")).collect()
+    assert sorted((r.task_id, r.question, r.sql) for r in got) == [(1, "a", "SELECT 1"), (2, "own", "SELECT 2")]
+
+
+def test_joins_are_checked_within_the_rounds(spark, tmp_path):
+    """SQL that fails or names too few tables is asked for again; a review may mend it."""
+    frames = {"orders": spark.range(5), "items": spark.sql("SELECT id, id AS oid FROM range(3)")}
+    for t, df in frames.items():
+        df.createOrReplaceTempView(t)
+    c = cat.load_catalog(spark, frames)
+    good = "SELECT o.id FROM orders o JOIN items i ON i.oid = o.id"
+    replies = [[good, "SELECT id FROM orders", "SELECT nothing FROM orders JOIN items USING (id)"], ["SELECT 2 FROM items JOIN orders USING (id)"]]
+
+    def model(messages):
+        return "\n".join(json.dumps({"question": "q " + s, "sql": s}) for s in replies[len(messages) // 2 % 2])
+
+    todo = tasks.expand_tasks(phases(spark, {"name": "joins", "count": 2}), list(frames))
+    path = run.run_phase(todo, c, "### role: user\n{{count}}", model, f"{tmp_path}/a", "joins", "v1", batch=3)
+    # the batch is cut to what is wanted, so only the first two of three count, one of them with one table
+    assert {r.sql for r in spark.read.json(path).collect()} == {good, "SELECT 2 FROM items JOIN orders USING (id)"}
+    review = lambda bad: bad.select("question", "sql", F.lit('{"fixed_sql": "SELECT 3 FROM items JOIN orders USING (id)"}').alias("response"), F.lit(1).alias("seq"))
+    replies[0] = ["SELECT broken FROM orders", good]
+    path = run.run_phase(todo, c, "### role: user\n{{count}}", model, f"{tmp_path}/b", "joins", "v1", batch=3, review=review)
+    assert {r.sql for r in spark.read.json(path).collect()} == {good, "SELECT 3 FROM items JOIN orders USING (id)"}

@@ -147,3 +147,20 @@ def test_stream_survives_a_repeated_batch(spark, tmp_path):
     for state in ("state1", "state2"):
         ingest.stream_ingest(spark, source, out, f"{tmp_path}/{state}").awaitTermination()
     assert ingest.read_pairs(spark, out).count() == 2
+
+
+def test_stream_looks_up_only_its_own_keys(spark, tmp_path):
+    """Ten batches of equal size: the tenth reads as many rows as the first, however much has come before."""
+    source, out = f"{tmp_path}/in", f"{tmp_path}/out"
+    for i in range(10):
+        rows = [reply(100 * i + j, 20 * i + j % 20) for j in range(40)] + [reply(100 * i + 50, max(i - 1, 0) * 20)]
+        jsonl.append_jsonl(spark.createDataFrame(rows, ingest.REPLIES).coalesce(1), source)
+    query = ingest.stream_ingest(spark, source, out, f"{tmp_path}/state", files_per_batch=1)
+    query.awaitTermination()
+    steps = [p for p in query.recentProgress if p.numInputRows]
+    assert len(steps) == 10 and len({p.numInputRows for p in steps}) == 1
+    assert [p.stateOperators[0].numRowsTotal for p in steps] == [20 * (i + 1) for i in range(10)]
+    assert any("rocksdb" in k.lower() for k in steps[-1].stateOperators[0].customMetrics) and not (tmp_path / "out" / "keys").exists()
+    got = ingest.read_pairs(spark, out).collect()
+    # of a batch's equal pairs the first by task
+    assert sorted((r.task_id, r.question) for r in got) == sorted((100 * i + j, f"q{20 * i + j}") for i in range(10) for j in range(20))

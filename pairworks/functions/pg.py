@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
+from .pictures import is_number_picture, number_to_char
+
 def concat(*cols) -> Column:
     """CONCAT skips nulls."""
     return F.concat_ws("", *[c.cast("string") for c in cols])
@@ -84,12 +86,15 @@ def _fields(ts) -> dict:
         "AM": ("a", 2), "PM": ("a", 2)}
 
 
-def to_char(ts, pattern: str) -> Column:
-    """TO_CHAR of a date or timestamp with a PostgreSQL pattern.
+def to_char(value, pattern: str) -> Column:
+    """TO_CHAR of a date, a timestamp or a number with a PostgreSQL pattern; which it is follows from the pattern.
 
-    Fields are found in either case; names take the case of the field, blank-padded unless FM stands before it; quoted text and
-    marks stay.  Other letters, and with them the patterns of numbers, raise ValueError.
+    Fields of dates are found in either case; names take the case of the field, blank-padded unless FM stands before it; quoted
+    text and marks stay.  ``number_to_char`` says what patterns of numbers may hold.  Other letters raise ValueError.
     """
+    if is_number_picture(pattern):
+        return number_to_char(value, pattern)
+    ts = value
     fields, out, i = _fields(ts), [], 0
     longest_first = sorted(fields, key=len, reverse=True)
     while i < len(pattern):

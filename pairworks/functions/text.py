@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column
@@ -99,3 +100,54 @@ def as_items(variant) -> Column:
 
 def field(variant, name: str) -> Column:
     return F.try_variant_get(variant, f"$.{name}", "string")
+
+
+def trie_pattern(words: list[str]) -> str:
+    """A pattern that matches the longest of the words that starts at a place; it grows with their letters, not their number."""
+    root: dict = {}
+    for w in words:
+        node = root
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def written(node: dict) -> str:
+        ends, nexts, run = "" in node, [(ch, n) for ch, n in sorted(node.items()) if ch], ""
+        # letters without a choice need no group
+        while not ends and len(nexts) == 1:
+            run += re.escape(nexts[0][0])
+            node = nexts[0][1]
+            ends, nexts = "" in node, [(ch, n) for ch, n in sorted(node.items()) if ch]
+        if not nexts:
+            return run
+        rest = "|".join(re.escape(ch) + written(n) for ch, n in nexts)
+        return f"{run}(?:{rest})" + ("?" if ends else "")
+
+    return written(root)
+
+
+def literal_map(values: dict, kind: str) -> Column:
+    """A constant map of a given Spark type as one literal, however many entries it has."""
+    return F.from_json(F.lit(json.dumps(values, ensure_ascii=False)), kind)
+
+
+def words_found(col, words: list[str], word_boundary: bool = False) -> Column:
+    """Those of the words that the text holds, in their order, found in one pass over the text.
+
+    At each place the pattern gives the longest word; the shorter ones that begin it are known beforehand.
+    """
+    at: dict[str, list[dict]] = {}
+    for i, w in enumerate(words):
+        at.setdefault(w, []).append({"i": i, "w": w})
+    is_word = lambda ch: bool(re.match(r"\w", ch, re.ASCII))
+
+    def begins(short: str, long: str) -> bool:
+        """Whether `short` is found wherever `long` is: with boundaries, one must lie behind it inside `long`."""
+        return not word_boundary or short == long or is_word(short[-1]) != is_word(long[len(short)])
+
+    starts = {w: [e for n in range(1, len(w) + 1) if w[:n] in at and begins(w[:n], w) for e in at[w[:n]]] for w in at}
+    edge = r"\b" if word_boundary else ""
+    hits = F.regexp_extract_all(col, F.lit(f"{edge}(?=({trie_pattern(sorted(at))}){edge})"), F.lit(1))
+    known = literal_map(starts, "map<string,array<struct<i:int,w:string>>>")
+    entries = F.flatten(F.transform(F.array_distinct(hits), lambda h: F.element_at(known, h)))
+    return F.transform(F.array_sort(F.array_distinct(entries)), lambda e: e["w"])

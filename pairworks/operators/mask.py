@@ -26,7 +26,7 @@ KEPT = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.Flo
 
 
 def column_kind(field: T.StructField) -> str:
-    """keep, datetime, date, time, email, name, date_text, time_text, word or text."""
+    """keep, datetime, date, time, email, name, date_text, time_text, word, nested or text."""
     kind = field.dataType
     if isinstance(kind, KEPT):
         return "keep"
@@ -39,6 +39,8 @@ def column_kind(field: T.StructField) -> str:
     if isinstance(kind, (T.StringType, T.CharType, T.VarcharType)):
         hit = next((k for k in KINDS if k in field.name.lower()), "word")
         return {"date": "date_text", "time": "time_text"}.get(hit, hit)
+    if isinstance(kind, (T.StructType, T.ArrayType, T.MapType)):
+        return "nested"
     return "text"
 
 
@@ -74,21 +76,43 @@ def mask_value(col: Column, kind: str, salt: str, decade_start: str, as_of: Colu
     return fake[kind]()
 
 
+def _mask_field(col: Column, field: T.StructField, path: str, choose, salt: str, decade_start: str, as_of: Column) -> Column:
+    """The masked value of a field; inside structs, arrays and maps every value at the bottom is masked by its own kind.
+
+    A struct's members go by their names, the elements of an array and the values of a map by the name of the field that holds
+    them.  The keys of a map are names and stay.
+    """
+    kind, inner = field.dataType, lambda f, c, p: _mask_field(c, f, p, choose, salt, decade_start, as_of)
+    chosen = choose(field, path)
+    if chosen != "nested":
+        return mask_value(col, chosen, salt, decade_start, as_of)
+    if isinstance(kind, T.StructType):
+        return F.when(col.isNotNull(), F.struct(*[inner(f, col.getField(f.name), f"{path}.{f.name}").alias(f.name) for f in kind.fields]))
+    if isinstance(kind, T.ArrayType):
+        element = T.StructField(field.name, kind.elementType)
+        return F.transform(col, lambda x: inner(element, x, path))
+    value = T.StructField(field.name, kind.valueType)
+    return F.transform_values(col, lambda _, x: inner(value, x, path))
+
+
 def mask(df: DataFrame, salt: str = "", rules: dict[str, str] | None = None, strict: bool = False,
          keys: tuple = (), decade_start: str | None = None, as_of=None) -> DataFrame:
     """Masked copy.  Nulls stay null; the kind of each column comes from its type and name or from ``rules``.
 
-    Equal (kind, value, salt) give equal fakes, so joins on masked columns still work.  Numbers pass
-    through; ``strict`` also replaces the columns in ``keys`` and every column of another type by a digest.
+    Equal (kind, value, salt) give equal fakes, so joins on masked columns still work.  Values inside structs, arrays and maps are
+    masked where they are; ``rules`` and ``keys`` name them by path, as ``address.email``.  Numbers pass through; ``strict`` also
+    replaces the columns in ``keys`` and values of other types by a digest, for which it wants a ``salt``: without one, digests of
+    short keys can be undone by trying.
     """
+    if strict and not salt:
+        raise ValueError("strict masking needs a salt")
     as_of = F.current_date() if as_of is None else F.lit(as_of).cast("date")
     if decade_start is None:
         year = datetime.now(timezone.utc).year
         decade_start = f"{year - year % 10}-01-01"
-    out = []
-    for f in df.schema.fields:
-        kind = (rules or {}).get(f.name) or column_kind(f)
-        if strict and (f.name in keys or kind == "text"):
-            kind = "key"
-        out.append(mask_value(F.col(f"`{f.name}`"), kind, salt, decade_start, as_of).alias(f.name))
-    return df.select(*out)
+
+    def choose(field: T.StructField, path: str) -> str:
+        kind = (rules or {}).get(path) or column_kind(field)
+        return "key" if strict and (path in keys or kind == "text") else kind
+
+    return df.select(*[_mask_field(F.col(f"`{f.name}`"), f, f.name, choose, salt, decade_start, as_of).alias(f.name) for f in df.schema.fields])

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..session import cut_lineage
-from ..sources.catalog import Catalog, schema_subset
+from ..sources.catalog import Catalog, with_schema
 from .windows import row_number
 
 FAIL = "FAIL"
@@ -122,21 +122,38 @@ def batch_size(goal: int, workers: int) -> int:
 
 # ---------------------------------------------------------------- schema tags
 
+# up to so many names, one search for each is quicker than the pattern of all
+FEW_NAMES = 64
+
+
 def extract_tables(sql, names: list[str], word_boundary: bool = False) -> Column:
-    """Names from the catalog that occur in the text, in catalog order."""
+    """Names from the catalog that occur in the text, in catalog order.
+
+    Many names are looked for in one pass by the pattern of their letters.
+    """
     lower = F.lower(F.coalesce(sql, F.lit("")))
-    def found(name):
+    if len(names) > FEW_NAMES:
+        spelled: dict[str, list[str]] = {}
+        for n in names:
+            spelled.setdefault(n.lower(), []).append(n)
+        found = tx.words_found(lower, [n.lower() for n in names], word_boundary)
+        if all(same == [low] for low, same in spelled.items()):
+            return found
+        by_lower = tx.literal_map({low: [{"i": names.index(n), "n": n} for n in same] for low, same in spelled.items()}, "map<string,array<struct<i:int,n:string>>>")
+        return F.transform(F.array_sort(F.flatten(F.transform(F.array_distinct(found), lambda low: F.element_at(by_lower, low)))), lambda e: e["n"])
+
+    def holds(name):
         if word_boundary:
             return F.regexp_like(lower, F.lit(rf"\b\Q{name.lower()}\E\b"))
         return F.contains(lower, F.lit(name.lower()))
 
-    return F.array_compact(F.array(*[F.when(found(n), F.lit(n)) for n in names]))
+    return F.array_compact(F.array(*[F.when(holds(n), F.lit(n)) for n in names]))
 
 
 def tag_schema(pairs: DataFrame, catalog: Catalog, word_boundary: bool = False) -> DataFrame:
     """Adds ``tables`` and ``schema``, the JSON of the tables the SQL mentions."""
     tagged = pairs.withColumn("tables", extract_tables(F.col("sql"), catalog.names, word_boundary))
-    return tagged.withColumn("schema", schema_subset(catalog, F.col("tables")))
+    return with_schema(tagged, catalog)
 
 
 # ---------------------------------------------------------------- reviews

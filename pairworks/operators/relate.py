@@ -374,10 +374,38 @@ def parse_suggested(replies: DataFrame, text: str = "text", catalog: Catalog | N
     return both_ways(rels.select(*ENDS, F.lit(SUGGESTED).alias("confidence"), F.lit(2).alias("source")))
 
 
+def column_families(catalog: Catalog) -> DataFrame:
+    """``table, col, family`` of all columns whose values can be compared."""
+    rows = [(t, n, family(catalog, t, n)) for t, _, n, _, _ in catalog.column_rows()]
+    return local_frame(catalog.spark, [r for r in rows if r[2]], "table string, col string, family string")
+
+
+def comparable_suggestions(suggestions: DataFrame, catalog: Catalog, text: str = "text") -> DataFrame:
+    """Proposals of ``parse_suggested`` whose columns exist and hold values of one family, so that their probe would run."""
+    kinds = column_families(catalog)
+    rels = parse_suggested(suggestions, text, catalog).select(*ENDS, "confidence", "source")
+    for side in ("child", "parent"):
+        own = kinds.select(F.col("table").alias(f"{side}_table"), F.col("col").alias(f"{side}_col"), F.col("family").alias(f"{side}_family"))
+        rels = rels.join(own, [f"{side}_table", f"{side}_col"])
+    return rels.where("child_family = parent_family").select(*ENDS, "confidence", "source")
+
+
+def check_suggested(suggestions: DataFrame, catalog: Catalog, text: str = "text") -> DataFrame:
+    """Proposals as candidates of the one pass over the data: ``ENDS, confidence, n_values, n_matched, overlap``.
+
+    Names that the catalog lacks and columns of different families are out.  What reaches the driver is the proposals that
+    are left, at most the pairs of columns of the catalog.
+    """
+    rels = comparable_suggestions(suggestions, catalog, text)
+    pairs = [tuple(r) for r in rels.select(*ENDS).distinct().collect()]
+    counts = match_counts(catalog, pairs) if pairs else _empty_counts(catalog)
+    return rels.drop("source").join(counts, ENDS).withColumn("overlap", _overlap())
+
+
 def discover_relationships(catalog: Catalog, verdicts: DataFrame | None = None, suggestions: DataFrame | None = None,
                            require_name: bool = False) -> DataFrame:
     """Declared, inferred and suggested relationships, one row per answer, best confidence first."""
     parts = [_declared(catalog), heuristic_relationships(catalog, verdicts, require_name).drop("score")]
     if suggestions is not None:
-        parts.append(parse_suggested(suggestions, catalog=catalog).select(*ENDS, "confidence", "source"))
+        parts.append(comparable_suggestions(suggestions, catalog))
     return both_ways(union_all([p.select(*ENDS, "confidence", "source") for p in parts])).orderBy(F.desc("confidence"), "answer")

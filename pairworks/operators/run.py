@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..sources.catalog import Catalog, members, schema_subset
+from ..sources.catalog import Catalog, members, with_schema
 from ..sources.jsonl import write_version
 from ..sources.samples import masked_samples
 from .batch import FOLLOW_DOCS, FOLLOW_SQL, MAX_ROUNDS, converse, single_pairs
@@ -33,11 +33,12 @@ def table_prompts(catalog: Catalog, template: str, n_rows: int = 0, **mask_rules
         own = F.when(F.col("table").isNotNull(), F.array("table"))
         if "tables" in tasks.columns:
             own = F.coalesce("tables", own)
-        names = F.coalesce(own, F.array(*[F.lit(t) for t in catalog.names]))
-        return render_prompts(tasks, template, {
-            "schema_json": schema_subset(catalog, names), "nl_question": F.col("question"),
+        names = F.coalesce(own, F.lit(catalog.names))
+        shown = with_schema(tasks.withColumn("_shown", names), catalog, "_shown", "_schema")
+        return render_prompts(shown, template, {
+            "schema_json": F.col("_schema"), "nl_question": F.col("question"),
             "builtin": F.col("fn"), "table": F.col("table"),
-            "sample_rows": F.concat(F.lit("{"), members(samples, names), F.lit("}")),
+            "sample_rows": F.concat(F.lit("{"), members(samples, F.col("_shown")), F.lit("}")),
             "count": F.col("asked").cast("string"), "min_joins": F.col("min_joins").cast("string")})
 
     return prompt

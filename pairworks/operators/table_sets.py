@@ -29,21 +29,36 @@ def parse_table_sets(replies: DataFrame, names: list[str], min_joins: int = 2, n
                        .alias("pos", "tables"))
 
 
-def joinable_sets(rels: DataFrame, size: int = 3, min_joins: int = 2) -> DataFrame:
+def joinable_sets(rels: DataFrame, size: int = 3, min_joins: int = 2, n: int | None = None) -> DataFrame:
     """Connected sets of ``min_joins`` to ``size`` tables over the relationships: ``tables, n_tables``.
 
-    Works on metadata: each step adds one neighbour to every set and removes repeats.
+    Each set is made once: it grows from its first table by neighbours that come later, and a neighbour once passed over is not
+    taken again below that choice.  So no step compares the sets.  ``n`` keeps the best ones: those whose weakest table is tied
+    to another one with the highest ``confidence``, then the larger, then by name.
     """
-    one = rels.select(F.col("child_table").alias("a"), F.col("parent_table").alias("b"))
-    edges = one.unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
-    grown = edges.select(F.array_sort(F.array("a", "b")).alias("tables")).distinct()
-    steps = [grown]
-    for _ in range(size - 2):
-        grown = (grown.select("tables", F.explode("tables").alias("a")).join(edges, "a")
-                 .where(~F.array_contains("tables", F.col("b")))
-                 .select(F.array_sort(F.array_append("tables", F.col("b"))).alias("tables")).distinct())
-        steps.append(grown)
-    return union_all(steps).withColumn("n_tables", F.size("tables")).where(F.col("n_tables") >= min_joins)
+    sure = F.col("confidence") if "confidence" in rels.columns else F.lit(1.0)
+    one = rels.select(F.col("child_table").alias("a"), F.col("parent_table").alias("b"), sure.alias("confidence"))
+    edges = (one.unionByName(one.select(F.col("b").alias("a"), F.col("a").alias("b"), "confidence"))
+             .where("a <> b").groupBy("a", "b").agg(F.max("confidence").alias("confidence")))
+    near = edges.groupBy("a").agg(F.array_sort(F.collect_list("b")).alias("near"))
+    later = lambda names: F.filter(names, lambda b: b > F.col("first"))
+    # a set with what may still join it, and all that is in it or beside it
+    grown = (near.withColumn("first", F.col("a"))
+             .select("first", F.array("a").alias("tables"), later(F.col("near")).alias("open"), F.array_append("near", F.col("a")).alias("beside")))
+    steps = []
+    for _ in range(size - 1):
+        grown = (grown.select("*", F.posexplode("open").alias("at", "a")).join(near, "a")
+                 .select("first", F.array_append("tables", F.col("a")).alias("tables"),
+                         F.concat(F.slice("open", F.col("at") + 2, F.size("open")), F.array_except(later(F.col("near")), F.col("beside"))).alias("open"),
+                         F.array_union("beside", "near").alias("beside")))
+        steps.append(grown.select(F.array_sort("tables").alias("tables")))
+    sets = union_all(steps).withColumn("n_tables", F.size("tables")).where(F.col("n_tables") >= min_joins)
+    if n is None:
+        return sets
+    ties = (sets.select("tables", "n_tables", F.explode("tables").alias("a")).join(edges, "a").where(F.array_contains("tables", F.col("b")))
+            .groupBy("tables", "n_tables", "a").agg(F.max("confidence").alias("tie")))
+    weakest = ties.groupBy("tables", "n_tables").agg(F.min("tie").alias("confidence"))
+    return weakest.orderBy(F.desc("confidence"), F.desc("n_tables"), "tables").limit(n)
 
 
 def table_slices(catalog: Catalog, workers: int | None = None) -> DataFrame:

@@ -117,17 +117,23 @@ lower({_pick(FIRST, _h('email', 'c_name'))}) || '.' || lower({_pick(LAST, _h('em
 {_clock(_h('time_text', 'o_orderstatus'))} AS time_txt,
 {_pick(WORDS, _h('word', 'o_orderpriority'))} AS priority,
 CASE WHEN o_orderstatus <> 'F' THEN {_pick(WORDS, _h('word', 'o_orderstatus'))} END AS status,
-o_orderkey % 2 = 0 AS flag
+o_orderkey % 2 = 0 AS flag,
+{_pick(FIRST, _h('name', 'c_name'))} || ' ' || {_pick(LAST, _h('name', 'c_name'), 1)} || '|' || o_custkey || '|' || {_pick(WORDS, _h('word', 'o_orderstatus'))} AS person,
+CASE WHEN o_orderstatus <> 'F' THEN {_pick(WORDS, _h('word', 'o_orderpriority'))} || '|' || {_pick(WORDS, _h('word', 'c_mktsegment'))} END AS tags
 FROM orders JOIN customer ON o_custkey = c_custkey""")
 def mask_rules(spark, sf_dir):
     orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
-    rows = orders.join(customer.select("c_custkey", "c_name"), orders.o_custkey == customer.c_custkey).select(
+    rows = orders.join(customer.select("c_custkey", "c_name", "c_mktsegment"), orders.o_custkey == customer.c_custkey).select(
         F.col("o_orderkey").alias("id"), F.col("o_totalprice").alias("amount"), F.col("o_orderdate").alias("at"),
         F.col("o_orderdate").cast("date").alias("day"), F.col("c_name").alias("user_email"), F.col("c_name").alias("username"),
         F.col("o_orderstatus").alias("datetime_txt"), F.col("o_orderstatus").alias("time_txt"),
         F.col("o_orderpriority").alias("priority"), F.nullif("o_orderstatus", F.lit("F")).alias("status"),
-        (F.col("o_orderkey") % 2 == 0).alias("flag"))
-    return mask(rows, salt="s", decade_start="2020-01-01", as_of="2029-12-31")
+        (F.col("o_orderkey") % 2 == 0).alias("flag"),
+        F.struct(F.col("c_name").alias("fullname"), F.col("o_custkey").alias("number"), F.struct(F.col("o_orderstatus").alias("code")).alias("more")).alias("person"),
+        F.when(F.col("o_orderstatus") != "F", F.array("o_orderpriority", "c_mktsegment")).alias("tags"))
+    out = mask(rows, salt="s", decade_start="2020-01-01", as_of="2029-12-31")
+    told = F.concat_ws("|", "person.fullname", F.col("person.number").cast("string"), "person.more.code")
+    return out.withColumn("person", told).withColumn("tags", F.array_join("tags", "|"))
 
 
 @query("jsonl_roundtrip", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, nullif(c_mktsegment, 'BUILDING') AS c_mktsegment FROM customer")
@@ -327,6 +333,24 @@ def suggested(spark, sf_dir):
     return relate.parse_suggested(feed(spark, sf_dir, SUGGESTIONS)).select("question", "answer", "confidence")
 
 
+PROPOSED = """SELECT c_custkey AS task_id, CASE c_custkey % 4 WHEN 0 THEN 'select 1 from ORDERS a join customer b on a.O_CUSTKEY = b.c_custkey limit 1'
+WHEN 1 THEN '- SELECT 1 FROM customer a JOIN nation b ON a.c_name = b.n_nationkey LIMIT 1;' WHEN 2 THEN 'SELECT 1 FROM customer a JOIN part b ON a.c_custkey = b.p_partkey LIMIT 1'
+ELSE 'SELECT 1 FROM customer a JOIN nothing b ON a.c_custkey = b.id LIMIT 1' END AS text FROM {customer}"""
+
+
+@query("suggested_checked", """WITH p(t, c, p, k) AS (VALUES ('orders', 'o_custkey', 'customer', 'c_custkey'), ('customer', 'c_custkey', 'part', 'p_partkey')),
+n AS (SELECT 'orders' AS t, 'customer' AS p, count(DISTINCT o_custkey) AS n, count(DISTINCT o_custkey) FILTER (o_custkey IN (SELECT c_custkey FROM customer)) AS m FROM orders
+UNION ALL SELECT 'customer', 'orders', count(DISTINCT c_custkey), count(DISTINCT c_custkey) FILTER (c_custkey IN (SELECT o_custkey FROM orders)) FROM customer
+UNION ALL SELECT 'customer', 'part', count(DISTINCT c_custkey), count(DISTINCT c_custkey) FILTER (c_custkey IN (SELECT p_partkey FROM part)) FROM customer
+UNION ALL SELECT 'part', 'customer', count(DISTINCT p_partkey), count(DISTINCT p_partkey) FILTER (p_partkey IN (SELECT c_custkey FROM customer)) FROM part),
+e AS (SELECT t, c, p, k FROM p UNION ALL SELECT p, k, t, c FROM p)
+SELECT t || '.' || c || ' -> ' || e.p || '.' || k AS answer, n AS n_values, m AS n_matched FROM e JOIN n USING (t, p)""")
+def suggested_checked(spark, sf_dir):
+    """Proposals against the data: other spelling is found, text against numbers and unknown tables are out."""
+    got = relate.check_suggested(feed(spark, sf_dir, PROPOSED), catalog(spark, sf_dir))
+    return got.select(F.concat(F.concat_ws(".", "child_table", "child_col"), F.lit(" -> "), F.concat_ws(".", "parent_table", "parent_col")).alias("answer"), "n_values", "n_matched")
+
+
 @query("embedding_cosine", """SELECT a.vec_id, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6) AS similarity
 FROM embeddings a JOIN embeddings b ON b.vec_id = a.vec_id + 1""")
 def embedding_cosine(spark, sf_dir):

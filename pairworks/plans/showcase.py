@@ -63,6 +63,10 @@ _per_row("age", "orders", "o_orderkey",
          lambda: [pg.age(F.lit("2002-03-31").cast("date"), F.col("o_orderdate").cast("date"))[f].cast("long").alias(f) for f in ("months", "days")],
          "date_part('year', age(DATE '2002-03-31', o_orderdate)) * 12 + date_part('month', age(DATE '2002-03-31', o_orderdate)) AS months, "
          "date_part('day', age(DATE '2002-03-31', o_orderdate)) AS days")
+_per_row("to_char_number", "orders", "o_orderkey", lambda: [pg.to_char(F.col("o_totalprice"), "9,999,990.99").alias("price"), pg.to_char(-F.col("o_custkey"), "FM099999MI").alias("customer"),
+                                                            pg.to_char(F.col("o_orderkey"), "FM999999999th").alias("nth")],
+         """lpad(format('{:,.2f}', o_totalprice), 13, ' ') AS price, lpad(o_custkey::VARCHAR, 6, '0') || CASE WHEN o_custkey > 0 THEN '-' ELSE '' END AS customer,
+o_orderkey || CASE WHEN o_orderkey % 100 IN (11, 12, 13) THEN 'th' WHEN o_orderkey % 10 = 1 THEN 'st' WHEN o_orderkey % 10 = 2 THEN 'nd' WHEN o_orderkey % 10 = 3 THEN 'rd' ELSE 'th' END AS nth""")
 _per_row("to_char", "events", "event_id", lambda: [pg.to_char(F.col("ts"), "YYYY-MM-DD HH24:MI").alias("at")],
          "strftime(ts, '%Y-%m-%d %H:%M') AS at")
 _per_row("round", "orders", "o_orderkey", lambda: [F.round("o_totalprice").alias("price"), F.round(F.col("o_totalprice").cast(MONEY), 1).cast("double").alias("tenths")],

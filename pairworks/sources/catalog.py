@@ -206,13 +206,18 @@ def members(texts: dict[str, str], names) -> Column:
     return F.array_join(F.transform(names, lambda t: known[t]), ",")
 
 
-def schema_subset(catalog: Catalog, names) -> Column:
-    """Schema JSON of the tables in an array column, in its order; unknown names are ignored.
+def with_schema(rows: DataFrame, catalog: Catalog, tables: str = "tables", out: str = "schema") -> DataFrame:
+    """Adds the schema JSON of the tables in an array column, in its order; unknown names are ignored.
 
-    The texts of all tables enter the plan as a literal: one entry per table of the catalog.
+    The text is built once for each different list and joined; the catalog's texts never enter the plan.
     """
-    texts = {r.table: r.json for r in table_json(catalog).collect()}
-    return F.concat(F.lit('{"tables":{'), members(texts, names), F.lit("}}"))
+    lists = rows.select(F.col(tables).alias("_list")).distinct()
+    texts = (lists.select("_list", F.posexplode("_list").alias("_at", "table")).join(table_json(catalog).select("table", "json"), "table")
+             .groupBy("_list").agg(F.array_sort(F.collect_list(F.struct("_at", "json"))).alias("_parts"))
+             .select("_list", F.array_join(F.col("_parts.json"), ",").alias("_members")))
+    joined = rows.join(texts, F.col(tables) == F.col("_list"), "left")
+    return (joined.withColumn(out, F.concat(F.lit('{"tables":{'), F.coalesce("_members", F.lit("")), F.lit("}}")))
+            .drop("_list", "_members"))
 
 
 def schema_markdown(catalog: Catalog) -> DataFrame:

@@ -265,3 +265,28 @@ def test_compact_log(spark):
         "nothing here": "nothing here", "": "", None: "",
     }
     assert col(spark, list(cases), prompts.compact_log) == list(cases.values())
+
+
+def test_many_table_names_in_one_pass(spark):
+    """Five thousand names: the same tables as one search for each, a plan that does not grow with them, and equal schemas."""
+    import random
+
+    from pairworks.sources import catalog as cat
+    rnd = random.Random(3)
+    names = ["order", "orders", "orders_2", "Orders", "a.b", "a", "o$x", "x y", "(", "ders"]
+    names += list({"t" + "".join(rnd.choice("abc_9") for _ in range(rnd.randrange(2, 9))) for _ in range(12000)})[:5000]
+    texts = ["select * from Orders_2 join taa on 1", "orders", "no", None, "", "(a.b) o$x x y", "o.r.d.e.r"] + [
+        " ".join(rnd.choice(names) for _ in range(rnd.randrange(6))) + rnd.choice(["", "x", "_"]) for _ in range(300)]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "task_id int, sql string")
+    for edges in (False, True):
+        import re
+        has = lambda t, n: re.search(rf"(?a)\b{re.escape(n.lower())}\b", t) is not None if edges else n.lower() in t
+        found = df.select("task_id", pairs.extract_tables(F.col("sql"), names, edges).alias("tables"))
+        assert {r.task_id: r.tables for r in found.collect()} == {i: [n for n in names if has((t or "").lower(), n)] for i, t in enumerate(texts)}
+    short = [f"t{i}" for i in range(100)]
+    assert df.select(pairs.extract_tables(F.col("sql"), names).alias("t"))._jdf.queryExecution().analyzed().expressions().size() == \
+        df.select(pairs.extract_tables(F.col("sql"), short).alias("t"))._jdf.queryExecution().analyzed().expressions().size()
+    one = spark.createDataFrame([(1,)], "id int")
+    c = cat.load_catalog(spark, {"orders": one, "items": one, "none": one})
+    rows = {r.task_id: r.schema for r in pairs.tag_schema(spark.createDataFrame([(1, "orders items"), (2, "x"), (3, "items ORDERS"), (4, None)], "task_id int, sql string"), c).collect()}
+    assert list(json.loads(rows[1])["tables"]) == ["orders", "items"] and rows[1] == rows[3] and rows[2] == rows[4] == '{"tables":{}}'

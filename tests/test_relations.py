@@ -188,6 +188,34 @@ def test_joinable_sets(spark):
     assert sets == {("a", "b", "c"), ("b", "c", "d")}
 
 
+def test_joinable_sets_come_once_and_best_first(spark):
+    """Against all subsets of a random graph; no aggregate over the sets stands in the plan."""
+    from itertools import combinations
+    rnd = random.Random(5)
+    names = [f"t{i}" for i in range(9)]
+    edges = [(a, b, rnd.randrange(1, 7) / 6) for a, b in combinations(names, 2) if rnd.random() < 0.35]
+    rels = spark.createDataFrame(edges, "child_table string, parent_table string, confidence double")
+    tied = lambda s: [(a, b) for a, b, _ in edges if a in s and b in s]
+
+    def connected(s):
+        seen, todo = {s[0]}, [s[0]]
+        while todo:
+            t = todo.pop()
+            for a, b in tied(s):
+                for x, y in ((a, b), (b, a)):
+                    if x == t and y not in seen:
+                        seen.add(y)
+                        todo.append(y)
+        return len(seen) == len(s)
+
+    want = [s for k in (2, 3, 4, 5) for s in combinations(names, k) if connected(s)]
+    got = table_sets.joinable_sets(rels, 5)
+    assert sorted(tuple(r.tables) for r in got.collect()) == sorted(want)
+    weakest = lambda s: min(max(c for a, b, c in edges if t in (a, b) and a in s and b in s) for t in s)
+    best = sorted(want, key=lambda s: (-weakest(s), -len(s), s))[:7]
+    assert [tuple(r.tables) for r in table_sets.joinable_sets(rels, 5, n=7).collect()] == best
+
+
 def test_catalog_texts(spark):
     df = spark.createDataFrame([(1, 1)], "id int, parent_id int")
     c = cat.load_catalog(spark, {"tbl": df, "parent": df}, keys={"tbl": "id"}, fks=[("tbl", ["parent_id"], "parent", ["id"])],

@@ -82,7 +82,7 @@ def test_to_char_fields(spark):
     want = {"YYYY-MM-DD HH24:MI": "2001-03-05 13:04", "yyyy-mm-dd": "2001-03-05", "MONTH|Month|month": "MARCH    |March    |march    ", "FMMonth DD": "March 05",
             "IW D ID Q CC": "10 2 1 1 21", 'HH12:MI am "on" Dy': "01:04 pm on Mon", "FMHH24 MS US SSSSS": "13 123 123456 47049", "DAY|FMDay": "MONDAY   |Monday"}
     assert {p: df.select(pg.to_char(F.col("t"), p)).first()[0] for p in want} == want
-    for unknown in ("999.99", "YYYY foo", '"open'):
+    for unknown in ("YYYY foo", '"open', "9.9.9", "999 foo", "9RN", "99.9,9"):
         with pytest.raises(ValueError):
             pg.to_char(F.col("t"), unknown)
 
@@ -164,3 +164,40 @@ def test_stream_looks_up_only_its_own_keys(spark, tmp_path):
     got = ingest.read_pairs(spark, out).collect()
     # of a batch's equal pairs the first by task
     assert sorted((r.task_id, r.question) for r in got) == sorted((100 * i + j, f"q{20 * i + j}") for i in range(10) for j in range(20))
+
+
+# values and pictures with what PostgreSQL's manual and its rules give for them
+NUMBERS = [
+    ("-0.1", "99.99", "  -.10"), ("-0.1", "FM9.99", "-.1"), ("0.1", "0.9", " 0.1"), ("12", "9990999.9", "    0012.0"), ("12", "FM9990999.9", "0012."),
+    ("485", "999", " 485"), ("-485", "999", "-485"), ("1485", "9,999", " 1,485"), ("1485", "9G999", " 1,485"), ("148.5", "999.999", " 148.500"),
+    ("148.5", "FM999.999", "148.5"), ("148.5", "FM999.990", "148.500"), ("148.5", "999D999", " 148.500"), ("3148.5", "9G999D999", " 3,148.500"),
+    ("-485", "999S", "485-"), ("-485", "999MI", "485-"), ("485", "999MI", "485 "), ("485", "FM999MI", "485"), ("485", "PL999", "+ 485"),
+    ("-485", "999PR", "<485>"), ("485", "RN", "        CDLXXXV"), ("485", "FMRN", "CDLXXXV"), ("5.2", "FMRN", "V"), ("482", "999th", " 482nd"),
+    ("485", '"Good number:"999', "Good number: 485"), ("12", "99V999", " 12000"), ("12.4", "99V999", " 12400"), ("12.45", "99V9", " 125"),
+    ("0.0004859", "9.99EEEE", " 4.86e-04"), ("-12345.678", "9.999EEEE", "-1.235e+04"), ("1234", "999", " ###"), ("-1234.5", "99.9", "-##.#"),
+    ("0", "999", "   0"), ("0", "9.9", "  .0"), ("0.5", "9", " 1"), ("-0.001", "9.99", "  .00"), ("7", "S999", "  +7"), ("-7", "S999", "  -7"), ("4000", "FMRN", "#" * 15),
+    ("1234567.891", "9,999,999.99", " 1,234,567.89"), ("12", "9,999", "    12"), ("12", "FM9,999", "12"), ("12", "0,999", " 0,012"), ("111", "FM999TH", "111TH"), ("9.995", "9.99", " #.##"),
+]
+
+
+def test_to_char_of_numbers(spark):
+    df = spark.range(1)
+    got = df.select(*[pg.to_char(F.lit(v).cast("decimal(20,7)"), p).alias(f"c{i}") for i, (v, p, _) in enumerate(NUMBERS)]).first()
+    assert [(v, p, x) for (v, p, _), x in zip(NUMBERS, got, strict=True)] == NUMBERS
+    assert tuple(df.select(*[pg.to_char(F.lit(None).cast("double"), p) for p in ("99.9", "RN", "9.9EEEE")]).first()) == (None, None, None)
+    assert df.select(pg.to_char(F.lit(1.5), "9.9"), pg.to_char(F.lit(-7), "99")).first() == (" 1.5", " -7")
+
+
+def test_mask_inside_structs_arrays_and_maps(spark):
+    df = spark.sql("""SELECT named_struct('email', 'x@y.z', 'age', 7, 'note', cast(null AS string)) AS person, array('a', null, 'b') AS usernames,
+        map('k', named_struct('birth_date', 'x')) AS more, array(array(1.5BD)) AS amounts, cast(null AS struct<a:string>) AS nothing""")
+    r = mask(df, salt="s", **DECADE).first()
+    assert r.person.email.endswith("@example.org") and r.person.age == 7 and r.person.note is None and r.nothing is None
+    assert " " in r.usernames[0] and r.usernames[1] is None and r.usernames[0] != "a"
+    assert list(r.more) == ["k"] and len(r.more["k"].birth_date) == 10 and r.amounts == [["1.5"]]
+    flat = mask(df.select("person.email"), salt="s", **DECADE).first()
+    assert flat.email == r.person.email
+    hidden = mask(df, salt="s", strict=True, keys=("person.age",), rules={"person.note": "name"}, **DECADE).first()
+    assert hidden.person.age != "7" and len(hidden.person.age) == 32 and len(hidden.amounts[0][0]) == 32
+    with pytest.raises(ValueError, match="salt"):
+        mask(df, strict=True)

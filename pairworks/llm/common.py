@@ -223,3 +223,26 @@ class Tokens:
             found.append((starts + at, stops + at, mixed(h + (stops - starts).astype(np.uint64) * M3)))
             at = stop
         return tuple(np.concatenate(x) for x in zip(*found, strict=True))
+
+
+class Names:
+    """64-bit fingerprints of adjacent stretches of an array of bytes, as `Tokens` makes them of words."""
+
+    def __init__(self):
+        self.words = Words(b"")
+
+    def of(self, data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        w = self.words
+        out, at = np.zeros(len(starts), dtype=np.uint64), 0
+        while at < len(starts):
+            # whole stretches of about SEGMENT bytes
+            z = max(at + 1, int(np.searchsorted(stops, starts[at] + SEGMENT, side="right")))
+            a, e = int(starts[at]), int(stops[z - 1])
+            part = data[a:e]
+            w._grow(len(part) + 1)
+            sums = np.zeros(len(part) + 1, dtype=np.uint64)
+            np.cumsum((part.astype(np.uint64) + np.uint64(1)) * w.powers[:len(part)], out=sums[1:])
+            s, t = starts[at:z] - a, stops[at:z] - a
+            out[at:z] = mixed((sums[t] - sums[s]) * w.inverses[s] + (t - s).astype(np.uint64) * M3)
+            at = z
+        return out

@@ -16,6 +16,7 @@ import zlib
 from array import array
 from bisect import bisect_right
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -24,11 +25,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from .common import cut, own, tidied
+from .common import Names, cut, own, tidied
 
 SEQUENCE = 1024
 WINDOW = 64 * SEQUENCE
 END = 0
+RUN = 1 << 20
 MOST_SOURCES = 10_000
 FOLDED = 1024
 TOKENS = "part bigint, place bigint, doc_id bigint, source string, n bigint, before bigint, ids binary"
@@ -47,39 +49,141 @@ def byte_letters() -> dict[int, str]:
     return {b: chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256)}
 
 
-class Pieces(dict):
-    """The ids of pieces of the splitting pattern, found by the tokenizer's merges when first asked for."""
-
-    def __init__(self, merges, kind: str, most: int):
-        self.merges, self.kind, self.most, self.letters = merges, kind, most, byte_letters()
-
-    def __missing__(self, piece: str) -> bytes:
-        found = array(self.kind, [t.id for t in self.merges.tokenize(piece.encode().decode("latin-1").translate(self.letters))]).tobytes()
-        if len(self) >= self.most:
-            self.clear()
-        self[piece] = found
-        return found
+# kinds of bytes
+LETTER, DIGIT, MARK, BLANK = range(4)
+APOSTROPHE = ord("'")
+
+
+def kinds_of_bytes() -> tuple[np.ndarray, np.ndarray]:
+    """The kind of each byte that is a character or begins one, and that of the characters with 0xC2 before the byte."""
+    plain, latin = re.compile(f"[{LETTERS}]"), re.compile(f"[{DIGITS}]")
+    kind = lambda ch: LETTER if plain.match(ch) else DIGIT if latin.match(ch) else BLANK if ch in BLANKS else MARK
+    one = np.array([kind(chr(b)) if b < 128 else LETTER if 0xC3 <= b <= 0xC9 else MARK for b in range(256)], dtype=np.int8)
+    return one, np.array([kind(chr(b)) if 128 <= b < 192 else MARK for b in range(256)], dtype=np.int8)
+
+
+class Splitter:
+    """Where the pieces of the splitting pattern begin in an array of UTF-8 bytes, found for all texts of it at once."""
+
+    def __init__(self):
+        self.one, self.after_c2 = kinds_of_bytes()
+
+    def starts(self, data: np.ndarray, firsts: np.ndarray) -> np.ndarray:
+        """First bytes of the pieces of the texts that begin at `firsts` (sorted, the first is 0); no text is empty."""
+        n = len(data)
+        kind = self.one[data]
+        two = np.flatnonzero(data[:-1] == 0xC2)
+        kind[two] = self.after_c2[data[two + 1]]
+        sign = np.flatnonzero(data[:-1] == 0xC3)
+        kind[sign[np.isin(data[sign + 1], (0x97, 0xB7))]] = MARK
+        inner = (data & 0xC0) == 0x80
+        # a character of two or three bytes is of the kind of its first one
+        for _ in range(2):
+            follow = np.flatnonzero(inner)
+            kind[follow] = kind[follow - 1]
+        text = np.zeros(n, dtype=bool)
+        text[firsts] = True
+        begin = np.empty(n, dtype=bool)
+        begin[0] = True
+        begin[1:] = kind[1:] != kind[:-1]
+        begin |= text
+        # the last blank before something else is a piece of its own, or begins that piece if it is a space
+        last = np.flatnonzero((kind[:-1] == BLANK) & (kind[1:] != BLANK) & ~text[1:])
+        begin[last] = True
+        begin[last[data[last] == 32] + 1] = False
+        # an apostrophe at the beginning of a piece takes the ending of a contraction along
+        at = np.flatnonzero((data == APOSTROPHE) & begin)
+        ends = np.append(firsts, n)[np.searchsorted(firsts, at, side="right")]
+        get = lambda k: np.where(at + k < ends, data[np.minimum(at + k, n - 1)], 0)
+        b1, b2 = get(1), get(2)
+        short = np.isin(b1, list(b"stmd"))
+        long = ((b1 == ord("r")) & (b2 == ord("e"))) | ((b1 == ord("v")) & (b2 == ord("e"))) | ((b1 == ord("l")) & (b2 == ord("l")))
+        for some, size in ((at[short], 2), (at[long & ~short], 3)):
+            begin[some + 1] = False
+            behind = some + size
+            begin[behind[behind < n]] = True
+        return np.flatnonzero(begin)
 
 
 class Encoder:
     """Token ids of texts; the same as the tokenizer's, with the ids of pieces remembered.
 
-    Byte-level pair merging never crosses the pieces of the splitting pattern, so a text's ids are those of its pieces.
+    Byte-level pair merging never crosses the pieces of the splitting pattern, so a text's ids are those of its pieces.  Pieces are
+    told apart by 64-bit fingerprints; each different one goes to the tokenizer's merges once, at most `remember` are kept.
     Texts with characters outside the plain range, or that may hold a special token, go to the tokenizer as they are.
     """
 
-    def __init__(self, path: str, remember: int = 300_000):
+    def __init__(self, path: str, remember: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "I" if self.tokenizer.get_vocab_size() > 1 << 16 else "H"
         self.width = array(self.kind).itemsize
-        self.pieces, self.plain, self.other = Pieces(self.tokenizer.model, self.kind, remember), re.compile(PLAIN), re.compile(OTHER)
+        self.dtype = np.dtype(np.uint32 if self.kind == "I" else np.uint16)
+        self.remember, self.other, self.letters, self.split = remember, re.compile(OTHER), byte_letters(), Splitter()
+        self.names = Names()
+        self._forget()
+
+    def _forget(self) -> None:
+        # by fingerprint: where the ids of a piece lie, and how many they are
+        self.known, self.place, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, self.dtype)
 
     def encode(self, text: str) -> bytes:
-        if self.other.search(text):
-            return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-        return b"".join(map(self.pieces.__getitem__, self.plain.findall(text)))
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, in runs of about RUN characters."""
+        out: list[bytes] = [b""] * len(texts)
+        run, held = [], 0
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if self.other.search(text):
+                out[i] = array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+                continue
+            run.append(i)
+            held += len(text)
+            if held >= RUN:
+                self._plain(texts, run, out)
+                run, held = [], 0
+        if run:
+            self._plain(texts, run, out)
+        return out
+
+    def _plain(self, texts: list[str], run: list[int], out: list[bytes]) -> None:
+        parts = [texts[i].encode() for i in run]
+        blob = b"".join(parts)
+        data = np.frombuffer(blob, dtype=np.uint8)
+        firsts = np.cumsum([0] + [len(p) for p in parts[:-1]])
+        starts = self.split.starts(data, firsts)
+        stops = np.append(starts[1:], len(data))
+        names, at, inverse = np.unique(self.names.of(data, starts, stops), return_index=True, return_inverse=True)
+        self._learn(names, blob, starts[at], stops[at])
+        where = np.searchsorted(self.known, names)
+        count, place = self.count[where][inverse], self.place[where][inverse]
+        ends = np.cumsum(count)
+        taken = np.arange(int(ends[-1])) + np.repeat(place - (ends - count), count)
+        ids = self.ids[taken].tobytes()
+        edges = np.append(ends - count, ends[-1])[np.searchsorted(starts, np.append(firsts, len(data)))] * self.width
+        for i, a, z in zip(run, edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            out[i] = ids[a:z]
+
+    def _learn(self, names: np.ndarray, blob: bytes, starts: np.ndarray, stops: np.ndarray) -> None:
+        if len(self.known) > self.remember:
+            self._forget()
+        at = np.searchsorted(self.known, names)
+        new = np.flatnonzero(at == len(self.known)) if not len(self.known) else np.flatnonzero(self.known[np.minimum(at, len(self.known) - 1)] != names)
+        if not len(new):
+            return
+        merges, letters = self.tokenizer.model.tokenize, self.letters
+        found = [[t.id for t in merges(blob[a:z].decode("latin-1").translate(letters))] for a, z in zip(starts[new].tolist(), stops[new].tolist(), strict=True)]
+        count = np.array([len(x) for x in found], dtype=np.int64)
+        place = np.cumsum(count) - count + len(self.ids)
+        self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(found), dtype=self.dtype, count=int(count.sum()))])
+        known = np.concatenate([self.known, names[new]])
+        order = np.argsort(known)
+        self.known, self.place, self.count = known[order], np.concatenate([self.place, place])[order], np.concatenate([self.count, count])[order]
 
 
 def tokenize(docs: DataFrame, path: str, text: str = "text", source: str = "source") -> DataFrame:
@@ -93,7 +197,7 @@ def tokenize(docs: DataFrame, path: str, text: str = "text", source: str = "sour
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
             names = ["" if s is None else s for s in batch.column("source").to_pylist()]
-            ids = [encoder.encode(t) + end for t in texts]
+            ids = [x + end for x in encoder.encode_all(texts)]
             sizes, before = [len(x) // width for x in ids], []
             for name, n in zip(names, sizes, strict=True):
                 before.append(sums.get(name, 0))

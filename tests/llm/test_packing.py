@@ -75,3 +75,14 @@ def test_many_small_sources(spark, monkeypatch, most):
     for weights in (None, {"big": 3, "host7": 5}):
         pieces = packing.pack(spark.createDataFrame(rows, SCHEMA).repartition(4), PATH, weights=weights, sequence=16, window=32, fold=True)
         checked(rows, packing.with_checksums(pieces).collect(), 16)
+
+
+def test_ids_are_the_tokenizers():
+    """All texts of a run at once, with few pieces remembered, against the tokenizer one by one."""
+    rnd = random.Random(4)
+    parts = ["a", "B", "é", "Ö", "×", "÷", "ª", "²", "¼", "1", "9", " ", "  ", "\n", "\t", "\r", "'", "'s", "'re", "'ll", "n't", '"', "“", "–", "…", ".", "-", "ɏ", "'T", " '", "日", "<|x"]
+    encoder = packing.Encoder(PATH, remember=50)
+    for _ in range(1500):
+        texts = ["".join(rnd.choice(parts) for _ in range(rnd.randrange(14))) for _ in range(4)]
+        got = [np.frombuffer(x, dtype=encoder.dtype).tolist() for x in encoder.encode_all(texts)]
+        assert got == [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]

@@ -23,6 +23,7 @@ from .common import Words, free_name, own, slices, text_or_empty, texts_of, tidi
 WINDOW = 13
 BLOCK_BYTES = 32 << 20
 BITS, PACK = 21, 3
+MOST_WORDS = (1 << BITS) - 3
 SEPARATORS = bytes(c for c in range(128) if not (48 <= c <= 57 or 97 <= c <= 122))
 FOUND = "n_words bigint, n_hit bigint, spans array<struct<start:bigint,end:bigint>>, items array<string>, " \
         "matches array<struct<item:string,item_start:bigint,start:bigint,words:bigint>>"
@@ -36,8 +37,8 @@ class Tests:
         words, bounds = Words(SEPARATORS).of([(t or "").encode() for _, t in rows])
         self.names = [str(i) if i is not None else "" for i, _ in rows]
         self.vocabulary = np.unique(words)
-        if len(self.vocabulary) >= (1 << BITS) - 2:
-            raise ValueError("a block of test items has too many distinct words: lower block_bytes")
+        if len(self.vocabulary) > MOST_WORDS:
+            raise ValueError("a test item has too many distinct words")
         ids = np.searchsorted(self.vocabulary, words) + 1
         begins, lengths, items = [], [], []
         for k in range(len(rows)):
@@ -64,6 +65,15 @@ class Tests:
         self.least = int(self.lengths.min()) if len(self.lengths) else 0
 
 
+def blocks_of(rows: list[tuple], window: int) -> list[Tests]:
+    """The items of a block as lookups, halved until each has few enough distinct words."""
+    names = Words(SEPARATORS).of([(t or "").encode() for _, t in rows])[0]
+    if len(rows) > 1 and len(np.unique(names)) > MOST_WORDS:
+        half = len(rows) // 2
+        return blocks_of(rows[:half], window) + blocks_of(rows[half:], window)
+    return [Tests(rows, window)]
+
+
 def keys(ids: np.ndarray, at: np.ndarray, window: int, lengths, beyond: int) -> np.ndarray:
     """The `window` words from each position, a few to a number; words past `lengths` are `beyond`."""
     ids = np.append(ids, np.zeros(window + PACK, dtype=ids.dtype)).astype(np.uint64)
@@ -175,15 +185,17 @@ def find_matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", into
     result; an empty benchmark hits nothing.  All columns of `docs` stay; if `into` is taken, underscores are added to it.
     """
     spark, into = docs.sparkSession, free_name(docs, into)
-    items = own(benchmark, "item_id", "text")
+    # repeated rows are one item
+    items = own(benchmark, "item_id", "text").distinct()
     volume = items.agg(F.sum(F.octet_length(text_or_empty(F.col("text"))))).first()[0] or 0
     blocks = max(1, -(-volume // block_bytes))
     schema = T.StructType([*docs.schema.fields, T.StructField(into, T.StructType.fromDDL(FOUND))])
-    out = docs
+    out, again = docs, False
     for b in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b) if blocks > 1 else items
-        sent = spark.sparkContext.broadcast(vars(Tests([tuple(r) for r in part.collect()], window)))
-        out = out.mapInArrow(tidied(_matcher(sent, text, into, b > 0)), schema)
+        for tests in blocks_of([tuple(r) for r in part.collect()], window):
+            out = out.mapInArrow(tidied(_matcher(spark.sparkContext.broadcast(vars(tests)), text, into, again)), schema)
+            again = True
     return out
 
 

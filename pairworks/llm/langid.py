@@ -154,9 +154,14 @@ def learn(docs: DataFrame, **options) -> Model:
 
 
 def known(docs: DataFrame) -> DataFrame:
-    """The rows whose text is in some language, same columns."""
-    name = free_name(docs, "language")
-    return identify(docs, learn(docs), into=name).where(F.col(name)["lang"] != UNKNOWN).select(*(F.col(f"`{c}`") for c in docs.columns))
+    """The rows whose text is in some language, same columns.
+
+    Where there is nothing to learn from, as without labels, no text with a letter is rejected.
+    """
+    name, model = free_name(docs, "language"), learn(docs)
+    if not model.languages:
+        return docs.where(F.regexp_like("text", F.lit(r"\p{L}")))
+    return identify(docs, model, into=name).where(F.col(name)["lang"] != UNKNOWN).select(*(F.col(f"`{c}`") for c in docs.columns))
 
 
 def report(docs: DataFrame) -> DataFrame:

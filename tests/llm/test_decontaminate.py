@@ -66,3 +66,12 @@ def test_longest_matches_and_removal(spark):
     assert [tuple(r) for r in decontaminate.decontaminate(docs, items).orderBy("doc_id").collect()] == [(2, "clean text", 0), (3, None, 0)]
     assert decontaminate.report(docs.limit(0), items).collect() == []
     assert {r.n_hit for r in decontaminate.report(docs, items.limit(0)).collect()} == {0}
+
+
+def test_blocks_are_halved_by_their_words(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "MOST_WORDS", 45)
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(20))) for i in range(7)] * 2
+    docs = [(i, f"before {t} after") for i, t in items[:7]]
+    assert len(decontaminate.blocks_of(items[:7], 13)) > 2
+    found = decontaminate.find_matches(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"), into="found").collect()
+    assert {(r.doc_id, r.found.n_hit, tuple(r.found["items"])) for r in found} == {(i, 20, (str(i),)) for i in range(7)}

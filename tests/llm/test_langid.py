@@ -44,3 +44,8 @@ def test_driver_tables(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     got = langid.report(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert sum(r.lang == r.lang_pred for r in got) >= 0.99 * len(got)
+
+
+def test_nothing_to_learn_from_rejects_no_text(spark):
+    rows = [(1, "some words", None), (2, "12 !", None), (3, None, None), (4, "été", None)]
+    assert sorted(r.doc_id for r in langid.known(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()) == [1, 4]

@@ -33,8 +33,8 @@ LEAST = 30
 COVERED_PERCENT = 80
 SCALE = 2_000_000
 TOP = 2000
-SLICE_BYTES = 4 << 20
-GROUP_BYTES = 32 << 20
+SLICE_BYTES = 2 << 20
+GROUP_BYTES = 8 << 20
 BITMAP_BITS = 24
 UNKNOWN = "und"
 
@@ -147,6 +147,8 @@ def _windows(groups: int, bitmap: np.ndarray, hot: np.ndarray):
                 place = ((mixed(name) >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
                 order = np.argsort(place, kind="stable")
                 place = place[order]
+                # the texts' own arrays are not needed beside what is sent
+                del p, bit, known, codes, inverse, ranks, start, keys, name, split
                 edges = np.flatnonzero(np.diff(place, prepend=-1))
                 for a, z in zip(edges.tolist(), np.append(edges, len(place))[1:].tolist(), strict=True):
                     part = [w[order[a:z]] for w in window]
@@ -166,11 +168,14 @@ def _merged(least: int, hot: np.ndarray):
         columns = [[] for _ in range(LONGEST)]
         for codes, x in zip(dictionaries, table.column("windows").to_pylist(), strict=True):
             at = from_planes(x, np.uint32)
-            ranks = np.searchsorted(values, codes)[at].reshape(LONGEST, -1)
+            ranks = np.searchsorted(values, codes).astype(np.uint32)[at].reshape(LONGEST, -1)
             for c, r in zip(columns, ranks, strict=True):
                 c.append(r)
         counts = np.concatenate([from_planes(x, np.int64) for x in table.column("counts").to_pylist()])
-        keys, counts = grouped(packed([np.concatenate(c) for c in columns]), counts)
+        del dictionaries
+        keys = packed([np.concatenate(c) for c in columns])
+        columns.clear()
+        keys, counts = grouped(keys, counts)
         window = unpacked(keys)
         seldom = np.zeros(len(counts), dtype=bool)
         for k in range(1, LONGEST):

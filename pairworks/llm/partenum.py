@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, cut, joined, mixed, own, slices, text_or_empty, texts_of, tidied
+from .common import Words, cut, free_name, from_gaps, from_planes, gaps, joined, mixed, own, planes, slices, text_or_empty, texts_of, tidied
 from .components import connected
 
 SEPARATORS = b" \t\n\v\f\r"
@@ -146,7 +146,10 @@ def common_shingles(docs: DataFrame, size: int, most: int = MOST_COMMON) -> np.n
     return np.sort(np.array([r.s for r in found.collect()], dtype=np.int64).view(np.uint64))
 
 
-def signed(docs: DataFrame, buckets: int, size: int, percent: int, common: np.ndarray) -> DataFrame:
+def signed(docs: DataFrame, buckets: int, size: int, percent: int, common: np.ndarray, bits: int = 64) -> DataFrame:
+    """The signatures of all documents by bucket, a row for each run of texts: their highest `bits` bits in order, as differences,
+    and the documents as distances from the smallest one."""
+    drop = np.uint64(64 - bits)
     sent = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches):
@@ -171,7 +174,7 @@ def signed(docs: DataFrame, buckets: int, size: int, percent: int, common: np.nd
                 order = np.argsort(names)
                 names, owners = names[order], ids[kept][which[order]]
                 edges = np.append(np.searchsorted(names, starts), len(names))
-                rows = [(b, names[a:z].tobytes(), owners[a:z].tobytes(), b"") for b, (a, z) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if z > a]
+                rows = [(b, gaps(names[a:z] >> drop), apart(owners[a:z]), b"") for b, (a, z) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if z > a]
                 if copies:
                     rows.append((int(ids[kept[0]]) % buckets, b"", b"", np.array(copies, dtype=np.int64).tobytes()))
                 yield pa.RecordBatch.from_arrays(
@@ -179,10 +182,20 @@ def signed(docs: DataFrame, buckets: int, size: int, percent: int, common: np.nd
     return docs.mapInArrow(tidied(run), SIGNED)
 
 
+def apart(ids: np.ndarray) -> bytes:
+    """Ids as the smallest one and the distances from it."""
+    least = ids.min()
+    return least.tobytes() + planes((ids - least).view(np.uint64))
+
+
+def from_apart(data: bytes) -> np.ndarray:
+    return from_planes(data[8:], np.int64) + np.frombuffer(data[:8], dtype=np.int64) if data else np.zeros(0, np.int64)
+
+
 def sharing(table: pa.Table) -> pa.Table:
     """Links that connect the documents of a bucket which share signatures: from each to the smallest one it is connected with."""
-    names = np.frombuffer(b"".join(table.column("names").to_pylist()), dtype=np.uint64)
-    docs = np.frombuffer(b"".join(table.column("docs").to_pylist()), dtype=np.int64)
+    names = np.concatenate([from_gaps(x) for x in table.column("names").to_pylist()])
+    docs = np.concatenate([from_apart(x) for x in table.column("docs").to_pylist()])
     copies = np.frombuffer(b"".join(table.column("copies").to_pylist()), dtype=np.int64).reshape(-1, 2).T
     order = np.argsort(names, kind="stable")
     names, docs = names[order], docs[order]
@@ -303,8 +316,10 @@ def find_links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
     docs = own(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).where("doc_id is not null")
     volume = docs.agg(F.sum(F.octet_length(text_or_empty(F.col("text"))))).first()[0] or 0
     # some millions of signatures to a bucket: a document sends at most a link for each bucket
-    buckets = max(24, volume * (100 - percent) // (15 << 24))
-    shares = signed(docs, buckets, size, percent, common_shingles(docs, size)).groupBy("bucket").applyInArrow(sharing, "a bigint, b bigint")
+    buckets = max(24, volume * (100 - percent) // (15 << 23))
+    # so many bits that a few signatures meet by chance; what they bring together is verified
+    bits = min(64, 2 * int(volume).bit_length() - 8 if volume > 1 << 20 else 64)
+    shares = signed(docs, buckets, size, percent, common_shingles(docs, size), bits).groupBy("bucket").applyInArrow(sharing, "a bigint, b bigint")
     families = cut(connected(shares).select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "families")
     sets = cut(members(docs, families, size), "sets", "snappy")
     # equal sets once: the others link to the smallest document that has the set
@@ -348,14 +363,19 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def representatives(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
-    """The rows of documents in no group and of the smallest id of each group, same columns; of rows with one id, one.
+    """The rows of documents in no group and of the smallest id of each group, same columns.
 
-    Rows with a null doc_id stay.
+    Rows are documents each, also where they share an id: of those that are alike one stays, the others all do.  Rows with a null
+    doc_id stay.  An empty table gives an empty one.
     """
-    gone = groups(docs, size, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("gone"))
-    kept = docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
-    again = cut(docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("again")), "again")
+    again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if again.isEmpty():
-        return kept
-    same = F.col("doc_id") == F.col("again")
-    return kept.join(again, same, "left_anti").unionByName(kept.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+        gone = groups(docs, size, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("gone"))
+        return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+    row = free_name(docs, "row")
+    numbered = cut(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    alike = groups(numbered.where("doc_id is not null").select(F.col(row).alias("doc_id"), "text"), size, percent)
+    alike = alike.join(numbered.select(F.col(row).alias("r"), F.col("doc_id").cast("long").alias("id")), F.col("doc_id") == F.col("r")).select("r", "id", "component_id")
+    first = alike.groupBy("component_id").agg(F.min(F.struct("id", "r"))["r"].alias("first"))
+    gone = alike.join(first, "component_id").where("r <> first").select(F.col("r").alias("gone"))
+    return numbered.join(gone, F.col(row) == F.col("gone"), "left_anti").drop(row)

@@ -67,7 +67,15 @@ def test_one_of_each_group_stays(spark):
     data = [r for r in rows() if r[0] is not None] + [(500000, "left alone in the whole table", 1, ""), (500000, "left alone in the whole table", 1, "")]
     kept = partenum.representatives(spark.createDataFrame(data, SCHEMA), 5, 80)
     assert kept.columns == ["doc_id", "text", "family", "elements"]
-    assert sorted(r.doc_id for r in kept.collect()) == sorted({g for _, _, g in plain(data, 5, 80)})
+    # rows that share an id are documents each: one of those that are alike stays, with the smallest id
+    named = [i for i, r in enumerate(data) if r[0] is not None]
+    ids = sorted(named, key=lambda i: data[i][0])
+    rank = {i: n for n, i in enumerate(ids)}
+    firsts = {g for _, _, g in plain([(rank[i], *data[i][1:]) for i in named], 5, 80)}
+    want = [data[ids[g]][0] for g in firsts] + [None for r in data if r[0] is None]
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted(want, key=str)
+    apart = [(1, "one two three four five six", 0, ""), (1, "nothing like it at all my dear friend", 0, ""), (2, "one two three four five six", 0, "")]
+    assert sorted((r.doc_id, r.text[:3]) for r in partenum.representatives(spark.createDataFrame(apart, SCHEMA), 5, 80).collect()) == [(1, "not"), (1, "one")]
 
 
 def test_empty(spark):

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions.text import say
 from ..session import cut_lineage
 from .pairs import parse_answer, parse_pairs
+from .prompts import review_messages
 from .usage import MICROS, cost_micros
 from .windows import SPAN, running_sum
 
@@ -132,6 +133,18 @@ class Rounds(NamedTuple):
     unfinished: DataFrame
 
 
+def reviewer(markdown: str, completer: Callable, **more) -> Callable[[DataFrame], DataFrame]:
+    """A ``review`` for ``fix_rounds`` and ``run_phase``: asks about each distinct pair once; a call that fails reviews nothing.
+
+    ``more`` goes to ``ask_all``: reply log, threads, attempts.
+    """
+    def review(pairs: DataFrame) -> DataFrame:
+        asked = review_messages(pairs.select("question", "sql").distinct(), markdown)
+        return ask_all(asked, completer, ("question", "sql"), **more).select("question", "sql", F.col("text").alias("response"), F.lit(0).alias("seq"))
+
+    return review
+
+
 def single_pairs(replies: DataFrame, keep: tuple = ("task_id",)) -> DataFrame:
     """One pair from each reply, a JSON object or plain SQL; the task's ``question`` stands in for a missing one."""
     return (parse_answer(replies).select(*keep, F.lit(0).alias("pos"), "question", "sql", F.lit(None).cast("string").alias("answer"))

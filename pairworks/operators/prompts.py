@@ -100,6 +100,20 @@ def task_message(tasks: DataFrame, markdown: str, budget_left: float) -> DataFra
                                                 F.struct(F.lit("user").alias("role"), user.alias("content"))))
 
 
+# What a reviewer is told and shown.
+REVIEWER = ("Critic persona: Review SQL for correctness, index usage, security. "
+            "Respond with a JSON object: {'score': 0-1, 'reason': str, 'fixed_sql': str}.")
+REVIEWED = "Question: {question}\nSQL Candidate:\n{sql}\n\nSchema:\n{schema}"
+
+
+def review_messages(pairs: DataFrame, markdown: str) -> DataFrame:
+    """Adds ``messages``, which ask for a review of each ``question, sql`` against the schema; nulls are shown as empty."""
+    shown = lambda c: F.coalesce(F.col(c), F.lit(""))
+    user = tx.say(REVIEWED, question=shown("question"), sql=shown("sql"), schema=F.lit(markdown))
+    return pairs.withColumn("messages", F.array(F.struct(F.lit("system").alias("role"), F.lit(REVIEWER).alias("content")),
+                                                F.struct(F.lit("user").alias("role"), user.alias("content"))))
+
+
 # a schema line without what trails it; the items of a listing, each from the line before on, cut at their first colon
 LISTING_HEAD = r"(?imU)^([^\S\n]*schema:[^\n]*?)[^\S\n]++$"
 LISTING_ITEM = (r"(?imU)((?:^[^\S\n]*schema:[^\n]*|\G(?!\A))(?:\n(?:-[^:\n]*(?=\n|\z)|[^\S\n]*(?=\n|\z)))*+"

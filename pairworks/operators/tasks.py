@@ -32,6 +32,11 @@ COMPLEX_QUESTION = "Generate {count} complex question/SQL pairs requiring joins.
 SAMPLE_ROWS, RELATION_ROWS, JOIN_TABLES, COMPLEX_TABLES, PER_FUNCTION = 2, 5, 2, 3, 5
 
 
+TASK = "struct<question:string,table:string,fn:string,count:int,n_rows:int,min_joins:int,parallelism:int>"
+# tasks made from one row, and about how many a Spark task makes
+RANGE, SHARE = 10_000, 200_000
+
+
 def spaced(table) -> Column:
     return F.replace(table, F.lit("_"), F.lit(" "))
 
@@ -57,14 +62,19 @@ def _task(question, table=None, fn=None, count=None, n_rows=None, min_joins=None
                     part(min_joins, "int", "min_joins"), part(parallelism, "int", "parallelism"))
 
 
-def _first_n(n) -> Column:
-    """1 to n; empty for n below 1."""
-    return F.slice(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), F.lit(1), F.greatest(n, F.lit(0)))
+def _run(pos, n, way: str, task=None, fn=None) -> Column:
+    """Tasks from place ``pos`` on: one that is written out, or ``n`` that are made from a function or from a drawn one."""
+    return F.struct(F.lit(pos).cast("long").alias("pos"), F.greatest(F.lit(n).cast("long"), F.lit(0)).alias("n"), F.lit(way).alias("way"),
+                    F.lit(fn).cast("string").alias("fn"), F.lit(task).cast(TASK).alias("task"))
 
 
 def expand_tasks(phases: DataFrame, tables: list[str], defaults: dict[str, str] | None = None,
                  phase: str | None = None, seed: int = 0, default_fns: list[str] | None = None) -> DataFrame:
-    """All tasks of the phases in one narrow pass; random tables are drawn by hash of the seed."""
+    """All tasks of the phases; random tables are drawn by hash of the seed.
+
+    A phase becomes runs of equal tasks, whose places follow from the counts before them; a run is cut into number ranges and
+    those into tasks, so no row ever holds a phase.  Ranges of more than ``SHARE`` tasks in all are dealt to several Spark tasks.
+    """
     defaults, default_fns = defaults or {}, default_fns or ["COUNT"]
     if phase is not None:
         phases = phases.where(F.col("name") == phase)
@@ -86,29 +96,28 @@ def expand_tasks(phases: DataFrame, tables: list[str], defaults: dict[str, str]
     complex_ = F.array(_task(asked(COMPLEX_QUESTION), count=count,
                              min_joins=F.coalesce("min_joins", F.lit(COMPLEX_TABLES))))
     listed = F.transform("questions", lambda q: _task(q))
-    copies = F.transform(_first_n(count), lambda _: _task(F.coalesce("question", F.lit(""))))
+    each = lambda found: F.transform(found, lambda t, i: _run(i, 1, "task", t))
+    copies = F.array(_run(0, count, "task", _task(F.coalesce("question", F.lit("")))))
 
     def table_for(fn, i):
         if not tables:
             return F.concat(F.lit("table_"), i.cast("string"))
         return F.get(known, draw(digest(seed, F.col("phase_id"), fn, i), len(tables)).cast("int"))
 
-    def per_function(fn, n):
-        return F.transform(_first_n(n), lambda i: _task(function_question(fn, table_for(fn, i)), table=table_for(fn, i), fn=fn))
-
-    some = lambda n: F.coalesce(F.nullif(n, F.lit(0)), F.lit(PER_FUNCTION))
-    by_map = F.flatten(F.transform(F.map_entries("fn_counts"), lambda e: per_function(e["key"], some(e["value"]))))
-    by_list = F.flatten(F.transform("fns", lambda f: per_function(f, some(given))))
+    some = lambda n: F.greatest(F.coalesce(F.nullif(n, F.lit(0)), F.lit(PER_FUNCTION)), F.lit(0)).cast("long")
+    entries = F.map_entries("fn_counts")
+    before = lambda i: F.aggregate(F.slice(entries, F.lit(1), i), F.lit(0).cast("long"), lambda sum_, e: sum_ + some(e["value"]))
+    by_map = F.transform(entries, lambda e, i: _run(before(i), some(e["value"]), "fn", fn=e["key"]))
+    by_list = F.transform("fns", lambda f, i: _run(i * some(given), some(given), "fn", fn=f))
+    fallback = F.array(_run(0, F.coalesce(given, F.lit(0)), "drawn"))
     default_fn = lambda i: pick(default_fns, digest(seed, F.col("phase_id"), F.lit("fn"), i))
-    fallback = F.flatten(F.transform(_first_n(F.coalesce(given, F.lit(0))), lambda i: F.array(_task(
-        function_question(default_fn(i), table_for(default_fn(i), i)), table=table_for(default_fn(i), i), fn=default_fn(i)))))
     named = (F.size(F.coalesce("fns", F.array().cast("array<string>"))) > 0) | (
         F.size(F.map_keys(F.coalesce("fn_counts", F.create_map().cast("map<string,int>")))) > 0)
 
-    forms = (F.when(name == "sample_data", samples).when(name == "schema_docs", docs)
-             .when(name == "schema_relationship", relations).when(name == "single_table", single)
-             .when(name == "joins", joins).when(name == "complex_sqls", complex_)
-             .when(F.size(F.coalesce("questions", F.array().cast("array<string>"))) > 0, listed)
+    forms = (F.when(name == "sample_data", each(samples)).when(name == "schema_docs", each(docs))
+             .when(name == "schema_relationship", each(relations)).when(name == "single_table", each(single))
+             .when(name == "joins", each(joins)).when(name == "complex_sqls", each(complex_))
+             .when(F.size(F.coalesce("questions", F.array().cast("array<string>"))) > 0, each(listed))
              .when(F.col("prompt_template").isNotNull() & ~named, copies)
              .when(F.col("fn_counts").isNotNull(), by_map).when(F.col("fns").isNotNull(), by_list)
              .otherwise(fallback))
@@ -118,11 +127,22 @@ def expand_tasks(phases: DataFrame, tables: list[str], defaults: dict[str, str]
     base = F.create_map(*[F.lit(x) for kv in defaults.items() for x in kv]).cast("map<string,string>")
     settings = overlay(F.coalesce("settings", F.create_map().cast("map<string,string>")),
                        given_map(["question", "n_rows", "min_joins", "parallelism", "prompt_template"]))
-    out = phases.select("phase_id", F.col("name").alias("phase"), overlay(base, settings).alias("base"),
-                        F.posexplode(forms).alias("pos", "t"))
+    runs = phases.select("phase_id", F.col("name").alias("phase"), overlay(base, settings).alias("base"), F.explode(forms).alias("run"))
+    total = runs.agg(F.sum("run.n")).first()[0] or 0
+    starts = F.when(F.col("run.n") > 0, F.sequence(F.lit(0).cast("long"), F.col("run.n") - 1, F.lit(RANGE).cast("long"))).otherwise(F.array().cast("array<long>"))
+    ranges = runs.withColumn("start", F.explode(starts))
+    if total > SHARE:
+        ranges = ranges.repartition(-(-total // SHARE), "phase_id", "run.pos", "start")
+    numbers = F.sequence(F.col("start"), F.least(F.col("start") + (RANGE - 1), F.col("run.n") - 1), F.lit(1).cast("long"))
+    i = F.col("i") + 1
+    out = ranges.withColumn("i", F.explode(numbers)).withColumn("pos", F.col("run.pos") + F.col("i"))
+    out = out.withColumn("_fn", F.when(F.col("run.way") == "fn", F.col("run.fn")).when(F.col("run.way") == "drawn", default_fn(i)))
+    out = out.withColumn("_table", F.when(F.col("run.way") != "task", table_for(F.col("_fn"), i)))
+    made = _task(function_question(F.col("_fn"), F.col("_table")), table=F.col("_table"), fn=F.col("_fn"))
+    out = out.withColumn("t", F.when(F.col("run.way") == "task", F.col("run.task")).otherwise(made))
     typed = ["table", "fn", "count", "n_rows", "min_joins", "parallelism"]
     own = F.map_from_entries(F.filter(F.array(*[
         F.struct(F.lit("builtins" if c == "fn" else c).alias("key"), F.col(f"t.{c}").cast("string").alias("value"))
         for c in typed]), lambda e: e["value"].isNotNull()))
-    return out.select("phase_id", F.col("pos").cast("long").alias("pos"), "phase", "t.question", *[F.col(f"t.{c}").alias(c) for c in typed],
+    return out.select("phase_id", "pos", "phase", "t.question", *[F.col(f"t.{c}").alias(c) for c in typed],
                       overlay(F.col("base"), own).alias("metadata"))

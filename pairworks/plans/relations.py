@@ -252,6 +252,28 @@ def relationship_score(spark, sf_dir):
     return scored.select(*relate.ENDS, zero("n_values"), zero("n_matched"), "s1", "s2", "s3", "s4", "s5", "s6", "score")
 
 
+# what a database would say about some columns: a referred table, one in other letters and its singular, one that fits no type, none
+SAID = {("orders", "o_custkey"): "Who placed it: a CUSTOMER", ("lineitem", "l_suppkey"): "the supplier that ships", ("orders", "o_orderdate"): "day of the event",
+        ("lineitem", "l_partkey"): "", ("customer", "c_nationkey"): "home (nation)", ("nation", "n_name"): "as in the regional list of the region"}
+MENTIONED = "contains(lower(CASE " + " ".join(f"WHEN cand.t = '{t}' AND cand.c = '{c}' THEN '{text}'" for (t, c), text in SAID.items()) + \
+            " ELSE '' END), rtrim(lower(cand.p), 's'))"
+
+
+def commented(spark, sf_dir):
+    c = keyed(spark, sf_dir)
+    return cat.load_catalog(spark, c.frames, keys=c.keys, comments=SAID)
+
+
+@query("comment_signal", f"WITH {ck.CANDIDATES} SELECT {CANDIDATE_COLUMNS}, {MENTIONED} AS s3 FROM cand")
+def comment_signal(spark, sf_dir):
+    return relate.metadata_signals(relate.candidates(commented(spark, sf_dir))).select(*relate.ENDS, "s3")
+
+
+@query("commented_score", f"WITH {ck.SCORED.replace('false AS s3', MENTIONED + ' AS s3')} SELECT {CANDIDATE_COLUMNS}, s3, score FROM scored")
+def commented_score(spark, sf_dir):
+    return relate.score_candidates(commented(spark, sf_dir)).select(*relate.ENDS, "s3", "score")
+
+
 FOUND = """SELECT 'How is ' || t || '.' || c || ' related to ' || p || '.' || k || '?' AS question,
 t || '.' || c || ' -> ' || p || '.' || k AS answer, round(confidence, 6) AS confidence FROM both_ways"""
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.text import BLANKS
-from ..operators import batch, prompts, run, tasks
+from ..operators import batch, pairs, prompts, run, tasks
 from ..session import scratch_path
 from ..sources import catalog as cat
 from ..sources import jsonl
@@ -175,6 +175,35 @@ def compact_log(spark, sf_dir):
     return feed(spark, sf_dir, LOGS).select("doc_id", F.md5(prompts.compact_log(F.col("text"))).alias("digest"))
 
 
+@query("review_messages", """SELECT conv_id, turn, 'system|user' AS roles,
+md5('Question: ' || coalesce(role, '') || chr(10) || 'SQL Candidate:' || chr(10) || coalesce(text, '') || chr(10) || chr(10) || 'Schema:' || chr(10) || '- **t**') AS user
+FROM conversations""")
+def review_messages(spark, sf_dir):
+    asked = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("role").alias("question"), F.col("text").alias("sql"))
+    asked = prompts.review_messages(asked, "- **t**")
+    return asked.select("conv_id", "turn", F.array_join(F.transform("messages", lambda m: m["role"]), "|").alias("roles"),
+                        F.md5(F.element_at("messages", -1)["content"]).alias("user"))
+
+
+def critic(messages):
+    """Mends what names a price, gives nonsense for what names a status, else keeps the SQL by giving no fix."""
+    said = messages[-1]["content"]
+    sql = said.split("SQL Candidate:\n")[1].split("\n\nSchema:")[0]
+    if "price" in sql:
+        return '{"score": 0.5, "reason": "r", "fixed_sql": "' + sql.replace("price", "o_totalprice") + '"}'
+    return "no JSON" if "status" in sql else '{"score": 1}'
+
+
+@query("reviewed", """WITH p AS (SELECT o_orderkey, (['price', 'status', 'o_custkey'])[(o_orderkey % 3 + 1)::INT] AS c FROM orders)
+SELECT 'q' || o_orderkey AS question, 'SELECT ' || CASE c WHEN 'price' THEN 'o_totalprice' ELSE c END || ' FROM orders' AS sql,
+CASE c WHEN 'price' THEN 0.5 WHEN 'status' THEN 0.0 ELSE 1.0 END::DOUBLE AS score FROM p""")
+def reviewed(spark, sf_dir):
+    column = F.element_at(F.array(F.lit("price"), F.lit("status"), F.lit("o_custkey")), (F.col("o_orderkey") % 3 + 1).cast("int"))
+    asked = table(spark, sf_dir, "orders").select(F.concat(F.lit("q"), F.col("o_orderkey").cast("string")).alias("question"),
+                                                  F.concat(F.lit("SELECT "), column, F.lit(" FROM orders")).alias("sql"))
+    return pairs.apply_reviews(asked, batch.reviewer("- **orders**", critic)(asked)).select("question", "sql", "score")
+
+
 # ---------------------------------------------------------------- batches and rounds
 
 def echo(messages):

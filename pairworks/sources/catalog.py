@@ -134,17 +134,83 @@ JOIN pg_constraint u ON u.conindid = f.conindid AND u.conrelid = f.confrelid AND
 WHERE f.contype = 'f' AND n.nspname = '{schema}'"""
 
 
-def load_jdbc_catalog(spark: SparkSession, url: str, schema: str = "public", properties=None, **meta) -> Catalog:
-    """The catalog of a database's tables with its declared keys; filters and column choices reach the database."""
+# the comments of a schema's tables and columns; a table's own has no column name
+COMMENTS = """SELECT t.relname AS table_name, a.attname AS column_name, d.description AS comment
+FROM pg_description d JOIN pg_class t ON t.oid = d.objoid AND d.classoid = 'pg_class'::regclass JOIN pg_namespace n ON n.oid = t.relnamespace
+LEFT JOIN pg_attribute a ON a.attrelid = t.oid AND a.attnum = d.objsubid AND d.objsubid > 0 WHERE n.nspname = '{schema}'"""
+
+# Printed names of a database's types where they differ from the upper-case name.
+PRINTED = {"character varying": "VARCHAR", "character": "CHAR", "timestamp without time zone": "TIMESTAMP", "timestamp with time zone": "TIMESTAMP",
+           "time without time zone": "TIME", "time with time zone": "TIME", "bit varying": "BIT VARYING"}
+# Elements of arrays, by the short names of their types.
+ELEMENTS = {"int2": "SMALLINT", "int4": "INTEGER", "int8": "BIGINT", "float4": "REAL", "float8": "DOUBLE PRECISION", "bool": "BOOLEAN", "bpchar": "CHAR",
+            "timestamptz": "TIMESTAMP", "timetz": "TIME"}
+
+
+def printed_type(named: Column, element: Column, length: Column, precision: Column, scale: Column) -> Column:
+    """A column's type as an inspector prints it, from the fields of an information schema's view of columns.
+
+    Only text, bit strings and exact numbers show a size, and only if one was declared.
+    """
+    known = lambda names, c: F.coalesce(F.element_at(F.create_map(*[F.lit(x) for kv in names.items() for x in kv]), c), F.upper(c))
+    low = F.lower(named)
+    sized = F.when(low.isin("character varying", "character", "bit", "bit varying") & length.isNotNull(), F.concat(F.lit("("), length.cast("string"), F.lit(")"))) \
+        .when((low == "numeric") & precision.isNotNull(), F.concat(F.lit("("), precision.cast("string"), F.lit(", "), F.coalesce(scale, F.lit(0)).cast("string"), F.lit(")"))) \
+        .otherwise("")
+    array = F.concat(known(ELEMENTS, F.ltrim(element, F.lit("_"))), F.lit("[]"))
+    return F.when(low == "array", array).when(low == "user-defined", F.upper(element)).otherwise(F.concat(known(PRINTED, low), sized))
+
+
+def described(columns: DataFrame, comments: DataFrame) -> tuple[dict, dict]:
+    """Comments and printed types for ``load_catalog`` from the view of columns and a table of comments.
+
+    ``columns`` has the fields of an information schema's view, ``comments`` has ``table_name, column_name, comment``; without a
+    column name a comment is the table's.  Empty comments are none.  One row per column comes to the driver.
+    """
+    kinds = columns.select("table_name", "column_name", printed_type(
+        F.col("data_type"), F.col("udt_name"), F.col("character_maximum_length"), F.col("numeric_precision"), F.col("numeric_scale")).alias("type")).collect()
+    said = comments.where("comment <> ''").collect()
+    return ({r.table_name if r.column_name is None else (r.table_name, r.column_name): r.comment for r in said},
+            {(r.table_name, r.column_name): r.type for r in kinds})
+
+
+def key_ranges(key: str, low: int | None, high: int | None, parts: int) -> list[str]:
+    """Conditions that split a table by a whole-number key into up to ``parts`` reads; each row meets exactly one."""
+    if low is None or high <= low or parts < 2:
+        return []
+    name, width = '"' + key.replace('"', '""') + '"', high - low + 1
+    edges = sorted({low + width * k // parts for k in range(1, parts)} - {low})
+    if not edges:
+        return []
+    between = [f"{name} >= {a} AND {name} < {b}" for a, b in zip(edges, edges[1:])]
+    return [f"{name} < {edges[0]} OR {name} IS NULL", *between, f"{name} >= {edges[-1]}"]
+
+
+def load_jdbc_catalog(spark: SparkSession, url: str, schema: str = "public", properties=None, parts: int = 1, **meta) -> Catalog:
+    """The catalog of a database's tables with declared keys, comments and printed types; filters and column choices reach the database.
+
+    With ``parts`` a table whose key is a whole number is read in that many ranges of it.
+    """
     props = properties or {}
+    inner = schema.replace("'", "''")
     view = lambda name: spark.read.jdbc(url, f"information_schema.{name}", properties=props)
+    text = lambda sql: spark.read.jdbc(url, f"({sql}) AS r", properties=props)
     tables = view("tables").where((F.col("table_schema") == schema) & (F.col("table_type") == "BASE TABLE"))
     names = [r.table_name for r in tables.select("table_name").orderBy("table_name").collect()]
     here = lambda name: view(name).where(F.col("constraint_schema") == schema)
-    references = spark.read.jdbc(url, f"({REFERENCES.format(schema=schema.replace(chr(39), chr(39) * 2))}) AS r", properties=props)
-    keys, fks = declared_keys(here("table_constraints"), here("key_column_usage"), references)
-    frames = {n: spark.read.jdbc(url, f'"{schema}"."{n}"', properties=props) for n in names}
-    return load_catalog(spark, frames, **({"keys": keys, "fks": fks} | meta))
+    keys, fks = declared_keys(here("table_constraints"), here("key_column_usage"), text(REFERENCES.format(schema=inner)))
+    comments, types = described(view("columns").where(F.col("table_schema") == schema), text(COMMENTS.format(schema=inner)))
+
+    def frame(name):
+        table, key = f'"{schema}"."{name}"', keys.get(name)
+        if parts > 1 and types.get((name, key)) in ("SMALLINT", "INTEGER", "BIGINT"):
+            ends = text(f'SELECT min("{key}") AS low, max("{key}") AS high FROM {table}').first()
+            if split := key_ranges(key, ends.low, ends.high, parts):
+                return spark.read.jdbc(url, table, predicates=split, properties=props)
+        return spark.read.jdbc(url, table, properties=props)
+
+    found = {"keys": keys, "fks": fks, "comments": comments, "types": types}
+    return load_catalog(spark, {n: frame(n) for n in names}, **(found | meta))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

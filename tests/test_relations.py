@@ -277,3 +277,31 @@ def test_suggestions_take_the_spelling_of_the_catalog(spark):
     replies = spark.createDataFrame([("SELECT 1 FROM Orders a JOIN B b ON a.B_ID = b.ID LIMIT 1;",)], "text string")
     assert {(r.child_table, r.child_col, r.parent_table, r.parent_col) for r in relate.parse_suggested(replies, catalog=c).collect()} == {
         ("orders", "b_id", "b", "id"), ("b", "id", "orders", "b_id")}
+
+
+def test_comments_and_types_of_a_database(spark):
+    shape = "table_name string, column_name string, data_type string, udt_name string, character_maximum_length int, numeric_precision int, numeric_scale int"
+    view = spark.createDataFrame([
+        ("t", "a", "integer", "int4", None, 32, 0), ("t", "b", "character varying", "varchar", 20, None, None), ("t", "c", "character varying", "varchar", None, None, None),
+        ("t", "d", "numeric", "numeric", None, 12, 2), ("t", "e", "numeric", "numeric", None, None, None), ("t", "f", "timestamp with time zone", "timestamptz", None, None, None),
+        ("t", "g", "ARRAY", "_int4", None, None, None), ("t", "h", "USER-DEFINED", "mood", None, None, None), ("u", "i", "uuid", "uuid", None, None, None),
+        ("u", "j", "double precision", "float8", None, 53, None), ("u", "k", "ARRAY", "_text", None, None, None)], shape)
+    said = spark.createDataFrame([("t", None, "a table"), ("t", "a", "the u it is in"), ("u", "i", "")], "table_name string, column_name string, comment string")
+    comments, types = cat.described(view, said)
+    assert comments == {"t": "a table", ("t", "a"): "the u it is in"}
+    assert list(types.values()) == ["INTEGER", "VARCHAR(20)", "VARCHAR", "NUMERIC(12, 2)", "NUMERIC", "TIMESTAMP", "INTEGER[]", "MOOD", "UUID", "DOUBLE PRECISION", "TEXT[]"]
+    assert cat.described(view.limit(0), said.limit(0)) == ({}, {})
+    frames = {"t": spark.createDataFrame([(1, "x")], "a int, b string"), "u": spark.createDataFrame([("x", 1.0)], "i string, j double")}
+    c = cat.load_catalog(spark, frames, comments=comments, types=types)
+    assert [(r.type, r.comment) for r in c.columns_df.collect()] == [("INTEGER", "the u it is in"), ("VARCHAR(20)", None), ("UUID", None), ("DOUBLE PRECISION", None)]
+    found = relate.metadata_signals(relate.candidates(c.with_keys({"u": "j"}))).collect()
+    assert {r.child_col: r.s3 for r in found} == {"a": True, "b": False}
+
+
+def test_ranges_of_a_key_hold_each_row_once(spark):
+    rows = spark.createDataFrame([(k,) for k in [*range(-7, 30), None, 1000]], "k int")
+    for parts in (2, 3, 8, 5000):
+        split = cat.key_ranges("k", -7, 1000, parts)
+        assert 1 < len(split) <= parts
+        assert rows.count() == sum(rows.where(c.replace('"', "`")).count() for c in (split if parts < 100 else cat.key_ranges("k", -7, 1000, 9)))
+    assert cat.key_ranges("k", None, None, 4) == cat.key_ranges("k", 3, 3, 4) == cat.key_ranges("k", 1, 9, 1) == []

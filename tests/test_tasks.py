@@ -335,3 +335,37 @@ def test_joins_are_checked_within_the_rounds(spark, tmp_path):
     replies[0] = ["SELECT broken FROM orders", good]
     path = run.run_phase(todo, c, "### role: user\n{{count}}", model, f"{tmp_path}/b", "joins", "v1", batch=3, review=review)
     assert {r.sql for r in spark.read.json(path).collect()} == {good, "SELECT 3 FROM items JOIN orders USING (id)"}
+
+
+def test_a_large_phase_is_made_in_ranges(spark):
+    asked = phases(spark, {"name": "copies", "prompt_template": "t", "count": 1_000_001}, {"name": "b", "fns": ["MAX", None, "MIN"], "count": 3},
+                   {"name": "b", "fn_counts": {"SUM": 20_000, "AVG": None, "MIN": -1}})
+    made = tasks.expand_tasks(asked, ["a", "b"])
+    assert made.rdd.getNumPartitions() >= 5
+    counts = made.groupBy("phase_id").agg(F.count("*").alias("n"), F.countDistinct("pos").alias("d"), F.min("pos").alias("a"), F.max("pos").alias("z")).orderBy("phase_id").collect()
+    assert [(r.n, r.d, r.a, r.z) for r in counts] == [(n, n, 0, n - 1) for n in (1_000_001, 9, 20_005)]
+    spread = made.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(spread) >= 3 and max(r["count"] for r in spread) < 700_000
+    # each function's tasks lie together, in the order of the map
+    runs = made.where("phase_id = 2").groupBy("fn").agg(F.count("*").alias("n"), (F.max("pos") - F.min("pos") + 1).alias("w")).collect()
+    assert {(r.fn, r.n, r.w) for r in runs} == {("SUM", 20_000, 20_000), ("AVG", 5, 5)}
+
+
+def test_reviews_are_asked_for(spark):
+    from pairworks.operators import batch, pairs, prompts
+
+    rows = [("q", "SELECT 1"), ("q", "SELECT 1"), ("bad", "SELECT 2"), (None, "SELECT 3")]
+    df = spark.createDataFrame(rows, "question string, sql string")
+    asked = {r.sql: r.messages for r in prompts.review_messages(df, "- **t**").collect()}
+    assert asked["SELECT 2"][1].content == "Question: bad\nSQL Candidate:\nSELECT 2\n\nSchema:\n- **t**"
+    assert asked["SELECT 3"][1].content.startswith("Question: \n") and asked["SELECT 3"][0].role == "system"
+
+    def answer(messages):
+        said = messages[-1]["content"]
+        if "bad" in said:
+            raise ValueError("no answer")
+        return '{"score": 0.25, "reason": "", "fixed_sql": "SELECT 9;"}'
+
+    done = pairs.apply_reviews(df.where("question IS NOT NULL"), batch.reviewer("s", answer, attempts=1)(df))
+    assert sorted((r.question, r.sql, r.score) for r in done.collect()) == [("bad", "SELECT 2", None), ("q", "SELECT 9", 0.25), ("q", "SELECT 9", 0.25)]
+    assert batch.reviewer("s", answer)(df.limit(0)).count() == 0

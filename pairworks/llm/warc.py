@@ -15,7 +15,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -38,7 +38,8 @@ def roles(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     repeats, or if all ids are null); a null id is smaller than any other.
     """
     payload = F.coalesce(F.col("html"), F.lit("")).cast("binary")
-    base = own(pages, "page_id", "url", "html").withColumn("page_id", F.col("page_id").cast("long")).withColumn("payload", payload).drop("html") \
+    base = own(pages, "page_id", "url", "html").withColumn("h", place()[1]).withColumn("page_id", F.col("page_id").cast("long")) \
+        .withColumn("payload", payload).drop("html") \
         .withColumn("payload_bytes", F.octet_length("payload").cast("long")).withColumn("payload_digest", F.sha1("payload"))
     tops = cut(base.where(F.col("payload_bytes") >= least).groupBy("payload_digest", "payload_bytes")
                .agg(F.max(F.struct("page_id", "url")).alias("top"), F.count("*").alias("c")).where("c > 1 and top.page_id is not null")
@@ -49,11 +50,17 @@ def roles(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
         .withColumn("payload", F.when(F.col("refers_to").isNull(), F.col("payload")))
 
 
-def boundaries(pages: DataFrame, shards: int) -> list[int]:
-    """Page ids that split the pages into about equal shards: quantiles of the 100 ids for each shard with the least hash."""
-    ids = pages.select(F.col("page_id").cast("long").alias("i")).where("i is not null").orderBy(F.xxhash64("i"), "i").limit(100 * shards).collect()
-    ids = sorted(r.i for r in ids)
-    return [ids[len(ids) * k // shards] for k in range(1, shards)] if ids else []
+def place() -> list[Column]:
+    """Where a row lies in the order of the shards: its id, null first, then a hash of its URL and html."""
+    return [F.coalesce(F.col("page_id").cast("long"), F.lit(-(1 << 63))), F.xxhash64("url", F.coalesce("html", F.lit("")))]
+
+
+def boundaries(pages: DataFrame, shards: int) -> np.ndarray:
+    """Places that split the pages into about equal shards: quantiles of the 100 different places for each shard with the least hash."""
+    at = [c.alias(n) for n, c in zip("ih", place(), strict=True)]
+    found = pages.select(*at).distinct().orderBy(F.xxhash64("i", "h"), "i", "h").limit(100 * shards).collect()
+    ends = np.array(sorted((r.i, r.h) for r in found), dtype=[("i", np.int64), ("h", np.int64)])
+    return ends[[len(ends) * k // shards for k in range(1, shards)]] if len(ends) else ends
 
 
 def record_id(kind: str, page_id, url, digest: str) -> str:
@@ -104,25 +111,38 @@ def member(data: bytes) -> bytes:
 def write(pages: DataFrame, root: str | None = None, roll_bytes: int = ROLL_BYTES, least: int = LEAST_REVISIT) -> DataFrame:
     """Archive the pages below `root` and return the manifest: shard, number, name, records, bytes, sha256 of each file.
 
-    `root` is a folder that all executors reach, by default a new one below the shared folder.  Null payloads are empty, null
-    URLs become about:blank, a null page_id is left out of the record; repeated rows are written each; an empty table writes
-    no file.  Columns other than page_id, url and html are not read.
+    `root` is a folder that all executors reach, by default a new one below the shared folder.  Its manifest, JSON lines with a
+    _SUCCESS mark, is written last and what failed attempts left is removed then, so a folder without the mark is not finished;
+    one that has a manifest is an error.  Null payloads are empty, null URLs become about:blank, a null page_id is left out of
+    the record; repeated rows are written each; an empty table writes no file.  Rows of one page_id are split by URL and html;
+    only rows equal in all three share a shard whatever their number.  Columns other than page_id, url and html are not read.
     """
     spark = pages.sparkSession
     root = (root or scratch_path(spark, "warc")).rstrip("/")
+    if kept(spark, f"{root}/manifest"):
+        raise ValueError(f"{root} already holds a finished archive")
     marked = roles(pages, least)
     volume = pages.agg(F.sum(F.octet_length("html"))).first()[0] or 0
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-volume // SHARD_BYTES), 1)
-    ends = np.array(boundaries(pages, shards), dtype=np.int64)
+    ends = boundaries(own(pages, "page_id", "url", "html"), shards)
     fields = marked.schema.names
 
     def shard(batches):
         for batch in batches:
-            ids = np.array([-(1 << 63) if x is None else x for x in batch.column("page_id").to_pylist()], dtype=np.int64)
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.searchsorted(ends, ids, side="right").astype(np.int32))], names=[*fields, "shard"])
-
-    dealt = marked.mapInArrow(tidied(shard), marked.withColumn("shard", F.lit(0)).schema).repartition(shards, "shard") \
-        .sortWithinPartitions("shard", "page_id", "url", "payload_digest")
+            at = np.empty(batch.num_rows, dtype=ends.dtype)
+            at["i"] = [-(1 << 63) if x is None else x for x in batch.column("page_id").to_pylist()]
+            at["h"] = batch.column("h").to_numpy()
+            # compared field by field, as numpy does not search structures
+            names = np.searchsorted(ends["i"], at["i"], side="left")
+            upto = np.searchsorted(ends["i"], at["i"], side="right")
+            for i in np.unique(at["i"][names < upto]):
+                these = np.flatnonzero(at["i"] == i)
+                names[these] += np.searchsorted(ends["h"][names[these[0]]:upto[these[0]]], at["h"][these], side="right")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names.astype(np.int32))], names=[*fields, "shard"])
+
+    # the shard is the number of the task, so no two of them meet in one
+    dealt = marked.mapInArrow(tidied(shard), marked.withColumn("shard", F.lit(0)).schema).repartitionById(shards, "shard") \
+        .sortWithinPartitions("shard", "page_id", "h", "url", "payload_digest")
 
     def archive(batches):
         from pyarrow import fs
@@ -174,12 +194,29 @@ def write(pages: DataFrame, root: str | None = None, roll_bytes: int = ROLL_BYTE
         store, base = fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
         for batch in batches:
             for temporary, name in zip(batch.column("temporary").to_pylist(), batch.column("name").to_pylist(), strict=True):
-                if store.get_file_info(f"{base}/{name}").type == fs.FileType.NotFound:
+                # moved already, if an attempt before this one was lost
+                if store.get_file_info(temporary).type != fs.FileType.NotFound:
                     store.move(temporary, f"{base}/{name}")
             yield batch
 
-    final = cut(written.mapInArrow(tidied(commit), MANIFEST), "manifest")
-    return final.withColumn("name", F.concat(F.lit(root + "/"), "name")).drop("temporary")
+    written.mapInArrow(tidied(commit), MANIFEST).drop("temporary").write.mode("overwrite").json(f"{root}/manifest")
+    kept(spark, f"{root}/temporary", remove=True)
+    return manifest_of(spark, root)
+
+
+def kept(spark: SparkSession, folder: str, remove: bool = False) -> bool:
+    """Whether a folder is there; removed with what it holds, if asked."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    store = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return store.exists(path) and (not remove or store.delete(path, True))
+
+
+def manifest_of(spark: SparkSession, root: str) -> DataFrame:
+    """The manifest of a finished folder, names as full paths."""
+    if not kept(spark, f"{root}/manifest/_SUCCESS"):
+        raise ValueError(f"{root} is not finished")
+    rows = spark.read.schema(MANIFEST).json(f"{root}/manifest")
+    return rows.withColumn("name", F.concat(F.lit(root + "/"), "name")).drop("temporary")
 
 
 def parse(stream, most: int = 1 << 20):
@@ -201,7 +238,10 @@ def parse(stream, most: int = 1 << 20):
 
 
 def read(manifest: DataFrame) -> DataFrame:
-    """The page records of the archives a manifest names, digests of payloads taken anew; a damaged payload is an error."""
+    """The page records of the archives a manifest names, digests of payloads taken anew; a damaged payload is an error.
+
+    A name that is there twice is read twice, an empty manifest gives no rows, a null name is an error; other columns are not read.
+    """
     def run(batches):
         from pyarrow import fs
 
@@ -229,7 +269,8 @@ def read(manifest: DataFrame) -> DataFrame:
                 if rows:
                     yield table_of(rows)
 
-    return manifest.select("name").repartition("name").mapInArrow(tidied(run), RECORD)
+    # a task for each file, whatever their names; given as a number, so that adaptive execution does not merge them
+    return manifest.select("name").repartitionByRange(max(1, manifest.count()), "name").mapInArrow(tidied(run), RECORD)
 
 
 def table_of(rows: list[tuple]) -> pa.RecordBatch:

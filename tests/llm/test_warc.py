@@ -2,6 +2,8 @@
 
 import hashlib
 
+import pytest
+
 from pairworks.llm import warc
 
 SCHEMA = "page_id long, url string, html string, payload string"
@@ -49,3 +51,26 @@ def test_revisit_names_the_record_it_repeats(spark):
     found = warc.read(warc.write(spark.createDataFrame(rows(), SCHEMA))).collect()
     ids = {r.record_id for r in found if r.record_type == "response"}
     assert all(r.refers_to_id in ids for r in found if r.record_type == "revisit")
+
+
+def test_one_page_id_on_all_rows_is_split(spark):
+    for page in (7, None):
+        pages = spark.createDataFrame([(page, f"http://h/{i}", "y" * (2000 + i % 7), "") for i in range(400)], SCHEMA)
+        manifest = warc.write(pages)
+        sizes = [r.records for r in manifest.collect()]
+        assert sum(sizes) == 400 and len(sizes) == 8 and max(sizes) < 120
+        found = warc.read(manifest)
+        assert found.rdd.getNumPartitions() == 8
+        assert sorted(r.url for r in found.collect()) == sorted(f"http://h/{i}" for i in range(400))
+
+
+def test_a_finished_folder_has_its_manifest(spark, tmp_path):
+    root = f"{tmp_path}/archive"
+    pages = spark.createDataFrame(rows(), SCHEMA)
+    names = sorted(r.name for r in warc.write(pages, root).collect())
+    assert (tmp_path / "archive" / "manifest" / "_SUCCESS").exists() and not (tmp_path / "archive" / "temporary").exists()
+    assert names == sorted(str(x) for x in (tmp_path / "archive").glob("*.gz")) == sorted(r.name for r in warc.manifest_of(spark, root).collect())
+    with pytest.raises(ValueError, match="finished"):
+        warc.write(pages, root)
+    with pytest.raises(ValueError, match="not finished"):
+        warc.manifest_of(spark, f"{tmp_path}/none")

@@ -1,7 +1,8 @@
 """Sharding by a k-d tree over metadata, leaves of equal bytes.
 
 A node is split at the weighted median of its widest dimension, all nodes of a level at once.  The median is found by
-histograms that grow finer only where it lies, so what reaches the driver is bins, BINS for each node and round at most.
+histograms that grow finer only where it lies; nodes, searches and cuts are small tables joined with the rows, so a plan
+does not grow with the shards, and what reaches the driver is a bin for each node and round.
 Rows with the median's value are told apart by the hash of their text and then by their place in the input, so a group of
 copies, however large, is cut where the bytes ask for it and otherwise stays together.
 """
@@ -9,7 +10,7 @@ copies, however large, is cut where the bytes ask for it and otherwise stays tog
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -19,98 +20,88 @@ from .common import cut, text_or_empty
 
 BINS = 1024
 FINE = 10_000
-
-
-@dataclass
-class Cut:
-    """Rows not above (dimension, hash, row) go left; the last keys may be missing."""
-    dimension: str
-    values: list[int]
-
-    def left(self) -> Column:
-        keys = [self.dimension, "h", "rid"][:len(self.values)]
-        test = F.col(keys[-1]) <= F.lit(self.values[-1])
-        for key, value in list(zip(keys, self.values, strict=True))[-2::-1]:
-            test = (F.col(key) < F.lit(value)) | ((F.col(key) == F.lit(value)) & test)
-        return test
+# nodes that are sent to all tasks, at most (under 100 bytes each), the levels after which rows are written, and the values told apart
+MOST_SENT = 100_000
+LEVELS = 5
+WIDEST = 1 << 61
 
 
 @dataclass
 class Search:
     """Where a node's median is known to lie: the values of the keys before, the range of the current one, the bytes below."""
     node: int
-    dimension: str
+    dimension: int
     target: float
     lo: int
     hi: int
-    before: list[int]
+    before: list[int] = field(default_factory=list)
     below: int = 0
-    weight: int = 0
 
-    @property
-    def key(self) -> str:
-        return [self.dimension, "h", "rid"][len(self.before)]
+    def row(self) -> tuple:
+        step = max(1, -(-(self.hi - self.lo + 1) // BINS))
+        return (self.node, self.dimension, len(self.before), *(self.before + [0, 0])[:2], self.lo, self.hi, step, self.below, self.target)
 
-    @property
-    def step(self) -> int:
-        return max(1, -(-(self.hi - self.lo + 1) // BINS))
 
-    def inside(self) -> Column:
-        test = F.col("node") == self.node
-        for key, value in zip([self.dimension, "h"], self.before, strict=False):
-            test = test & (F.col(key) == F.lit(value))
-        return test & F.col(self.key).between(F.lit(self.lo), F.lit(self.hi))
+SEARCHED = "node bigint, dim int, stage int, b0 bigint, b1 bigint, lo bigint, hi bigint, step bigint, below bigint, target double"
+# rows not above (value, hash, row) of the dimension go left; the last ones may be missing
+CUT = "node bigint, dim int, v0 bigint, v1 bigint, v2 bigint"
 
 
-def cuts(rows: DataFrame, searches: list[Search], fine: float) -> dict[int, Cut]:
-    """The weighted median of each node."""
-    done: dict[int, Cut] = {}
+def table(rows: DataFrame, of: list[tuple], shape: str) -> DataFrame:
+    """A row for each node, to be joined; sent to all tasks while the nodes are few, else the join shuffles."""
+    found = rows.sparkSession.createDataFrame(of, shape)
+    return F.broadcast(found) if len(of) <= MOST_SENT else found
+
+
+def cuts(rows: DataFrame, names: list[str], searches: list[Search], fine: float) -> list[tuple]:
+    """The weighted median of each node as a row of `CUT`."""
+    done = []
+    value = F.get(F.array(*names), F.col("dim"))
+    key = F.when(F.col("stage") == 0, value).when(F.col("stage") == 1, F.col("h")).otherwise(F.col("rid"))
+    same = ((F.col("stage") == 0) | (value == F.col("b0"))) & ((F.col("stage") < 2) | (F.col("h") == F.col("b1")))
     while searches:
-        bins = None
-        for k, s in enumerate(searches):
-            b = F.struct(F.lit(k).alias("k"), F.floor((F.col(s.key) - F.lit(s.lo)) / F.lit(s.step)).cast("long").alias("b") if s.step > 1 else (F.col(s.key) - F.lit(s.lo)).alias("b"))
-            bins = F.when(s.inside(), b) if bins is None else bins.when(s.inside(), b)
-        found = rows.select(bins.alias("at"), "size", *sorted({s.key for s in searches})).where("at is not null") \
-            .groupBy("at").agg(F.sum("size").alias("w"), *(x for s in {s.key for s in searches} for x in (F.min(s).alias(f"lo_{s}"), F.max(s).alias(f"hi_{s}")))).collect()
+        at = table(rows, [s.row() for s in searches], SEARCHED)
+        bins = rows.join(at, "node").where(same & key.between(F.col("lo"), F.col("hi"))) \
+            .select("node", "below", "target", key.alias("key"), F.expr("(key - lo) div step").alias("b"), "size") \
+            .groupBy("node", "below", "target", "b").agg(F.sum("size").alias("w"), F.min("key").alias("lo"), F.max("key").alias("hi"))
+        # the first bin that reaches the target, else the last one
+        upto = F.col("below") + F.sum("w").over(W.partitionBy("node").orderBy("b"))
+        bin_ = F.struct((F.col("upto") - F.col("w")).alias("below"), "w", "lo", "hi")
+        found = bins.withColumn("upto", upto).groupBy("node").agg(
+            F.coalesce(F.min_by(F.when(F.col("upto") >= F.col("target"), bin_), F.when(F.col("upto") >= F.col("target"), F.col("b"))), F.max_by(bin_, "b")).alias("at"))
+        at = {r.node: r["at"] for r in found.collect()}
         following = []
-        for k, s in enumerate(searches):
-            own = sorted((r for r in found if r["at"]["k"] == k), key=lambda r: r["at"]["b"])
-            if not own:
-                done[s.node] = Cut(s.dimension, [*s.before, s.hi])
+        for s in searches:
+            if s.node not in at:
+                done.append((s, [*s.before, s.hi]))
                 continue
-            below, at = s.below, own[-1]
-            for r in own:
-                if below + r.w >= s.target:
-                    at = r
-                    break
-                below += r.w
-            else:
-                below -= at.w
-            lo, hi = at[f"lo_{s.key}"], at[f"hi_{s.key}"]
-            if at.w <= fine:
-                # the whole bin is small: take it or leave it, whichever is closer
-                if s.target - below < below + at.w - s.target:
-                    values = [*s.before, lo - 1]
-                else:
-                    values = [*s.before, hi]
-                done[s.node] = Cut(s.dimension, values)
-            elif lo == hi and s.key == "rid":
-                closer = lo - 1 if s.target - below < below + at.w - s.target else lo
-                done[s.node] = Cut(s.dimension, [*s.before, closer])
-            elif lo == hi:
-                wide = (0, (1 << 62) - 1) if not s.before else (0, (1 << 63) - 1)
-                following.append(Search(s.node, s.dimension, s.target, *wide, [*s.before, lo], below))
+            r = at[s.node]
+            left = s.target - r.below < r.below + r.w - s.target
+            if r.w <= fine or r.lo == r.hi and len(s.before) == 2:
+                # the whole bin is small, or one row: take it or leave it, whichever is closer
+                done.append((s, [*s.before, r.lo - 1 if left else r.hi]))
+            elif r.lo == r.hi:
+                following.append(Search(s.node, s.dimension, s.target, 0, (1 << 63) - 1 if s.before else (1 << 62) - 1, [*s.before, r.lo], r.below))
             else:
-                following.append(Search(s.node, s.dimension, s.target, lo, hi, s.before, below))
+                following.append(Search(s.node, s.dimension, s.target, r.lo, r.hi, s.before, r.below))
         searches = following
-    return done
+    return [(s.node, s.dimension, *(v + [None, None])[:3]) for s, v in done]
+
+
+def deal(rows: DataFrame, names: list[str], where: list[tuple]) -> DataFrame:
+    """Rows of the nodes that are cut go to the node on their side; the others stay."""
+    value = F.get(F.array(*names), F.col("dim"))
+    last = F.when(F.col("v2").isNull(), F.lit(True)).otherwise(F.col("rid") <= F.col("v2"))
+    left = (value < F.col("v0")) | ((value == F.col("v0")) & (F.col("v1").isNull() | (F.col("h") < F.col("v1")) | ((F.col("h") == F.col("v1")) & last)))
+    node = F.when(F.col("dim").isNull(), F.col("node")).otherwise(2 * F.col("node") + F.when(left, 1).otherwise(2))
+    return rows.join(table(rows, where, CUT), "node", "left").withColumn("node", node).drop("dim", "v0", "v1", "v2")
 
 
 def assign(docs: DataFrame, dimensions: dict[str, Column], shards: int | None = None, target_bytes: int | None = None, text: str = "text",
            keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns `keep` with size, text_crc32, shard and slot of every row.
 
-    `dimensions` are whole numbers of each row; null counts as the smallest value.  Give the number of shards, or the bytes a
+    `dimensions` are whole numbers of each row; null counts as 0, values beyond 2^61 as that.  Give the number of shards, or the bytes a
     shard should have.  Sizes are UTF-8 bytes of the text and 1 more, a null text has none.  The bytes of two shards differ by
     about the largest row, or a ten-thousandth of a shard if that is more.  Repeated rows are dealt like any others.  `slot`
     numbers a shard's rows from 0.  An empty table gives an empty result.
@@ -120,41 +111,36 @@ def assign(docs: DataFrame, dimensions: dict[str, Column], shards: int | None =
     rows = docs.select(
         F.struct(*(docs[k] for k in keep)).alias("row"), (F.octet_length(t) + 1).cast("long").alias("size"), F.crc32(t.cast("binary")).alias("crc"),
         F.shiftrightunsigned(F.xxhash64(t), 2).alias("h"), F.monotonically_increasing_id().alias("rid"),
-        *(F.coalesce(c.cast("long"), F.lit(0)).alias(n) for n, c in names.items()))
+        *(F.greatest(F.least(F.coalesce(c.cast("long"), F.lit(0)), F.lit(WIDEST)), F.lit(-WIDEST)).alias(n) for n, c in names.items()))
     rows = cut(rows, "rows")
     total = rows.agg(F.sum("size")).first()[0] or 0
     n = shards or max(1, math.ceil(total / target_bytes))
     fine = total / n / FINE
     whole = rows.agg(*(f(c).alias(f"{f.__name__}_{c}") for c in names for f in (F.min, F.max))).first()
     spread = {c: max(1, (whole[f"max_{c}"] or 0) - (whole[f"min_{c}"] or 0)) for c in names}
-    leaves = {0: (0, n)}
-    placed = rows.withColumn("node", F.lit(0))
+    leaves, level = {0: (0, n)}, 0
+    placed = rows.withColumn("node", F.lit(0).cast("long"))
     while any(size > 1 for _, size in leaves.values()):
-        open_nodes = [k for k, (_, size) in leaves.items() if size > 1]
-        stats = {r["node"]: r for r in placed.where(F.col("node").isin(open_nodes)).groupBy("node").agg(
+        if level and level % LEVELS == 0:
+            placed = cut(placed, "level")
+        level += 1
+        ends = {r["node"]: r for r in placed.groupBy("node").agg(
             F.sum("size").alias("w"), *(f(c).alias(f"{f.__name__}_{c}") for c in names for f in (F.min, F.max))).collect()}
-        searches = []
-        for k in open_nodes:
-            if k in stats:
-                r, size = stats[k], leaves[k][1]
-                widest = max(names, key=lambda c: (r[f"max_{c}"] - r[f"min_{c}"]) / spread[c])
-                searches.append(Search(k, widest, r.w * (size // 2) / size, r[f"min_{widest}"], r[f"max_{widest}"], []))
-        where = cuts(placed, searches, fine)
-        following = {}
+        searches, following = [], {}
         for k, (first, size) in leaves.items():
             if size == 1:
-                following[2 * k + 1] = (first, 1)
-            else:
-                following[2 * k + 1], following[2 * k + 2] = (first, size // 2), (first + size // 2, size - size // 2)
-        deal = None
-        for k in leaves:
-            to = F.when(where[k].left(), 2 * k + 1).otherwise(2 * k + 2) if k in where else F.lit(2 * k + 1)
-            deal = F.when(F.col("node") == k, to) if deal is None else deal.when(F.col("node") == k, to)
-        placed, leaves = placed.withColumn("node", deal), following
-    shard = None
-    for k, (first, _) in leaves.items():
-        shard = F.when(F.col("node") == k, first) if shard is None else shard.when(F.col("node") == k, first)
-    dealt = cut(placed.select("row", "size", "crc", "rid", shard.cast("int").alias("shard"), F.shiftrightunsigned("rid", 33).alias("part")), "dealt")
+                following[k] = (first, 1)
+                continue
+            following[2 * k + 1], following[2 * k + 2] = (first, size // 2), (first + size // 2, size - size // 2)
+            if k in ends:
+                r = ends[k]
+                widest = max(names, key=lambda c: (r[f"max_{c}"] - r[f"min_{c}"]) / spread[c])
+                searches.append(Search(k, [*names].index(widest), r.w * (size // 2) / size, r[f"min_{widest}"], r[f"max_{widest}"]))
+        if searches:
+            placed = deal(placed, [*names], cuts(placed, [*names], searches, fine))
+        leaves = following
+    shard = table(rows, [(k, first) for k, (first, _) in leaves.items()], "node bigint, shard int")
+    dealt = cut(placed.join(shard, "node").select("row", "size", "crc", "rid", "shard", F.shiftrightunsigned("rid", 33).alias("part")), "dealt")
     # a shard is numbered part by part, each part being what one task had read
     counts = dealt.groupBy("shard", "part").agg(F.count("*").alias("c"))
     offsets = counts.select("shard", "part", (F.sum("c").over(W.partitionBy("shard").orderBy("part")) - F.col("c")).alias("before"))

@@ -37,3 +37,10 @@ def test_target_bytes_and_small_tables(spark):
     # one dimension: shards are ranges of it
     assert [r.d for r in got.groupBy("shard").agg((F.max("doc_id") - F.min("doc_id")).alias("d")).collect()] == [24] * 4
     assert len(sharding.report(docs.limit(3)).collect()) == 3 and sharding.report(docs.limit(0)).collect() == []
+
+
+def test_many_shards(spark):
+    docs = spark.createDataFrame([(i, "x" * (50 + i % 90), "l", str(i % 13), 0) for i in range(6000)] + [(i, "same " * 20, None, "hot", 0) for i in range(3000)], SCHEMA)
+    dimensions = {"source": F.crc32("source"), "id": F.col("doc_id") * F.lit(1 << 50)}
+    total = shards(sharding.assign(docs, dimensions, 300).collect())
+    assert set(total) == set(range(300)) and max(total.values()) - min(total.values()) <= 4 * 141

@@ -11,8 +11,9 @@ Before that a window is padded where no frequent phrase can go on:
 * at the second, third or fourth word where the prefix up to it occurs too seldom.  Windows are dealt by their first two words,
   so a group knows the whole count of every prefix; pairs that fill more than half a group are dealt by three words.
 
-Words travel as 64-bit names made of their text and language, and get their text back at the end.  At w different words about
-w * w / 2^65 pairs share a name.
+Words have 64-bit names made of their text and language, and get their text back at the end.  At w different words about
+w * w / 2^65 pairs share a name.  Between tasks the most frequent words, at most `NUMBERED` of them, go by their number; a name
+is sent only for the others, so the bound (eight bytes a word in each task) changes no result.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ TOP = 2000
 SLICE_BYTES = 2 << 20
 GROUP_BYTES = 8 << 20
 BITMAP_BITS = 24
+NUMBERED = 1 << 19
 UNKNOWN = "und"
 
 WORDS = "lang string, code bigint, word string, n bigint"
@@ -98,6 +100,31 @@ def unpacked(keys: list[np.ndarray]) -> list[np.ndarray]:
     return [x.astype(np.int64) for k in keys for x in (k >> np.uint64(32), k & low)]
 
 
+def zipped(data: bytes) -> bytes:
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unzipped(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
+def most_frequent(words: DataFrame, most: int) -> np.ndarray:
+    """Names of the most frequent words, the most frequent first: all above a count that at most `most` words reach."""
+    step = F.floor(F.log2("n") * 4)
+    least, total = None, 0
+    # at most four rows for each power of two
+    for r in sorted(words.groupBy(step.alias("step")).agg(F.count("*").alias("c")).collect(), key=lambda r: -r.step):
+        total += r.c
+        if total > most:
+            break
+        least = r.step
+    if least is None:
+        return np.zeros(0, dtype=np.uint64)
+    found = words.where(step >= least).select("code", "n").toArrow()
+    codes, n = (found.column(c).to_numpy() for c in ("code", "n"))
+    return codes[np.lexsort((codes, -n))].view(np.uint64)
+
+
 def _word_rows(groups: int):
     """Of each run of texts: its different words with their counts, all words of a language (code 0), and pairs that may be hot."""
     def run(batches):
@@ -122,11 +149,16 @@ def _word_rows(groups: int):
     return run
 
 
-def _windows(groups: int, bitmap: np.ndarray, hot: np.ndarray):
-    """Of each run of texts: its different windows and their counts, dealt to groups."""
-    shift = np.uint64(64 - BITMAP_BITS)
+def _windows(groups: int, bitmap: np.ndarray, hot: np.ndarray, numbered: np.ndarray):
+    """Of each run of texts: its different windows and their counts, dealt to groups.
+
+    A word is the number 0 for none, up to K for one of the K in `numbered`, and beyond K one of the names sent along.
+    """
+    shift, k = np.uint64(64 - BITMAP_BITS), len(numbered)
 
     def run(batches):
+        order_of = np.argsort(numbered)
+        sorted_names = numbered[order_of]
         for whole in batches:
             for batch in slices(whole, "text", SLICE_BYTES):
                 p = Pieces(batch)
@@ -134,44 +166,60 @@ def _windows(groups: int, bitmap: np.ndarray, hot: np.ndarray):
                 known = (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63)) & np.uint64(1)).astype(bool)
                 codes = np.where(known, p.codes, np.uint64(0))
                 values, inverse = np.unique(np.concatenate([np.zeros(1, np.uint64), codes]), return_inverse=True)
-                ranks = [inverse[1:].astype(np.uint64)]
+                at = np.searchsorted(sorted_names, values)
+                named = at < k
+                named[named] = sorted_names[at[named]] == values[named]
+                number = np.zeros(len(values), dtype=np.uint64)
+                number[named] = order_of[at[named]] + 1
+                far = ~named & (values > 0)
+                number[far] = k + 1 + np.arange(int(far.sum()))
+                names = np.concatenate([np.zeros(1, np.uint64), numbered, values[far]])
+                ranks = [number[inverse[1:]]]
                 for by in range(1, LONGEST):
                     led = p.led(ranks[0], by)
                     ranks.append(np.where(ranks[-1] > 0, led, np.uint64(0)))
                 start = ranks[0] > 0
                 keys, counts = grouped(packed([r[start] for r in ranks]), np.ones(int(start.sum()), np.int64))
                 window = unpacked(keys)
-                name = pair_name(values[window[0]], values[window[1]])
+                name = pair_name(names[window[0]], names[window[1]])
                 split = np.isin(name, hot)
-                name[split] = pair_name(name[split], values[window[2][split]])
+                name[split] = pair_name(name[split], names[window[2][split]])
                 place = ((mixed(name) >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
                 order = np.argsort(place, kind="stable")
                 place = place[order]
                 # the texts' own arrays are not needed beside what is sent
-                del p, bit, known, codes, inverse, ranks, start, keys, name, split
+                del p, bit, known, codes, values, inverse, ranks, start, keys, name, split
                 edges = np.flatnonzero(np.diff(place, prepend=-1))
                 for a, z in zip(edges.tolist(), np.append(edges, len(place))[1:].tolist(), strict=True):
-                    part = [w[order[a:z]] for w in window]
-                    mine, again = np.unique(np.concatenate(part), return_inverse=True)
+                    part = np.concatenate([w[order[a:z]] for w in window])
+                    mine, again = np.unique(part[part > k], return_inverse=True)
+                    part[part > k] = k + 1 + again
+                    # windows are in order, so their first words are
+                    part[:z - a] = np.diff(part[:z - a], prepend=0)
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([int(place[a])], pa.int32()), pa.array([gaps(values[mine])], pa.binary()),
-                        pa.array([planes(again.astype(np.uint32))], pa.binary()), pa.array([planes(counts[order[a:z]])], pa.binary())],
+                        pa.array([int(place[a])], pa.int32()), pa.array([gaps(names[mine])], pa.binary()),
+                        pa.array([zipped(planes(part.astype(np.uint32)))], pa.binary()), pa.array([zipped(planes(counts[order[a:z]]))], pa.binary())],
                         names=["place", "codes", "windows", "counts"])
     return run
 
 
-def _merged(least: int, hot: np.ndarray):
+def _merged(least: int, hot: np.ndarray, numbered: np.ndarray):
     """A group's windows with their counts, each padded behind its last prefix that is frequent enough."""
+    numbers = len(numbered)
+
     def run(table: pa.Table) -> pa.Table:
         dictionaries = [from_gaps(x) for x in table.column("codes").to_pylist()]
-        values = np.unique(np.concatenate([np.zeros(1, np.uint64), *dictionaries]))
+        others = np.unique(np.concatenate(dictionaries))
+        names = np.concatenate([np.zeros(1, np.uint64), numbered, others])
         columns = [[] for _ in range(LONGEST)]
         for codes, x in zip(dictionaries, table.column("windows").to_pylist(), strict=True):
-            at = from_planes(x, np.uint32)
-            ranks = np.searchsorted(values, codes).astype(np.uint32)[at].reshape(LONGEST, -1)
+            ranks = from_planes(unzipped(x), np.uint32).reshape(LONGEST, -1)
+            ranks[0] = np.cumsum(ranks[0])
+            far = ranks > numbers
+            ranks[far] = numbers + 1 + np.searchsorted(others, codes)[ranks[far] - np.uint32(numbers + 1)]
             for c, r in zip(columns, ranks, strict=True):
                 c.append(r)
-        counts = np.concatenate([from_planes(x, np.int64) for x in table.column("counts").to_pylist()])
+        counts = np.concatenate([from_planes(unzipped(x), np.int64) for x in table.column("counts").to_pylist()])
         del dictionaries
         keys = packed([np.concatenate(c) for c in columns])
         columns.clear()
@@ -187,11 +235,11 @@ def _merged(least: int, hot: np.ndarray):
             total = np.repeat(np.add.reduceat(counts, at), np.diff(at, append=len(counts)))
             few = total < least
             if k == 1:
-                few &= ~np.isin(pair_name(values[window[0]], values[window[1]]), hot)
+                few &= ~np.isin(pair_name(names[window[0]], names[window[1]]), hot)
             seldom |= few
             window[k] = np.where(seldom, 0, window[k])
         keys, counts = grouped(packed(window), counts)
-        out = [pa.array(values[w].view(np.int64)) for w in unpacked(keys)]
+        out = [pa.array(names[w].view(np.int64)) for w in unpacked(keys)]
         return pa.table([*out, pa.array(counts)], names=["c1", "c2", "c3", "c4", "n"])
     return run
 
@@ -220,8 +268,9 @@ def count_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataF
     # at most 2^(BITMAP_BITS - 6) rows
     for r in blocks.collect():
         bitmap[r.block] = np.uint64(r.bits & ((1 << 64) - 1))
-    sent = rows.mapInArrow(tidied(_windows(groups, bitmap, hot)), SENT)
-    windows = sent.groupBy("place").applyInArrow(_merged(least, hot), COUNTED)
+    numbered = most_frequent(named, NUMBERED)
+    sent = rows.mapInArrow(tidied(_windows(groups, bitmap, hot, numbered)), SENT)
+    windows = sent.groupBy("place").applyInArrow(_merged(least, hot, numbered), COUNTED)
     columns = ["c1", "c2", "c3", "c4"]
     sums = windows.rollup(*columns).agg(F.sum("n").alias("f"), F.grouping_id().alias("level"))
     size = F.expr("CASE level WHEN 0 THEN 4 WHEN 1 THEN 3 WHEN 3 THEN 2 WHEN 7 THEN 1 ELSE 0 END")

@@ -47,9 +47,10 @@ def rows():
     return [*out, (None, "en", 1, "p", 2), ("", None, 1, "p", 2), (" .,\t", "it", 1, "", 1), ("lone " * 2000, "xx", 1, "", 1)]
 
 
-@pytest.mark.parametrize("size", [500, 1 << 20])
-def test_like_plain_counts(spark, monkeypatch, size):
+@pytest.mark.parametrize("size, numbered", [(500, 1 << 19), (1 << 20, 6), (500, 6), (1 << 20, 0)])
+def test_like_plain_counts(spark, monkeypatch, size, numbered):
     monkeypatch.setattr(collocations, "SLICE_BYTES", size)
+    monkeypatch.setattr(collocations, "NUMBERED", numbered)
     data = rows()
     got = collocations.collocations(spark.createDataFrame(data, SCHEMA).repartition(5), top=40).collect()
     assert sorted(map(tuple, got)) == plain(data, top=40)

@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
-import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyarrow import fs as pafs
@@ -16,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import say
-from ..session import cut_lineage
+from ..session import by_key, cut_lineage
 from .pairs import parse_answer, parse_pairs
 from .prompts import review_messages
 from .usage import MICROS, cost_micros
@@ -93,29 +92,43 @@ def ask_all(prompts: DataFrame, completer: Callable, key: tuple = ("task_id",),
         text, in_tok, out_tok = (got, None, None) if got is None or isinstance(got, str) else got
         return text, None, in_tok, out_tok, None
 
-    def replies(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def replies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with ThreadPoolExecutor(threads) as pool:
+            each = pool.map if threads > 1 else map
             for b in batches:
-                for at in range(0, len(b), LOGGED_TOGETHER):
-                    part = b.iloc[at:at + LOGGED_TOGETHER]
-                    got = list(pool.map(one, part["messages"]))
-                    good = [(d, t, i, o) for d, (t, _, i, o, err) in zip(part["digest"], got, strict=True) if err is None]
+                done = []
+                for at in range(0, b.num_rows, LOGGED_TOGETHER):
+                    part = b.slice(at, LOGGED_TOGETHER)
+                    got = list(each(one, part.column("messages").to_pylist()))
+                    good = [(d, t, i, o) for d, (t, _, i, o, err) in zip(part.column("digest").to_pylist(), got, strict=True) if err is None]
                     if log and good:
                         log_replies(log, good)
                     failed = [g[4] for g in got if g[4] is not None]
                     if strict and failed:
                         raise failed[0]
-                    text, error, in_tok, out_tok, _ = zip(*got, strict=True)
-                    yield part[kept].assign(text=text, error=error, in_tok=pd.array(in_tok, "Int64"), out_tok=pd.array(out_tok, "Int64"))
+                    done += [g[:4] for g in got]
+                if done:
+                    # what is carried along stays in its columns
+                    said = [pa.array(c, t) for c, t in zip(zip(*done, strict=True), (pa.string(), pa.string(), pa.int64(), pa.int64()), strict=True)]
+                    yield pa.RecordBatch.from_arrays([*(b.column(c) for c in kept), *said], names=[*kept, "text", "error", "in_tok", "out_tok"])
+
+    def asked(rows: DataFrame) -> DataFrame:
+        return dealt(rows, *key, "messages").mapInArrow(replies, f"{shape}, {REPLY}")
 
     if log is None:
-        return keyed.mapInPandas(replies, f"{shape}, {REPLY}")
-    logged = cut_lineage(read_log(spark, log).join(keyed.select("digest").distinct(), "digest", "left_semi"))
-    sent = cut_lineage(keyed.join(logged.select("digest"), "digest", "left_anti").mapInPandas(replies, f"{shape}, {REPLY}"))
-    known = keyed.join(logged, "digest").withColumn("error", F.lit(None).cast("string"))
+        return asked(keyed)
+    logged = cut_lineage(read_log(spark, log).join(by_key(keyed.select("digest").distinct()), "digest", "left_semi"))
+    sent = cut_lineage(asked(keyed.join(by_key(logged.select("digest")), "digest", "left_anti")))
+    known = keyed.join(by_key(logged), "digest").withColumn("error", F.lit(None).cast("string"))
     return sent.unionByName(known.select(*sent.columns))
 
 
+def dealt(rows: DataFrame, *columns: str) -> DataFrame:
+    """Rows over all tasks by columns: what a prompt and its call take does not show in bytes, by which Spark would deal them."""
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism), *columns)
+
+
 def complete_batch(prompts: DataFrame, completer: Callable, key: tuple = ("task_id",), attempts: int = ATTEMPTS,
                    pause: float = FIRST_PAUSE, threads: int = 1, log: str | None = None, strict: bool = True) -> DataFrame:
     """``key, text``: the reply to each row's ``messages``; with ``strict`` off also ``error``, null where the call went well."""
@@ -182,10 +195,10 @@ def converse(tasks: DataFrame, prompt: Callable[[DataFrame], DataFrame], complet
     as_column = lambda x: x if isinstance(x, Column) else F.lit(x)
     wanted = tasks.withColumn("want", as_column(k).cast("long")).where(F.col("want") > 0)
     wanted = wanted.withColumn("per", F.coalesce(as_column(batch).cast("long"), F.col("want")))
-    wanted = wanted.withColumn("asked", F.least("per", "want")).withColumn("turn", F.lit(0))
+    wanted = dealt(wanted.withColumn("asked", F.least("per", "want")).withColumn("turn", F.lit(0)), "task_id")
     extra = [c for c in ("question",) if c in tasks.columns]
     held = ["want", "per", "asked", "have", *extra, "messages"]
-    state = (prompt(wanted).select("task_id", "messages").join(wanted.select("task_id", "want", "per", "asked", *extra), "task_id")
+    state = (prompt(wanted).select("task_id", "messages").join(by_key(wanted.select("task_id", "want", "per", "asked", *extra)), "task_id")
              .withColumn("have", F.lit(0).cast("long")).select("task_id", *held))
     left = None if budget is None else round(budget * MICROS)
     pairs, usage = [], []
@@ -194,7 +207,7 @@ def converse(tasks: DataFrame, prompt: Callable[[DataFrame], DataFrame], complet
         if left is not None:
             state = cut_lineage(state)
             may = cut_lineage(admitted(state, left, span))
-            state, later = state.join(may, "task_id", "left_semi"), state.join(may, "task_id", "left_anti")
+            state, later = state.join(by_key(may), "task_id", "left_semi"), state.join(by_key(may), "task_id", "left_anti")
         replies = cut_lineage(ask_all(state, completer, ("task_id",), tuple(held), threads=threads, log=log, strict=strict))
         spoken = replies.where(F.col("text").isNotNull())
         used = spoken.select("task_id", F.lit(turn).alias("turn"),
@@ -216,11 +229,11 @@ def converse(tasks: DataFrame, prompt: Callable[[DataFrame], DataFrame], complet
 def _next(replies: DataFrame, found: DataFrame, parsed: DataFrame | None, follow: str) -> DataFrame:
     """The tasks that want more pairs, their conversations longer by the reply and the next question."""
     gained = found.groupBy("task_id").agg(F.count(F.lit(1)).alias("gained"))
-    state = replies.join(gained, "task_id", "left").withColumn("have", F.col("have") + F.coalesce("gained", F.lit(0))).where(F.col("have") < F.col("want"))
+    state = replies.join(by_key(gained), "task_id", "left").withColumn("have", F.col("have") + F.coalesce("gained", F.lit(0))).where(F.col("have") < F.col("want"))
     missing, again = F.col("want") - F.col("have"), F.col("per")
     if parsed is not None:
         given = parsed.groupBy("task_id").agg(F.count(F.lit(1)).alias("given"))
-        state = state.join(given, "task_id", "left")
+        state = state.join(by_key(given), "task_id", "left")
         short = F.col("per") - F.coalesce("given", F.lit(0))
         again = F.when(short > 0, short).otherwise(F.col("per"))
     ask = F.greatest(F.lit(0), F.least(again, missing))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..session import cut_lineage
+from ..session import by_key, cut_lineage
 from ..sources.catalog import Catalog, with_schema
 from .windows import row_number
 
@@ -165,7 +165,7 @@ def apply_reviews(pairs: DataFrame, reviews: DataFrame) -> DataFrame:
     no JSON object scores 0.0 and keeps the candidate; a pair without review has no score.
     """
     last = reviews.groupBy("question", "sql").agg(F.max_by("response", "seq").alias("response"))
-    read = pairs.join(last, ["question", "sql"], "left").withColumn("v", tx.as_list(F.col("response")))
+    read = pairs.join(by_key(last), ["question", "sql"], "left").withColumn("v", tx.as_list(F.col("response")))
     read = read.withColumn("v", tx.only_member(F.col("v")))
     v = F.col("v")
     ok = v.isNotNull() & tx.is_object(v)

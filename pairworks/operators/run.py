@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import by_key
 from ..sources.catalog import Catalog, members, with_schema
 from ..sources.jsonl import write_version
 from ..sources.samples import masked_samples
@@ -61,7 +62,7 @@ def valid_joins(tasks: DataFrame, catalog: Catalog, least: int, review: Callable
 
     def check(pairs: DataFrame) -> DataFrame:
         good = fix_rounds(drop_failures(pairs), runs, review)
-        return good.join(needs, "task_id").where(join_table_count(F.col("sql")) >= F.col("needs")).select(*pairs.columns)
+        return good.join(by_key(needs), "task_id").where(join_table_count(F.col("sql")) >= F.col("needs")).select(*pairs.columns)
 
     return check
 

@@ -272,18 +272,27 @@ def members(texts: dict[str, str], names) -> Column:
     return F.array_join(F.transform(names, lambda t: known[t]), ",")
 
 
+# Tasks that share the rows of one list of tables, at most.
+SALTS = 32
+
+
 def with_schema(rows: DataFrame, catalog: Catalog, tables: str = "tables", out: str = "schema") -> DataFrame:
     """Adds the schema JSON of the tables in an array column, in its order; unknown names are ignored.
 
     The text is built once for each different list and joined; the catalog's texts never enter the plan.
     """
-    lists = rows.select(F.col(tables).alias("_list")).distinct()
+    # Spark does not look through a generator: a list that is the same for all rows would leave the join without a key, and all
+    # rows would go to the task that has the text; the rows of a list are dealt over SALTS tasks by what else they hold
+    hashed = [F.col(f"`{f.name}`") for f in rows.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    salt = F.pmod(F.xxhash64(*hashed), F.lit(SALTS)).cast("int")
+    keyed = rows.select("*", salt.alias("_salt"), F.explode(F.array(tables)).alias("_key"))
+    lists = keyed.select(F.col("_key").alias("_list")).distinct()
     texts = (lists.select("_list", F.posexplode("_list").alias("_at", "table")).join(table_json(catalog).select("table", "json"), "table")
              .groupBy("_list").agg(F.array_sort(F.collect_list(F.struct("_at", "json"))).alias("_parts"))
-             .select("_list", F.array_join(F.col("_parts.json"), ",").alias("_members")))
-    joined = rows.join(texts, F.col(tables) == F.col("_list"), "left")
+             .select("_list", F.array_join(F.col("_parts.json"), ",").alias("_members"), F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_of")))
+    joined = keyed.join(texts, (F.col("_key") == F.col("_list")) & (F.col("_salt") == F.col("_of")), "left")
     return (joined.withColumn(out, F.concat(F.lit('{"tables":{'), F.coalesce("_members", F.lit("")), F.lit("}}")))
-            .drop("_list", "_members"))
+            .drop("_salt", "_key", "_list", "_members", "_of"))
 
 
 def schema_markdown(catalog: Catalog) -> DataFrame:

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from ..sources.catalog import local_frame
 from .common import cut, text_or_empty
 
 BINS = 1024
@@ -49,7 +50,7 @@ CUT = "node bigint, dim int, v0 bigint, v1 bigint, v2 bigint"
 
 def table(rows: DataFrame, of: list[tuple], shape: str) -> DataFrame:
     """A row for each node, to be joined; sent to all tasks while the nodes are few, else the join shuffles."""
-    found = rows.sparkSession.createDataFrame(of, shape)
+    found = local_frame(rows.sparkSession, of, shape)
     return F.broadcast(found) if len(of) <= MOST_SENT else found
 
 

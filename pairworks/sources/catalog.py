@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import digest
 
-ARROW = {"int": pa.int32(), "long": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(),
+ARROW = {"int": pa.int32(), "long": pa.int64(), "bigint": pa.int64(), "double": pa.float64(), "boolean": pa.bool_(),
          "string": pa.string(), "array<string>": pa.list_(pa.string())}
 
 TABLES = "ordinal int, table string, primary_key string, comment string"
@@ -20,7 +20,7 @@ FKS = "table string, pos int, constrained array<string>, referred_table string,
 
 
 def local_frame(spark: SparkSession, rows: list[tuple], shape: str) -> DataFrame:
-    """Metadata rows as a DataFrame whose size the optimizer knows."""
+    """Metadata rows as a DataFrame whose size the optimizer knows; other than rows of Python objects, it needs no Python on the executors."""
     fields = [part.strip().split(" ") for part in shape.split(", ")]
     columns = list(zip(*rows)) or [()] * len(fields)
     return spark.createDataFrame(pa.table({n: pa.array(list(c), ARROW[t]) for (n, t), c in zip(fields, columns)}))

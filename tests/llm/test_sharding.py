@@ -44,3 +44,11 @@ def test_many_shards(spark):
     dimensions = {"source": F.crc32("source"), "id": F.col("doc_id") * F.lit(1 << 50)}
     total = shards(sharding.assign(docs, dimensions, 300).collect())
     assert set(total) == set(range(300)) and max(total.values()) - min(total.values()) <= 4 * 141
+
+
+def test_nodes_are_made_without_python_on_executors(spark, capsys):
+    made = sharding.table(spark.range(1), [(0, 1, 2.5, None), (3, 4, 5, 1 << 61)], "node bigint, dim int, target double, v2 bigint")
+    assert [tuple(r) for r in made.orderBy("node").collect()] == [(0, 1, 2.5, None), (3, 4, 5.0, 1 << 61)]
+    made.explain()
+    said = capsys.readouterr().out
+    assert "LocalTableScan" in said and "ExistingRDD" not in said

@@ -16,6 +16,8 @@ forest of the links they found, not the pairs.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +32,7 @@ LEAST_SPARED, PIECES, TRIES = 8, 3, 3
 BLOCK_SETS, BLOCK_BYTES = 1000, 24 << 20
 FILTER_BITS, RUN_BYTES, MOST_COMMON = 1 << 23, 2 << 20, 1 << 18
 SIGNED = "bucket int, names binary, docs binary, copies binary"
+SHARED = "range int, a binary, b binary"
 MEMBER = "family bigint, doc_id bigint, n bigint, digest binary, elements binary"
 
 
@@ -192,17 +195,40 @@ def from_apart(data: bytes) -> np.ndarray:
     return from_planes(data[8:], np.int64) + np.frombuffer(data[:8], dtype=np.int64) if data else np.zeros(0, np.int64)
 
 
-def sharing(table: pa.Table) -> pa.Table:
-    """Links that connect the documents of a bucket which share signatures: from each to the smallest one it is connected with."""
-    names = np.concatenate([from_gaps(x) for x in table.column("names").to_pylist()])
-    docs = np.concatenate([from_apart(x) for x in table.column("docs").to_pylist()])
-    copies = np.frombuffer(b"".join(table.column("copies").to_pylist()), dtype=np.int64).reshape(-1, 2).T
-    order = np.argsort(names, kind="stable")
-    names, docs = names[order], docs[order]
-    same = np.append(names[1:] == names[:-1], False)
-    # a link between neighbours joins all documents of a signature
-    ends = np.concatenate([np.stack([docs[:-1][same[:-1]], docs[1:][same[:-1]]]), copies], axis=1)
-    nodes, places = np.unique(ends, return_inverse=True)
+def sharing(ranges: int):
+    """Links that connect the documents of a bucket which share signatures: from each to the smallest one it is connected with.
+
+    They leave packed, a row for each hash range of their documents: a document has links in as many buckets as it shares
+    signatures in, most of them to the same one.
+    """
+    def run(table: pa.Table) -> pa.Table:
+        names = np.concatenate([from_gaps(x) for x in table.column("names").to_pylist()])
+        docs = np.concatenate([from_apart(x) for x in table.column("docs").to_pylist()])
+        copies = np.frombuffer(b"".join(table.column("copies").to_pylist()), dtype=np.int64).reshape(-1, 2).T
+        order = np.argsort(names, kind="stable")
+        names, docs = names[order], docs[order]
+        same = np.append(names[1:] == names[:-1], False)
+        # a link between neighbours joins all documents of a signature
+        a, b = stars(*np.concatenate([np.stack([docs[:-1][same[:-1]], docs[1:][same[:-1]]]), copies], axis=1))
+        at = (mixed(a.view(np.uint64)) % np.uint64(ranges)).astype(np.int64)
+        order = np.argsort(at, kind="stable")
+        a, b, at = a[order], b[order], at[order]
+        cuts = np.flatnonzero(np.diff(at, prepend=-1))
+        spans = list(zip(cuts, np.append(cuts, len(at))[1:], strict=True))
+        return pa.table([pa.array(at[cuts].astype(np.int32)), pa.array([apart(a[x:y]) for x, y in spans], pa.binary()),
+                         pa.array([apart(b[x:y]) for x, y in spans], pa.binary())], names=["range", "a", "b"])
+    return run
+
+
+def merged(table: pa.Table) -> pa.Table:
+    """The links that all buckets found for a range of documents, again one from each to the smallest it is connected with."""
+    pairs = (np.concatenate([from_apart(x) for x in table.column(c).to_pylist()]) for c in ("a", "b"))
+    return pa.table([pa.array(x) for x in stars(*pairs)], names=["a", "b"])
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Links from each document to the smallest one that links (a, b) connect it with."""
+    nodes, places = np.unique(np.stack([a, b]), return_inverse=True)
     a, b = places.reshape(2, -1)
     label = np.arange(len(nodes))
     while True:
@@ -217,7 +243,7 @@ def sharing(table: pa.Table) -> pa.Table:
             break
         label = lower
     moved = label != np.arange(len(nodes))
-    return pa.table([pa.array(nodes[moved]), pa.array(nodes[label[moved]])], names=["a", "b"])
+    return nodes[moved], nodes[label[moved]]
 
 
 def forest(linked: np.ndarray) -> list[tuple[int, int]]:
@@ -315,11 +341,14 @@ def find_links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
     spark = docs.sparkSession
     docs = own(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")).where("doc_id is not null")
     volume = docs.agg(F.sum(F.octet_length(text_or_empty(F.col("text"))))).first()[0] or 0
-    # some millions of signatures to a bucket: a document sends at most a link for each bucket
+    # some millions of signatures to a bucket: a document has at most a link in each bucket
     buckets = max(24, volume * (100 - percent) // (15 << 23))
     # so many bits that a few signatures meet by chance; what they bring together is verified
     bits = min(64, 2 * int(volume).bit_length() - 8 if volume > 1 << 20 else 64)
-    shares = signed(docs, buckets, size, percent, common_shingles(docs, size), bits).groupBy("bucket").applyInArrow(sharing, "a bigint, b bigint")
+    # the links of all buckets for a range of documents fit a task, and ranges times buckets stay far fewer than documents
+    ranges = 24 * math.ceil(math.sqrt(buckets / 24))
+    shares = (signed(docs, buckets, size, percent, common_shingles(docs, size), bits).groupBy("bucket").applyInArrow(sharing(ranges), SHARED)
+              .groupBy("range").applyInArrow(merged, "a bigint, b bigint"))
     families = cut(connected(shares).select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "families")
     sets = cut(members(docs, families, size), "sets", "snappy")
     # equal sets once: the others link to the smallest document that has the set

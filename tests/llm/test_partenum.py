@@ -95,3 +95,21 @@ def test_similar_sets_share_a_signature():
         if 100 * common >= 85 * (len(base) + len(other) - common):
             names, which = partenum.signatures([base, other])
             assert set(names[which == 0].tolist()) & set(names[which == 1].tolist())
+
+
+def test_links_of_all_buckets_are_one_for_each_document():
+    """A document that shares signatures in many buckets gives one link, not one for each of them."""
+    import pyarrow as pa
+
+    docs = np.array([-(1 << 62), 5, 9, 1 << 62], dtype=np.int64)
+    packed = []
+    for bucket in range(40):
+        names = np.sort(np.arange(4, dtype=np.uint64) // np.uint64(4) + np.uint64(bucket))
+        table = pa.table([[bucket], [partenum.gaps(names)], [partenum.apart(docs)], [docs[[1, 2]].tobytes()]], names=["bucket", "names", "docs", "copies"])
+        packed.append(partenum.sharing(2)(table))
+        assert packed[-1].num_rows <= 2
+    both = pa.concat_tables(packed)
+    found = [partenum.merged(both.filter(pa.compute.equal(both["range"], k))).to_pylist() for k in range(2)]
+    assert sorted((r["a"], r["b"]) for rows in found for r in rows) == [(5, docs[0]), (9, docs[0]), (docs[3], docs[0])]
+    alone = pa.table([[0], [partenum.gaps(np.arange(4, dtype=np.uint64))], [partenum.apart(docs)], [b""]], names=["bucket", "names", "docs", "copies"])
+    assert partenum.sharing(2)(alone).num_rows == 0

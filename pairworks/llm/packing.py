@@ -314,7 +314,7 @@ def placed(phases: list[Phase], name: str, at: int, n: int, window: int) -> list
 
 
 def pack(docs: DataFrame, path: str, text: str = "text", source: str = "source", weights: dict[str, int] | None = None,
-         sequence: int = SEQUENCE, window: int = WINDOW, fold: bool = False) -> DataFrame:
+         sequence: int = SEQUENCE, window: int = WINDOW, fold: bool = False, checksums: bool = False) -> DataFrame:
     """Pieces of documents in sequences of `sequence` tokens: doc_id, start, length, ids, doc_tokens, sequence_id, offset.
 
     `path` is a tokenizer file.  `weights` are target proportions, by default each source's share of all tokens, so that
@@ -324,7 +324,8 @@ def pack(docs: DataFrame, path: str, text: str = "text", source: str = "source",
     With `fold` they are not: sources named in `weights` and those with a 1024th (FOLDED) of all tokens or more stay as they
     are, the others are dealt by xxhash64 to FOLDED units that are mixed like a source each, with the sum of the weights;
     the sources of a unit follow one another by name.
-    The order in a source is that of the rows in the input's partitions.
+    The order in a source is that of the rows in the input's partitions.  `checksums` adds `ids_crc32` as `with_checksums` does,
+    in the pass that makes the pieces.
     """
     spark = docs.sparkSession
     tokens = cut(tokenize(docs, path, text, source), "tokens")
@@ -366,13 +367,19 @@ def pack(docs: DataFrame, path: str, text: str = "text", source: str = "source",
                 for begin, place, length in placed(by[name], name, at + before + earlier, n, window):
                     while length:
                         step = min(length, sequence - place % sequence)
-                        rows.append((doc, begin, step, ids[begin * width:(begin + step) * width], n, place // sequence, place % sequence))
+                        own_ids = ids[begin * width:(begin + step) * width]
+                        rows.append((doc, begin, step, own_ids, n, place // sequence, place % sequence, *((checksum(own_ids, step),) if checksums else ())))
                         begin, place, length = begin + step, place + step, length - step
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
-            names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, kinds, strict=True)], names=names)
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64())[:len(names)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * len(names), kinds, strict=True)], names=names)
 
-    return tokens.join(offsets, ["source", "part"]).mapInArrow(tidied(run), PIECE)
+    names = ["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset", *["ids_crc32"] * checksums]
+    return tokens.join(offsets, ["source", "part"]).mapInArrow(tidied(run), PIECE + ", ids_crc32 bigint" * checksums)
+
+
+def checksum(ids: bytes, n: int) -> int:
+    """CRC-32 of `n` ids as four-byte numbers."""
+    return zlib.crc32(np.frombuffer(ids, dtype="<u2" if len(ids) == 2 * n else "<u4").astype("<u4").tobytes())
 
 
 def with_checksums(pieces: DataFrame, keep: bool = False) -> DataFrame:
@@ -381,9 +388,7 @@ def with_checksums(pieces: DataFrame, keep: bool = False) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            wide = []
-            for ids, n in zip(batch.column("ids").to_pylist(), batch.column("length").to_pylist(), strict=True):
-                wide.append(zlib.crc32(np.frombuffer(ids, dtype="<u2" if len(ids) == 2 * n else "<u4").astype("<u4").tobytes()))
+            wide = [checksum(ids, n) for ids, n in zip(batch.column("ids").to_pylist(), batch.column("length").to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([*(batch.column(f.name) for f in fields), pa.array(wide, pa.int64())], names=[*(f.name for f in fields), "ids_crc32"])
     return pieces.mapInArrow(tidied(run), T.StructType([*fields, T.StructField("ids_crc32", T.LongType())]))
 

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, cut, free_name, from_gaps, from_planes, gaps, joined, mixed, own, planes, slices, text_or_empty, texts_of, tidied
+from .common import Words, cut, free_name, from_gaps, from_planes, gaps, joined, mixed, own, planes, slices, text_or_empty, texts_of, tidied, tidied_group
 from .components import connected
 
 SEPARATORS = b" \t\n\v\f\r"
@@ -347,8 +347,8 @@ def find_links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
     bits = min(64, 2 * int(volume).bit_length() - 8 if volume > 1 << 20 else 64)
     # the links of all buckets for a range of documents fit a task, and ranges times buckets stay far fewer than documents
     ranges = 24 * math.ceil(math.sqrt(buckets / 24))
-    shares = (signed(docs, buckets, size, percent, common_shingles(docs, size), bits).groupBy("bucket").applyInArrow(sharing(ranges), SHARED)
-              .groupBy("range").applyInArrow(merged, "a bigint, b bigint"))
+    shares = (signed(docs, buckets, size, percent, common_shingles(docs, size), bits).groupBy("bucket").applyInArrow(tidied_group(sharing(ranges)), SHARED)
+              .groupBy("range").applyInArrow(tidied_group(merged), "a bigint, b bigint"))
     families = cut(connected(shares).select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "families")
     sets = cut(members(docs, families, size), "sets", "snappy")
     # equal sets once: the others link to the smallest document that has the set
@@ -364,7 +364,7 @@ def find_links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
         F.explode(F.when(F.col("blocks") == 1, F.array(F.struct(F.pmod(F.xxhash64("family"), F.lit(4 * tasks)).alias("g"), F.lit(-1).cast("long").alias("i"), F.lit(-1).cast("long").alias("j"))))
                   .otherwise(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda o: F.struct(
                       F.col("family").alias("g"), F.least(block, o).alias("i"), F.greatest(block, o).alias("j"))))).alias("t"))
-    found = pairs.groupBy("t.g", "t.i", "t.j").applyInArrow(verify(percent), "a bigint, b bigint")
+    found = pairs.groupBy("t.g", "t.i", "t.j").applyInArrow(tidied_group(verify(percent)), "a bigint, b bigint")
     return cut(same.union(found), "found")
 
 

@@ -5,9 +5,12 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
+from pairworks.llm import packing
+from pairworks.llm.common import tidied_group
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -53,6 +56,37 @@ def test_sequences_hold_the_tokens(spark, tmp_path):
     assert found == {i: tokenizer.encode(t, add_special_tokens=False).ids + [0] for i, t in texts.items()}
 
 
+def test_batches_of_a_stage_are_bounded(spark):
+    docs = spark.range(0, 600, 1, 1).selectExpr("id doc_id", "repeat('word ', 4000) text", "'en' lang", "'s' source", "20000L n_chars")
+    corpus_pipeline.STAGES[0][1](spark, docs, SF_DIR)
+    sizes = docs.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"]) for b in batches), "n long").collect()
+    assert sum(r.n for r in sizes) > 12_000_000 and max(r.n for r in sizes) < 5_000_000
+
+
+def test_pieces_take_one_python_pass(spark, capsys):
+    docs = spark.createDataFrame([(1, words(1, 30), "en", "s", 0)], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.packed(spark, docs, SF_DIR)
+    out.explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+    assert out.collect() == packing.with_checksums(out.drop("ids_crc32"), keep=True).collect()
+
+
+def test_groups_give_their_memory_back():
+    called = []
+    assert tidied_group(lambda table: called.append(table) or table)(5) == 5 and called == [5]
+    size = lambda: int(open("/proc/self/statm").read().split()[1]) * 4096
+    before = size()
+
+    def run(table):
+        # small arrays lie between each other, and stay with the allocator when they go
+        held = [np.full(12_000, 1.0) for _ in range(2000)]
+        last = np.full(100, 2.0)
+        del held
+        return last
+    tidied_group(run)(None)
+    assert size() - before < 60_000_000
+
+
 @pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no driver tables")
 def test_driver_tables(spark):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")

@@ -4,6 +4,9 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
+import pyarrow as pa
+
 from pairworks.llm import suffixes
 
 SCHEMA = "doc_id long, text string, ids int"
@@ -51,3 +54,24 @@ def test_outputs_and_empty(spark):
 def test_cover_meets_every_distance():
     differences = [(a - b) % suffixes.PERIOD for a in suffixes.COVER for b in suffixes.COVER if a != b]
     assert sorted(differences) == list(range(1, suffixes.PERIOD))
+
+
+def test_names_travel_packed():
+    rnd = np.random.default_rng(1)
+    volume = 4 << 20
+    names = rnd.integers(0, 1 << 64, 320_000, dtype=np.uint64)
+    for bits, most in ((np.uint64((1 << 64) - 1), 6.3), (suffixes.shortened(30 << 30), 4.3), (suffixes.shortened(volume), 3.3)):
+        sent = suffixes.send(7, np.append(names & bits, names[:1000] & bits), 12)
+        packed = sum(len(pa.compress(x, "lz4_raw", asbytes=True)) for x in sent.column("names").to_pylist())
+        assert packed <= most * len(names)
+        answers = suffixes.compare(pa.Table.from_batches([sent])).to_pylist()
+        assert suffixes.receive(names & bits, 12, answers)[:1000].all()
+
+
+def test_short_names_of_samples_lose_and_add_nothing(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "CHUNK_BYTES", 5000)
+    monkeypatch.setattr(suffixes, "SPARE_BITS", -6)
+    data = rows()
+    assert int(suffixes.shortened(sum(len(r[1] or "") for r in data))).bit_count() == 8
+    got = suffixes.report(spark.createDataFrame(data, SCHEMA)).collect()
+    assert sorted(map(tuple, got), key=str) == plain(data)

@@ -57,8 +57,8 @@ class Suffixes:
         data = np.frombuffer(blob, dtype=np.uint8)
         self.ends = np.cumsum(sizes + 1)
         self.starts, self.stops, h = Tokens(SPACES).of(data)
-        self.doc = np.searchsorted(self.ends, self.starts, side="right").astype(np.int32)
         self.bounds = np.searchsorted(self.starts, np.concatenate([[0], self.ends]))
+        self.doc = np.repeat(np.arange(len(sizes), dtype=np.int32), np.diff(self.bounds))
         n = max(len(h) - WINDOW + 1, 0)
         self.at = np.flatnonzero(self.doc[:n] == self.doc[WINDOW - 1:])
         self.by_depth, step = {1: h}, 1
@@ -109,16 +109,29 @@ def places(s: Suffixes, heavy: dict[int, np.ndarray], groups: int) -> np.ndarray
     return ((mixed(key * K[2]) >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
 
 
-def entries(place: np.ndarray, *keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order of the suffixes by group and keys, and where in that order something new begins."""
-    order = np.lexsort((*reversed(keys), place))
-    new = np.zeros(len(order), dtype=bool)
-    if len(order):
-        new[0] = True
-        for k in (place, *keys):
-            ranked = k[order]
-            new[1:] |= ranked[1:] != ranked[:-1]
-    return order, np.flatnonzero(new)
+def entries(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of the suffixes by key, and where in that order something new begins."""
+    order = np.argsort(key)
+    ranked = key[order]
+    return order, np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1])) if len(key) else order
+
+
+def told_apart(active: np.ndarray, key: np.ndarray, whole: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes in the order of their keys, now also by window where those of one key differ in it, and where something new begins.
+
+    Most that share the first range share the window, and need no second sort.
+    """
+    if not len(active):
+        return active, active
+    fresh = np.append(True, key[1:] != key[:-1])
+    run, firsts = np.cumsum(fresh) - 1, np.flatnonzero(fresh)
+    unlike = np.zeros(len(firsts), dtype=bool)
+    unlike[run[whole != whole[firsts][run]]] = True
+    slots = np.flatnonzero(unlike[run])
+    moved = slots[np.lexsort((whole[slots], run[slots]))]
+    active[slots], whole[slots] = active[moved], whole[moved]
+    fresh[1:] |= whole[1:] != whole[:-1]
+    return active, np.flatnonzero(fresh)
 
 
 def by_place(place: np.ndarray):
@@ -152,7 +165,7 @@ def shared(table: pa.Table) -> pa.Table:
     arrays = [from_gaps(x) for x in table.column("names").to_pylist()]
     several = [np.unpackbits(np.frombuffer(x, dtype=np.uint8), count=len(a)) for x, a in zip(table.column("several").to_pylist(), arrays, strict=True)]
     names = np.concatenate(arrays)
-    order = np.argsort(names, kind="stable")
+    order = np.argsort(names)
     ranked = names[order]
     same = ranked[1:] == ranked[:-1]
     mark = np.concatenate(several).astype(bool)
@@ -168,13 +181,11 @@ def earlier(table: pa.Table) -> pa.Table:
     names = np.concatenate(arrays)
     rest = np.concatenate([from_planes(x, np.uint64) for x in table.column("rest").to_pylist()])
     docs = np.concatenate([from_planes(x, np.int64) for x in table.column("docs").to_pylist()])
-    order = np.lexsort((rest, names))
-    equal = (names[order][1:] == names[order][:-1]) & (rest[order][1:] == rest[order][:-1])
-    node = np.concatenate([[0], np.cumsum(~equal)])
-    firsts = np.flatnonzero(np.concatenate([[True], ~equal]))
+    order = np.argsort(names)
+    order, firsts = told_apart(order, names[order], rest[order])
     least = np.minimum.reduceat(docs[order], firsts)
     mark = np.zeros(len(names), dtype=bool)
-    mark[order] = least[node] < docs[order]
+    mark[order] = np.repeat(least, np.diff(firsts, append=len(order))) < docs[order]
     return answered(table, mark, [len(a) for a in arrays])
 
 
@@ -230,8 +241,9 @@ def find_repeats(docs: DataFrame) -> DataFrame:
     rows = own(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long"))
     chunks = bucketed(rows.mapInArrow(tidied(pack), CHUNKS), "chunk", min(100_000, groups), "trees")
     total = chunks.agg(F.sum("suffixes")).first()[0] or 0
-    bits = max(8, min(64, math.ceil(math.log2(total + 1)) + SPARE_BITS - int(math.log2(groups))))
-    drop = np.uint64(64 - bits)
+    # a suffix's key is its group, then as many bits of its first range
+    bits = max(8, min(64 - groups.bit_length(), math.ceil(math.log2(total + 1)) + SPARE_BITS - int(math.log2(groups))))
+    drop, shift = np.uint64(64 - bits), np.uint64(bits)
     # at most two prefixes of each length for a group
     found = (chunks.select("heavy").mapInArrow(_heavy_rows, "depth int, name bigint, n bigint").groupBy("depth", "name")
              .agg(F.sum("n").alias("n")).where(F.col("n") * 2 * groups > total).collect())
@@ -241,54 +253,46 @@ def find_repeats(docs: DataFrame) -> DataFrame:
         for k in range(batch.num_rows):
             row = {n: batch.column(n)[k].as_py() for n in batch.schema.names}
             s = Suffixes(row["blob"], np.array(row["sizes"], dtype=np.int64), row["ids"])
-            yield row, s, places(s, heavy, groups), s.prefix(RANGE) >> drop
+            key = places(s, heavy, groups).view(np.uint64) << shift | s.prefix(RANGE) >> drop
+            yield row, s, key, *entries(key)
 
-    def asked_first(s, place, names):
-        order, new = entries(place, names)
-        d = s.id[s.doc[s.at]][order]
-        if len(new):
-            several = np.minimum.reduceat(d, new) < np.maximum.reduceat(d, new)
-        else:
-            several = np.zeros(0, dtype=bool)
-        return order, new, several
+    def parts(key):
+        return (key >> shift).astype(np.int64), key & (np.uint64(1) << shift) - np.uint64(1)
 
     def first(batches):
         for batch in batches:
-            for row, s, place, names in opened(batch):
-                order, new, several = asked_first(s, place, names)
-                p, n = place[order[new]], names[order[new]]
+            for row, s, key, order, new in opened(batch):
+                d = s.id[s.doc[s.at]][order]
+                several = np.minimum.reduceat(d, new) < np.maximum.reduceat(d, new) if len(new) else np.zeros(0, dtype=bool)
+                p, n = parts(key[order[new]])
                 yield batch_of([(g, row["chunk"], gaps(n[a:z]), bits_of(several[a:z])) for g, a, z in by_place(p)], FIRST)
 
-    def left(row, s, place, names):
+    def left(row, s, key, order, new):
         """The suffixes that share their first range, ordered, with the least document of each different one."""
-        order, new, _ = asked_first(s, place, names)
-        flags = flags_of(row["answers"] or [], place[order[new]])
-        active = np.sort(order[np.repeat(flags, np.diff(new, append=len(order)))])
-        p, n, w = place[active], names[active], s.whole[s.at[active]]
-        order, new = entries(p, n, w)
-        d = s.id[s.doc[s.at[active]]][order]
+        flags = flags_of(row["answers"] or [], parts(key[order[new]])[0])
+        active = order[np.repeat(flags, np.diff(new, append=len(order)))]
+        active, new = told_apart(active, key[active], s.whole[s.at[active]])
+        d = s.id[s.doc[s.at[active]]]
         least = np.minimum.reduceat(d, new) if len(new) else d[:0]
-        return active, order, new, least, p, n, w, d
+        return active, new, least, *parts(key[active[new]]), d
 
     def second(batches):
         for batch in batches:
-            for row, s, place, names in opened(batch):
-                _, order, new, least, p, n, w, _ = left(row, s, place, names)
-                e = order[new]
-                p, n, w = p[e], n[e], w[e]
+            for row, s, key, order, new in opened(batch):
+                active, new, least, p, n, _ = left(row, s, key, order, new)
+                w = s.whole[s.at[active[new]]]
                 yield batch_of([(g, row["chunk"], gaps(n[a:z]), planes(w[a:z]), planes(least[a:z])) for g, a, z in by_place(p)], SECOND)
 
     def finish(batches):
         for batch in batches:
-            for row, s, place, names in opened(batch):
-                active, order, new, least, p, _, _, d = left(row, s, place, names)
-                flags = flags_of(row["more"] or [], p[order[new]])
-                count = np.diff(new, append=len(order))
-                gone = np.repeat(flags, count) | (d > np.repeat(least, count))
-                at = s.at[active[order[gone]]]
+            for row, s, key, order, new in opened(batch):
+                active, new, least, p, _, d = left(row, s, key, order, new)
+                count = np.diff(new, append=len(active))
+                gone = np.repeat(flags_of(row["more"] or [], p), count) | (d > np.repeat(least, count))
+                at = s.at[active[gone]]
                 edge = np.zeros(len(s.starts) + 1, dtype=np.int32)
-                np.add.at(edge, at, 1)
-                np.add.at(edge, at + WINDOW, -1)
+                edge[at] += 1
+                edge[at + WINDOW] -= 1
                 yield from results(row, s, np.cumsum(edge[:-1]) > 0)
 
     answers = gathered(chunks.drop("heavy").mapInArrow(tidied(first), FIRST), shared)
@@ -299,19 +303,16 @@ def find_repeats(docs: DataFrame) -> DataFrame:
 
 def results(row: dict, s: Suffixes, gone: np.ndarray, most: int = 256):
     """The documents of a chunk with what is left of them, some at a time."""
-    blob, out = row["blob"], []
-    kinds = (pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary())
+    kinds, out = (pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary()), []
+    spans, (kept, ends) = spans_of(gone, s.bounds), kept_words(row["blob"], s.starts, s.stops, gone, s.bounds)
+    first = np.searchsorted(spans[:, 0], s.bounds)
 
     def batch():
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds, strict=True)], names=["doc_id", "n_words", "spans", "kept"])
 
     for i, (a, z) in enumerate(zip(s.bounds[:-1].tolist(), s.bounds[1:].tolist(), strict=True)):
-        own_gone = gone[a:z]
-        step = np.diff(own_gone.astype(np.int8), prepend=0, append=0)
-        spans = [{"start": int(x), "end": int(y)} for x, y in zip(np.flatnonzero(step == 1), np.flatnonzero(step == -1), strict=True)]
-        keep = np.flatnonzero(~own_gone) + a
-        kept = b" ".join(blob[x:y] for x, y in zip(s.starts[keep].tolist(), s.stops[keep].tolist(), strict=True))
-        out.append((row["ids"][i], z - a, spans, kept))
+        own_spans = [{"start": x, "end": y} for x, y in (spans[first[i]:first[i + 1]] - a).tolist()]
+        out.append((row["ids"][i], z - a, own_spans, kept[ends[i]:max(ends[i], ends[i + 1] - 1)]))
         if len(out) == most:
             yield batch()
             out.clear()
@@ -319,6 +320,26 @@ def results(row: dict, s: Suffixes, gone: np.ndarray, most: int = 256):
         yield batch()
 
 
+def spans_of(gone: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """First and end of all runs of words that go; where a document ends, its run does."""
+    padded = np.zeros(len(gone) + 2, dtype=bool)
+    padded[1:-1] = gone
+    inner = np.unique(bounds)
+    meet = inner[padded[inner] & padded[inner + 1]]
+    return np.sort(np.concatenate([np.flatnonzero(padded[1:] != padded[:-1]), meet, meet])).reshape(-1, 2)
+
+
+def kept_words(blob: bytes, starts: np.ndarray, stops: np.ndarray, gone: np.ndarray, bounds: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """All words that stay, a space after each, and where each document's begin there.  The byte after a word is never a word's."""
+    data = np.frombuffer(blob, dtype=np.uint8).copy()
+    data[stops] = 32
+    step = np.zeros(len(data) + 1, dtype=np.int8)
+    step[starts[~gone]] += 1
+    step[stops[~gone] + 1] -= 1
+    ends = np.concatenate([[0], np.cumsum(np.where(gone, 0, stops + 1 - starts))])[bounds]
+    return data[np.cumsum(step[:-1], dtype=np.int8).view(bool)].tobytes(), ends
+
+
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed and the digest of the kept words; `find_repeats` says what nulls and repeated rows give."""
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda acc, s: acc + s["end"] - s["start"])

@@ -3,7 +3,9 @@
 import hashlib
 import random
 import re
+import time
 
+import numpy as np
 import pytest
 
 from pairworks.llm import trees
@@ -71,3 +73,39 @@ def test_words_cross_segments(monkeypatch):
     parts = Tokens(b" \n").of(np.frombuffer(blob, dtype=np.uint8))
     assert all((a == b).all() for a, b in zip(whole, parts, strict=True))
     assert [blob[a:z] for a, z in zip(*whole[:2], strict=True)] == blob.split()
+
+
+def test_results_take_half_of_a_step_for_each_word():
+    rnd = random.Random(2)
+    texts = [" ".join(f"w{rnd.randrange(5000)}" for _ in range(n)).encode() for n in [0, 400, 0, 0, *[700] * 500, 1, 0]]
+    blob, sizes, ids = b"".join(t + b"\n" for t in texts), np.array([len(t) for t in texts]), list(range(len(texts)))
+    s = trees.Suffixes(blob, sizes, ids)
+    gone = np.zeros(len(s.starts), dtype=bool)
+    gone[300:1200] = gone[-701:] = True
+
+    def seconds(run):
+        begin = time.process_time()
+        run()
+        return time.process_time() - begin
+
+    def one_by_one():
+        return b" ".join(blob[a:z] for a, z in zip(s.starts[~gone].tolist(), s.stops[~gone].tolist(), strict=True))
+
+    got = [r for b in trees.results({"blob": blob, "ids": ids}, s, gone) for r in b.to_pylist()]
+    for r, text, a in zip(got, texts, s.bounds.tolist(), strict=False):
+        w, g = text.split(), gone[a:a + r["n_words"]].tolist()
+        assert (len(w), b" ".join(x for x, y in zip(w, g, strict=True) if not y)) == (r["n_words"], r["kept"])
+        assert [i for x in r["spans"] for i in range(x["start"], x["end"])] == [i for i, y in enumerate(g) if y]
+    assert len(got) == len(texts) and sum(len(r["spans"]) for r in got) == 5
+    assert 2 * min(seconds(lambda: list(trees.results({"blob": blob, "ids": ids}, s, gone))) for _ in range(5)) < min(seconds(one_by_one) for _ in range(5))
+
+
+def test_windows_of_one_first_range():
+    rnd = np.random.default_rng(4)
+    for n in (0, 1, 2, 500):
+        key, whole = np.sort(rnd.integers(0, 60, n, dtype=np.uint64)), rnd.integers(0, 3, n, dtype=np.uint64)
+        whole[key < 20] = 7
+        order, new = trees.told_apart(np.arange(n), key.copy(), whole.copy())
+        pairs = list(zip(key[order].tolist(), whole[order].tolist(), strict=True))
+        assert sorted(order.tolist()) == list(range(n)) and pairs == sorted(pairs)
+        assert [pairs[i] for i in new] == sorted(set(pairs))

@@ -9,9 +9,13 @@ spare parts (as many as are to be expected with one, and four deviations more);
 ones sign again by another hash, and those that have them every time send those too.  Sets near the upper end of a band also sign in the
 next one.  No link is lost.
 
-Sets that share signatures, directly or in a chain, form a family.  Families are verified exactly: equal sets once, the rest
-by products of 0/1 matrices, a family larger than a block as pairs of blocks in separate tasks.  Tasks hand on a spanning
-forest of the links they found, not the pairs.
+Sets that share signatures, directly or in a chain, form a family.  Chance and passages that very many texts have make chains
+of sets that are not alike, longer the more texts there are, so a family larger than a block is split: all shingles but
+(100 - percent) in a hundred of a set are in each set it links with, so in any order of the shingles the first one that both
+have is among so many and one more of either; with the order by how many sets have a shingle these are rare ones.
+
+Families are verified exactly: equal sets once, the rest by products of 0/1 matrices, a family that is still larger than a
+block as pairs of blocks in separate tasks.  Tasks hand on a spanning forest of the links they found, not the pairs.
 """
 
 from __future__ import annotations
@@ -23,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, cut, free_name, from_gaps, from_planes, gaps, joined, mixed, own, planes, slices, text_or_empty, texts_of, tidied, tidied_group
+from .common import Words, cut, free_name, from_gaps, from_planes, gaps, joined, mixed, own, planes, released, slices, text_or_empty, texts_of, tidied, tidied_group
 from .components import connected
 
 SEPARATORS = b" \t\n\v\f\r"
@@ -31,9 +35,11 @@ SIZE, PERCENT = 4, 85
 LEAST_SPARED, PIECES, TRIES = 8, 3, 3
 BLOCK_SETS, BLOCK_BYTES = 1000, 24 << 20
 FILTER_BITS, RUN_BYTES, MOST_COMMON = 1 << 23, 2 << 20, 1 << 18
+BUCKET_ELEMENTS, SPARE_BITS = 1 << 21, 6
 SIGNED = "bucket int, names binary, docs binary, copies binary"
 SHARED = "range int, a binary, b binary"
-MEMBER = "family bigint, doc_id bigint, n bigint, digest binary, elements binary"
+COUNTED = "range int, nodes binary, kinds binary, counts binary"
+DIGEST = "doc_id bigint, n bigint, digest binary"
 
 
 def bands(longest: int) -> np.ndarray:
@@ -144,9 +150,10 @@ def common_shingles(docs: DataFrame, size: int, most: int = MOST_COMMON) -> np.n
                 sets = sets_of(texts_of(part), words, size)
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([np.zeros(0, dtype=np.uint64), *sets]).view(np.int64))], names=["s"])
 
-    taken = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(rate * (1 << 20))).select("text")
-    found = taken.mapInArrow(tidied(run), "s bigint").groupBy("s").agg(F.count("*").alias("c")).where("c > 2").orderBy(F.desc("c"), "s").limit(most)
-    return np.sort(np.array([r.s for r in found.collect()], dtype=np.int64).view(np.uint64))
+    with released(docs.sparkSession):
+        taken = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 20)) < int(rate * (1 << 20))).select("text")
+        found = taken.mapInArrow(tidied(run), "s bigint").groupBy("s").agg(F.count("*").alias("c")).where("c > 2").orderBy(F.desc("c"), "s").limit(most).collect()
+    return np.sort(np.array([r.s for r in found], dtype=np.int64).view(np.uint64))
 
 
 def signed(docs: DataFrame, buckets: int, size: int, percent: int, common: np.ndarray, bits: int = 64) -> DataFrame:
@@ -157,7 +164,7 @@ def signed(docs: DataFrame, buckets: int, size: int, percent: int, common: np.nd
 
     def run(batches):
         words, common = Words(SEPARATORS), sent.value
-        starts = np.array([-(-b * (1 << 64) // buckets) for b in range(buckets)], dtype=np.uint64)
+        starts = starts_of(buckets)
         for batch in batches:
             for part in slices(batch, "text", RUN_BYTES):
                 ids = np.array(part.column("doc_id").to_pylist(), dtype=np.int64)
@@ -185,6 +192,11 @@ def signed(docs: DataFrame, buckets: int, size: int, percent: int, common: np.nd
     return docs.mapInArrow(tidied(run), SIGNED)
 
 
+def starts_of(buckets: int) -> np.ndarray:
+    """The smallest 64-bit name of each bucket."""
+    return np.array([-(-b * (1 << 64) // buckets) for b in range(buckets)], dtype=np.uint64)
+
+
 def apart(ids: np.ndarray) -> bytes:
     """Ids as the smallest one and the distances from it."""
     least = ids.min()
@@ -210,16 +222,21 @@ def sharing(ranges: int):
         same = np.append(names[1:] == names[:-1], False)
         # a link between neighbours joins all documents of a signature
         a, b = stars(*np.concatenate([np.stack([docs[:-1][same[:-1]], docs[1:][same[:-1]]]), copies], axis=1))
-        at = (mixed(a.view(np.uint64)) % np.uint64(ranges)).astype(np.int64)
-        order = np.argsort(at, kind="stable")
-        a, b, at = a[order], b[order], at[order]
-        cuts = np.flatnonzero(np.diff(at, prepend=-1))
-        spans = list(zip(cuts, np.append(cuts, len(at))[1:], strict=True))
-        return pa.table([pa.array(at[cuts].astype(np.int32)), pa.array([apart(a[x:y]) for x, y in spans], pa.binary()),
-                         pa.array([apart(b[x:y]) for x, y in spans], pa.binary())], names=["range", "a", "b"])
+        return by_range(a, ranges, ["a", "b"], (a, apart), (b, apart))
     return run
 
 
+def by_range(ids: np.ndarray, ranges: int, names: list[str], *columns) -> pa.Table:
+    """Columns, each with the function that packs it, as a row for each hash range of `ids`."""
+    at = (mixed(ids.view(np.uint64)) % np.uint64(ranges)).astype(np.int64)
+    order = np.argsort(at, kind="stable")
+    at = at[order]
+    cuts = np.flatnonzero(np.diff(at, prepend=-1))
+    spans = list(zip(cuts, np.append(cuts, len(at))[1:], strict=True))
+    return pa.table([pa.array(at[cuts].astype(np.int32)), *(pa.array([pack(values[order][x:y]) for x, y in spans], pa.binary()) for values, pack in columns)],
+                    names=["range", *names])
+
+
 def merged(table: pa.Table) -> pa.Table:
     """The links that all buckets found for a range of documents, again one from each to the smallest it is connected with."""
     pairs = (np.concatenate([from_apart(x) for x in table.column(c).to_pylist()]) for c in ("a", "b"))
@@ -303,32 +320,171 @@ def verify(percent: int):
     return run
 
 
-def likely(docs: DataFrame, families: DataFrame) -> DataFrame:
-    """The rows whose id may be in a family, by a bitmap of FILTER_BITS bits, so that few other texts are shuffled to the join.
+def marked(docs: DataFrame, ids: DataFrame, name: str) -> DataFrame:
+    """The rows with a column that is false where the id is surely not in `ids`, by a bitmap of FILTER_BITS bits.
 
     The bitmap is a table of 4 KB rows with that many bits in all, whatever the input.
     """
-    spot = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS))
-    bits = families.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias("bits"))
-    at = docs.withColumn("bucket", F.bitmap_bucket_number(spot)).join(F.broadcast(bits), "bucket")
+    spot = F.pmod(F.xxhash64(F.col("doc_id").cast("long")), F.lit(FILTER_BITS))
+    bucket, bits = free_name(docs, "bucket"), free_name(docs, "bits")
+    found = ids.select(spot.alias("spot")).groupBy(F.bitmap_bucket_number("spot").alias(bucket)).agg(F.bitmap_construct_agg(F.bitmap_bit_position("spot")).alias(bits))
+    at = docs.withColumn(bucket, F.bitmap_bucket_number(spot)).join(F.broadcast(found), bucket, "left")
     bit = F.bitmap_bit_position(spot)
-    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return at.where(F.getbit(byte, (bit % 8).cast("int")) == 1).drop("bucket", "bits")
+    byte = F.conv(F.hex(F.substring(F.col(bits), (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return at.withColumn(name, F.coalesce(F.getbit(byte, (bit % 8).cast("int")) == 1, F.lit(False))).drop(bucket, bits)
+
+
+def likely(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows whose id may be in `ids`, so that few other texts are shuffled to a join."""
+    return marked(docs, ids, "marked").where("marked").drop("marked")
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """The rows whose id is not in `gone` (doc_id); those that a bitmap rules out are not shuffled."""
+    mark = free_name(docs, "marked")
+    at = marked(docs, gone, mark)
+    seen, gone = at.where(mark).drop(mark), gone.select(F.col("doc_id").alias("gone"))
+    return at.where(~F.col(mark)).drop(mark).union(seen.join(gone, seen["doc_id"].cast("long") == gone["gone"], "left_anti"))
+
+
+def digest_of(s: np.ndarray) -> bytes:
+    return int(mixed(s + np.uint64(len(s))).sum()).to_bytes(8, "little") + int(joined([s, s >> np.uint64(7)]).sum()).to_bytes(8, "little") if len(s) else b""
 
 
 def members(docs: DataFrame, families: DataFrame, size: int) -> DataFrame:
-    """The shingle sets of the documents that are in a family."""
+    """(doc_id, n, digest, family): how large the shingle sets of the documents in families are, and their digests."""
     def run(batches):
         words = Words(SEPARATORS)
         for batch in batches:
             for part in slices(batch, "text", RUN_BYTES):
                 sets = sets_of(texts_of(part), words, size)
-                blobs = [s.tobytes() for s in sets]
-                digest = pa.array([int(mixed(s + np.uint64(len(s))).sum()).to_bytes(8, "little") + int(joined([s, s >> np.uint64(7)]).sum()).to_bytes(8, "little")
-                                   if len(s) else b"" for s in sets], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("family"), part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), digest,
-                                                  pa.array(blobs, pa.binary())], names=["family", "doc_id", "n", "digest", "elements"])
-    return likely(docs, families).join(families, "doc_id").select("family", "doc_id", "text").mapInArrow(tidied(run), MEMBER).where("n > 0")
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array([digest_of(s) for s in sets], pa.binary())],
+                                                 names=["doc_id", "n", "digest"])
+    return likely(docs, families).mapInArrow(tidied(run), DIGEST).where("n > 0").join(families, "doc_id")
+
+
+def sets_at(batches, size: int):
+    """Batches of rows with a text and the digest of the set that is asked for, in runs: the rows whose text has that set, and the sets."""
+    words = Words(SEPARATORS)
+    for batch in batches:
+        for part in slices(batch, "text", RUN_BYTES):
+            sets, asked = sets_of(texts_of(part), words, size), part.column("digest").to_pylist()
+            kept = [k for k, s in enumerate(sets) if digest_of(s) == asked[k]]
+            if kept:
+                yield part.take(pa.array(kept)), [sets[k] for k in kept]
+
+
+def texts_for(docs: DataFrame, wanted: DataFrame, *columns: str) -> DataFrame:
+    """Columns of `wanted` with the texts of their documents."""
+    return likely(docs, wanted).join(wanted, "doc_id").select(*columns, "digest", "text")
+
+
+def fetched(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """`wanted` (family, doc_id, blocks, digest) with the elements of each set."""
+    def run(batches):
+        for part, sets in sets_at(batches, size):
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("family", "doc_id", "blocks", "digest")), pa.array([s.tobytes() for s in sets], pa.binary())],
+                                             names=["family", "doc_id", "blocks", "digest", "elements"])
+    return texts_for(docs, wanted, "family", "doc_id", "blocks").mapInArrow(tidied(run), "family bigint, doc_id bigint, blocks bigint, digest binary, elements binary")
+
+
+def dealt(docs: DataFrame, wanted: DataFrame, buckets: int, size: int, bits: int) -> DataFrame:
+    """The shingles of `wanted` (node, level, doc_id, digest) by bucket, packed as signatures are, with their nodes and these nodes' levels."""
+    drop = np.uint64(64 - bits)
+
+    def run(batches):
+        starts = starts_of(buckets)
+        for part, sets in sets_at(batches, size):
+            names, of = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+            order = np.argsort(names)
+            names, of = names[order], of[order]
+            nodes, levels = (part.column(c).to_numpy()[of] for c in ("node", "level"))
+            edges = np.append(np.searchsorted(names, starts), len(names))
+            rows = [(b, gaps(names[a:z] >> drop), apart(nodes[a:z]), levels[a:z].astype(np.uint8).tobytes()) for b, (a, z) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if z > a]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)], names=["bucket", "names", "nodes", "levels"])
+    return texts_for(docs, wanted, "node", "level", "doc_id").mapInArrow(tidied(run), "bucket int, names binary, nodes binary, levels binary")
+
+
+def ranked(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The shingles of a bucket in order, their nodes, the levels of these, and of each shingle the bits of the number of sets that have it."""
+    names = np.concatenate([from_gaps(x) for x in table.column("names").to_pylist()])
+    nodes = np.concatenate([from_apart(x) for x in table.column("nodes").to_pylist()])
+    levels = np.frombuffer(b"".join(table.column("levels").to_pylist()), dtype=np.uint8)
+    order = np.argsort(names, kind="stable")
+    names, nodes, levels = names[order], nodes[order], levels[order]
+    cuts = np.flatnonzero(np.append(True, names[1:] != names[:-1]))
+    times = np.diff(np.append(cuts, len(names)))
+    return names, nodes, levels, np.repeat(np.frexp(times.astype(np.float64))[1], times).astype(np.uint8)
+
+
+def counted(ranges: int):
+    """How many shingles of each kind the nodes have in a bucket, a row for each hash range of nodes."""
+    def run(table: pa.Table) -> pa.Table:
+        _, nodes, _, kinds = ranked(table)
+        own, place = np.unique(nodes, return_inverse=True)
+        found, counts = np.unique(place * 64 + kinds, return_counts=True)
+        nodes = own[found // 64]
+        return by_range(nodes, ranges, ["nodes", "kinds", "counts"], (nodes, apart), ((found % 64).astype(np.uint8), np.ndarray.tobytes), (counts.astype(np.uint32), planes))
+    return run
+
+
+def levelled(percent: int):
+    """The level of each node: it has enough shingles of kinds up to that one, so that a set it links with has one of them."""
+    def run(table: pa.Table) -> pa.Table:
+        nodes = np.concatenate([from_apart(x) for x in table.column("nodes").to_pylist()])
+        kinds = np.frombuffer(b"".join(table.column("kinds").to_pylist()), dtype=np.uint8)
+        counts = np.concatenate([from_planes(x, np.uint32) for x in table.column("counts").to_pylist()]).astype(np.int64)
+        order = np.lexsort((kinds, nodes))
+        nodes, kinds, counts = nodes[order], kinds[order], counts[order]
+        first = np.flatnonzero(np.append(True, nodes[1:] != nodes[:-1]))
+        n = np.add.reduceat(counts, first)
+        of = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(nodes))))
+        sums = np.cumsum(counts)
+        sums -= (sums[first] - counts[first])[of]
+        enough = sums >= (n + (-percent * n) // 100 + 1)[of]
+        levels = np.minimum.reduceat(np.where(enough, kinds, np.uint8(255)), first)
+        return pa.table([pa.array(nodes[first]), pa.array(levels.astype(np.int32))], names=["node", "level"])
+    return run
+
+
+def rarely(ranges: int):
+    """Links that connect the nodes of a bucket which share shingles up to the level of each."""
+    def run(table: pa.Table) -> pa.Table:
+        names, nodes, levels, kinds = ranked(table)
+        kept = kinds <= levels
+        names, nodes = names[kept], nodes[kept]
+        same = names[1:] == names[:-1]
+        a, b = stars(nodes[:-1][same], nodes[1:][same])
+        return by_range(a, ranges, ["a", "b"], (a, apart), (b, apart))
+    return run
+
+
+def split(docs: DataFrame, large: DataFrame, size: int, percent: int) -> DataFrame:
+    """`large` (doc_id, digest, n), a row for each set, with families such that sets which link are in one; sets that link with none are left out.
+
+    Names of shingles are cut to so many bits that one in 64 meets another one by chance: it then counts as less rare than it is.
+    """
+    # a document may have several rows, so the sets get numbers of their own
+    large = cut(large.select("doc_id", "digest", "n").withColumn("node", F.monotonically_increasing_id()), "large")
+    volume = large.agg(F.sum("n")).first()[0] or 0
+    if not volume:
+        return large.select(F.col("node").alias("family"), "doc_id", "digest", "n")
+    buckets, bits = max(24, volume // BUCKET_ELEMENTS), min(64, int(volume).bit_length() + SPARE_BITS)
+    ranges = 24 * math.ceil(math.sqrt(buckets / 24))
+    levels = cut(dealt(docs, large.withColumn("level", F.lit(0)), buckets, size, bits).groupBy("bucket").applyInArrow(tidied_group(counted(ranges)), COUNTED)
+                 .groupBy("range").applyInArrow(tidied_group(levelled(percent)), "node bigint, level int"), "levels")
+    links = (dealt(docs, large.join(levels, "node"), buckets, size, bits).groupBy("bucket").applyInArrow(tidied_group(rarely(ranges)), SHARED)
+             .groupBy("range").applyInArrow(tidied_group(merged), "a bigint, b bigint"))
+    found = connected(links).select("node", F.col("component").alias("family"))
+    return cut(large.join(found, "node").select("family", "doc_id", "digest", "n"), "split")
+
+
+def weighed(sets: DataFrame) -> DataFrame:
+    """`sets` (family, doc_id, digest, n) of families with more than one set, and in how many blocks each family is verified."""
+    weight = sets.groupBy("family").agg(
+        F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") * 8 / BLOCK_BYTES)).alias("blocks"), F.count("*").alias("sets"))
+    return sets.join(weight.where("sets > 1").select("family", "blocks"), "family")
 
 
 def find_links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> DataFrame:
@@ -350,16 +506,19 @@ def find_links(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -> Dat
     shares = (signed(docs, buckets, size, percent, common_shingles(docs, size), bits).groupBy("bucket").applyInArrow(tidied_group(sharing(ranges)), SHARED)
               .groupBy("range").applyInArrow(tidied_group(merged), "a bigint, b bigint"))
     families = cut(connected(shares).select(F.col("node").alias("doc_id"), F.col("component").alias("family")), "families")
-    sets = cut(members(docs, families, size), "sets", "snappy")
+    digests = cut(members(docs, families, size), "digests")
     # equal sets once: the others link to the smallest document that has the set
-    distinct = cut(sets.groupBy("family", "digest").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("elements").alias("elements")), "distinct", "snappy")
-    same = sets.select("family", "digest", F.col("doc_id").alias("a")).join(
-        distinct.select("family", "digest", F.col("doc_id").alias("b")), ["family", "digest"]).where("a <> b").select("a", "b")
-    weight = distinct.groupBy("family").agg(
-        F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") * 8 / BLOCK_BYTES)).alias("blocks"), F.count("*").alias("sets"))
+    sets = cut(digests.groupBy("family", "digest").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), "sets")
+    same = digests.select("family", "digest", F.col("doc_id").alias("a")).join(
+        sets.select("family", "digest", F.col("doc_id").alias("b")), ["family", "digest"]).where("a <> b").select("a", "b")
+    sets, most = cut(weighed(sets), "weighed"), math.inf
+    # without the sets that are gone more shingles are rare, so larger families are split as long as that leaves a quarter less to compare
+    while 0 < (held := sets.where("blocks > 1").agg(F.sum("blocks")).first()[0] or 0) <= 0.75 * most:
+        most, small = held, sets.where("blocks = 1").select("family", "doc_id", "digest", "n", "blocks")
+        sets = cut(small.union(weighed(split(docs, sets.where("blocks > 1"), size, percent)).select(*small.columns)), "weighed")
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     block = F.pmod(F.xxhash64("digest"), F.col("blocks"))
-    pairs = distinct.join(weight.where("sets > 1"), "family").select(
+    pairs = fetched(docs, sets.drop("n"), size).select(
         "family", "doc_id", "elements",
         F.explode(F.when(F.col("blocks") == 1, F.array(F.struct(F.pmod(F.xxhash64("family"), F.lit(4 * tasks)).alias("g"), F.lit(-1).cast("long").alias("i"), F.lit(-1).cast("long").alias("j"))))
                   .otherwise(F.transform(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1), lambda o: F.struct(
@@ -399,8 +558,7 @@ def representatives(docs: DataFrame, size: int = SIZE, percent: int = PERCENT) -
     """
     again = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
     if again.isEmpty():
-        gone = groups(docs, size, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("gone"))
-        return docs.join(gone, docs["doc_id"].cast("long") == gone["gone"], "left_anti")
+        return without(docs, cut(groups(docs, size, percent).where("doc_id <> component_id").select("doc_id"), "gone"))
     row = free_name(docs, "row")
     numbered = cut(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
     alike = groups(numbered.where("doc_id is not null").select(F.col(row).alias("doc_id"), "text"), size, percent)

@@ -113,3 +113,56 @@ def test_links_of_all_buckets_are_one_for_each_document():
     assert sorted((r["a"], r["b"]) for rows in found for r in rows) == [(5, docs[0]), (9, docs[0]), (docs[3], docs[0])]
     alone = pa.table([[0], [partenum.gaps(np.arange(4, dtype=np.uint64))], [partenum.apart(docs)], [b""]], names=["bucket", "names", "docs", "copies"])
     assert partenum.sharing(2)(alone).num_rows == 0
+
+
+def test_a_chain_of_unlike_texts_is_split(spark):
+    """Texts that share a common line and little else are a family, but not compared as one: what links stays together, the others go."""
+    rnd = random.Random(3)
+    words = lambda n: [f"u{rnd.getrandbits(40)}" for _ in range(n)]
+    line, data = words(12), []
+    for k in range(40):
+        own = words(30)
+        data.append((k, " ".join(line + own)))
+        if k < 6:
+            data += [(100 * (k + 1) + j, " ".join(line + own[:-1] + words(1))) for j in range(4)]
+    data += [(0, " ".join(line + words(30))), (None, "a b c d e")]
+    docs = spark.createDataFrame(data, "doc_id long, text string")
+    sets = {i: shingles(t, 5) for i, t in data if i}
+    every = partenum.members(docs.where("doc_id is not null"), docs.where("doc_id is not null").select("doc_id").distinct().withColumn("family", partenum.F.lit(0)), 5).dropDuplicates(["digest"])
+    assert every.count() == len(data) - 1
+    found = partenum.split(docs.where("doc_id is not null"), every, 5, 80).collect()
+    family = {r.doc_id: r.family for r in found}
+    # 24 copies and what they are copies of, each group for itself
+    assert sorted(family) == sorted([*range(6), *(100 * (k + 1) + j for k in range(6) for j in range(4))])
+    assert len(set(family.values())) == 6 and all(family[100 * (k + 1) + j] == family[k] for k in range(6) for j in range(4))
+    assert all(100 * len(sets[a] & sets[b]) < 80 * len(sets[a] | sets[b]) or family.get(a) == family.get(b) is not None for a in sets for b in sets if a < b)
+    assert sorted(map(tuple, partenum.report(docs).collect()), key=str) == plain(data)
+
+
+def test_rows_without_the_named_ids(spark):
+    data = [(k if k % 7 else None, k % 5, f"t{k}", k) for k in range(400)]
+    docs = spark.createDataFrame(data, "doc_id int, bucket int, bits string, marked int")
+    gone = spark.createDataFrame([(k,) for k in range(0, 500, 3)], "doc_id long")
+    kept = partenum.without(docs, gone)
+    assert kept.schema == docs.schema
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted((r for r in data if r[0] is None or r[0] % 3), key=str)
+    assert partenum.without(docs, gone.limit(0)).count() == 400
+
+
+def test_cut_tables_leave_no_shuffle_files(spark):
+    """Shuffle files go with the query that wrote them, not when the driver happens to collect its garbage."""
+    import os
+
+    from pairworks.llm.common import cut
+
+    folders = list(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString())
+    files = lambda: {f for top in folders for _, _, names in os.walk(top) for f in names if f.startswith("shuffle_") and f.endswith(".data")}
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    was, before = spark.conf.get(setting, None), files()
+    made = spark.range(0, 10_000, 1, 4).selectExpr("id % 100 k").groupBy("k").count()
+    out = cut(made.join(made.withColumnRenamed("count", "c"), "k"))
+    for _ in range(50):
+        if not files() - before:
+            break
+        __import__("time").sleep(0.1)
+    assert not files() - before and out.count() == 100 and spark.conf.get(setting, None) == was
